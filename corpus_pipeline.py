@@ -7,12 +7,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caresieve.llm import bpe, line_dedup, mixing, simhash
+from caresieve.llm import bpe, language_id, line_dedup, mixing, simhash
 from caresieve.llm.common import cut, documents
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents whose language can be told: those without a letter are rejected."""
+    model = language_id.train(docs.where(~language_id.held_out(F.col("doc_id"))))
+    marked = language_id.annotate(docs.select(*COLUMNS), model)
+    return marked.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*COLUMNS)
+
+
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the lines that an earlier one holds; n_chars follows the text."""
     out = line_dedup.line_dedup(docs.select(*COLUMNS))
@@ -36,6 +43,7 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language_id", known_language),
     ("line_dedup", dedup_lines),
     ("simhash_near_dedup", drop_near_copies),
     ("source_mixing", mix_sources),
