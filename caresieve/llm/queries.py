@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from caresieve.llm import bpe, exact_dedup, language_id, line_dedup, mixing, quality, sharding, simhash
+from caresieve.llm import bpe, exact_dedup, language_id, line_dedup, mixing, quality, sharding, simhash, toxicity
 from caresieve.llm.common import documents, sha256_hex
 from caresieve.llm.oracles import ORACLE  # noqa: F401
 
@@ -48,6 +48,13 @@ def op8_simhash(spark, sf):
     return simhash.near_dedup(documents(spark, sf)).drop("kept")
 
 
+def op9_toxicity(spark, sf):
+    """Every document with its expected severity, learned from the labelled ones."""
+    docs = documents(spark, sf)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    return toxicity.score(docs, model)
+
+
 def op10_language_id(spark, sf):
     """Every document with its predicted language, learned from those that aren't held out."""
     out = language_id.language_id(documents(spark, sf))
@@ -56,5 +63,5 @@ def op10_language_id(spark, sf):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_byte_bpe, op3_line_dedup, op4_exact_dedup, op5_sharding, op7_source_mixing, op8_simhash, op10_language_id)
+    for f in (op1_quality_rules, op2_byte_bpe, op3_line_dedup, op4_exact_dedup, op5_sharding, op7_source_mixing, op8_simhash, op9_toxicity, op10_language_id)
 }
