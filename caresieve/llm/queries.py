@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from caresieve.llm import bpe, exact_dedup, language_id, line_dedup, mixing, quality, sharding, simhash, toxicity
+from caresieve.llm import bpe, exact_dedup, language_id, line_dedup, mixing, pii, quality, sharding, simhash, toxicity
 from caresieve.llm.common import documents, sha256_hex
 from caresieve.llm.oracles import ORACLE  # noqa: F401
 
@@ -38,6 +38,19 @@ def op5_sharding(spark, sf):
     return sharding.interleave(documents(spark, sf)).drop("share", "rank", "source")
 
 
+def op6_pii(spark, sf):
+    """Every document's personal data: counts and places."""
+    found = pii.find(documents(spark, sf))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda x: x["base"] & (x["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
+    def line(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+    return found.select("doc_id", *[count(k) for k in pii.KINDS], sha256_hex(line(F.filter("spans", lambda x: x["base"]))).alias("base_sha256"), line(F.col("spans")).alias("spans"))
+
+
 def op7_source_mixing(spark, sf):
     """The mixture of all documents, shuffled."""
     return mixing.mix(documents(spark, sf)).select("doc_id", "source", "copy_no", "n_copies", F.round("mix_key", 9).alias("mix_key"), "text")
@@ -63,5 +76,5 @@ def op10_language_id(spark, sf):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_byte_bpe, op3_line_dedup, op4_exact_dedup, op5_sharding, op7_source_mixing, op8_simhash, op9_toxicity, op10_language_id)
+    for f in (op1_quality_rules, op2_byte_bpe, op3_line_dedup, op4_exact_dedup, op5_sharding, op6_pii, op7_source_mixing, op8_simhash, op9_toxicity, op10_language_id)
 }
