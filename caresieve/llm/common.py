@@ -19,6 +19,9 @@ HOT_ROWS = 4096
 HOT_KEYS = 100_000
 SALTS = 32
 
+#: Arrow batches to and from Python workers hold about this many bytes at most.
+BATCH_BYTES = 4 << 20
+
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -45,13 +48,27 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def arrow_map(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow whose Python workers can import this package, also if it isn't installed."""
+    """mapInArrow whose Python workers can import this package, also if it isn't installed.
+
+    Batches are kept small (BATCH_BYTES), so that a worker holds a few long texts and
+    not thousands; a smaller setting of the session stays.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < _bytes(conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= BATCH_BYTES:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     env = df.sparkSession.sparkContext.environment
     if PACKAGE_ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (PACKAGE_ROOT, env.get("PYTHONPATH", "")) if x)
     return df.mapInArrow(function, schema)
 
 
+def _bytes(size: str) -> int:
+    """A size as Spark writes it: 64m, 67108864b, 4096."""
+    digits = size.lower().rstrip("bkmgt")
+    unit = size.lower()[len(digits) : len(digits) + 1]
+    return int(digits) << {"": 0, "b": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
 def slots(df: DataFrame) -> int:
     """Tasks that the cluster runs at once."""
     return max(2, df.sparkSession.sparkContext.defaultParallelism)

@@ -94,8 +94,7 @@ def _filters(docs: DataFrame, words: int) -> np.ndarray:
 
         f = TwoFilters(words)
         for batch in batches:
-            found = [_distinct(t) for t in batch.column("text").to_pylist() if t]
-            f.add(_hashes([k for keys in found for k in keys]))
+            f.add(np.concatenate([np.zeros(0, np.uint64), *(_hashes(_distinct(t.as_py() or "")) for t in batch.column("text"))]))
         n = max(1, words // SEGMENT_WORDS)
         for s in range(0, n, 64):
             take = [slice(i * SEGMENT_WORDS, (i + 1) * SEGMENT_WORDS) for i in range(s, min(n, s + 64))]
@@ -150,7 +149,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     docs = docs.select(*names)
     core = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    n = core.agg(F.sum(F.length("text") - F.length(F.translate("text", "\n", "")) + 1)).first()[0] or 0
+    n = core.agg(F.sum(F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"))) + 1)).first()[0] or 0
     words = MIN_WORDS
     while words < min(max_words, n / LINES_PER_WORD):
         words *= 2
@@ -224,5 +223,6 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     sure = arrow_map(docs, clean, schema)
     rest = arrow_map(docs, doubtful, ", ".join(kept_fields))
-    rest = rest.join(lost, rest[id_col] == lost["__id"], "left").select(*[rest[c] for c in names], "__lost")
+    # the lists are the side that is held; texts stream past them unsorted
+    rest = rest.join(lost.hint("shuffle_hash"), rest[id_col] == lost["__id"], "left").select(*[rest[c] for c in names], "__lost")
     return sure.unionByName(arrow_map(rest, drop, schema))
