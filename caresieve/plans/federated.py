@@ -4,44 +4,159 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from caresieve.functions.arrays import doubles
+from caresieve.operators import covariance as cov
+from caresieve.operators import learning, similarity
 from caresieve.operators.moments import local_moments, pooled_moments
-from caresieve.sources.tables import measurements_by_site
+from caresieve.plans.register import registrar
+from caresieve.sources.tables import measurements_by_site, table
 
 VARS = ["l_quantity", "l_extendedprice", "l_discount"]
 QUERIES: dict = {}
 ORACLE: dict = {}
 
-SITE_SQL = """
-SELECT l.*, r_name AS site FROM lineitem l JOIN orders ON l_orderkey = o_orderkey
+SITE_SQL = """SELECT l.*, r_name AS site FROM lineitem l JOIN orders ON l_orderkey = o_orderkey
 JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 """
 
 
-def query(name: str, sql: str | None = None):
-    """Registers a callable under a name, with its oracle if there is one."""
-
-    def register(f):
-        QUERIES[name] = f
-        if sql:
-            ORACLE[name] = sql
-        return f
-
-    return register
+query = registrar(QUERIES, ORACLE)
 
 
 @query(
-    "fed_local_moments",
-    f"SELECT site, count(*) AS n, {', '.join(f'round(avg({c}), 6) AS mean_{c}, round(stddev_pop({c}), 6) AS sd_{c}' for c in VARS)} FROM ({SITE_SQL}) GROUP BY site",
+    f"SELECT site, count(*) AS n, {', '.join(f'round(avg({c}), 5) AS mean_{c}, round(stddev_pop({c}), 5) AS sd_{c}' for c in VARS)} FROM ({SITE_SQL}) GROUP BY site",
 )
 def fed_local_moments(spark, sf):
     m = local_moments(measurements_by_site(spark, sf), "site", VARS)
-    return m.select("site", "n", *[F.round(f"{k}_{c}", 6).alias(f"{k}_{c}") for c in VARS for k in ("mean", "sd")])
+    return m.select("site", "n", *[F.round(f"{k}_{c}", 5).alias(f"{k}_{c}") for c in VARS for k in ("mean", "sd")])
 
 
 @query(
-    "fed_pooled_moments",
-    f"SELECT count(*) AS n_total, {', '.join(f'round(avg({c}), 6) AS mean_{c}, round(stddev_pop({c}), 6) AS sd_{c}' for c in VARS)} FROM ({SITE_SQL})",
+    f"SELECT count(*) AS n_total, {', '.join(f'round(avg({c}), 5) AS mean_{c}, round(stddev_pop({c}), 5) AS sd_{c}' for c in VARS)} FROM ({SITE_SQL})",
 )
 def fed_pooled_moments(spark, sf):
     m = pooled_moments(local_moments(measurements_by_site(spark, sf), "site", VARS), VARS)
-    return m.select(F.col("n_total").cast("long").alias("n_total"), *[F.round(f"{k}_{c}", 6).alias(f"{k}_{c}") for c in VARS for k in ("mean", "sd")])
+    return m.select(F.col("n_total").cast("long").alias("n_total"), *[F.round(f"{k}_{c}", 5).alias(f"{k}_{c}") for c in VARS for k in ("mean", "sd")])
+
+
+def _long_matrix(spark, m, name):
+    rows = [(VARS[i], VARS[j], round(float(m[i, j]), 4)) for i in range(len(VARS)) for j in range(len(VARS))]
+    return spark.createDataFrame(rows, f"a string, b string, {name} double")
+
+
+def _matrix_sql(f: str) -> str:
+    cells = [f"SELECT '{a}' AS a, '{b}' AS b, round({f}({a}, {b}), 4) AS {{name}} FROM s" for a in VARS for b in VARS]
+    return f"WITH s AS ({SITE_SQL}) " + " UNION ALL ".join(cells)
+
+
+@query(_matrix_sql("covar_samp").replace("{name}", "covariance"))
+def fed_scatter_covariance(spark, sf):
+    stats = cov.pooled(cov.local_scatter(measurements_by_site(spark, sf), "site", VARS))
+    return _long_matrix(spark, stats.covariance, "covariance")
+
+
+@query(_matrix_sql("corr").replace("{name}", "correlation"))
+def fed_correlation(spark, sf):
+    stats = cov.pooled(cov.local_scatter(measurements_by_site(spark, sf), "site", VARS))
+    return _long_matrix(spark, stats.correlation, "correlation")
+
+
+@query()
+def fed_pca_explained(spark, sf):
+    stats = cov.pooled(cov.local_scatter(measurements_by_site(spark, sf), "site", VARS))
+    found = cov.principal_components(stats.correlation)
+    return spark.createDataFrame([(i + 1, round(float(x), 6), i < found.kept) for i, x in enumerate(found.explained)], "component int, explained double, kept boolean")
+
+
+@query(
+    f"""WITH s AS ({SITE_SQL}), m AS (SELECT site, avg(l_quantity) AS q, var_samp(l_quantity) AS vq, avg(l_discount) AS d, var_samp(l_discount) AS vd FROM s GROUP BY site)
+SELECT s.site, count(*) AS n, count(*) FILTER (WHERE (l_quantity - q) ** 2 / vq + (l_discount - d) ** 2 / vd > 4) AS n_far,
+round(max((l_quantity - q) ** 2 / vq + (l_discount - d) ** 2 / vd), 6) AS max_t2 FROM s JOIN m ON s.site = m.site GROUP BY s.site"""
+)
+def fed_t2_distances(spark, sf):
+    rows = cov.t2_outliers(measurements_by_site(spark, sf), "site", ["l_quantity", "l_discount"])
+    return rows.groupBy("site").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("t2") > 4).alias("n_far"), F.round(F.max("t2"), 6).alias("max_t2"))
+
+
+@query()
+def fed_t2_outliers(spark, sf):
+    m = measurements_by_site(spark, sf)
+    stats = cov.pooled(cov.local_scatter(m, "site", VARS))
+    found = cov.principal_components(stats.correlation)
+    scored = m.select("site", "l_orderkey", "l_linenumber", *cov.score_columns(VARS, stats, found.loadings))
+    names = [f"pc{i + 1}" for i in range(found.kept)]
+    return cov.t2_outliers(scored, "site", names).where("outlier").select("site", "l_orderkey", "l_linenumber", F.round("t2", 6).alias("t2"))
+
+
+BOX_SQL = f"SELECT site, min(l_quantity) AS a0, max(l_quantity) AS a1, min(l_extendedprice) AS b0, max(l_extendedprice) AS b1 FROM ({SITE_SQL}) GROUP BY site"
+
+
+@query(f"SELECT site, a0 AS min_quantity, a1 AS max_quantity, b0 AS min_price, b1 AS max_price, round((a1 - a0) * (b1 - b0), 4) AS volume FROM ({BOX_SQL})")
+def fed_bounding_boxes(spark, sf):
+    b = similarity.bounding_boxes(measurements_by_site(spark, sf), "site", ["l_quantity", "l_extendedprice"])
+    return b.select("site", F.col("low")[0].alias("min_quantity"), F.col("high")[0].alias("max_quantity"), F.col("low")[1].alias("min_price"), F.col("high")[1].alias("max_price"), F.round("volume", 4).alias("volume"))
+
+
+@query(
+    f"""WITH b AS ({BOX_SQL}) SELECT x.site AS site_a, y.site AS site_b, round(CASE WHEN least(x.a1, y.a1) < greatest(x.a0, y.a0) OR least(x.b1, y.b1) < greatest(x.b0, y.b0) THEN 0
+ELSE 2 * (least(x.a1, y.a1) - greatest(x.a0, y.a0)) * (least(x.b1, y.b1) - greatest(x.b0, y.b0)) / ((x.a1 - x.a0) * (x.b1 - x.b0) + (y.a1 - y.a0) * (y.b1 - y.b0)) END, 6) AS similarity FROM b x, b y"""
+)
+def fed_overlap_similarity(spark, sf):
+    b = similarity.bounding_boxes(measurements_by_site(spark, sf), "site", ["l_quantity", "l_extendedprice"])
+    return similarity.overlap_similarity(b, "site").withColumn("similarity", F.round("similarity", 6))
+
+
+@query()
+def fed_frechet_similarity(spark, sf):
+    vectors = table(spark, sf, "embeddings").select(F.col("label").cast("string").alias("site"), doubles(F.col("embedding")).alias("v"))
+    return similarity.frechet_matrix(cov.vector_scatter(vectors, "site", "v", 64)).select("site_a", "site_b", "similarity")
+
+
+@query("SELECT l_suppkey, round(sum(l_quantity * l_discount) / sum(l_quantity), 6) AS l_discount, round(sum(l_quantity * l_tax) / sum(l_quantity), 6) AS l_tax FROM lineitem GROUP BY l_suppkey")
+def fed_weighted_average(spark, sf):
+    out = learning.weighted_average(table(spark, sf, "lineitem"), "l_quantity", ["l_discount", "l_tax"], ["l_suppkey"])
+    return out.select("l_suppkey", F.round("l_discount", 6).alias("l_discount"), F.round("l_tax", 6).alias("l_tax"))
+
+
+_COUNTS = "count(*) FILTER (WHERE toxic <> 1 AND quality <> 1) AS tn, count(*) FILTER (WHERE toxic <> 1 AND quality = 1) AS fp, count(*) FILTER (WHERE toxic = 1 AND quality <> 1) AS fn, count(*) FILTER (WHERE toxic = 1 AND quality = 1) AS tp"
+
+
+@query(
+    f"""SELECT tn, fp, fn, tp, round(coalesce((tp + tn) / nullif(tn + fp + fn + tp, 0), 0), 6) AS accuracy, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS "precision",
+round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1 FROM (SELECT {_COUNTS} FROM labels)"""
+)
+def eval_confusion_metrics(spark, sf):
+    m = learning.confusion(table(spark, sf, "labels"), "toxic", "quality")
+    return m.select("tn", "fp", "fn", "tp", *[F.round(c, 6).alias(c) for c in ("accuracy", "precision", "recall", "f1")])
+
+
+@query("SELECT count(*) FILTER (WHERE toxic = 0) AS negatives, count(*) FILTER (WHERE toxic = 1) AS positives, round(count(*) FILTER (WHERE toxic = 0) / nullif(count(*) FILTER (WHERE toxic = 1), 0), 6) AS pos_weight FROM labels")
+def eval_class_weights(spark, sf):
+    w = learning.positive_weight(table(spark, sf, "labels"), "toxic")
+    return w.withColumn("pos_weight", F.round("pos_weight", 6))
+
+
+def _returned(spark, sf):
+    rows = measurements_by_site(spark, sf)
+    return rows.select("site", ((F.col("l_quantity") - 25) / 15).alias("q"), ((F.col("l_extendedprice") - 50_000) / 30_000).alias("p"), (F.col("l_extendedprice") > 50_000).cast("int").alias("y"))
+
+
+@query()
+def fed_logistic_rounds(spark, sf):
+    rows = _returned(spark, sf).persist()
+    model = learning.train_logistic(rows, "site", ["q", "p"], "y", rounds=8, rate=2.0)
+    out = [(n, round(v, 6)) for n, v in zip(("bias", "q", "p"), (model.bias, *model.weights))]
+    rows.unpersist()
+    return spark.createDataFrame(out, "term string, weight double")
+
+
+@query(
+    f"""WITH s AS (SELECT site, (l_quantity - 25) / 15 AS q, (l_extendedprice - 50000) / 30000 AS p, l_extendedprice > 50000 AS y FROM ({SITE_SQL})),
+v AS (SELECT 'price' AS model, site, y, p > 0 AS z FROM s UNION ALL SELECT 'quantity', site, y, q - 0.5 > 0 FROM s),
+c AS (SELECT model, site, count(*) FILTER (WHERE y AND z) AS tp, count(*) FILTER (WHERE NOT y AND NOT z) AS tn, count(*) AS n FROM v GROUP BY model, site)
+SELECT model, site, tp, tn, round((tp + tn) / n, 6) AS accuracy FROM c"""
+)
+def fed_cross_site_evaluation(spark, sf):
+    models = {"price": learning.Linear((0.0, 1.0), 0.0), "quantity": learning.Linear((1.0, 0.0), -0.5)}
+    out = learning.evaluate_across(_returned(spark, sf), "site", ["q", "p"], "y", models)
+    return out.select("model", "site", "tp", "tn", F.round("accuracy", 6).alias("accuracy"))
