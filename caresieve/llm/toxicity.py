@@ -15,8 +15,8 @@ from caresieve.llm.common import arrow_map, pick
 
 #: At most this many labelled documents, and so many code points of them, are learned
 #: from: whole texts, taken in the order of a hash of their id.
-MAX_LABELLED = 8_000
-MAX_CHARS = 64_000_000
+MAX_LABELLED = 6_000
+MAX_CHARS = 20_000_000
 #: A feature is a cue if the odds of its documents to be toxic are this many times the odds of all.
 CUE_ODDS = 20.0
 #: A feature comes in so many labelled documents at least, and its presence differs
@@ -70,19 +70,34 @@ class Ordinal:
         return [1 / (1 + float(np.exp(min(700.0, c - z)))) for c in self.cuts]
 
 
-def _screened(bags: list[dict], grades: np.ndarray) -> list[str]:
-    """Features whose presence tells toxic documents best."""
-    inside, outside = Counter(), Counter()
-    for bag, g in zip(bags, grades):
-        (inside if g else outside).update(bag.keys())
-    n1, n = int((grades > 0).sum()), len(grades)
+def _presence(texts: list[str], toxic: np.ndarray) -> list[tuple[str, int, int]]:
+    """(feature, toxic texts, other texts that hold it) of what MIN_DOCUMENTS texts of the smaller class hold.
+
+    Only one text's features are held at a time besides the counts, and only the
+    smaller class is counted without a filter.
+    """
+    few = bool(toxic.sum() * 2 <= len(toxic))
+    small: Counter = Counter()
+    for t, y in zip(texts, toxic):
+        if bool(y) == few:
+            small.update(features(words(t)).keys())
+    small = Counter({x: n for x, n in small.items() if n >= MIN_DOCUMENTS})
+    large: Counter = Counter()
+    for t, y in zip(texts, toxic):
+        if bool(y) != few:
+            large.update(features(words(t), small).keys())
+    return [(x, n, large[x]) if few else (x, large[x], n) for x, n in small.items()]
+
+
+def _screened(texts: list[str], toxic: np.ndarray) -> list[str]:
+    """Features whose presence tells toxic texts best."""
+    n1, n = int(toxic.sum()), len(toxic)
     found = []
-    for x, a in (inside + outside).items():
-        if a >= MIN_DOCUMENTS:
-            gap = inside[x] / n1 - outside[x] / (n - n1)
-            chi2 = gap**2 / (max(a / n * (1 - a / n), 1e-12) * (1 / n1 + 1 / (n - n1)))
-            if chi2 >= MIN_CHI2:
-                found.append((-chi2, x))
+    for x, inside, outside in _presence(texts, toxic):
+        gap, all_ = inside / n1 - outside / (n - n1), (inside + outside) / n
+        chi2 = gap**2 / (max(all_ * (1 - all_), 1e-12) * (1 / n1 + 1 / (n - n1)))
+        if chi2 >= MIN_CHI2:
+            found.append((-chi2, x))
     return [x for _, x in sorted(found)[:MAX_FEATURES]]
 
 
@@ -95,11 +110,9 @@ def fit_ordinal(texts: list[str], grades: np.ndarray) -> Ordinal:
     levels = int(grades.max(initial=0))
     if not len(texts) or levels == 0 or not (grades == 0).any():
         return Ordinal({}, (50.0,) * max(1, levels))
-    bags = [features(words(t)) for t in texts]
-    vocab = _screened(bags, grades)
+    vocab = _screened(texts, grades > 0)
     place = {x: i for i, x in enumerate(vocab)}
-    cells = [(r, i, v) for r, b in enumerate(bags) for x, v in b.items() if (i := place.get(x)) is not None]
-    del bags
+    cells = [(r, place[x], v) for r, t in enumerate(texts) for x, v in features(words(t), place).items()]
     rows, cols, vals = (np.array(x) for x in zip(*cells)) if cells else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
     n, at = len(texts), np.arange(len(texts))
     w = np.zeros(len(vocab) + levels)  # weights, first cut, logs of gaps
@@ -141,12 +154,9 @@ def severity_grades(texts: list[str], toxic: np.ndarray) -> np.ndarray:
     grades = toxic.astype(np.int64)
     if not toxic.any() or toxic.all():
         return grades
-    bags = [features(words(t)) for t in texts]
-    inside = Counter(x for b, t in zip(bags, toxic) if t for x in b)
-    outside = Counter(x for b, t in zip(bags, toxic) if not t for x in b)
     prior = toxic.sum() / (~toxic).sum()
-    cues = {x for x, n in inside.items() if n >= MIN_DOCUMENTS and (n + 0.5) / (outside[x] + 0.5) / prior >= CUE_ODDS}
-    density = np.array([sum(v for x, v in b.items() if x in cues) for b in bags])
+    cues = {x for x, a, b in _presence(texts, toxic) if a >= MIN_DOCUMENTS and (a + 0.5) / (b + 0.5) / prior >= CUE_ODDS}
+    density = np.array([sum(features(words(t), cues).values()) for t in texts])
     grades[toxic & (density > np.median(density[toxic]))] = 2
     return grades
 
