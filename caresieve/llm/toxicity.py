@@ -27,9 +27,9 @@ MAX_FEATURES = 4096
 #: Besides whole words, the first letters of longer words are features.
 PREFIXES = (5, 6, 7)
 #: A feature's value is log(1 + its occurrences in 100 words); shorter texts count as of this length.
-SHORT_WORDS = 40
+SHORT_WORDS = 80
 #: Penalties and steps of the fit.
-L1, STEPS, RATE = 2e-4, 600, 0.1
+L1, STEPS, RATE = 5e-5, 600, 0.1
 #: A document is flagged when its probability of any grade over 0 reaches this.
 FLAG_AT = 0.5
 
