@@ -3,21 +3,18 @@
 from __future__ import annotations
 
 import os
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: The white space of all contracts, as one string and as a character class.
-SPACES = " \t\n\x0b\x0c\r"
-SPACE_CLASS = r"[\x20\x09-\x0D]"
+from caresieve.operators.skew import cut, salted_join
+
+__all__ = ["SPACES", "arrow_map", "cut", "documents", "null_safe_key", "pick", "salted_join", "sha256_hex", "slots"]
 
-#: Keys with at least this many rows are salted in salted_join; at most rows / HOT_ROWS keys can be.
-HOT_ROWS = 4096
-HOT_KEYS = 100_000
-SALTS = 32
+#: The white space of all contracts, as one string.
+SPACES = " \t\n\x0b\x0c\r"
 
 #: Arrow batches to and from Python workers hold about this many bytes at most.
 BATCH_BYTES = 4 << 20
@@ -35,18 +32,6 @@ def pick(df: DataFrame, **names: str) -> DataFrame:
     return df.select(*[df[old].alias(new) for new, old in names.items()])
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df written to the cluster's shared checkpoint folder, without its lineage.
-
-    The folder is the session's spark.checkpoint.dir; only where that is unset
-    (tests) one is made. Spark removes the files when the result is collected.
-    """
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="caresieve-ckpt-"))
-    return df.checkpoint(eager=True)
-
-
 def arrow_map(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow whose Python workers can import this package, also if it isn't installed.
 
@@ -79,28 +64,6 @@ def null_safe_key(c: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-"))
 
 
-def salted_join(rows: DataFrame, facts: DataFrame, keys: list[str], count: str, salt_by: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Inner join of rows to facts, which holds one row a key and, in `count`, how many rows have it.
-
-    Keys of more than max(hot_rows, all/HOT_KEYS) rows are hot: there are at most
-    HOT_KEYS of them, so their list may be broadcast. Each hot key is dealt over
-    SALTS tasks by the hash of `salt_by`, and its fact is copied to each. Other
-    keys are joined as they are. facts is read three times: materialise it first.
-    """
-    total = facts.agg(F.sum(count)).first()[0] or 0
-    limit = max(hot_rows, total // HOT_KEYS)
-    hot = facts.where(F.col(count) > limit).select(*keys, F.lit(True).alias("__hot"))
-    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(F.col(salt_by)), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
-    left = rows.join(F.broadcast(hot), keys, "left").withColumn("__salt", salt).drop("__hot")
-    fan = F.when(F.col(count) > limit, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    return left.join(facts.withColumn("__salt", F.explode(fan)), [*keys, "__salt"], "inner").drop("__salt")
-
-
-def texts_of(column: pa.Array) -> list[str]:
-    """The strings of an Arrow column, null as empty."""
-    return [x or "" for x in column.to_pylist()]
-
-
 def sha256_hex(c: Column) -> Column:
     """Lower-case hex of the SHA-256 of a string's UTF-8 bytes."""
     return F.sha2(c, 256)
