@@ -21,6 +21,7 @@ m AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
   CAST(coalesce(n_repeat, 0) AS BIGINT) AS n_repeat_words,
   CAST(len(ls) AS BIGINT) AS n_lines,
   CAST(len(list_filter(ws, lambda x: lower(x) IN ({_STOP}))) AS BIGINT) AS n_stop_words,
+  CAST(len(list_filter(ws, lambda x: regexp_matches(x, '\p{{L}}'))) AS BIGINT) AS n_letter_words,
   CAST(len(list_filter(ls, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•·]'))) AS BIGINT) AS n_bullet_lines,
   CAST(len(list_filter(ls, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS BIGINT) AS n_ellipsis_lines
   FROM w LEFT JOIN c ON w.doc_id = c.doc_id),
@@ -28,12 +29,12 @@ q AS (SELECT *, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_fa
   coalesce(word_chars / nullif(n_words, 0), 0) AS v2, coalesce(n_symbols / nullif(word_chars, 0), 0) AS v3,
   coalesce(n_stop_words / nullif(n_words, 0), 0) AS v4, coalesce(n_dup_lines / nullif(n_lines, 0), 0) AS v5,
   coalesce(n_bullet_lines / nullif(n_lines, 0), 0) AS v6, coalesce(n_ellipsis_lines / nullif(n_lines, 0), 0) AS v7,
-  coalesce(n_repeat_words / nullif(n_words, 0), 0) AS v8 FROM m),
+  coalesce(n_repeat_words / nullif(n_words, 0), 0) AS v8, coalesce(n_letter_words / nullif(n_words, 0), 0) AS v9 FROM m),
 f AS (SELECT *, concat_ws(',', {{rules}}) AS failed_rules FROM q)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_stop_words, n_bullet_lines, n_ellipsis_lines,
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_stop_words, n_letter_words, n_bullet_lines, n_ellipsis_lines,
   base_failed, failed_rules, NOT base_failed AND failed_rules = '' AS kept FROM f
 """
-_VALUES = {"n_words": "n_words", "mean_word_chars": "v2", "symbol_ratio": "v3", "stop_word_ratio": "v4", "dup_line_ratio": "v5", "bullet_line_ratio": "v6", "ellipsis_line_ratio": "v7", "repeat_word_ratio": "v8"}
+_VALUES = {"n_words": "n_words", "mean_word_chars": "v2", "symbol_ratio": "v3", "stop_word_ratio": "v4", "dup_line_ratio": "v5", "bullet_line_ratio": "v6", "ellipsis_line_ratio": "v7", "repeat_word_ratio": "v8", "letter_word_ratio": "v9"}
 
 
 def _rule(r: quality.Rule) -> str:

@@ -38,6 +38,7 @@ RULES = (
     Rule("mean_word_chars", low=1.5, high=40.0),
     Rule("symbol_ratio", high=0.2),
     Rule("stop_word_ratio", low=0.005),
+    Rule("letter_word_ratio", low=0.7),
     Rule("dup_line_ratio", high=0.5),
     Rule("bullet_line_ratio", high=0.95),
     Rule("ellipsis_line_ratio", high=0.6),
@@ -112,6 +113,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         _repeat_words(F.col("words")).alias("n_repeat_words"),
         F.size("lines").cast("long").alias("n_lines"),
         count("words", lambda w: F.lower(w).isin(STOP_WORDS)).alias("n_stop_words"),
+        count("words", lambda w: w.rlike(r"\p{L}")).alias("n_letter_words"),
         count("lines", lambda x: x.rlike(BULLET)).alias("n_bullet_lines"),
         count("lines", lambda x: x.rlike(ELLIPSIS)).alias("n_ellipsis_lines"),
     )
@@ -131,6 +133,7 @@ def judge(measured: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         "mean_word_chars": _per("word_chars", "n_words"),
         "symbol_ratio": _per("n_symbols", "word_chars"),
         "stop_word_ratio": _per("n_stop_words", "n_words"),
+        "letter_word_ratio": _per("n_letter_words", "n_words"),
         "dup_line_ratio": _per("n_dup_lines", "n_lines"),
         "bullet_line_ratio": _per("n_bullet_lines", "n_lines"),
         "ellipsis_line_ratio": _per("n_ellipsis_lines", "n_lines"),
