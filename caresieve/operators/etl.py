@@ -138,3 +138,45 @@ def append_absent(existing: DataFrame, incoming: DataFrame, keys: list[str]) ->
     """existing and the incoming rows of new keys, each key once."""
     fresh = incoming.join(existing.select(*keys), keys, "left_anti").dropDuplicates(keys)
     return existing.unionByName(fresh, allowMissingColumns=True)
+
+
+def procedure_concept(modalities: dict[str, str], modality: str) -> int:
+    """The first concept whose entry names the modality; 0 if none does."""
+    return next((int(k) for k, v in modalities.items() if modality in v), 0)
+
+
+def image_rows(files: DataFrame, masks: DataFrame, procedures: DataFrame, keys: list[str], after: int = 0) -> DataFrame:
+    """One image row per procedure and series: image_occurrence_id, procedure_occurrence_id, filename and mask_filename arrays.
+
+    files, masks: keys and path. A series without a mask has a null there and no text
+    that stands for one; paths are in order.
+    """
+    paths = lambda d, name: d.groupBy(*keys).agg(F.sort_array(F.collect_list("path")).alias(name))
+    rows = procedures.join(paths(files, "filename"), keys).join(paths(masks, "mask_filename"), keys, "left")
+    return new_ids(rows, ["procedure_occurrence_id", *keys], after, "image_occurrence_id").select("image_occurrence_id", "procedure_occurrence_id", *keys, "filename", "mask_filename")
+
+
+def genomic_rows(files: DataFrame, mapping: DataFrame, person: str, sample: str, after: int = 0) -> DataFrame:
+    """One genomic result per mapped sample file: genomic_result_id, person, sample, filename."""
+    rows = files.join(mapping.select(person, sample), sample)
+    return new_ids(rows, [person, sample, "path"], after, "genomic_result_id").select("genomic_result_id", person, sample, F.col("path").alias("filename"))
+
+
+def synthetic_names(persons: DataFrame, female: DataFrame, male: DataFrame, last: DataFrame, seed: int = 0, female_concept: int = 8532) -> DataFrame:
+    """persons with given_name and family_name drawn by the hash of the person's id.
+
+    Lists have one column, name, and are numbered in its order; they are reference
+    lists and small, and are broadcast when their measured size allows.
+    """
+
+    def numbered(names: DataFrame, out: str) -> DataFrame:
+        return names.select(F.col("name").alias(out), (F.row_number().over(Window.orderBy("name")) - 1).alias(f"__{out}"))
+
+    def draw(names: DataFrame, salt: str):
+        return F.pmod(F.xxhash64(F.lit(f"{seed}:{salt}"), F.col("person_id")), F.lit(max(1, names.count())))
+
+    is_female = F.coalesce(F.col("gender_concept_id"), F.lit(0)) == female_concept
+    rows = persons.withColumns({"__g": F.when(is_female, draw(female, "f")).otherwise(draw(male, "m")), "__f": is_female, "__l": draw(last, "l")})
+    given = numbered(female, "given").withColumn("__is", F.lit(True)).unionByName(numbered(male, "given").withColumn("__is", F.lit(False)))
+    rows = rows.join(given, (F.col("__g") == F.col("__given")) & (F.col("__f") == F.col("__is"))).join(numbered(last, "family"), F.col("__l") == F.col("__family"))
+    return rows.withColumnsRenamed({"given": "given_name", "family": "family_name"}).drop("__g", "__f", "__l", "__given", "__is", "__family")

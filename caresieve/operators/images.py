@@ -223,3 +223,112 @@ def within_angle(df: DataFrame, truth: str, predicted: str, degrees: float) -> D
     """Share of rows whose two unit vectors are less than an angle apart."""
     cosine = F.greatest(F.least(A.dot(F.col(truth), F.col(predicted)), F.lit(1.0)), F.lit(-1.0))
     return df.agg(F.avg((F.acos(cosine) < float(np.pi * degrees / 180)).cast("double")).alias("share"))
+
+
+def file_count_faults(files: DataFrame, keys: list[str], name: str, extension: str, least: int, most: int | None = None) -> DataFrame:
+    """E2101, E2102: keys with wrong extensions or a count of right ones out of bounds."""
+    right = F.lower(F.col(name)).endswith(extension)
+    n = files.groupBy(*keys).agg(F.count_if(right).alias("n_right"), F.count_if(~right).alias("n_wrong"))
+    bad = (F.col("n_wrong") > 0) | (F.col("n_right") < least)
+    return n.where(bad if most is None else bad | (F.col("n_right") > most))
+
+
+def slice_label_faults(labels: DataFrame, slices: DataFrame, keys: list[str], name: str, label: str, allowed: list[str]) -> DataFrame:
+    """(code, keys) of label tables that disagree: E2203 other number of rows, E2204 unknown slice, E2205 label not allowed."""
+    a = labels.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_labels"), F.count_if(~F.col(label).isin(*allowed) | F.col(label).isNull()).alias("n_bad"))
+    b = slices.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_slices"))
+    unknown = labels.join(slices.select(*keys, name), [*keys, name], "left_anti").groupBy(*keys).agg(F.count(F.lit(1)).alias("n_unknown"))
+    both = a.join(b, keys, "left").join(unknown, keys, "left")
+    codes = F.array_compact(F.array(F.when(~F.col("n_labels").eqNullSafe(F.col("n_slices")), F.lit("E2203")), F.when(F.col("n_unknown") > 0, F.lit("E2204")), F.when(F.col("n_bad") > 0, F.lit("E2205"))))
+    return both.select(F.explode(codes).alias("code"), *keys)
+
+
+def patient_label_faults(labels: DataFrame, patients: DataFrame, key: str, label: str, allowed: list[str]) -> DataFrame:
+    """(code, key): E2301 not exactly one label, E2302 a label that isn't allowed."""
+    n = patients.select(key).distinct().join(labels, key, "left").groupBy(key).agg(F.count(label).alias("n"), F.count_if(~F.col(label).isin(*allowed)).alias("bad"))
+    codes = F.array_compact(F.array(F.when(F.col("n") != 1, F.lit("E2301")), F.when(F.col("bad") > 0, F.lit("E2302"))))
+    return n.select(F.explode(codes).alias("code"), key)
+
+
+def position_faults(volumes: DataFrame, masks: DataFrame, keys: list[str], z: str, tolerance: float = 1e-4) -> DataFrame:
+    """E4201: keys of which some slice, in the order of z, lies elsewhere in the mask than in the volume."""
+    by = Window.partitionBy(*keys).orderBy(z)
+    a, b = (d.select(*keys, F.round(z, 5).alias(n), F.row_number().over(by).alias("place")) for d, n in ((volumes, "za"), (masks, "zb")))
+    return a.join(b, [*keys, "place"]).where(F.abs(F.col("za") - F.col("zb")) > tolerance).select(*keys).distinct()
+
+
+def shape_faults(masks: DataFrame, keys: list[str]) -> DataFrame:
+    """E4501: keys whose masks differ in shape."""
+    return masks.groupBy(*keys).agg(F.count_distinct("h", "w").alias("n_shapes")).where("n_shapes > 1")
+
+
+def mask_replicates(slices: DataFrame, keys: list[str], mask: str, order: str, pixels: str = "pixels", reach: int = 5) -> DataFrame:
+    """E4701: (keys, fingerprint, n) of masks of a series that are equal around the middle of their slices that aren't black.
+
+    Each slice is reduced to a hash first, so only hashes of a window of slices meet.
+    """
+    own = Window.partitionBy(*keys, mask)
+    lit = slices.where(F.array_max(pixels) > 0).select(*keys, mask, F.xxhash64(pixels).alias("h"), (F.row_number().over(own.orderBy(order)) - 1).alias("i"), F.count(F.lit(1)).over(own).alias("m"))
+    middle = lit.where(F.abs(F.col("i") - F.floor(F.col("m") / 2)) <= reach)
+    printed = middle.groupBy(*keys, mask).agg(F.sort_array(F.collect_list(F.struct("i", "h"))).alias("w")).select(*keys, mask, F.xxhash64("w.h").alias("fingerprint"))
+    return printed.groupBy(*keys, "fingerprint").agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(mask)).alias("masks")).where("n > 1")
+
+
+def unite_segments(voxels: DataFrame, keys: list[str], place: list[str], name: str, codes: dict[str, int]) -> DataFrame:
+    """Segments of one name as one, with the protocol's code; segments without a code go."""
+    table = F.create_map(*[F.lit(x) for kv in codes.items() for x in kv])
+    return voxels.select(*keys, *place, F.try_element_at(table, F.col(name)).alias("label")).where("label is not null").distinct()
+
+
+def drop_slices(masks: DataFrame, discarded: DataFrame, keys: list[str], index: str = "slice_idx") -> DataFrame:
+    """Masks without the slices that a list, counting from 1, discards; `index` counts from 0."""
+    gone = discarded.select(*keys, (F.col("discarded_slice") - 1).alias(index))
+    return masks.join(gone, [*keys, index], "left_anti")
+
+
+def follow_slices(labels: DataFrame, ordered: DataFrame, series: list[str]) -> DataFrame:
+    """Labels by the slices' new places: ordered comes from order_slices, without the discarded ones."""
+    return labels.join(ordered.select(*series, "slice_idx", "place"), [*series, "slice_idx"]).select(*series, "place", "label")
+
+
+def masked(slices: DataFrame, image: str = "pixels", mask: str = "mask") -> DataFrame:
+    """pixels times the mask; masks of 0 and 255 count as 0 and 1."""
+    scale = F.when(F.array_max(mask) > 1, F.lit(255.0)).otherwise(F.lit(1.0))
+    return slices.withColumn(image, A.let(scale, lambda s: F.zip_with(image, mask, lambda x, m: x * m / s)))
+
+
+def first_series(slices: DataFrame, patient: str = "patient_id", series: str = "series_id") -> DataFrame:
+    """The slices of each patient's first series by name."""
+    first = slices.groupBy(patient).agg(F.min(series).alias(series))
+    return slices.join(first, [patient, series], "left_semi")
+
+
+def knee(values: list[float]) -> int:
+    """Index of the knee of a rising curve: where it lies farthest under the line between its ends."""
+    y = np.asarray(values, float)
+    if len(y) < 3 or y[-1] == y[0]:
+        return len(y) - 1
+    x = np.linspace(0, 1, len(y))
+    return int(np.argmax(x - (y - y[0]) / (y[-1] - y[0])))
+
+
+def knee_clip(slices: DataFrame, pixels: str = "pixels") -> DataFrame:
+    """pixels clipped above at the knee of the percentiles 95 to 100, taken over all slices (exact, one number to the driver)."""
+    steps = [0.95 + i / 10_000 for i in range(501)]
+    curve = slices.select(F.explode(pixels).alias("v")).agg(F.percentile("v", F.array(*[F.lit(s) for s in steps])).alias("p")).first().p
+    top = float(curve[knee(curve)])
+    return slices.withColumn(pixels, F.transform(pixels, lambda v: F.least(v.cast("double"), F.lit(top))))
+
+
+def to_lps(slices: DataFrame, flips: str = "flips") -> DataFrame:
+    """pixels of slices whose axes run the other way, turned: flips holds r (columns), a (rows) as needed."""
+    x, h, w = F.col("pixels"), F.col("h"), F.col("w")
+    place = F.sequence(F.lit(0), h * w - 1)
+
+    def at(i):
+        row, col = F.floor(i / w).cast("int"), i % w
+        row = F.when(F.col(flips).contains("a"), h - 1 - row).otherwise(row)
+        col = F.when(F.col(flips).contains("r"), w - 1 - col).otherwise(col)
+        return F.element_at(x, (row * w + col + 1).cast("int"))
+
+    return slices.withColumn("pixels", F.transform(place, at))

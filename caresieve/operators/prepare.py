@@ -157,3 +157,31 @@ def code_map(protocol: Protocol, df_session) -> DataFrame:
     """variable, variable_code, level, level_code: V001 and V001.01 and so on."""
     rows = [(v.name, v.code, level, code) for v in protocol.ordered() for level, code in (v.level_codes().items() or [(None, None)])]
     return df_session.createDataFrame(rows, "variable string, variable_code string, level string, level_code string")
+
+
+def nested_split(df: DataFrame, key: str, seed: int, train: float, validation: float, stratify: str | None = None) -> DataFrame:
+    """df with split train, validation or test: `train` of all rows, then `validation` of the rest."""
+    outer = split(df, key, seed, 1 - train, stratify).withColumnRenamed("split", "__outer")
+    rest = split(outer.where("__outer = 'test'").drop("__outer"), key, seed + 1, 1 - validation, stratify)
+    rest = rest.withColumn("split", F.when(F.col("split") == "train", "validation").otherwise("test"))
+    return outer.where("__outer = 'train'").drop("__outer").withColumn("split", F.lit("train")).unionByName(rest)
+
+
+def prepared_outputs(df: DataFrame, protocol: Protocol, key: str) -> dict[str, DataFrame]:
+    """The tables that preparation hands on: total, continuous, discontinuous, ground_truth, encoded."""
+    names = {k: [v.name for v in protocol.of_kind(k) if v.name in df.columns] for k in ("continuous", "discontinuous")}
+    truth = protocol.ground_truth
+    out = {
+        "total": df,
+        "continuous": df.select(key, *[f"`{c}`" for c in names["continuous"]]),
+        "discontinuous": df.select(key, *[f"`{c}`" for c in names["discontinuous"]]),
+        "encoded": encode(df, list(protocol.variables)),
+    }
+    if truth and truth.name in df.columns:
+        out["ground_truth"] = df.select(key, f"`{truth.name}`")
+    return out
+
+
+def one_hot_pixels(df: DataFrame, label: str, classes: int) -> DataFrame:
+    """df with onehot, an array with a 1 at the label's place; other labels give only zeros."""
+    return df.withColumn("onehot", F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), lambda k: (k == F.col(label)).cast("int")))

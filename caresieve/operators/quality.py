@@ -254,3 +254,53 @@ def validate(df: DataFrame, protocol: Protocol, key: str | None = None, mode: st
         first = out.where("severity = 'error' and present").agg(F.min("phase")).first()[0]
         out = out if first is None else out.where(F.col("phase") <= first)
     return out
+
+
+def with_patient_id(df: DataFrame, order: list[str] | None = None, images: bool = False) -> tuple[DataFrame, bool]:
+    """(df with a column `Patient ID`, whether one was made up): E101 if none is found and images need it.
+
+    The usual names are recognised; else ids count from 1 in `order`, or by the hash of
+    the row.
+    """
+    from caresieve.operators.etl import new_ids
+    from caresieve.operators.spec import PATIENT_ID, id_column
+
+    if found := id_column(df.columns):
+        return df.withColumnRenamed(found, PATIENT_ID), False
+    if images:
+        raise ValueError("E101: there is no patient id, and images can't be matched without one")
+    keyed = df if order else df.withColumn("__h", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    return new_ids(keyed, order or ["__h"], 0, PATIENT_ID).drop("__h"), True
+
+
+def patient_total(patients: DataFrame, expected: int) -> DataFrame:
+    """E007: n, expected, present: whether the list's size isn't the configured one."""
+    n = patients.agg(F.count(F.lit(1)).alias("n"))
+    return n.select("n", F.lit(expected).cast("long").alias("expected"), (F.col("n") != expected).alias("present"))
+
+
+def patients_list(clinical: DataFrame, images: DataFrame, genomics: DataFrame, key: str) -> DataFrame:
+    """(key, clinical, image, genomic): every patient of any modality, with a flag for each."""
+    parts = [d.select(F.col(key), *[F.lit(int(i == k)).alias(n) for i, n in enumerate(("clinical", "image", "genomic"))]) for k, d in enumerate((clinical, images, genomics))]
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return every.groupBy(key).agg(*[F.max(n).alias(n) for n in ("clinical", "image", "genomic")])
+
+
+def ground_truth_checks(df: DataFrame, variable: Variable) -> DataFrame:
+    """W902 or W903 of the ground truth: (code, n, present); imbalanced levels, or a variability out of bounds."""
+    from caresieve.functions.predicates import predicate
+
+    if variable.kind == "continuous":
+        cv = variability(df, [variable.name], sample=True)
+        bad = F.lit(False)
+        for p in variable.variability:
+            bad = bad | ~predicate(p, F.col("cv"))
+        return cv.select(F.lit("W903").alias("code"), F.lit(None).cast("long").alias("n"), bad.alias("present"))
+    found = imbalance(df, variable.name, variable.cardinality or len(variable.levels), variable.unbalance[0] if variable.unbalance else "<100%")
+    n = F.count_if("flagged")
+    return found.agg(n.alias("n")).select(F.lit("W902").alias("code"), "n", (F.col("n") > 0).alias("present"))
+
+
+def run_resumed(done: int, phases: list[tuple[int, str]]) -> list[tuple[int, str]]:
+    """The phases after the last one that ended well."""
+    return [p for p in sorted(phases) if p[0] > done]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,46 @@ REFERENCES = (
 BY_PERSON = ("person", "visit_occurrence", "procedure_occurrence", "measurement", "observation", "condition_occurrence", "observation_period")
 
 
+#: Column types of PostgreSQL scripts, as Spark has them; arrays are of their element's type.
+POSTGRES_TYPES = {
+    "integer": "int", "int": "int", "serial": "int", "bigint": "bigint", "bigserial": "bigint", "smallint": "smallint", "numeric": "double", "real": "float", "float": "double",
+    "varchar": "string", "char": "string", "text": "string", "date": "date", "timestamp": "timestamp", "bit": "boolean", "boolean": "boolean", "jsonb": "string",
+}
+
+
+def parse_ddl(script: str) -> dict[str, str]:
+    """Tables of a PostgreSQL script, in the notation of TABLES; comments and constraints are left out.
+
+    So a model of any size is created from its own script instead of a copy of it.
+    """
+    text = re.sub(r"/\*.*?\*/", " ", re.sub(r"--[^\n]*", " ", script), flags=re.DOTALL)
+    out = {}
+    for m in re.finditer(r"create\s+table\s+(?:if\s+not\s+exists\s+)?([\w.\"]+)\s*\((.*?)\)\s*;", text, flags=re.IGNORECASE | re.DOTALL):
+        columns = []
+        for part in re.split(r",(?![^(]*\))", m[2]):
+            words = part.split()
+            if len(words) < 2 or words[0].lower() in ("constraint", "primary", "foreign", "unique", "check"):
+                continue
+            kind = POSTGRES_TYPES.get(re.match(r"\w+", words[1])[0].lower(), "string")
+            kind = f"array<{kind}>" if re.search(r"\barray\b|\[\s*\]", part, re.IGNORECASE) else kind
+            columns.append(f"{words[0].strip(chr(34)).lower()} {kind}" + "!" * bool(re.search(r"\bnot\s+null\b|\bserial|\bbigserial", part, re.IGNORECASE)))
+        out[m[1].replace('"', "").split(".")[-1].lower()] = ", ".join(columns)
+    return out
+
+
+def distribution_keys(script: str) -> dict[str, str]:
+    """Table -> key of the script's distribution hints; `random` where it asks for none."""
+    found = re.findall(r"--\s*HINT\s+DISTRIBUTE[_ ]ON[_ ](KEY\s*\(\s*(\w+)\s*\)|RANDOM)\s*\n\s*create\s+table\s+([\w.\"]+)", script, flags=re.IGNORECASE)
+    return {name.replace('"', "").split(".")[-1].lower(): (key or "random").lower() for _, key, name in found}
+
+
+def relax(table: str, drop_not_null: list[str] | None = None, extra: str = "") -> str:
+    """The table's columns with some allowed to be null, and further ones: what ALTER TABLE would do."""
+    columns = [c.strip() for c in TABLES[table].split(",")]
+    columns = [c.rstrip("!") if c.split()[0] in (drop_not_null or []) else c for c in columns]
+    return ", ".join([*columns, *([extra] if extra else [])])
+
+
 def ddl(table: str) -> str:
     """A schema string that Spark reads."""
     return ", ".join(c.strip().rstrip("!") + (" not null" if c.strip().endswith("!") else "") for c in TABLES[table].split(","))

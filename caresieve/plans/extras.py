@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from caresieve.functions import text
-from caresieve.operators import profile
+from caresieve.operators import etl, images, prepare, profile, quality
 from caresieve.plans.register import registrar
 from caresieve.sources import sinks
 from caresieve.sources.tables import table
@@ -101,3 +101,106 @@ def ext_intersect(spark, sf):
 @query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
 def ext_except(spark, sf):
     return table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).subtract(table(spark, sf, "orders").select("o_custkey"))
+
+
+@query("SELECT count(*) AS n, CAST(1000 AS BIGINT) AS expected, count(*) <> 1000 AS present FROM customer")
+def dq_patient_total(spark, sf):
+    return quality.patient_total(table(spark, sf, "customer"), 1000)
+
+
+@query("SELECT k, CAST(max(c) AS INTEGER) AS clinical, CAST(max(i) AS INTEGER) AS image, CAST(max(g) AS INTEGER) AS genomic FROM (SELECT o_custkey AS k, 1 AS c, 0 AS i, 0 AS g FROM orders UNION ALL SELECT user_id, 0, 1, 0 FROM events UNION ALL SELECT c_custkey, 0, 0, 1 FROM customer WHERE c_acctbal > 0) GROUP BY k")
+def dq_patients_list(spark, sf):
+    t = lambda n: table(spark, sf, n)
+    return quality.patients_list(t("orders").select(F.col("o_custkey").alias("k")), t("events").select(F.col("user_id").alias("k")), t("customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("k")), "k")
+
+
+@query(
+    """WITH o AS (SELECT o_orderkey, row_number() OVER (ORDER BY md5('7:' || o_orderkey), o_orderkey) AS r, count(*) OVER () AS n FROM orders),
+a AS (SELECT o_orderkey, r <= floor(n * 0.4) AS rest FROM o), b AS (SELECT o_orderkey, row_number() OVER (ORDER BY md5('8:' || o_orderkey), o_orderkey) AS r, count(*) OVER () AS n FROM a WHERE rest)
+SELECT o_orderkey, 'train' AS split FROM a WHERE NOT rest UNION ALL SELECT o_orderkey, CASE WHEN r <= floor(n * 0.5) THEN 'test' ELSE 'validation' END FROM b"""
+)
+def prep_nested_split(spark, sf):
+    return prepare.nested_split(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 7, 0.6, 0.5)
+
+
+@query("SELECT l_orderkey AS k, CAST(count(*) FILTER (WHERE l_returnflag = 'A') AS BIGINT) AS n_right, CAST(count(*) FILTER (WHERE l_returnflag <> 'A') AS BIGINT) AS n_wrong FROM lineitem GROUP BY 1 HAVING n_wrong > 0 OR n_right < 1 OR n_right > 2")
+def structure_file_counts(spark, sf):
+    rows = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), F.concat(F.lit("f."), F.col("l_returnflag")).alias("name"))
+    return images.file_count_faults(rows, ["k"], "name", ".a", 1, 2)
+
+
+@query(
+    """WITH p AS (SELECT DISTINCT o_custkey AS k FROM orders), n AS (SELECT p.k, count(c_mktsegment) AS n, count(*) FILTER (WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')) AS bad FROM p LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 <> 0) ON k = c_custkey GROUP BY p.k)
+SELECT 'E2301' AS code, k FROM n WHERE n <> 1 UNION ALL SELECT 'E2302', k FROM n WHERE bad > 0"""
+)
+def structure_patient_labels(spark, sf):
+    labels = table(spark, sf, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("label"))
+    return images.patient_label_faults(labels, table(spark, sf, "orders").select(F.col("o_custkey").alias("k")), "k", "label", ["BUILDING", "MACHINERY"])
+
+
+@query(
+    """WITH s AS (SELECT l_orderkey AS k, l_linenumber AS i, l_extendedprice AS z FROM lineitem), m AS (SELECT k, i, CASE WHEN k % 9 = 0 THEN z + 1 ELSE z END AS z FROM s),
+a AS (SELECT k, round(z, 5) AS z, row_number() OVER (PARTITION BY k ORDER BY z) AS p FROM s), b AS (SELECT k, round(z, 5) AS z, row_number() OVER (PARTITION BY k ORDER BY z) AS p FROM m)
+SELECT DISTINCT a.k FROM a JOIN b ON a.k = b.k AND a.p = b.p WHERE abs(a.z - b.z) > 0.0001"""
+)
+def structure_slice_positions(spark, sf):
+    s = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_extendedprice").alias("z"))
+    return images.position_faults(s, s.withColumn("z", F.when(F.col("k") % 9 == 0, F.col("z") + 1).otherwise(F.col("z"))), ["k"], "z")
+
+
+@query(
+    """WITH l AS (SELECT l_orderkey AS k, l_linenumber AS name, l_returnflag AS label FROM lineitem WHERE l_linenumber <= 5), s AS (SELECT l_orderkey AS k, l_linenumber AS name FROM lineitem WHERE l_linenumber <> 3),
+a AS (SELECT k, count(*) AS n, count(*) FILTER (WHERE label NOT IN ('A', 'N')) AS bad FROM l GROUP BY k), b AS (SELECT k, count(*) AS m FROM s GROUP BY k), u AS (SELECT DISTINCT k FROM l WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.k = l.k AND s.name = l.name))
+SELECT 'E2203' AS code, a.k FROM a LEFT JOIN b ON a.k = b.k WHERE n IS DISTINCT FROM m UNION ALL SELECT 'E2204', k FROM u UNION ALL SELECT 'E2205', k FROM a WHERE bad > 0"""
+)
+def structure_slice_labels(spark, sf):
+    rows = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("name"), F.col("l_returnflag").alias("label"))
+    return images.slice_label_faults(rows.where("name <= 5"), rows.where("name <> 3").drop("label"), ["k"], "name", "label", ["A", "N"])
+
+
+@query("SELECT o_custkey AS person, 500 + row_number() OVER (ORDER BY o_custkey, o_orderkey, 'f' || o_orderkey) AS genomic_result_id, 'f' || o_orderkey AS filename FROM orders WHERE o_orderkey % 7 = 0")
+def etl_genomic_rows(spark, sf):
+    o = table(spark, sf, "orders").where("o_orderkey % 7 = 0").select(F.col("o_orderkey").alias("sample"), F.col("o_custkey").alias("person"))
+    files = o.select("sample", F.concat(F.lit("f"), F.col("sample")).alias("path"))
+    return etl.genomic_rows(files, o, "person", "sample", 500).select("person", "genomic_result_id", "filename")
+
+
+@query(
+    """WITH f AS (SELECT l_orderkey AS procedure_occurrence_id, string_agg('f' || l_linenumber, ',' ORDER BY 'f' || l_linenumber) AS files, string_agg('m' || l_linenumber, ',' ORDER BY 'm' || l_linenumber) FILTER (WHERE l_linenumber > 3) AS masks FROM lineitem GROUP BY 1)
+SELECT row_number() OVER (ORDER BY procedure_occurrence_id) AS image_occurrence_id, procedure_occurrence_id, files, masks FROM f"""
+)
+def etl_image_rows(spark, sf):
+    rows = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("s"), "l_linenumber")
+    files = rows.select("s", F.concat(F.lit("f"), F.col("l_linenumber")).alias("path"))
+    masks = rows.where("l_linenumber > 3").select("s", F.concat(F.lit("m"), F.col("l_linenumber")).alias("path"))
+    procedures = rows.select("s").distinct().withColumn("procedure_occurrence_id", F.col("s"))
+    out = etl.image_rows(files, masks, procedures, ["s"])
+    return out.select("image_occurrence_id", "procedure_occurrence_id", F.array_join("filename", ",").alias("files"), F.array_join("mask_filename", ",").alias("masks"))
+
+
+@query("SELECT vec_id, round(list_sum(y), 4) + 0.0 AS total, round(y[1], 4) + 0.0 AS first FROM (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE) * CASE WHEN vec_id % 2 = 0 THEN 1 ELSE 0 END) AS y FROM embeddings)")
+def tensor_masked(spark, sf):
+    e = table(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("pixels"))
+    e = e.withColumn("mask", F.transform("pixels", lambda v: F.when(F.col("vec_id") % 2 == 0, 255).otherwise(0)))
+    out = images.masked(e)
+    return out.select("vec_id", (F.round(F.aggregate("pixels", F.lit(0.0), lambda a, v: a + v), 4) + 0.0).alias("total"), (F.round(F.element_at("pixels", 1), 4) + 0.0).alias("first"))  # no -0
+
+
+@query("SELECT vec_id, round(embedding[8], 5) AS first, round(embedding[57], 5) AS last FROM embeddings")
+def tensor_reorient(spark, sf):
+    e = table(spark, sf, "embeddings").select("vec_id", F.lit(8).alias("h"), F.lit(8).alias("w"), F.col("embedding").alias("pixels"), F.lit("r").alias("flips"))
+    out = images.to_lps(e)
+    return out.select("vec_id", F.round(F.element_at("pixels", 1), 5).alias("first"), F.round(F.element_at("pixels", 64), 5).alias("last"))
+
+
+@query()
+def tensor_knee_clip(spark, sf):
+    e = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("pixels"))
+    return images.knee_clip(e).select("vec_id", F.round(F.array_max("pixels"), 6).alias("top"))
+
+
+@query()
+def mask_replicate_windows(spark, sf):
+    e = table(spark, sf, "embeddings").select(F.lit("s").alias("series"), (F.col("vec_id") % 4).alias("segment"), F.floor(F.col("vec_id") / 4).alias("slice"), F.transform("embedding", lambda v: (v > 0.1).cast("int")).alias("pixels"))
+    copy = e.where("segment = 1").withColumn("segment", F.lit(9))
+    return images.mask_replicates(e.unionByName(copy), ["series"], "segment", "slice").select("n", F.array_join(F.transform("masks", lambda x: x.cast("string")), ",").alias("masks"))
