@@ -10,7 +10,7 @@ from caresieve.llm.common import cut, null_safe_key, pick
 SHARDS = 16
 SEED = "shard-1"
 #: Rows are ranked in buckets of about this many, at most MAX_BUCKETS of them.
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 512
 MAX_BUCKETS = 1 << 16
 
 
