@@ -17,7 +17,7 @@ CODES = 4 + len(SIGNS)
 HIDDEN = 16
 NEVER = -1e4
 
-TRAIN_LENGTH, BATCH, STEPS, RATE, SEED = 64, 96, 320, 0.012, 7
+TRAIN_LENGTH, TEXTS, BATCH, STEPS, RATE, SEED = 64, 4096, 96, 320, 0.012, 7
 
 
 @lru_cache(maxsize=1)
@@ -51,11 +51,6 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
-def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis=axis, keepdims=True)
-    return np.log(np.exp(x - top).sum(axis=axis)) + top.squeeze(axis)
-
-
 class Tagger:
     """Parameters; axis 0 of those of the LSTM is the direction."""
 
@@ -82,73 +77,80 @@ class Tagger:
     def emissions(self, ids: np.ndarray, keep: list | None = None) -> np.ndarray:
         """(N, T, TAGS) scores; keep: gets what the gradients need, step by step."""
         p, (n, length), h_ = self.p, ids.shape, HIDDEN
-        both = np.stack([ids, ids[:, ::-1]])
+        both = np.stack([ids.T, ids.T[::-1]])  # (2, T, N)
+        fed = np.stack([p["wx"][d][both[d]] + p["b"][d] for d in (0, 1)])  # (2, T, N, 4H)
         dtype = p["wx"].dtype
         h, c = np.zeros((2, n, h_), dtype), np.zeros((2, n, h_), dtype)
         hs = np.zeros((2, length, n, h_), dtype)
         for t in range(length):
-            x = both[:, :, t]
-            a = np.stack([p["wx"][d][x[d]] for d in (0, 1)]) + h @ p["wh"] + p["b"][:, None, :]
+            a = fed[:, t] + h @ p["wh"]
             gates, g = _sigmoid(a[..., : 3 * h_]), np.tanh(a[..., 3 * h_ :])
             i, f, o = gates[..., :h_], gates[..., h_ : 2 * h_], gates[..., 2 * h_ :]
             c0 = c
             c = f * c0 + i * g
             tc = np.tanh(c)
             if keep is not None:
-                keep.append((x, h, c0, i, f, o, g, tc))
+                keep.append((h, c0, i, f, o, g, tc))
             h = o * tc
             hs[:, t] = h
         out = np.concatenate([hs[0], hs[1, ::-1]], axis=-1)  # (T, N, 2H)
         if keep is not None:
-            keep.append(out)
+            keep.append((both, out))
         return (out @ p["wo"] + p["bo"]).transpose(1, 0, 2)
 
     def loss(self, ids: np.ndarray, tags: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log-likelihood a character, and its gradients."""
         keep: list = []
         p, (n, length), h_ = self.p, ids.shape, HIDDEN
-        e = self.emissions(ids, keep).astype(np.float64)
-        out = keep.pop()
+        e = self.emissions(ids, keep).astype(np.float64).transpose(1, 0, 2)  # (T, N, TAGS)
+        both, out = keep.pop()
         trans = p["trans"].astype(np.float64) + self.block
-        at = np.arange(n)
-        alpha, beta = np.zeros((length, n, TAGS)), np.zeros((length, n, TAGS))
-        alpha[0] = e[:, 0] + p["first"]
-        for t in range(1, length):
-            alpha[t] = _log_sum(alpha[t - 1][:, :, None] + trans, 1) + e[:, t]
+        rows, places = np.arange(n), np.arange(length)[:, None]
+        y = tags.T  # (T, N)
+        # forward and backward in probabilities, each step scaled to sum 1
+        top = e.max(axis=2, keepdims=True)
+        weight, step = np.exp(e - top), np.exp(trans)
+        alpha, beta, scales = np.zeros_like(e), np.ones_like(e), np.zeros((length, n, 1))
+        for t in range(length):
+            a = np.exp(p["first"].astype(np.float64))[None] * weight[0] if t == 0 else (alpha[t - 1] @ step) * weight[t]
+            scales[t] = a.sum(1, keepdims=True)
+            alpha[t] = a / scales[t]
         for t in range(length - 2, -1, -1):
-            beta[t] = _log_sum(trans + (e[:, t + 1] + beta[t + 1])[:, None, :], 2)
-        log_z = _log_sum(alpha[-1], 1)
-        gold = p["first"][tags[:, 0]] + e[at[:, None], np.arange(length)[None], tags].sum(1) + trans[tags[:, :-1], tags[:, 1:]].sum(1)
+            beta[t] = (weight[t + 1] * beta[t + 1] / scales[t + 1]) @ step.T
+        log_z = np.log(scales[..., 0]).sum(0) + top[..., 0].sum(0)
+        gold = p["first"][y[0]] + e[places, rows[None], y].sum(0) + trans[y[:-1], y[1:]].sum(0)
         scale = 1 / (n * length)
         mean = float((log_z - gold).sum() * scale)
 
-        marginal = np.exp(alpha + beta - log_z[None, :, None])  # (T, N, TAGS)
-        de = marginal.copy()
-        de[np.arange(length)[:, None], at[None], tags.T] -= 1
+        de = alpha * beta  # marginals
+        de[places, rows[None], y] -= 1
         g = {"first": de[0].sum(0) * scale}
-        pair = np.zeros((TAGS, TAGS))
-        for t in range(length - 1):
-            pair += np.exp(alpha[t][:, :, None] + trans + (e[:, t + 1] + beta[t + 1])[:, None, :] - log_z[:, None, None]).sum(0)
-        np.subtract.at(pair, (tags[:, :-1].ravel(), tags[:, 1:].ravel()), 1)
+        ahead = (weight[1:] * beta[1:] / scales[1:]).reshape(-1, TAGS)
+        pair = (alpha[:-1].reshape(-1, TAGS).T @ ahead) * step
+        np.subtract.at(pair, (y[:-1].ravel(), y[1:].ravel()), 1)
         g["trans"] = pair * scale
         de = (de * scale).astype(out.dtype)
         g["wo"] = np.tensordot(out, de, ((0, 1), (0, 1)))
         g["bo"] = de.sum((0, 1))
         dh_all = de @ p["wo"].T  # (T, N, 2H)
         dhs = np.stack([dh_all[..., :h_], dh_all[::-1, :, h_:]])  # in the order in which each direction ran
-        g |= {k: np.zeros_like(p[k]) for k in ("wx", "wh", "b")}
         dh, dc = np.zeros((2, n, h_), out.dtype), np.zeros((2, n, h_), out.dtype)
+        back = p["wh"].transpose(0, 2, 1)
+        da_all = np.zeros((2, length, n, 4 * h_), out.dtype)
         for t in range(length - 1, -1, -1):
-            x, h0, c0, i, f, o, gg, tc = keep[t]
+            _, c0, i, f, o, gg, tc = keep[t]
             dh = dh + dhs[:, t]
             dc = dc + dh * o * (1 - tc**2)
             da = np.concatenate([dc * gg * i * (1 - i), dc * c0 * f * (1 - f), dh * tc * o * (1 - o), dc * i * (1 - gg**2)], axis=-1)
-            for d in (0, 1):
-                np.add.at(g["wx"][d], x[d], da[d])
-            g["wh"] += h0.transpose(0, 2, 1) @ da
-            g["b"] += da.sum(1)
-            dh = da @ p["wh"].transpose(0, 2, 1)
+            da_all[:, t] = da
+            dh = da @ back
             dc = dc * f
+        flat = da_all.reshape(2, -1, 4 * h_)
+        before = np.stack([k[0] for k in keep], axis=1).reshape(2, -1, h_)
+        g["wh"] = before.transpose(0, 2, 1) @ flat
+        g["b"] = flat.sum(1)
+        seen = np.eye(CODES, dtype=out.dtype)[both.reshape(2, -1)]
+        g["wx"] = seen.transpose(0, 2, 1) @ flat
         return mean, g
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
@@ -248,14 +250,16 @@ def labelled(rng: np.random.Generator, length: int = TRAIN_LENGTH) -> tuple[str,
 
 
 def train(seed: int = SEED, steps: int = STEPS) -> Tagger:
-    """Adam over fresh batches of labelled texts; the same tagger for the same seed."""
+    """Adam over batches of TEXTS labelled texts; the same tagger for the same seed."""
     rng = np.random.default_rng(seed)
+    made = [labelled(rng) for _ in range(TEXTS)]
+    ids, tags = codes([t for t, _ in made], TRAIN_LENGTH), np.stack([y for _, y in made])
     tagger = Tagger(seed)
     m = {k: np.zeros(s) for k, s in Tagger.SHAPES.items()}
     v = {k: np.zeros(s) for k, s in Tagger.SHAPES.items()}
     for t in range(1, steps + 1):
-        texts, tags = zip(*(labelled(rng) for _ in range(BATCH)))
-        _, g = tagger.loss(codes(list(texts), TRAIN_LENGTH), np.stack(tags))
+        some = rng.choice(TEXTS, BATCH, replace=False)
+        _, g = tagger.loss(ids[some], tags[some])
         norm = np.sqrt(sum(float((x.astype(np.float64) ** 2).sum()) for x in g.values()))
         rate = RATE * (0.5 + 0.5 * np.cos(np.pi * t / steps))
         shrink = min(1.0, 0.25 / (norm + 1e-9))
