@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caresieve.llm import mixing, quality
+from caresieve.llm import mixing, quality, sharding
 
 _STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
 
@@ -57,6 +57,18 @@ r AS (SELECT *, first_value(doc_id) OVER (PARTITION BY t ORDER BY n DESC, doc_id
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM r
 """
 
+# CRC-32 from its own 256-entry table, a byte at a time
+_OP5 = rf"""
+WITH bits AS (SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda a, i: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END, CAST(b AS BIGINT))) AS t),
+d AS (SELECT doc_id, coalesce('=' || source, '-') AS stratum, hex(encode(coalesce(text, ''))) AS h, md5('{sharding.SEED}:=' || doc_id) AS key FROM documents),
+c AS (SELECT doc_id, stratum, key, len(h) // 2 + 1 AS size, list_transform(range(1, len(h) + 1, 2), lambda i: CAST('0x' || h[i:i+1] AS BIGINT)) AS bs, t FROM d, bits),
+e AS (SELECT doc_id, stratum, key, size, xor(list_reduce(bs, lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS crc FROM c),
+r AS (SELECT *, (row_number() OVER (PARTITION BY stratum ORDER BY key, doc_id, size, crc) - 1 + CAST('0x' || substr(md5('{sharding.SEED}:' || stratum), 1, 13) AS BIGINT) / 4503599627370496.0) / count(*) OVER (PARTITION BY stratum) AS share FROM e),
+g AS (SELECT *, row_number() OVER (ORDER BY share, key, doc_id, size, crc) - 1 AS pos, count(*) OVER () AS n FROM r),
+s AS (SELECT *, CAST(pos * {sharding.SHARDS} // n AS INTEGER) AS shard FROM g)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'rows' AS law, shard, CAST(pos - (shard * n + {sharding.SHARDS - 1}) // {sharding.SHARDS} AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s
+"""
+
 _OP7 = f"""
 WITH s AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 r AS (SELECT source, (SELECT sum(n) FROM s) * pow(n, {mixing.TEMPERATURE}) / (SELECT sum(pow(n, {mixing.TEMPERATURE})) FROM s) / n AS rate FROM s),
@@ -73,5 +85,6 @@ ORACLE = {
     "op1_quality_rules": _OP1.replace("{rules}", ", ".join(_rule(r) for r in quality.RULES)),
     "op3_line_dedup": _OP3,
     "op4_exact_dedup": _OP4,
+    "op5_sharding": _OP5,
     "op7_source_mixing": _OP7,
 }
