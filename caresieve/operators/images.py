@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 
 from caresieve.functions import arrays as A
 
-CUBE = 2  # axes of a row-major slice
-
 
 def orientation(cosines: Column) -> Column:
     """Axial, Sagittal, Coronal or Unknown by the largest part of the normal of row and column cosines."""

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caresieve.functions.dates import malformed
-from caresieve.functions.predicates import violates_any
+from caresieve.functions.predicates import predicate, violates_any
 from caresieve.operators.spec import Protocol, Variable
 
 #: Phases in which the codes are checked.
@@ -235,8 +235,6 @@ def validate(df: DataFrame, protocol: Protocol, key: str | None = None, mode: st
         if v.name in df.columns:
             found = level_conformance(df, v, protocol.missing).groupBy("code").agg(F.count(F.lit(1)).alias("levels"))
             parts.append(found.select(F.lit(PHASES["E501"]).alias("phase"), "code", F.when(F.col("code") == "E501", "error").otherwise("warning").alias("severity"), F.lit(v.name).alias("variable"), F.lit(1).cast("long").alias("n"), F.lit(True).alias("present")))
-    from caresieve.functions.predicates import predicate
-
     for v in protocol.of_kind("continuous"):
         if v.variability and v.name in df.columns:
             cv = variability(df, [v.name], protocol.missing if not isinstance(protocol.missing, str) else None)
@@ -288,8 +286,6 @@ def patients_list(clinical: DataFrame, images: DataFrame, genomics: DataFrame, k
 
 def ground_truth_checks(df: DataFrame, variable: Variable) -> DataFrame:
     """W902 or W903 of the ground truth: (code, n, present); imbalanced levels, or a variability out of bounds."""
-    from caresieve.functions.predicates import predicate
-
     if variable.kind == "continuous":
         cv = variability(df, [variable.name], sample=True)
         bad = F.lit(False)

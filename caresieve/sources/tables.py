@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caresieve.session import ship
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; any store that Spark's readers open."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def measurements_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -356,3 +356,29 @@ def test_mask_operators(spark):
     assert rows(images.shape_faults(shapes, ["k"])) == [("p", 2)]
     turned = images.to_lps(spark.createDataFrame([(2, 2, [1, 2, 3, 4], "ra")], "h int, w int, pixels array<int>, flips string")).first().pixels
     assert turned == [4, 3, 2, 1]
+
+
+def test_one_vector_has_no_replicates(spark):
+    one = spark.createDataFrame([(1, [1.0, 2.0, 3.0])], "k int, x array<double>")
+    assert replicates.close_pairs(one, "k", "x").count() == 0 and replicates.replicate_groups(one, "k", "x").count() == 0
+
+
+def test_angles_count_below_the_threshold(spark):
+    df = spark.createDataFrame([([1.0, 0.0], [1.0, 0.0]), ([1.0, 0.0], [0.0, 1.0])], "a array<double>, b array<double>")
+    assert images.within_angle(df, "a", "b", 45).first().share == 0.5
+    assert images.within_angle(df, "a", "b", 90.1).first().share == 1.0
+
+
+def test_imbalance_counts_rows_without_a_level(spark):
+    df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2 + [(None,)] * 3, "g string")
+    got = {r.level: (r.n, round(r.gap, 6), r.flagged) for r in quality.imbalance(df, "g", 2, "<30%").collect()}
+    assert got == {"a": (5, 0.0, False), "b": (2, 60.0, True)}
+
+
+def test_results_merge_and_summary(spark):
+    old = spark.createDataFrame([(4, "W401", "warning", "x", 1, True), (1, "E101", "error", None, 1, True)], quality.RESULT)
+    new = spark.createDataFrame([(4, "W401", "warning", "x", 3, True), (7, "W701", "warning", None, 0, False)], quality.RESULT)
+    both = quality.merge_results(old, new)
+    assert quality.total_warnings(both).first().n_warnings == 3
+    assert rows(quality.summarise(both, {"W401": "varies"}).select("code", "description", "n"), "code") == [("E101", None, None), ("W401", "varies", 3)]
+    assert [r.line for r in sinks.report(both).collect()] == ["phase 1: error E101 (1)", "phase 4: warning W401 (3)"]
