@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caresieve.operators.skew import cut, salted_join
+from caresieve.session import ship
 
-__all__ = ["SPACES", "arrow_map", "cut", "documents", "null_safe_key", "pick", "salted_join", "sha256_hex", "slots"]
+__all__ = ["SPACES", "arrow_map", "cut", "documents", "null_safe_key", "others", "pick", "quoted", "salted_join", "sha256_hex", "slots"]
 
 #: The white space of all contracts, as one string.
 SPACES = " \t\n\x0b\x0c\r"
@@ -19,8 +19,6 @@ SPACES = " \t\n\x0b\x0c\r"
 #: Arrow batches to and from Python workers hold about this many bytes at most.
 BATCH_BYTES = 4 << 20
 
-PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents table of a data folder."""
@@ -32,6 +30,17 @@ def pick(df: DataFrame, **names: str) -> DataFrame:
     return df.select(*[df[old].alias(new) for new, old in names.items()])
 
 
+def others(df: DataFrame, added: Iterable[str]) -> list[str]:
+    """df's column names but for those that an operator adds, in any case of letters."""
+    own = {a.lower() for a in added}
+    return [c for c in df.columns if c.lower() not in own]
+
+
+def quoted(names: Iterable[str]) -> list[Column]:
+    """Columns by name, whatever signs the names hold."""
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names]
+
+
 def arrow_map(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow whose Python workers can import this package, also if it isn't installed.
 
@@ -41,9 +50,9 @@ def arrow_map(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iter
     conf = df.sparkSession.conf
     if not 0 < _bytes(conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= BATCH_BYTES:
         conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    env = df.sparkSession.sparkContext.environment
-    if PACKAGE_ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (PACKAGE_ROOT, env.get("PYTHONPATH", "")) if x)
+    ship(df.sparkSession)
+    if any("." in c or "`" in c for c in df.columns):  # names that mapInArrow can't resolve; functions go by place there
+        df = df.toDF(*[f"__c{i}" if "." in c or "`" in c else c for i, c in enumerate(df.columns)])
     return df.mapInArrow(function, schema)
 
 

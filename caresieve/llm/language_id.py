@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caresieve.llm.common import arrow_map, pick
+from caresieve.llm.common import arrow_map, others, pick, quoted
 
 #: Letter trigrams are hashed to 2 ** FEATURE_BITS features.
 FEATURE_BITS = 15
@@ -154,7 +154,7 @@ def annotate(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     keep their places: there is no shuffle and no join.
     """
     added = {"lang_pred": "string", "score": "double", "languages": "map<string,double>"}
-    docs = docs.select(*[c for c in docs.columns if c not in added])
+    docs = docs.select(*quoted(others(docs, added)))
     at = docs.columns.index(text_col)
     names = [*docs.columns, *added]
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.log_p))

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caresieve.llm.common import arrow_map, cut, salted_join, slots
+from caresieve.llm.common import arrow_map, cut, others, quoted, salted_join, slots
 
 MIN_CHARS = 10
 #: A filter has one 64-bit word per 8 lines, rounded up to a power of two, up to
@@ -146,8 +146,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Documents in which no line is suspected pass without a shuffle.
     """
-    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    docs = docs.select(*names)
+    names = others(docs, ("n_lines", "n_dropped"))
+    docs = docs.select(*quoted(names))
     core = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     n = core.agg(F.sum(F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"))) + 1)).first()[0] or 0
     words = MIN_WORDS
@@ -199,8 +199,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 columns = out.columns
                 columns[at] = pa.array(kept, out.schema.field(at).type)
                 columns += [pa.array([t.count("\n") + 1 for t in kept], pa.int64()), pa.array([0] * len(kept), pa.int64())]
-                out = pa.RecordBatch.from_arrays(columns, [*out.schema.names, "n_lines", "n_dropped"])
-            yield out
+                yield pa.RecordBatch.from_arrays(columns, [*names, "n_lines", "n_dropped"])
+            else:
+                yield pa.RecordBatch.from_arrays(out.columns, names)
 
     def drop(batches):
         for batch in batches:
@@ -224,5 +225,5 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sure = arrow_map(docs, clean, schema)
     rest = arrow_map(docs, doubtful, ", ".join(kept_fields))
     # the lists are the side that is held; texts stream past them unsorted
-    rest = rest.join(lost.hint("shuffle_hash"), rest[id_col] == lost["__id"], "left").select(*[rest[c] for c in names], "__lost")
+    rest = rest.join(lost.hint("shuffle_hash"), rest[id_col] == lost["__id"], "left").select(*quoted(names), "__lost")
     return sure.unionByName(arrow_map(rest, drop, schema))

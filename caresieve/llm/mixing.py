@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caresieve.llm.common import null_safe_key
+from caresieve.llm.common import cut, null_safe_key, others, quoted
 
 SEED = "mix-1"
 #: Sources get weights in proportion to their document count to this power.
@@ -53,10 +53,9 @@ def rates(docs: DataFrame, source_col: str = "source", weights: dict[str, float]
     else:
         named = F.create_map(*[F.lit(x) for k, v in weights.items() for x in ("-" if k is None else f"={k}", float(v))])
         share = F.coalesce(F.try_element_at(named, F.col("stratum")), F.lit(0.0))
-    counts = counts.withColumn("share", share)
-    total = counts.agg(F.sum("n_source").alias("n_all"), F.sum("share").alias("share_all"))
-    both = counts.crossJoin(F.broadcast(total))  # the other side is one row
-    return both.select("stratum", "n_source", (F.lit(float(epochs)) * F.col("n_all") * F.col("share") / F.col("share_all") / F.col("n_source")).alias("rate"))
+    counts = cut(counts.withColumn("share", share))  # a row a source, read again below
+    total = counts.agg(F.sum("n_source").alias("n_all"), F.sum("share").alias("share_all")).first()
+    return counts.select("stratum", "n_source", (F.lit(float(epochs)) * F.lit(total.n_all) * F.col("share") / F.lit(total.share_all) / F.col("n_source")).alias("rate"))
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, epochs: float = 1.0, seed: str = SEED, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
@@ -70,14 +69,14 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: f
     sampling itself.
     """
     added = ("copy_no", "n_copies", "mix_key")
-    names = [c for c in docs.columns if c not in added]
+    names = others(docs, added)
     table = rates(docs, source_col, weights, temperature, epochs)
     table = table.select(F.col("stratum").alias("__stratum"), F.col("rate").alias("__rate"))
     few = table.limit(MAX_BROADCAST_SOURCES + 1).count() <= MAX_BROADCAST_SOURCES
-    rows = docs.select(*names).withColumn("__stratum", null_safe_key(F.col(source_col)))
+    rows = docs.select(*quoted(names)).withColumn("__stratum", null_safe_key(F.col(source_col)))
     rows = rows.join(F.broadcast(table) if few else table, "__stratum")
     ident = null_safe_key(F.col(id_col))
     rows = rows.withColumn("n_copies", poisson_inverse(uniform(F.lit(seed), ident), F.col("__rate"))).where("n_copies > 0")
-    rows = rows.select(*names, "n_copies", F.explode(F.sequence(F.lit(1), F.col("n_copies"))).alias("copy_no"))
+    rows = rows.select(*quoted(names), "n_copies", F.explode(F.sequence(F.lit(1), F.col("n_copies"))).alias("copy_no"))
     rows = rows.withColumn("mix_key", uniform(F.lit(seed), F.lit("order"), ident, F.col("copy_no")))
-    return rows.repartitionByRange(F.col("mix_key")).sortWithinPartitions("mix_key").select(*names, *added)
+    return rows.repartitionByRange(F.col("mix_key")).sortWithinPartitions("mix_key").select(*quoted(names), *added)

@@ -3,8 +3,8 @@ import random
 import pytest
 
 #: Names that operators use themselves, so that their presence in the input is tested.
-CLASHING = ["n_lines", "n_dropped", "fp", "shard", "kept", "key", "bucket", "n_copies", "score", "id", "rank"]
-SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"{c} string" for c in CLASHING)
+CLASHING = ["n_lines", "n_dropped", "fp", "shard", "kept", "key", "bucket", "n_copies", "score", "id", "rank", "a.b", "MIX_KEY", "Lang_Pred", "my text"]
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"`{c}` string" for c in CLASHING)
 
 
 def texts():

@@ -196,7 +196,7 @@ def unit(*parts):
 
 def test_mixing(edge, rows, empty):
     out = mixing.mix(edge)
-    assert set(out.columns) == {*edge.columns, "copy_no", "n_copies", "mix_key"}
+    assert {c.lower() for c in out.columns} == {*(c.lower() for c in edge.columns), "copy_no", "n_copies", "mix_key"} and len(out.columns) == len({c.lower() for c in out.columns})
     n = Counter(r[3] for r in rows)
     total = sum(math.sqrt(v) for v in n.values())
     want = Counter()
