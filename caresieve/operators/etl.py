@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caresieve.operators.quality import canonical
+from caresieve.operators.skew import cut
 from caresieve.operators.spec import Variable
 
 #: Concepts of visit kinds, the visit type, and the first free concept id.
@@ -16,14 +17,17 @@ FIRST_OWN_CONCEPT = 200
 KNOWN_CONDITIONS = {"disease_1": 100, "disease_2": 101}
 
 
-def new_ids(df: DataFrame, order: list[str], after: Column | int, out: str, buckets: int = 256) -> DataFrame:
+def new_ids(df: DataFrame, order: list[str], after: Column | int, out: str, buckets: int | None = None) -> DataFrame:
     """df with gapless ids from after + 1 on, in `order`.
 
     One range sort; the offsets of its partitions come from their counts, so the rows
-    never meet in one task.
+    never meet in one task. The sorted rows are checkpointed: range bounds are drawn
+    from a sample, and both uses must see the same ones.
     """
+    buckets = buckets or 4 * df.sparkSession.sparkContext.defaultParallelism
     part = F.spark_partition_id()
-    ordered = df.repartitionByRange(buckets, *order).sortWithinPartitions(*order).withColumn("__part", part).withColumn("__in", F.monotonically_increasing_id() - F.shiftleft(part.cast("long"), 33))
+    ordered = df.repartitionByRange(buckets, *order).sortWithinPartitions(*order)
+    ordered = cut(ordered.withColumn("__part", part).withColumn("__in", F.monotonically_increasing_id() - F.shiftleft(part.cast("long"), 33)))
     counts = ordered.groupBy("__part").agg((F.max("__in") + 1).alias("__m"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__part", F.coalesce(F.sum("__m").over(before), F.lit(0)).alias("__before"))  # at most `buckets` rows

@@ -31,3 +31,24 @@ def test_entry(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).count() == 1
+
+
+def _plan(spark, name):
+    return QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    plan = _plan(spark, "cohort_label_filter")
+    assert "PushedFilters: [In(o_orderpriority" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string,o_orderpriority:string>" in plan
+    assert "l_comment" not in _plan(spark, "fed_local_moments") and "l_tax" not in _plan(spark, "fed_local_moments")
+
+
+def test_row_checks_are_one_aggregation(spark):
+    plan = _plan(spark, "dq_missing_tokens")
+    assert plan.count("Exchange") == 1 and plan.count("FileScan") == 1
+
+
+def test_row_wise_operators_do_not_shuffle(spark):
+    for name in ("etl_measurement_eav", "etl_concept_map", "prep_one_hot", "tensor_minmax_scale", "dq_date_format"):
+        assert "Exchange" not in _plan(spark, name), name
