@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +16,8 @@ TEMPERATURE = 0.5
 MAX_BROADCAST_SOURCES = 100_000
 #: Terms of the distribution that are looked at: mean + SPREAD * sqrt(mean) + FLOOR.
 SPREAD, FLOOR = 12, 24
-#: exp(-rate) must be a normal double.
-MAX_RATE = 700
+#: Up to this mean terms are added from 0 on, as exp(-mean) must be a normal double; over it from SPREAD deviations below the mean.
+FROM_ZERO = 700
 
 
 def uniform(*parts: Column) -> Column:
@@ -23,21 +25,31 @@ def uniform(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+def _log_term(k: Column, mean: Column) -> Column:
+    """ln P(X = k) of a Poisson X near its mean, for large k: Stirling's series, with no difference of large numbers."""
+    k = k.cast("double")
+    return (k - mean) + k * F.log1p((mean - k) / k) - F.log(k * (2 * math.pi)) / 2 - 1 / (12 * k) + 1 / (360 * k * k * k)
+
+
 def poisson_inverse(u: Column, mean: Column) -> Column:
     """The smallest k with P(X <= k) > u, X being Poisson with this mean.
 
-    Terms are added from 0 on; past SPREAD deviations the tail is below any u.
+    Terms are added from 0 on, or, with a mean over FROM_ZERO, from SPREAD deviations
+    below it: what lies below that, as the tail past SPREAD deviations above, is less
+    than the steps of u. So any mean whose draws are ints takes its turn, in a number
+    of steps that grows with the root of a large mean.
     """
-    most = (mean + SPREAD * F.sqrt(mean) + FLOOR).cast("int")
-    zero = F.exp(-mean)
-    start = F.struct(F.lit(0).alias("k"), zero.alias("p"), zero.alias("c"))
+    large, reach = mean > FROM_ZERO, SPREAD * F.sqrt(mean) + FLOOR
+    least = F.when(large, (mean - reach).cast("int")).otherwise(0)
+    most = (mean + reach).cast("int")
+    first = F.exp(F.when(large, _log_term(least, mean)).otherwise(-mean))
+    start = F.struct(least.alias("k"), first.alias("p"), first.alias("c"))
 
     def step(s: Column, i: Column) -> Column:
         p = s["p"] * mean / i
         return F.when(s["c"] > u, s).otherwise(F.struct(i.alias("k"), p.alias("p"), (s["c"] + p).alias("c")))
 
-    drawn = F.aggregate(F.sequence(F.lit(1), most), start, step, lambda s: s["k"])
-    return F.when(mean > MAX_RATE, F.raise_error(F.lit(f"a repetition rate is over {MAX_RATE}")).cast("int")).otherwise(drawn)
+    return F.aggregate(F.sequence(least + 1, most), start, step, lambda s: s["k"])
 
 
 def rates(docs: DataFrame, source_col: str = "source", weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, epochs: float = 1.0) -> DataFrame:

@@ -233,6 +233,36 @@ def test_poisson_inverse(spark, pairs):
     assert got == [plain_poisson(u, m) for u, m in pairs]
 
 
+def far_poisson(u, mean):
+    """The smallest k with P(X <= k) > u, summed over the terms themselves, largest means included."""
+    k, c = 0, 0.0
+    while True:
+        c += math.exp(k * math.log(mean) - mean - math.lgamma(k + 1))
+        if c > u:
+            return k
+        k += 1
+
+
+def test_poisson_inverse_of_large_means(spark):
+    pairs = [(u, m) for m in (699.9, 700.1, 774.6, 837.3, 2500.5, 40_000.25) for u in (1e-9, 0.003, 0.25, 0.5, 0.77, 0.9999)]
+    got = [r[0] for r in spark.createDataFrame(pairs, "u double, m double").select(mixing.poisson_inverse(F.col("u"), F.col("m"))).collect()]
+    assert got == [far_poisson(u, m) for u, m in pairs]
+
+
+def test_large_draws_have_mean_and_variance_of_their_rate(spark):
+    u = mixing.uniform(F.lit("t"), F.col("id").cast("string"))
+    r = spark.range(4000, numPartitions=8).select(mixing.poisson_inverse(u, F.lit(5e3)).alias("k")).agg(F.avg("k").alias("m"), F.var_samp("k").alias("v")).first()
+    assert abs(r.m - 5e3) < 5 * math.sqrt(5e3 / 4000) and abs(r.v / 5e3 - 1) < 5 * math.sqrt(2 / 4000)
+
+
+def test_a_rare_source_is_repeated_as_often_as_its_rate_says(spark):
+    df = spark.createDataFrame([(1, "a")] + [(i, "b") for i in range(2, 2000)], "doc_id bigint, source string")
+    out = mixing.mix(df, weights={"a": 1, "b": 1}).collect()
+    want = far_poisson(unit(mixing.SEED, "=1"), 1999 / 2)
+    assert sorted(r.copy_no for r in out if r.source == "a") == list(range(1, want + 1))
+    assert {r.doc_id: r.n_copies for r in out if r.source == "b"} == {i: k for i in range(2, 2000) if (k := plain_poisson(unit(mixing.SEED, f"={i}"), 1999 / 2 / 1998))}
+
+
 # ---- SimHash
 
 
