@@ -175,6 +175,17 @@ def annotate(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     return arrow_map(docs, run, ", ".join([*fields, *[f"{k} {v}" for k, v in added.items()]]))
 
 
+def lettered(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose text has a letter, by annotate's own rule, whatever was learned."""
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array([any(map(str.isalpha, t or "")) for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return arrow_map(docs, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields))
+
+
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id and what annotate adds."""
     return annotate(pick(docs, doc_id=id_col, text=text_col), model).drop("text")

@@ -14,8 +14,13 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents whose language can be told: those without a letter are rejected."""
+    """The documents whose language can be told: those without a letter are rejected.
+
+    Where no label is there to learn from, all others pass, though no language is known.
+    """
     model = language_id.train(docs.where(~language_id.held_out(F.col("doc_id"))))
+    if not model.languages:
+        return language_id.lettered(docs.select(*COLUMNS))
     marked = language_id.annotate(docs.select(*COLUMNS), model)
     return marked.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*COLUMNS)
 

@@ -387,6 +387,18 @@ def test_pipeline(spark, tmp_path, rows, edge):
     assert sorted(map(str, whole.select("doc_id", "ids_sha256").collect())) == sorted(str(r) for r in now.select("doc_id", "ids_sha256").collect())
 
 
+def test_pipeline_passes_lettered_texts_of_an_unlabelled_corpus(spark, tmp_path, rows, edge):
+    import corpus_pipeline as cp
+
+    letters = Counter(r[0] for r in rows if any(c.isalpha() for c in r[1] or ""))
+    for lang in (F.lit(None).cast("string"), F.when(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, "en")):  # no label; labels on held-out ids only
+        docs = edge.withColumn("lang", lang).select(*cp.COLUMNS)
+        out = cp.known_language(spark, docs, "")
+        assert out.columns == cp.COLUMNS and Counter(r.doc_id for r in out.collect()) == letters
+    edge.withColumn("lang", F.lit(None).cast("string")).select(*cp.COLUMNS).write.parquet(str(tmp_path / "documents.parquet"))
+    assert cp.run(spark, str(tmp_path)).count() > 0
+
+
 def test_each_operator_has_one_query():
     import __spark_entry__ as entry
 
