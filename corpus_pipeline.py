@@ -32,9 +32,17 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near copies."""
-    gone = simhash.near_dedup(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each group of near copies: of the smallest id, a null id being the last.
+
+    Rows are told apart by a number of their own, so groups without any id and
+    repeated rows of an id are cut to one row too. Of several rows of the smallest
+    id the text of the least hash stays.
+    """
+    rows = cut(docs.select(*COLUMNS).withColumn("__row", F.monotonically_increasing_id()))  # the numbers are used twice
+    found = simhash.near_dedup(rows, id_col="__row").select(F.col("doc_id").alias("__row"), "component_id")
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64("text").alias("hash"), "__row")
+    best = found.join(rows.select("__row", rank.alias("rank")), "__row").groupBy("component_id").agg(F.min("rank").alias("rank"))
+    return rows.join(best.select(F.col("rank.__row").alias("__row")), "__row", "left_semi").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

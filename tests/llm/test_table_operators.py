@@ -399,6 +399,19 @@ def test_pipeline_passes_lettered_texts_of_an_unlabelled_corpus(spark, tmp_path,
     assert cp.run(spark, str(tmp_path)).count() > 0
 
 
+def test_pipeline_keeps_one_row_of_each_group_of_near_copies(spark):
+    import corpus_pipeline as cp
+
+    a, b, c, d = (" ".join(f"{x}{i * i % 97}" for i in range(60)) for x in "abcd")
+    fps = [plain_fingerprint(t) for t in (a, b, c, d)]
+    assert all((x ^ y).bit_count() > 3 for i, x in enumerate(fps) for y in fps[:i])
+    given = [(None, a)] * 3 + [(None, b)] * 2 + [(7, c)] * 3 + [(9, c), (None, c)] + [(7, d), (3, d), (8, d)]  # id 7 is in two groups
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in given], "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(4)
+    out = cp.drop_near_copies(spark, docs, "")
+    assert out.columns == cp.COLUMNS
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter([(None, a), (None, b), (7, c), (3, d)])
+
+
 def test_each_operator_has_one_query():
     import __spark_entry__ as entry
 
