@@ -164,7 +164,9 @@ def severity_grades(texts: list[str], toxic: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Ordinal:
     """The model of a bounded sample of the labelled documents (MAX_LABELLED, MAX_CHARS).
 
-    A document with several labels has their largest; null labels, texts and ids
+    Texts are taken in hash order of their ids; one that no longer fits is skipped.
+    A document with several labels has their largest, one with several rows the
+    shortest text (of these, that of the least hash); null labels, texts and ids
     teach nothing.
     """
     known = pick(labels, doc_id=id_col, toxic=label_col).where("doc_id is not null and toxic is not null")
@@ -175,12 +177,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     spark = docs.sparkSession
     chosen["place"] = range(len(chosen))
     held = pick(docs, doc_id=id_col, text=text_col).where("text is not null")
-    held = held.join(F.broadcast(spark.createDataFrame(chosen)), "doc_id")  # at most MAX_LABELLED rows
-    sizes = held.select("place", F.length("text").alias("n")).toPandas().sort_values("place")
-    last = sizes["place"][sizes["n"].cumsum() <= MAX_CHARS].max() if len(sizes) else None
-    if last is None or last != last:
+    held = held.join(F.broadcast(spark.createDataFrame(chosen)), "doc_id").withColumn("n", F.length("text")).withColumn("hash", F.xxhash64("text"))
+    sizes = held.groupBy("place").agg(F.min(F.struct("n", "hash")).alias("least")).select("place", "least.n", "least.hash").toPandas()  # at most MAX_LABELLED rows
+    taken, free = [], MAX_CHARS
+    for row in sizes.sort_values("place").itertuples(index=False):
+        if row.n <= free:
+            taken.append((int(row.place), int(row.n), int(row.hash)))
+            free -= row.n
+    if not taken:
         return fit_ordinal([], np.zeros(0, np.int64))
-    rows = held.where(F.col("place") <= int(last)).select("place", "text", "toxic").toPandas().sort_values(["place", "text"])
+    picked = F.broadcast(spark.createDataFrame(taken, "place bigint, n int, hash bigint"))
+    rows = held.join(picked, ["place", "n", "hash"], "left_semi").groupBy("place").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    rows = rows.toPandas().sort_values("place")
     texts = rows["text"].tolist()
     return fit_ordinal(texts, severity_grades(texts, rows["toxic"].to_numpy() > 0))
 

@@ -319,3 +319,26 @@ def test_toxicity_over_tables(spark, edge, empty, rows):
     assert toxicity.score(empty, model).count() == 0
     nothing = toxicity.train(docs, labels.limit(0))
     assert toxicity.score(docs, nothing).where("toxic").count() == 0
+
+
+def test_toxicity_sample_skips_what_does_not_fit(spark, monkeypatch):
+    texts, toxic = toxic_corpus()
+    labels = spark.createDataFrame([(i, int(t)) for i, t in enumerate(toxic)], "doc_id bigint, toxic int")
+    first = labels.orderBy(F.xxhash64("doc_id"), "doc_id").first().doc_id
+    seen = []
+    real = toxicity.fit_ordinal
+    monkeypatch.setattr(toxicity, "fit_ordinal", lambda t, g: (seen.append(t), real(t, g))[1])
+    monkeypatch.setattr(toxicity, "MAX_CHARS", sum(map(len, texts)))
+    docs = spark.createDataFrame([(i, "x " * 10**6 if i == first else t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    model = toxicity.train(docs, labels)
+    assert sorted(seen[-1]) == sorted(t for i, t in enumerate(texts) if i != first) and model.weights
+
+
+def test_toxicity_takes_one_row_of_an_id(spark, monkeypatch):
+    texts, toxic = toxic_corpus(80)
+    labels = spark.createDataFrame([(i, int(t)) for i, t in enumerate(toxic)], "doc_id bigint, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_ordinal", lambda t, g: seen.append(t))
+    docs = spark.createDataFrame([*enumerate(texts), *[(3, texts[3])] * 500, (4, texts[4] + " longer")], "doc_id bigint, text string")
+    toxicity.train(docs.repartition(4), labels)
+    assert sorted(seen[-1]) == sorted(texts)
