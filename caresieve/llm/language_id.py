@@ -18,8 +18,6 @@ MAX_LANGUAGES = 256
 SMOOTHING = 0.5
 #: Neighbouring trigrams share letters, so a text has about a third as many independent ones.
 OVERLAP = 3.0
-#: A language joins the set only with at least this proportion of the text.
-LEAST_SHARE = 0.1
 EM_ROUNDS = 25
 #: Code points that are looked at at once, so a text of any length needs bounded memory.
 CHUNK = 1 << 20
@@ -89,11 +87,17 @@ class Model:
             slope = (p / (share @ p[chosen])) @ n - n.sum()
             tries = [i for i in np.argsort(-slope).tolist() if slope[i] > price and i not in chosen]
             found = [(self._fit(p[[*chosen, i]], n), i) for i in tries]
-            found = [(v, s, i) for (s, v), i in found if v - value > price and s.min() >= LEAST_SHARE]
+            found = [(v, s, i) for (s, v), i in found if v - value > price]
             if not found:
                 break
             value, share, i = max(found, key=lambda x: x[0])
             chosen.append(i)
+            while len(chosen) > 2:  # a member that the new one replaces no longer pays
+                rest = [x for x in chosen if x != chosen[int(np.argmin(share))]]
+                s, v = self._fit(p[rest], n)
+                if value - v > price:
+                    break
+                chosen, share, value = rest, s, v
         return dict(zip(chosen, share.tolist()))
 
     def predict(self, text: str | None) -> tuple[str, float, list[tuple[str, float]]]:

@@ -259,6 +259,25 @@ def test_mixtures(spark):
     assert sum(model.proportions(at, n.astype(float)).values()) == pytest.approx(1)
 
 
+def test_small_shares_join_the_set():
+    rng = np.random.default_rng(3)
+    words = [["".join(rng.choice(list(letters), 5)) for _ in range(40)] for letters in ("abcdefgh", "efghijkl", "ijklmnop", "mnopqrst", "qrstuvwx", "uvwxyzab", "acegikmo", "bdfhjlnp", "cgkosw", "dhlptx", "eimquy")]
+    counts = np.zeros((len(words), 1 << language_id.FEATURE_BITS))
+    for i, w in enumerate(words):
+        at, n, _ = language_id.trigram_counts(" ".join(w * 20))
+        counts[i, at] = n
+    model = language_id.Model([str(i) for i in range(len(words))], counts)
+
+    def text(i, n):
+        return " ".join(rng.choice(words[i], n))
+
+    found = dict(model.predict(text(0, 1900) + " " + text(3, 100))[2])
+    assert set(found) == {"0", "3"} and 0.03 < found["3"] < 0.07
+    found = dict(model.predict(" ".join(text(i, 200) for i in range(11)))[2])
+    assert len(found) == 11 and all(0.06 < v < 0.12 for v in found.values())
+    assert [x for x, _ in model.predict(text(5, 2000))[2]] == ["5"]
+
+
 def test_language_edges(edge, empty, rows, spark):
     got = language_id.language_id(edge)
     assert got.count() == len(rows)
