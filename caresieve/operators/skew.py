@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,33 +12,52 @@ from pyspark.sql import functions as F
 #: Keys with over max(HOT_ROWS, all / HOT_KEYS) rows are salted, so there are at most HOT_KEYS of them.
 HOT_ROWS = 4096
 HOT_KEYS = 100_000
-SALTS = 32
 
 
 def cut(df: DataFrame) -> DataFrame:
     """df written to the cluster's shared checkpoint folder, without its lineage.
 
-    The folder is the session's spark.checkpoint.dir; only where that is unset
-    (tests) one is made. Spark removes the files when the result is collected.
+    The folder is the session's spark.checkpoint.dir. Only a session in one process
+    (tests) may have none and gets one of its own; on a cluster, whose executors
+    don't share local folders, that is an error. The files are removed when the
+    plan that reads them is no longer held by anything and has been collected.
     """
     sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="caresieve-ckpt-"))
+    sc._conf.set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")  # asked for at each checkpoint, so in force from now on
+    if sc.getCheckpointDir() is None:
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared and not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="caresieve-ckpt-"))
     return df.checkpoint(eager=True)
 
 
 def salted_join(rows: DataFrame, facts: DataFrame, keys: list[str], count: str, salt_by: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Inner join of rows to facts, which holds one row a key and, in `count`, how many rows have it.
 
-    The list of hot keys is bounded by HOT_KEYS, so it may be broadcast. Each hot key
-    is dealt over SALTS tasks by the hash of `salt_by`, and its fact is copied to
-    each; other keys are joined as they are. facts is read three times: materialise
-    it first.
+    The list of hot keys is bounded by HOT_KEYS, so it may be broadcast: keys must be
+    of bounded size (hashes, numbers, ids). A hot key of n rows is dealt over
+    n / limit tasks by the hash of `salt_by`, and its fact is copied to each; other
+    keys are joined as they are. Null keys meet nothing. facts is read three times:
+    materialise it first.
     """
     total = facts.agg(F.sum(count)).first()[0] or 0
     limit = max(hot_rows, total // HOT_KEYS)
-    hot = facts.where(F.col(count) > limit).select(*keys, F.lit(True).alias("__hot"))
-    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(F.col(salt_by)), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
-    left = rows.join(F.broadcast(hot), keys, "left").withColumn("__salt", salt).drop("__hot")
-    fan = F.when(F.col(count) > limit, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    return left.join(facts.withColumn("__salt", F.explode(fan)), [*keys, "__salt"], "inner").drop("__salt")
+    salts, salt = free_names([*rows.columns, *facts.columns], "salts", "salt")
+    shares = F.ceil(F.col(count) / limit).cast("int")
+    hot = facts.where(F.col(count) > limit).select(*keys, shares.alias(salts))
+    left = rows.join(F.broadcast(hot), keys, "left")
+    left = left.withColumn(salt, F.coalesce(F.pmod(F.xxhash64(F.col(salt_by)), F.col(salts)).cast("int"), F.lit(0))).drop(salts)
+    fan = F.when(F.col(count) > limit, F.sequence(F.lit(0), shares - 1)).otherwise(F.array(F.lit(0)))
+    return left.join(facts.withColumn(salt, F.explode(fan)), [*keys, salt], "inner").drop(salt)
+
+
+def free_names(taken: Iterable[str], *wanted: str) -> list[str]:
+    """Column names like the wanted ones that none of the taken ones clashes with, in any case of letters."""
+    used, out = {t.lower() for t in taken}, []
+    for name in wanted:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
