@@ -8,10 +8,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caresieve.operators.skew import cut, salted_join
+from caresieve.operators.skew import cut, free_names, salted_join
 from caresieve.session import ship
 
-__all__ = ["SPACES", "arrow_map", "cut", "documents", "null_safe_key", "others", "pick", "quoted", "salted_join", "sha256_hex", "slots"]
+__all__ = ["SPACES", "arrow_map", "cut", "documents", "free_names", "null_safe_key", "others", "pick", "quoted", "salted_join", "sha256_hex", "slots"]
 
 #: The white space of all contracts, as one string.
 SPACES = " \t\n\x0b\x0c\r"

@@ -105,7 +105,7 @@ def plain_exact(rows):
 
 def test_exact_dedup(edge, rows, empty):
     out = exact_dedup.exact_dedup(edge)
-    assert sorted(map(tuple, out.drop("bucket").collect()), key=KEY) == sorted(plain_exact(rows), key=KEY)
+    assert sorted(map(tuple, out.drop("bucket", "chain").collect()), key=KEY) == sorted(plain_exact(rows), key=KEY)
     assert "Python" not in plan(out) and "Arrow" not in plan(out)
     assert exact_dedup.exact_dedup(empty).count() == 0
     first = out.where("kept").groupBy("text_sha256").count().where("count <> 1").count()
@@ -125,6 +125,68 @@ def test_a_group_of_a_third_of_all_rows(spark):
     assert out.select("bucket").distinct().count() > 16
 
 
+def few_hashes(norm):
+    """A bad hash: three values for all texts, at either end of the range and in the middle."""
+    return F.element_at(F.array(*[F.lit(x).cast("long") for x in (7, -1, 1 << 62)]), F.length(norm) % 3 + 1)
+
+
+@pytest.mark.parametrize("hash_of", [few_hashes, lambda norm: F.lit(5).cast("long")])
+def test_texts_of_one_hash_are_told_apart_by_their_bytes(edge, rows, hash_of, monkeypatch):
+    for many in (256, 1):  # the second: every hash of two rows is merged before it goes to its owner
+        monkeypatch.setattr(exact_dedup, "HOT_COPIES", many)
+        out = exact_dedup.exact_dedup(edge, hash_of=hash_of)
+        assert sorted(map(tuple, out.drop("bucket", "chain").collect()), key=KEY) == sorted(plain_exact(rows), key=KEY)
+        assert out.agg(F.max("chain")).first()[0] > 5
+
+
+def test_index_entries_lie_in_their_buckets(spark, edge):
+    entries, index = exact_dedup.build_index(edge, capacity=2)
+    assert index.groupBy("bucket", "h", "chain").count().where("count > 1").count() == 0
+    assert index.select("bucket").distinct().count() > 5
+    assert index.select("bucket", "h").distinct().count() == index.select("h").distinct().count()
+    assert entries.join(index, ["bucket", "h", "sha"]).count() == edge.count() == index.agg(F.sum("group_size")).first()[0]
+    order = [r.h for r in index.orderBy("bucket", "h").collect()]
+    assert order == sorted(order, key=lambda h: h % (1 << 64))  # buckets are ranges of the hash
+
+
+def test_the_directory_routes(edge, rows, monkeypatch):
+    """Texts whose cells the directory doesn't know have no owner and no group."""
+    real = exact_dedup._owners
+    monkeypatch.setattr(exact_dedup, "_owners", lambda *a: real(*a)[::2])
+    assert exact_dedup.exact_dedup(edge, capacity=1).count() < len(rows)
+
+
+def test_a_row_that_is_a_third_of_all(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 == 0, "one  text").otherwise(F.col("id").cast("string")).alias("text"))
+    out = exact_dedup.exact_dedup(df).cache()
+    assert out.count() == 20_000 and out.where("kept").count() == 13_334
+    assert out.where("doc_id = 7 and text_sha256 = sha2('onetext', 256)").agg(F.sum(F.col("kept").cast("int"))).first()[0] == 1
+
+
+def test_checkpoints_are_removed_when_nothing_reads_them(spark, tmp_path):
+    import gc
+    import os
+    import time
+
+    sc = spark.sparkContext
+    before = sc.getCheckpointDir()
+    sc.setCheckpointDir(str(tmp_path / "ckpt"))
+    try:
+        held = common.cut(spark.range(1000))
+        exact_dedup.exact_dedup(spark.range(1000).selectExpr("id doc_id", "string(id % 9) text")).write.parquet(str(tmp_path / "out"))
+        left = 9
+        for _ in range(60):
+            gc.collect()
+            spark._jvm.System.gc()
+            left = sum(name.startswith("rdd-") for _, dirs, _ in os.walk(tmp_path / "ckpt") for name in dirs)
+            if left == 1:
+                break
+            time.sleep(0.5)
+        assert left == 1 and held.count() == 1000  # what is still held stays
+    finally:
+        sc.setCheckpointDir(before.removeprefix("file:") if before else str(tmp_path / "later"))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(0, 63), st.integers(1, 50), max_size=40), st.integers(1, 60))
 def test_directory_doubling(counts, capacity):
