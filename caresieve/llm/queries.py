@@ -30,7 +30,7 @@ def op3_line_dedup(spark, sf):
 
 def op4_exact_dedup(spark, sf):
     """Every document with the row of its equals that stays."""
-    return exact_dedup.exact_dedup(documents(spark, sf)).drop("bucket")
+    return exact_dedup.exact_dedup(documents(spark, sf)).drop("bucket", "chain")
 
 
 def op5_sharding(spark, sf):
