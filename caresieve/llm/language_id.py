@@ -25,29 +25,34 @@ UNDETERMINED = "und"
 
 
 @lru_cache(maxsize=1)
-def _letters() -> np.ndarray:
-    """Whether each code point is a letter."""
-    return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+def _lowered() -> np.ndarray:
+    """Of each code point its lower case, or a space if it isn't a letter.
+
+    By the sign alone, without regard to its neighbours, so that a text may be cut
+    anywhere; of a lower case of several signs the first is taken.
+    """
+    points = (ord(chr(i).lower()[0]) if chr(i).isalpha() else 32 for i in range(0x110000))
+    return np.fromiter(points, np.uint32, 0x110000)
 
 
 def trigram_counts(text: str) -> tuple[np.ndarray, np.ndarray, bool]:
-    """(features, their counts, whether there is a letter) of a text; what isn't a letter is a space."""
+    """(features, their counts, whether there is a letter) of a text; what isn't a letter is a space.
+
+    A trigram counts by its middle letter. Chunks overlap by the neighbours of their
+    ends, so any size of chunk gives the same counts.
+    """
     total = np.zeros(1 << FEATURE_BITS, np.int64)
-    any_letter = False
-    for s in range(0, max(1, len(text)), CHUNK):
-        part = text[max(0, s - 2) : s + CHUNK].lower()
-        points = np.frombuffer(f" {part} ".encode("utf-32-le", "surrogatepass"), "<u4")
-        is_letter = _letters()[points]
-        if not is_letter.any():
-            continue
-        any_letter = True
-        x = np.where(is_letter, points, 32).astype(np.uint32)
+    for s in range(0, len(text), CHUNK):
+        part = text[max(0, s - 1) : s + CHUNK + 1]
+        points = _lowered()[np.frombuffer(part.encode("utf-32-le", "surrogatepass"), "<u4")]
+        x = np.concatenate([points[:0] if s else np.full(1, 32, np.uint32), points, points[:0] if s + CHUNK < len(text) else np.full(1, 32, np.uint32)])
+        middle = x[1:-1] != 32
         h = x[:-2] * np.uint32(0x9E3779B1) + x[1:-1] * np.uint32(0x85EBCA77) + x[2:] * np.uint32(0xC2B2AE3D)
         h ^= h >> np.uint32(15)
         h *= np.uint32(0x2C1B3C6D)
-        total += np.bincount((h >> np.uint32(32 - FEATURE_BITS))[is_letter[1:-1]], minlength=len(total))
+        total += np.bincount((h >> np.uint32(32 - FEATURE_BITS))[middle], minlength=len(total))
     at = np.flatnonzero(total)
-    return at, total[at], any_letter
+    return at, total[at], len(at) > 0
 
 
 class Model:
@@ -121,9 +126,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
-    """The model of all labelled rows of docs.
+    """The model of all labelled rows of docs: those with a text and a language.
 
-    Tasks count their features by language; only these counts are shuffled, and the
+    Repeated rows count as often as they come, whole texts whatever their length; other
+    columns aren't read. Without labelled rows the model knows no language. Tasks count their features by language; only these counts are shuffled, and the
     sums, at most MAX_LANGUAGES x 2 ** FEATURE_BITS, come to the driver.
     """
 
@@ -154,8 +160,9 @@ def annotate(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     """docs with lang_pred, score (0 to 1) and languages (map of proportions), which replace columns of these names.
 
     Reads the whole text and nothing else of a row. lang_pred is `und`, with score 0,
-    where the text is null or has no letter, or where nothing was learned. Rows
-    keep their places: there is no shuffle and no join.
+    where the text is null or has no letter, or where nothing was learned. Of equal
+    proportions the language that sorts first is taken. Repeated rows give repeated
+    rows, an empty table none. Rows keep their places: there is no shuffle and no join.
     """
     added = {"lang_pred": "string", "score": "double", "languages": "map<string,double>"}
     docs = docs.select(*quoted(others(docs, added)))
@@ -180,7 +187,7 @@ def annotate(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
 
 def lettered(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of docs whose text has a letter, by annotate's own rule, whatever was learned."""
+    """The rows of docs whose text has a letter, by annotate's own rule, whatever was learned; null text has none."""
     at = docs.columns.index(text_col)
 
     def run(batches):
@@ -196,7 +203,11 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Learns from the labelled rows that aren't held out and predicts every row; adds held_out."""
+    """Learns from the labelled rows that aren't held out and predicts every row; adds held_out.
+
+    One row per row of docs: doc_id, lang_pred, score, languages, held_out (false for
+    a null id, which teaches nothing either). Edge cases as in train and annotate.
+    """
     model = train(docs.where(~held_out(F.col(id_col))), text_col, lang_col)
     out = identify(docs, model, id_col, text_col)
     return out.withColumn("held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)))
