@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caresieve.llm.common import cut, null_safe_key, others, quoted
+from caresieve.llm.common import cut, free_names, null_safe_key, others, quoted, salted_join
 
 SEED = "mix-1"
 #: Sources get weights in proportion to their document count to this power.
@@ -75,20 +75,28 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: f
 
     All columns return, with copy_no (from 1), n_copies, and mix_key, the random
     number by which rows are ordered over all output partitions; they replace
-    columns of these names. Draws depend on seed and id alone, so a rerun or a
-    lost task repeats them, and rows of equal id get equal draws. Null source is a
-    source of its own. A rate under 1 leaves some documents out: that is the
-    sampling itself.
+    columns of these names, and no other name clashes. Draws depend on seed and id
+    alone, so a rerun or a lost task repeats them, and rows of equal id (a null id is
+    one) get equal draws. Null source is a source of its own; texts, null, empty or
+    very long, are carried and not read. A rate under 1 leaves some documents out:
+    that is the sampling itself. An empty table gives no rows.
+
+    The order is uniform in [0, 1), so rows go straight to the partition of their
+    part of it; no sample is taken to find bounds.
     """
     added = ("copy_no", "n_copies", "mix_key")
     names = others(docs, added)
-    table = rates(docs, source_col, weights, temperature, epochs)
-    table = table.select(F.col("stratum").alias("__stratum"), F.col("rate").alias("__rate"))
-    few = table.limit(MAX_BROADCAST_SOURCES + 1).count() <= MAX_BROADCAST_SOURCES
-    rows = docs.select(*quoted(names)).withColumn("__stratum", null_safe_key(F.col(source_col)))
-    rows = rows.join(F.broadcast(table) if few else table, "__stratum")
-    ident = null_safe_key(F.col(id_col))
-    rows = rows.withColumn("n_copies", poisson_inverse(uniform(F.lit(seed), ident), F.col("__rate"))).where("n_copies > 0")
-    rows = rows.select(*quoted(names), "n_copies", F.explode(F.sequence(F.lit(1), F.col("n_copies"))).alias("copy_no"))
-    rows = rows.withColumn("mix_key", uniform(F.lit(seed), F.lit("order"), ident, F.col("copy_no")))
-    return rows.repartitionByRange(F.col("mix_key")).sortWithinPartitions("mix_key").select(*quoted(names), *added)
+    stratum, rate, ident, part = free_names([*names, *added], "stratum", "rate", "ident", "part")
+    table = cut(rates(docs, source_col, weights, temperature, epochs).withColumnsRenamed({"stratum": stratum, "rate": rate}))
+    rows = docs.select(*quoted(names), null_safe_key(F.col(source_col)).alias(stratum), null_safe_key(F.col(id_col)).alias(ident))
+    if table.limit(MAX_BROADCAST_SOURCES + 1).count() <= MAX_BROADCAST_SOURCES:
+        rows = rows.join(F.broadcast(table.select(stratum, rate)), stratum)
+    else:
+        n_source = free_names(rows.columns, "n_source")[0]
+        rows = salted_join(rows, table.withColumnRenamed("n_source", n_source), [stratum], n_source, ident)
+    rows = rows.withColumn("n_copies", poisson_inverse(uniform(F.lit(seed), F.col(ident)), F.col(rate))).where("n_copies > 0")
+    rows = rows.select(*quoted(names), ident, "n_copies", F.explode(F.sequence(F.lit(1), F.col("n_copies"))).alias("copy_no"))
+    rows = rows.withColumn("mix_key", uniform(F.lit(seed), F.lit("order"), F.col(ident), F.col("copy_no")))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.withColumn(part, F.floor(F.col("mix_key") * parts).cast("int")).repartitionById(parts, F.col(part))
+    return rows.sortWithinPartitions("mix_key").select(*quoted(names), *added)
