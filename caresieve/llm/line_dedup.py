@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caresieve.llm.common import arrow_map, cut, others, quoted, salted_join, slots
+from caresieve.llm.common import arrow_map, cut, free_names, others, quoted, salted_join, slots
 
 MIN_CHARS = 10
 #: A filter has one 64-bit word per 8 lines, rounded up to a power of two, up to
@@ -18,6 +18,8 @@ MIN_WORDS, MAX_WORDS = 1 << 13, 1 << 24
 #: Filters go between tasks in segments of this many words, FAN of them to a task.
 SEGMENT_WORDS = 1 << 13
 FAN = 32
+#: Text bytes that one task fills its filters from, where the cluster's slots don't ask for less.
+FILL_BYTES = 4 << 30
 
 
 def line_keys(text: str) -> list[bytes | None]:
@@ -80,14 +82,14 @@ def _distinct(text: str) -> list[bytes]:
     return list(keys)
 
 
-def _filters(docs: DataFrame, words: int) -> np.ndarray:
+def _filters(docs: DataFrame, words: int, size: int = 0) -> np.ndarray:
     """The twice filter over all documents.
 
-    Each of a bounded number of tasks fills its own pair of filters. Pairs merge
-    segment by segment, FAN at a time: a bit of `twice` is one that either had
+    Each of a bounded number of tasks fills its own pair of filters, from FILL_BYTES
+    of text at most, size being the bytes of all. Pairs merge segment by segment, FAN at a time: a bit of `twice` is one that either had
     there or both had in `once`.
     """
-    tasks = 2 * slots(docs)
+    tasks = max(2 * slots(docs), -(-size // FILL_BYTES))
 
     def fill(batches):
         from pyspark import TaskContext
@@ -141,19 +143,23 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keys of MIN_CHARS code points or more. A key of two or more documents keeps its
     lines, however many, in the document of the smallest id alone. All columns
     return, the text shortened, with n_lines (before) and n_dropped, which replace
-    columns of these names. Null and empty text are one empty line; the text is
-    then empty. Rows of equal id are one document; rows without an id lose nothing.
+    columns of these names; no other name clashes. Null and empty text are one empty
+    line; the text is then empty. Texts and lines may be of any length. Rows of equal
+    id are one document, repeated rows stay; rows without an id lose nothing. An empty
+    table gives no rows.
 
-    Documents in which no line is suspected pass without a shuffle.
+    Documents in which no line is suspected pass without a shuffle. Joins on lines go
+    by a 128-bit hash, with the bytes compared after it.
     """
     names = others(docs, ("n_lines", "n_dropped"))
     docs = docs.select(*quoted(names))
     core = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    n = core.agg(F.sum(F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"))) + 1)).first()[0] or 0
+    held = F.octet_length("text")
+    n, size = (x or 0 for x in core.agg(F.sum(held - F.octet_length(F.replace(F.col("text"), F.lit("\n"))) + 1), F.sum(held)).first())
     words = MIN_WORDS
     while words < min(max_words, n / LINES_PER_WORD):
         words *= 2
-    twice = docs.sparkSession.sparkContext.broadcast(_filters(core, words).tobytes())
+    twice = docs.sparkSession.sparkContext.broadcast(_filters(core, words, size).tobytes())
     id_type = dict(docs.dtypes)[id_col]
 
     def probe(batches):
@@ -165,13 +171,16 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             hit = np.flatnonzero(suspected(bits, _hashes(keys)))
             for s in range(0, len(hit), 50_000):
                 part = hit[s : s + 50_000]
-                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row[part])), pa.array([keys[i] for i in part], pa.binary())], ["id", "key"])
+                some = [keys[i] for i in part]
+                digests = pa.array([xxhash.xxh3_128_digest(k) for k in some], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row[part])), digests, pa.array(some, pa.binary())], ["id", "hash", "key"])
 
-    suspects = cut(arrow_map(core, probe, f"id {id_type}, key binary"))
-    repeats = suspects.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n_rows"))
-    repeats = cut(repeats.where("first < last").drop("last"))
-    lost = salted_join(suspects, repeats, ["key"], "n_rows", "id").where("id > first")
-    lost = lost.groupBy("id").agg(F.collect_set("key").alias("__lost")).withColumnRenamed("id", "__id")
+    suspects = cut(arrow_map(core, probe, f"id {id_type}, hash binary, key binary"))
+    repeats = suspects.groupBy("hash", "key").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n_rows"))
+    repeats = cut(repeats.where("first < last").drop("last").withColumnRenamed("key", "same"))
+    lost = salted_join(suspects, repeats, ["hash"], "n_rows", "id").where("id > first and key = same")
+    lost_id, lost_keys = free_names(docs.columns, "lost_id", "lost_keys")
+    lost = lost.groupBy("id").agg(F.collect_set("key").alias(lost_keys)).withColumnRenamed("id", lost_id)
 
     kept_fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
     schema = ", ".join([*kept_fields, "n_lines bigint", "n_dropped bigint"])
@@ -224,6 +233,6 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     sure = arrow_map(docs, clean, schema)
     rest = arrow_map(docs, doubtful, ", ".join(kept_fields))
-    # the lists are the side that is held; texts stream past them unsorted
-    rest = rest.join(lost.hint("shuffle_hash"), rest[id_col] == lost["__id"], "left").select(*quoted(names), "__lost")
+    # both sides are sorted and may spill; rows of an id that is very often repeated are split by the adaptive join
+    rest = rest.join(lost.hint("merge"), rest[id_col] == lost[lost_id], "left").select(*quoted(names), lost_keys)
     return sure.unionByName(arrow_map(rest, drop, schema))
