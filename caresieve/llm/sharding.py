@@ -12,6 +12,8 @@ SEED = "shard-1"
 #: Rows are ranked in buckets of about this many, at most MAX_BUCKETS of them.
 BUCKET_ROWS = 512
 MAX_BUCKETS = 1 << 16
+#: A bucket of over so many times its share (rows of one id, which have one hash) is dealt into parts of that size.
+CROWD = 8
 
 
 def _unit(key: Column) -> Column:
@@ -29,14 +31,14 @@ def interleave(docs: DataFrame, shards: int = SHARDS, seed: str = SEED, id_col:
     slot counts from 0 in each shard. size is the UTF-8 bytes of the text plus 1,
     text_crc32 the CRC-32 of the text; null text counts as empty, null source is a
     source of its own, null ids come first. Rows equal in id are ordered by size
-    and checksum; equal rows may change places. An empty table gives no rows.
+    and checksum, or, where they are very many, by a number of their own; equal rows
+    may change places. Whole texts of any length are read, once; other columns
+    aren't. An empty table gives no rows.
 
     No rank needs all rows of a source, or all rows, in one task: hash buckets are
     ranked apart, and small tables of their counts give the offsets.
     """
     base = pick(docs, doc_id=id_col, text=text_col, source=source_col)
-    n = docs.count()
-    buckets = max(1, min(MAX_BUCKETS, -(-n // BUCKET_ROWS)))
     key = F.md5(F.concat_ws(":", F.lit(seed), null_safe_key(F.col("doc_id"))))
     text = F.coalesce("text", F.lit(""))
     base = base.select(
@@ -46,15 +48,24 @@ def interleave(docs: DataFrame, shards: int = SHARDS, seed: str = SEED, id_col:
         F.crc32(text).alias("text_crc32"),
         null_safe_key(F.col("source")).alias("stratum"),
         key.alias("key"),
-    ).withColumn("bucket", F.floor(_unit(F.col("key")) * buckets).cast("int"))
+        F.monotonically_increasing_id().alias("row"),
+    )
+    base = cut(base)  # rows of fixed size, read several times
+    n = base.count()
+    buckets = max(1, min(MAX_BUCKETS, -(-n // BUCKET_ROWS)))
+    base = base.withColumn("bucket", F.floor(_unit(F.col("key")) * buckets).cast("int"))
 
     ties = ["key", "doc_id", "size", "text_crc32"]
+    limit = CROWD * max(BUCKET_ROWS, -(-n // buckets))
     counts = base.groupBy("stratum", "bucket").agg(F.count(F.lit(1)).alias("m"))
+    crowds = counts.where(F.col("m") > limit).select("stratum", "bucket", F.ceil(F.col("m") / limit).cast("int").alias("parts"))  # at most MAX_BUCKETS / CROWD
+    base = base.join(F.broadcast(crowds), ["stratum", "bucket"], "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"), F.lit(0)))
+    counts = base.groupBy("stratum", "bucket", "part").agg(F.count(F.lit(1)).alias("m"))
     by_stratum = Window.partitionBy("stratum")
-    earlier = by_stratum.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("stratum", "bucket", F.sum("m").over(by_stratum).alias("n"), F.coalesce(F.sum("m").over(earlier), F.lit(0)).alias("before"))
-    place = F.row_number().over(Window.partitionBy("stratum", "bucket").orderBy(*ties))
-    ranked = base.withColumn("place", place).join(counts, ["stratum", "bucket"])
+    earlier = by_stratum.orderBy("bucket", "part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("stratum", "bucket", "part", F.sum("m").over(by_stratum).alias("n"), F.coalesce(F.sum("m").over(earlier), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("stratum", "bucket", "part").orderBy(*ties))
+    ranked = base.withColumn("place", place).join(counts, ["stratum", "bucket", "part"])
     start = _unit(F.md5(F.concat_ws(":", F.lit(seed), F.col("stratum"))))
     ranked = ranked.withColumn("rank", F.col("before") + F.col("place"))
     ranked = ranked.withColumn("share", (F.col("rank") - 1 + start) / F.col("n"))
