@@ -21,8 +21,10 @@ HASH_SEED = 42
 BLOCKS = 5
 #: Fingerprints that are compared pair by pair in one task; fuller blocks are split.
 FULL_BLOCK = 1 << 14
-#: Split blocks are keyed by all but MAX_BITS of these finer blocks of a fingerprint.
-FINE_BLOCKS = 16
+#: Blocks that a full block's other bits are cut into.
+FINE_BLOCKS = 6
+#: Blocks that are known to be full before they are dealt out: at most so many, so they may be broadcast.
+MAX_CROWDS = 100_000
 #: Shingles whose bits are counted at once.
 COUNT_AT_ONCE = 1 << 14
 
@@ -56,22 +58,35 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, id_col: str = "doc
     return arrow_map(pick(docs, doc_id=id_col, text=text_col), run, f"doc_id {id_type}, fp bigint")
 
 
-def block_masks(blocks: int, free: int, bits: int = 64) -> list[int]:
-    """Masks that keep all but `free` of the blocks: fingerprints that differ in up to `free` bits agree under one."""
-    edges = [round(i * bits / blocks) for i in range(blocks + 1)]
-    block = [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:])]
+def block_masks(blocks: int, free: int, bits: list[int] | None = None) -> list[int]:
+    """Masks that keep all but `free` of the blocks that `bits` (all 64) are cut into.
+
+    Fingerprints that differ in up to `free` of these bits agree under one of them.
+    """
+    bits = list(range(64)) if bits is None else bits
+    edges = [round(i * len(bits) / blocks) for i in range(blocks + 1)]
+    block = [sum(1 << x for x in bits[a:b]) for a, b in zip(edges, edges[1:])]
     return [sum(block[i] for i in keep) for keep in combinations(range(blocks), blocks - free)]
 
 
+def finer_masks(mask: int, blocks: int, free: int) -> list[int]:
+    """Masks that keep this one's bits and all but `free` blocks of the other bits."""
+    rest = [i for i in range(64) if not mask >> i & 1]
+    return [mask | m for m in block_masks(min(blocks, len(rest)), free, rest)] if len(rest) > free else [mask]
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def _keyed(fps: DataFrame, masks: list[int]) -> DataFrame:
-    """A row (t, key, fp) per mask: the fingerprint's bits under it."""
-    table = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(_signed(m)).alias("m")) for t, m in enumerate(masks)])
-    rows = fps.select("fp", F.explode(table).alias("x"))
-    return rows.select(F.col("x.t").alias("t"), F.col("fp").bitwiseAND(F.col("x.m")).alias("key"), "fp")
+def _keyed(fps: DataFrame, masks: dict[int, list[int]]) -> DataFrame:
+    """A row (mask, key, fp) per mask of the row's t: the fingerprint's bits under it.
+
+    fps: fp and t, the mask under which the row came here.
+    """
+    table = F.create_map(*[x for t, ms in masks.items() for x in (F.lit(_signed(t)), F.array(*[F.lit(_signed(m)) for m in ms]))])
+    rows = fps.select("fp", F.explode(F.element_at(table, F.col("t"))).alias("mask"))
+    return rows.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
 
 
 def _tree(fps: np.ndarray, most: int) -> list[tuple[int, int]]:
@@ -90,17 +105,17 @@ def _tree(fps: np.ndarray, most: int) -> list[tuple[int, int]]:
     return out
 
 
-def _runs(batches: Iterator[pa.RecordBatch], full: int) -> Iterator[tuple[bool, np.ndarray]]:
-    """The runs of equal (t, key) in a sorted stream, of two fingerprints or more: (False, all of a run).
+def _runs(batches: Iterator[pa.RecordBatch], full: int) -> Iterator[tuple[int, bool, np.ndarray]]:
+    """The runs of equal (mask, key) in a sorted stream, of two fingerprints or more: (mask, False, all of a run).
 
-    A run of more than `full` comes as parts, each (True, part). Holds one batch
+    A run of more than `full` comes as parts, each (mask, True, part). Holds one batch
     and at most `full` fingerprints.
     """
     key, held, over = None, np.zeros(0, np.int64), False
     for batch in batches:
         if not batch.num_rows:
             continue
-        t, k, fps = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("t", "key", "fp"))
+        t, k, fps = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("mask", "key", "fp"))
         starts = np.concatenate([[0], np.flatnonzero((t[1:] != t[:-1]) | (k[1:] != k[:-1])) + 1])
         ends = np.append(starts[1:], len(fps))
         # most runs are single; those at either end may go on in another batch
@@ -109,51 +124,66 @@ def _runs(batches: Iterator[pa.RecordBatch], full: int) -> Iterator[tuple[bool,
         for s, e in zip(starts[look].tolist(), ends[look].tolist()):
             if (t[s], k[s]) != key:
                 if len(held) > 1:
-                    yield over, held
+                    yield key[0], over, held
                 key, held, over = (t[s], k[s]), np.zeros(0, np.int64), False
             held = np.concatenate([held, fps[s:e]])
+            if not over and len(held) > full:
+                held = np.unique(held)  # one fingerprint may come here from several blocks
             if over or len(held) > full:
-                yield True, held
+                yield key[0], True, held
                 held, over = np.zeros(0, np.int64), True
     if len(held) > 1:
-        yield over, held
+        yield key[0], over, held
 
 
 def _linker(most: int, full: int):
-    """A map from sorted (t, key, fp) to links (a, b); fingerprints of too full runs come as (fp, null)."""
+    """A map from sorted (mask, key, fp) to links (a, b, null); fingerprints of too full runs come as (fp, null, mask)."""
 
     def run(batches):
-        for over, fps in _runs(batches, full):
+        for mask, over, fps in _runs(batches, full):
             if over:
-                yield pa.RecordBatch.from_arrays([pa.array(fps), pa.nulls(len(fps), pa.int64())], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(fps), pa.nulls(len(fps), pa.int64()), pa.array(np.full(len(fps), mask))], ["a", "b", "t"])
             elif links := _tree(fps.view(np.uint64), most):
                 i, j = (np.array(x) for x in zip(*links))
-                yield pa.RecordBatch.from_arrays([pa.array(fps[i]), pa.array(fps[j])], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(fps[i]), pa.array(fps[j]), pa.nulls(len(i), pa.int64())], ["a", "b", "t"])
 
     return run
 
 
-def _blocked(fps: DataFrame, masks: list[int], most: int, full: int) -> DataFrame:
-    """Links and, if any block holds more than `full`, its members as (fp, null)."""
-    rows = _keyed(fps, masks).repartition(F.col("t"), F.col("key")).sortWithinPartitions("t", "key")
-    return arrow_map(rows, _linker(most, full), "a bigint, b bigint")
-
-
 def links(fps: DataFrame, most: int = MAX_BITS, blocks: int = BLOCKS, full: int = FULL_BLOCK) -> DataFrame:
     """Links (a, b) between distinct fingerprints that join the same sets as all pairs within `most` bits.
 
     fps: one column fp, without repeats. Each block's fingerprints are compared in
-    one task, which returns a spanning forest and not the pairs. Members of blocks
-    with more than `full` go to finer blocks instead, in which no more than
-    2 ** (bits left free) different fingerprints can meet, so no task gets more.
+    one task, which returns a spanning forest and not the pairs. A block of more than
+    `full` is split: its members agree on the block's bits, so they are keyed by
+    those and by blocks of the other bits, until the blocks are small or leave so few
+    bits free that no more can meet. Blocks that hold over a hundred-thousandth of all
+    rows are known from counts and split before any task gets them.
     """
-    found = cut(_blocked(fps, block_masks(blocks, most), most, full))
-    plain = found.where("b is not null")
-    crowd = found.where("b is null").select(F.col("a").alias("fp")).distinct()
-    if crowd.isEmpty():
-        return plain
-    finer = _blocked(crowd, block_masks(FINE_BLOCKS, most), most, 1 << (MAX_BITS * 64 // FINE_BLOCKS))
-    return plain.unionByName(finer)
+    out, masks = None, {0: block_masks(blocks, most)}
+    rows = fps.select("fp", F.lit(0).cast("bigint").alias("t"))
+    while True:
+        keyed = _keyed(rows, masks)
+        n, fan = rows.count(), max(map(len, masks.values()))
+        limit = max(full, n * fan // MAX_CROWDS)
+        free = max(64 - m.bit_count() for ms in masks.values() for m in ms)
+        last = free <= max(most, full.bit_length() - 1)  # so few bits that no more can meet
+        apart = None
+        if not last and n > limit:
+            crowds = cut(keyed.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("mask", "key"))
+            apart = keyed.join(F.broadcast(crowds), ["mask", "key"], "left_semi").select(F.col("fp").alias("a"), F.lit(None).cast("bigint").alias("b"), F.col("mask").alias("t"))
+            keyed = keyed.join(F.broadcast(crowds), ["mask", "key"], "left_anti")
+        dealt = keyed.repartition(F.col("mask"), F.col("key")).sortWithinPartitions("mask", "key")
+        found = arrow_map(dealt, _linker(most, 1 << free if last else full), "a bigint, b bigint, t bigint")
+        found = cut(found.unionByName(apart) if apart is not None else found)
+        plain = found.where("b is not null").select("a", "b")
+        out = plain if out is None else out.unionByName(plain)
+        rows = found.where("b is null").select(F.col("a").alias("fp"), "t").distinct()
+        if last or rows.isEmpty():
+            return out
+        rows = cut(rows)
+        split = [r.t & ((1 << 64) - 1) for r in rows.select("t").distinct().collect()]  # masks of this round
+        masks = {t: finer_masks(t, FINE_BLOCKS, most) for t in split}
 
 
 def near_dedup(docs: DataFrame, width: int = SHINGLE_WORDS, most: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -163,8 +193,10 @@ def near_dedup(docs: DataFrame, width: int = SHINGLE_WORDS, most: int = MAX_BITS
     component_id is the smallest id that links reach, itself included, and the
     document of that id is kept. A-Z is lowered; words are split at white space;
     texts with fewer words than a shingle are one shingle. Null text and text
-    without words have fingerprint 0 and are linked like any other. Rows of equal
-    id share a component; a null id never is the smallest unless all are null.
+    without words have fingerprint 0 and are linked like any other. Texts may be of any
+    length. Rows of equal id share a component; a null id never is the smallest unless
+    all are null. Only the two columns are read, so others can't clash. An empty table
+    gives no rows.
 
     Equal fingerprints are one node of the graph, so copies cost one row a task.
     """
