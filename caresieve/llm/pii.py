@@ -13,21 +13,23 @@ from pyspark.sql import DataFrame
 from caresieve.llm.common import arrow_map, pick
 from caresieve.llm.pii_model import KINDS, Tagger, codes, trained
 
-#: Windows of so many code points start every STRIDE; each place lies in two.
-WINDOW, STRIDE = 128, 64
+#: Windows of so many code points start every STRIDE, so neighbours overlap by a quarter.
+WINDOW, STRIDE = 256, 192
+#: A window's span counts if it reaches into the window but for so many places at each end
+#: that isn't the text's own; these inner parts cover the text once.
+EDGE = (WINDOW - STRIDE) // 2
 #: Windows that are tagged at once.
-WINDOWS_AT_ONCE = 1024
+WINDOWS_AT_ONCE = 256
+#: The kinds that the patterns know.
+BASE_KINDS = ("email", "ip", "card", "phone")
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IP = re.compile(r"[0-9][0-9]*\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-#: Every span of the model holds one of these (see `valid`), so a window without
-#: any can't give a span and isn't tagged.
-ANCHOR = re.compile(r"[0-9@]|[(\[{]at[)\]}]", re.IGNORECASE)
 _DIGITS = re.compile(r"[0-9]")
-_PLAIN = re.compile(r"[0-9 ().+/-]+")
+_ANY = re.compile(r"[0-9@]")
 
 
 def luhn(digits: str) -> bool:
@@ -71,28 +73,12 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
 
-def valid(kind: str, text: str, start: int, end: int) -> bool:
-    """What the model may call a span: its kind's signs alone, enough digits, and no letter or digit next to it."""
-    span = text[start:end]
-    if text[start - 1 : start].isalnum() or text[end : end + 1].isalnum():
-        return False
-    if kind != "email" and not _PLAIN.fullmatch(span):
-        return False
-    n = len(_DIGITS.findall(span))
-    if kind == "email":
-        return len(span) >= 6 and ("@" in span[1:] or re.search(r"[(\[{]at[)\]}]", span, re.IGNORECASE) is not None)
+def checked(kind: str, span: str) -> bool:
+    """What the tagger can't see, as all digits are one sign to it: a card's checksum and count, the range of an address's parts."""
     if kind == "ip":
-        parts = re.findall(r"[0-9]+", span)
-        return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
-    if kind == "card":
-        return 13 <= n <= 19 and luhn("".join(_DIGITS.findall(span)))
-    return 7 <= n <= 15
-
-
-def window_starts(text: str) -> list[int]:
-    """Where windows that hold an anchor start."""
-    blocks = {m.start() // STRIDE for m in ANCHOR.finditer(text)} | {(m.end() - 1) // STRIDE for m in ANCHOR.finditer(text)}
-    return [b * STRIDE for b in sorted(blocks | {b - 1 for b in blocks if b})]
+        return all(len(p) <= 3 and int(p) <= 255 for p in re.findall(r"[0-9]+", span))
+    digits = "".join(_DIGITS.findall(span))
+    return kind != "card" or 13 <= len(digits) <= 19 and luhn(digits)
 
 
 def reconcile(found: list[tuple[int, int, str, int]]) -> list[tuple[int, int, str]]:
@@ -116,34 +102,34 @@ def reconcile(found: list[tuple[int, int, str, int]]) -> list[tuple[int, int, st
     return [x[:3] for x in out]
 
 
-def model_spans(tagger: Tagger, texts: list[str], starts: list[list[int]] | None = None) -> list[list[tuple[int, int, str]]]:
-    """The model's spans of each text: windows tagged in groups, then reconciled over the whole text."""
-    starts = [window_starts(t) for t in texts] if starts is None else starts
-    todo = [(i, s) for i, ss in enumerate(starts) for s in ss]
+def model_spans(tagger: Tagger, texts: list[str]) -> list[list[tuple[int, int, str]]]:
+    """The model's spans of each text: all windows tagged in groups, then reconciled over the whole text."""
+    todo = [(i, s) for i, t in enumerate(texts) for s in range(0, max(1, len(t) - WINDOW + STRIDE), STRIDE)]
     found: list[list[tuple[int, int, str, int]]] = [[] for _ in texts]
     for k in range(0, len(todo), WINDOWS_AT_ONCE):
         part = todo[k : k + WINDOWS_AT_ONCE]
         ids = codes([texts[i][s : s + WINDOW] for i, s in part], WINDOW)
         for (i, s), spans in zip(part, tagger.spans(ids)):
             size = len(texts[i])
+            first, last = EDGE if s else 0, WINDOW - EDGE if s + WINDOW < size else WINDOW
             for a, b, kind in spans:
                 b = min(b, size - s)
                 while a < b and texts[i][s + a].isspace():
                     a += 1
                 while b > a and texts[i][s + b - 1].isspace():
                     b -= 1
-                if a < b:
+                if a < b and a < last and b > first:
                     left = a if s else WINDOW
                     right = WINDOW - b if s + WINDOW < size else WINDOW
                     found[i].append((s + a, s + b, kind, min(left, right)))
-    return [[x for x in reconcile(f) if valid(x[2], t, x[0], x[1])] for t, f in zip(texts, found)]
+    return [[x for x in reconcile(f) if checked(x[2], t[x[0] : x[1]])] for t, f in zip(texts, found)]
 
 
 def all_spans(tagger: Tagger, texts: list[str]) -> list[list[tuple[int, int, str, bool]]]:
     """(start, end, kind, base) of each text: all pattern spans, and the model's that touch none of them."""
     out = []
     for text, more in zip(texts, model_spans(tagger, texts)):
-        base = base_spans(text) if ANCHOR.search(text) else []
+        base = base_spans(text) if _ANY.search(text) else []
         spans, i, reach = [(*b, True) for b in base], 0, 0
         for s, e, kind in more:
             while i < len(base) and base[i][0] < e:
@@ -175,10 +161,12 @@ def _grouped(texts: list[str], most: int = 1 << 22) -> Iterator[list[str]]:
 def find(docs: DataFrame, tagger: Tagger | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, spans array<struct<kind, start, end, base>>.
 
-    Places are code points, end exclusive. Whole texts are read; null counts as
-    empty and has no spans. Repeated rows give repeated rows. Without a tagger the
-    one that `trained` makes from labelled spans is used; it is of fixed size and
-    broadcast.
+    Places are code points, end exclusive. Whole texts of any length are read, in
+    windows of fixed size; null counts as empty and has no spans. Repeated rows give
+    repeated rows, an empty table none. Only the two columns are read, so others
+    can't clash. Base spans may overlap if their kinds differ; the model's touch no
+    other. Without a tagger the one that `trained` reads is used; it is of fixed size
+    and broadcast.
     """
     id_type = dict(docs.dtypes)[id_col]
     shared = docs.sparkSession.sparkContext.broadcast((tagger or trained()).pack())
@@ -205,7 +193,11 @@ def redact_text(text: str, spans: list[tuple[int, int, str, bool]]) -> str:
 
 
 def redact(docs: DataFrame, tagger: Tagger | None = None, text_col: str = "text") -> DataFrame:
-    """docs with personal data in the text replaced; other columns, and null text, stay as they are."""
+    """docs with personal data in the text replaced; other columns, of any name, and null text stay as they are.
+
+    Whole texts of any length are read; empty text stays empty, equal rows stay
+    equal, an empty table gives no rows.
+    """
     names, at = docs.columns, docs.columns.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast((tagger or trained()).pack())
 

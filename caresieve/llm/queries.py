@@ -42,13 +42,16 @@ def op6_pii(spark, sf):
     """Every document's personal data: counts and places."""
     found = pii.find(documents(spark, sf))
 
-    def count(kind):
-        return F.size(F.filter("spans", lambda x: x["base"] & (x["kind"] == kind))).cast("long").alias(f"n_{kind}")
-
     def line(spans):
         return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
-    return found.select("doc_id", *[count(k) for k in pii.KINDS], sha256_hex(line(F.filter("spans", lambda x: x["base"]))).alias("base_sha256"), line(F.col("spans")).alias("spans"))
+    def count(name, test):
+        return F.size(F.filter("spans", test)).cast("long").alias(name)
+
+    base = [count(f"n_{k}", lambda x, k=k: x["base"] & (x["kind"] == k)) for k in pii.BASE_KINDS]
+    digest = sha256_hex(line(F.filter("spans", lambda x: x["base"]))).alias("base_sha256")
+    more = [count("n_added", lambda x: ~x["base"]), count("n_spans", lambda x: F.lit(True))]
+    return found.select("doc_id", *base, digest, line(F.col("spans")).alias("spans"), *more)
 
 
 def op7_source_mixing(spark, sf):
