@@ -4,6 +4,7 @@ import pytest
 
 #: Names that operators use themselves, so that their presence in the input is tested.
 CLASHING = ["n_lines", "n_dropped", "fp", "shard", "kept", "key", "bucket", "n_copies", "score", "id", "rank", "a.b", "MIX_KEY", "Lang_Pred", "my text"]
+CLASHING += ["stratum", "rate", "rate_", "ident", "part", "n_source", "__stratum", "__rate", "lost_id", "Lost_Keys", "__lost", "__id", "hash", "same", "first", "row", "salt", "salts", "mask", "norm", "h", "chain", "toxic", "place"]
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"`{c}` string" for c in CLASHING)
 
 

@@ -65,6 +65,19 @@ def test_a_line_of_very_many_documents(spark):
     assert {r.n_dropped: r["count"] for r in got} == {0: 1, 1: 8999}
 
 
+def test_an_id_that_a_third_of_all_rows_share(spark):
+    df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("a line of all documents\nsome line of part "), F.col("id") % 100).alias("text"))
+    got = sorted(map(tuple, line_dedup.line_dedup(df).groupBy("doc_id", "n_dropped").count().collect()))
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    want = Counter((i, dropped) for i, _, dropped, _ in plain_line_dedup(rows))
+    assert got == sorted((*k, n) for k, n in want.items())
+
+
+def test_lines_of_one_hash_are_told_apart_by_their_bytes(edge, rows, monkeypatch):
+    monkeypatch.setattr(line_dedup.xxhash, "xxh3_128_digest", lambda key: b"same")
+    assert digest(line_dedup.line_dedup(edge)) == sorted(plain_line_dedup(rows), key=KEY)
+
+
 def test_rows_without_an_id_lose_nothing(spark):
     df = spark.createDataFrame([(None, "a line in two rows"), (1, "a line in two rows"), (2, "a line in two rows")], "doc_id bigint, text string")
     assert sorted((str(r.doc_id), r.n_dropped) for r in line_dedup.line_dedup(df).collect()) == [("1", 0), ("2", 1), ("None", 0)]
@@ -239,6 +252,15 @@ def test_sharding_edges(spark, empty):
     assert max(n) - min(n) <= 1
 
 
+def test_rows_of_one_id_are_dealt_over_parts(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 16)
+    df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("doc_id"), F.lit("t").alias("text"), F.lit("s").alias("source"))
+    out = sharding.interleave(df).cache()
+    n = [r["count"] for r in out.groupBy("shard").count().collect()]
+    assert sum(n) == 6000 and max(n) - min(n) <= 1
+    assert out.select("shard", "slot").distinct().count() == 6000 == out.select("rank").distinct().count()
+
+
 # ---- mixing
 
 
@@ -281,10 +303,20 @@ def test_mixture_reaches_its_weights_in_random_order(spark):
     assert {r.source for r in mixing.mix(df, weights={"small": 1}).collect()} == {"small"}
 
 
-def test_an_extreme_rate_is_refused(spark):
-    df = spark.createDataFrame([(1, "a")] + [(i, "b") for i in range(2, 2000)], "doc_id bigint, source string")
-    with pytest.raises(Exception, match="repetition rate"):
-        mixing.mix(df, weights={"a": 1, "b": 1}).collect()
+def test_mixing_returns_every_column_as_it_was(spark, edge):
+    marked = edge.select("*", F.col("doc_id").alias("own")).toDF(*edge.columns, "own")
+    for clash in ("stratum", "rate", "__stratum", "__rate", "ident", "part"):
+        assert {r[clash] for r in mixing.mix(marked).collect()} == {"y"}
+
+
+def test_very_many_sources_are_joined_with_salt(spark, monkeypatch, edge):
+    before = sorted((str(r.doc_id), r.copy_no, r.mix_key) for r in mixing.mix(edge).collect())
+    monkeypatch.setattr(mixing, "MAX_BROADCAST_SOURCES", 1)
+    assert sorted((str(r.doc_id), r.copy_no, r.mix_key) for r in mixing.mix(edge).collect()) == before
+
+
+def test_mixing_takes_no_sample_to_find_bounds(edge):
+    assert "rangepartitioning" not in plan(mixing.mix(edge)).lower()
 
 
 @settings(max_examples=10, deadline=None)
@@ -372,9 +404,10 @@ def test_long_texts_are_counted_in_parts(monkeypatch):
     assert simhash.fingerprint(text) == plain_fingerprint(text)
 
 
-@pytest.mark.parametrize("full", [1 << 14, 8])
-def test_links_join_all_close_pairs(spark, full):
-    """Clustered fingerprints; with full=8 most blocks go to the finer ones."""
+@pytest.mark.parametrize("full, crowds", [(1 << 14, 100_000), (8, 100_000), (8, 10)])
+def test_links_join_all_close_pairs(spark, full, crowds, monkeypatch):
+    """Clustered fingerprints; with a small `full` most blocks are split, some of them before any task gets them."""
+    monkeypatch.setattr(simhash, "MAX_CROWDS", crowds)
     rng = np.random.default_rng(6)
     fps = set()
     for _ in range(12):
@@ -412,6 +445,49 @@ def test_masks_leave_pairs_together():
             for b in rng.integers(0, 64, 3):
                 d |= 1 << int(b)
             assert any(d & m == 0 for m in masks)
+    for mask in (simhash.block_masks(5, 3)[0], simhash.block_masks(5, 3)[9], (1 << 61) - 1, (1 << 57) - 1):
+        finer = simhash.finer_masks(mask, 6, 3)
+        assert len(finer) <= 20 and all(m & mask == mask for m in finer)
+        rest = [i for i in range(64) if not mask >> i & 1]
+        for _ in range(200):
+            d = sum(1 << i for i in {int(x) for x in rng.choice(rest, 3)})
+            assert len(rest) <= 3 or any(d & m == 0 for m in finer)
+
+
+def test_a_run_is_full_by_its_different_fingerprints():
+    import pyarrow as pa
+
+    def batch(fps):
+        return pa.RecordBatch.from_pydict({"mask": pa.array([3] * len(fps), pa.int64()), "key": pa.array([0] * len(fps), pa.int64()), "fp": pa.array(fps, pa.int64())})
+
+    runs = list(simhash._runs(iter([batch([4, 8, 4]), batch([8, 4, 12])]), 3))
+    assert [(mask, over, sorted(set(fps.tolist()))) for mask, over, fps in runs] == [(3, False, [4, 8, 12])]
+    parts = list(simhash._runs(iter([batch([4, 8, 4]), batch([8, 4, 12])]), 2))
+    assert all(over for _, over, _ in parts) and sorted({x for _, _, fps in parts for x in fps.tolist()}) == [4, 8, 12]
+
+
+def test_a_crowded_block_is_split_and_not_copied_often(spark):
+    """6,000 fingerprints that agree on 40 bits: split blocks hold few rows, and all links are found."""
+    df = spark.range(6000).select((F.col("id") * 2_731 % (1 << 24)).alias("fp")).distinct()
+    fps = [r.fp for r in df.collect()]
+    found = simhash.links(df, full=512).collect()
+    root = {x: x for x in fps}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for r in found:
+        assert (r.a ^ r.b).bit_count() <= 3
+        root[find(r.a)] = find(r.b)
+    x = np.array(fps, np.uint64)
+    want = {v: v for v in fps}
+    for i in range(len(x)):
+        for j in np.flatnonzero(np.bitwise_count(x[i + 1 :] ^ x[i]) <= 3) + i + 1:
+            assert find(fps[i]) == find(fps[j])
+    assert len(want) == len(fps)
 
 
 def test_salted_join_keeps_every_row(spark):

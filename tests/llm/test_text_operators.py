@@ -1,7 +1,10 @@
 """Operators that look at one text at a time, against plain Python."""
 
 import hashlib
+import math
+import os
 import re
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -169,21 +172,85 @@ def test_gradients():
         assert g[k][at] == pytest.approx((sides[0] - sides[1]) / 2e-5, abs=1e-7)
 
 
-def test_decoding_is_the_best_path():
+def plain_viterbi(t, ids):
+    """The best path with every transition looked at."""
+    e, trans = t.emissions(ids), t.p["trans"] + t.block
+    score, back = e[:, 0] + t.p["first"], []
+    for i in range(1, ids.shape[1]):
+        paths = score[:, :, None] + trans
+        back.append(paths.argmax(1))
+        score = paths.max(1) + e[:, i]
+    tags = [score.argmax(1)]
+    for b in reversed(back):
+        tags.append(b[np.arange(len(ids)), tags[-1]])
+    return np.stack(tags[::-1], axis=1)
+
+
+def test_decoding_is_the_best_path(tagger):
     from itertools import product
 
     t = pii_model.Tagger(3)
-    ids = pii_model.codes(["a@1."], 4)
+    ids = pii_model.codes(["a@1"], 3)
     e, trans = t.emissions(ids)[0], t.p["trans"] + t.block
-    best = max(product(range(pii_model.TAGS), repeat=4), key=lambda y: t.p["first"][y[0]] + sum(e[i, k] for i, k in enumerate(y)) + sum(trans[a, b] for a, b in zip(y, y[1:])))
+    best = max(product(range(pii_model.TAGS), repeat=3), key=lambda y: t.p["first"][y[0]] + sum(e[i, k] for i, k in enumerate(y)) + sum(trans[a, b] for a, b in zip(y, y[1:])))
     assert tuple(t.decode(ids)[0]) == best
+    rng = np.random.default_rng(5)
+    ids = pii_model.codes([pii_model.labelled(rng)[0] for _ in range(60)], pii_model.TRAIN_LENGTH)
+    for own in (t, tagger):
+        assert (own.decode(ids) == plain_viterbi(own, ids)).all()
+
+
+def gold(tags):
+    """(start, end, kind) of tags."""
+    out, start = [], None
+    for i, t in enumerate([*tags, 0]):
+        if start is not None and (t % 2 == 1 or t == 0):
+            out.append((start, i, pii_model.KINDS[(tags[start] - 1) // 2]))
+            start = None
+        if t and start is None:
+            start = i
+    return set(out)
+
+
+def test_held_out_spans(tagger, monkeypatch):
+    """Precision and recall of whole spans on texts that training has not seen, without any check after the tagger."""
+    monkeypatch.setattr(pii, "checked", lambda kind, span: True)
+    rng = np.random.default_rng(12345)
+    hits, found, want = Counter(), Counter(), Counter()
+    for _ in range(120):
+        text, tags = pii_model.labelled(rng, 1500)
+        got = set(pii.model_spans(tagger, [text])[0])
+        own = gold(tags.tolist())
+        hits.update(k for *_, k in got & own)
+        found.update(k for *_, k in got)
+        want.update(k for *_, k in own)
+    assert hits.total() / found.total() > 0.93 and hits.total() / want.total() > 0.93
+    for k in pii_model.KINDS:
+        assert hits[k] / found[k] > 0.85 and hits[k] / want[k] > 0.85, k
 
 
-def test_held_out_accuracy(tagger):
-    rng = np.random.default_rng(12345)
-    texts, tags = zip(*(pii_model.labelled(rng) for _ in range(400)))
-    got = tagger.decode(pii_model.codes(list(texts), pii_model.TRAIN_LENGTH))
-    assert (got == np.stack(tags)).mean() > 0.95
+def test_the_tagger_finds_secrets_in_documents_and_little_else(tagger):
+    """Documents hold secrets that no pattern of the base knows."""
+    import duckdb
+
+    texts = [t for (t,) in duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet' WHERE text IS NOT NULL").fetchall()]
+    want = {(i, *m.span(1)) for i, t in enumerate(texts) for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', t)}
+    added = {(i, s, e) for i, spans in enumerate(pii.all_spans(tagger, texts)) for s, e, _, base in spans if not base}
+    assert len(want) > 10 and len(added & want) >= 0.9 * len(want) and len(added - want) <= 0.1 * len(want) + 1
+
+
+def test_training_is_repeatable():
+    a, b = (pii_model.train(steps=3, texts=200) for _ in range(2))
+    assert all((a.p[k] == b.p[k]).all() for k in a.p) and a.pack() == pii_model.Tagger.unpack(a.pack()).pack()
+
+
+@pytest.mark.skipif(not os.environ.get("RETRAIN"), reason="three minutes: set RETRAIN=1")
+def test_training_gives_the_shipped_weights(tagger):
+    again = pii_model.train()
+    rng = np.random.default_rng(2)
+    texts = [pii_model.labelled(rng, 1500)[0] for _ in range(40)]
+    one, two = ({(i, *x) for i, s in enumerate(pii.model_spans(t, texts)) for x in s} for t in (tagger, again))
+    assert len(one & two) / len(one | two) > 0.95
 
 
 def test_the_model_adds_what_patterns_miss(tagger):
@@ -192,12 +259,20 @@ def test_the_model_adds_what_patterns_miss(tagger):
     assert ("anna.k(at)example.com", "email", False) in found and all(k != "ip" for _, k, _ in found)
 
 
-def test_windows_without_anchors_give_no_span(tagger):
-    """Tagging every window gives the same spans as tagging those with an anchor."""
-    rng = np.random.default_rng(4)
-    texts = ["".join(pii_model.labelled(rng, 64)[0] + " plain words only here with no sign of anything " * 3 for _ in range(4)) for _ in range(12)]
-    every = [[s for s in range(0, len(t), pii.STRIDE)] for t in texts]
-    assert pii.model_spans(tagger, texts, every) == pii.model_spans(tagger, texts)
+def test_spans_do_not_depend_on_where_windows_lie(tagger):
+    text = 'you may use token = "ab12cd34ef567890ab12cd34ef567890" and call (555) 234-5678 now. '
+    want = None
+    for shift in range(0, 260, 13):
+        before = ("plain words only " * 20)[:shift]
+        got = [(s - shift, e - shift, k) for s, e, k in pii.model_spans(tagger, [before + text + "plain words only " * 30])[0]]
+        want = want or got
+        assert {k for *_, k in got} == {"secret", "phone"} and got == want
+
+
+def test_checks_after_the_tagger():
+    assert pii.checked("card", "4111 1111 1111 1111") and not pii.checked("card", "4111 1111 1111 1112")
+    assert pii.checked("ip", "10.0.0.255") and not pii.checked("ip", "10.0.0.256") and not pii.checked("ip", "1.1.1.0999")
+    assert pii.checked("secret", "x") and pii.checked("phone", "1")
 
 
 def test_a_span_that_windows_cut_is_joined():
@@ -212,6 +287,12 @@ def test_pii_over_tables(edge, rows, empty, tagger):
     assert pii.find(empty, tagger).count() == 0
     red = pii.redact(edge.sparkSession.createDataFrame([(1, "a 10.1.2.3 b", "k"), (2, None, "k")], "doc_id bigint, text string, spans string"), tagger)
     assert sorted(map(tuple, red.collect())) == [(1, "a [IP] b", "k"), (2, None, "k")]
+    red = pii.redact(edge, tagger)
+    assert red.columns == edge.columns and pii.redact(empty, tagger).count() == 0
+    given = Counter((r.doc_id, r.text, r.spans if "spans" in edge.columns else None) for r in edge.collect())
+    assert sum((given - Counter((r.doc_id, r.text, r.spans if "spans" in edge.columns else None) for r in red.collect())).values()) <= 2
+    long = "some words 10.1.2.3 here " * 8000
+    assert edge.sparkSession.createDataFrame([(1, long), (2, "")], "doc_id bigint, text string").transform(lambda d: pii.redact(d, tagger)).collect()[0].text == long.replace("10.1.2.3", "[IP]")
 
 
 # ---- language ID
@@ -254,11 +335,52 @@ def test_mixtures(spark):
     lang, score, found = model.predict(en + " " + de)
     assert {x for x, _ in found} == {"en", "de"} and 0.3 < score < 0.7
     assert [x for x, _ in model.predict(en)[2]] == ["en"]
-    # the set by trying all subsets with EM, under the same penalty
     at, n, _ = language_id.trigram_counts(en + " " + de)
     assert sum(model.proportions(at, n.astype(float)).values()) == pytest.approx(1)
 
 
+def plain_em(p, n, rounds=3000):
+    """Proportions and log-likelihood of a mixture, feature by feature, to convergence."""
+    share = [1 / len(p)] * len(p)
+    for _ in range(rounds):
+        new = [0.0] * len(p)
+        for f, k in enumerate(n):
+            mass = sum(share[i] * p[i][f] for i in range(len(p)))
+            for i in range(len(p)):
+                new[i] += k * share[i] * p[i][f] / mass
+        new = [x / sum(n) for x in new]
+        done = max(abs(a - b) for a, b in zip(new, share)) < 1e-9
+        share = new
+        if done:
+            break
+    return share, sum(k * math.log(sum(share[i] * p[i][f] for i in range(len(p)))) for f, k in enumerate(n))
+
+
+def test_the_set_is_the_best_of_all_subsets(spark):
+    """Against EM over every subset of languages, under the same price a language."""
+    from itertools import combinations
+
+    rng = np.random.default_rng(8)
+    df, _, parts = corpus(spark)
+    model = language_id.train(df)
+    for shares in ((40, 0, 0), (30, 10, 0), (20, 0, 20), (14, 14, 14), (36, 3, 0), (6, 0, 0), (3, 3, 0), (30, 2, 8)):
+        text = " ".join(" ".join(rng.choice(parts[lang], k)) for lang, k in zip(("en", "de", "fr"), shares) if k)
+        at, n, _ = language_id.trigram_counts(text)
+        p = np.exp(model.log_p[:, at].astype(float)).tolist()
+        price = language_id.OVERLAP * 0.5 * math.log(max(2.0, n.sum() / language_id.OVERLAP))
+        best = None
+        for size in (1, 2, 3):
+            for chosen in combinations(range(3), size):
+                share, value = plain_em([p[i] for i in chosen], n.tolist())
+                if best is None or value - price * size > best[0]:
+                    best = (value - price * size, dict(zip(chosen, share)))
+        found = model.proportions(at, n.astype(float))
+        assert set(found) == set(best[1]), (shares, found, best)
+        assert all(abs(found[i] - best[1][i]) < 0.01 for i in found)
+        lang = model.predict(text)[0]
+        assert lang == model.languages[max(best[1], key=best[1].get)]
+
+
 def test_small_shares_join_the_set():
     rng = np.random.default_rng(3)
     words = [["".join(rng.choice(list(letters), 5)) for _ in range(40)] for letters in ("abcdefgh", "efghijkl", "ijklmnop", "mnopqrst", "qrstuvwx", "uvwxyzab", "acegikmo", "bdfhjlnp", "cgkosw", "dhlptx", "eimquy")]
@@ -288,13 +410,17 @@ def test_language_edges(edge, empty, rows, spark):
     assert language_id.language_id(unlabelled).first().lang_pred == "und"
 
 
-def test_long_texts_in_chunks(monkeypatch):
-    text = "Größe und Été, niño! " * 50
-    whole = language_id.trigram_counts(text)
-    monkeypatch.setattr(language_id, "CHUNK", 64)
-    parts = language_id.trigram_counts(text)
-    # chunks overlap by a character on each side, so only trigrams at the cuts may differ
-    assert abs(whole[1].sum() - parts[1].sum()) <= 2 * len(text) / 64
+@settings(max_examples=80, deadline=None)
+@given(st.text(st.sampled_from("aßÉ İΣς.\n中x-😀"), max_size=60), st.integers(1, 9))
+def test_chunks_of_any_size_give_the_same_counts(text, chunk):
+    whole, kept = language_id.trigram_counts(text), language_id.CHUNK
+    language_id.CHUNK = chunk
+    try:
+        parts = language_id.trigram_counts(text)
+    finally:
+        language_id.CHUNK = kept
+    assert whole[0].tolist() == parts[0].tolist() and whole[1].tolist() == parts[1].tolist() and whole[2] == parts[2] == any(map(str.isalpha, text))
+    assert whole[1].sum() == sum(map(str.isalpha, text))
 
 
 # ---- toxicity
