@@ -48,7 +48,10 @@ def op6_pii(spark, sf):
     def count(name, test):
         return F.size(F.filter("spans", test)).cast("long").alias(name)
 
-    base = [count(f"n_{k}", lambda x, k=k: x["base"] & (x["kind"] == k)) for k in pii.BASE_KINDS]
+    def of(kind):
+        return lambda x: x["base"] & (x["kind"] == kind)
+
+    base = [count(f"n_{k}", of(k)) for k in pii.BASE_KINDS]
     digest = sha256_hex(line(F.filter("spans", lambda x: x["base"]))).alias("base_sha256")
     more = [count("n_added", lambda x: ~x["base"]), count("n_spans", lambda x: F.lit(True))]
     return found.select("doc_id", *base, digest, line(F.col("spans")).alias("spans"), *more)

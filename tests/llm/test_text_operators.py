@@ -295,6 +295,26 @@ def test_pii_over_tables(edge, rows, empty, tagger):
     assert edge.sparkSession.createDataFrame([(1, long), (2, "")], "doc_id bigint, text string").transform(lambda d: pii.redact(d, tagger)).collect()[0].text == long.replace("10.1.2.3", "[IP]")
 
 
+def test_the_query_of_personal_data(spark):
+    import hashlib as h
+
+    import duckdb
+
+    from caresieve.llm.queries import QUERIES
+
+    got = {r.doc_id: r for r in QUERIES["op6_pii"](spark, "/root/testdata/sf0.001").collect()}
+    rows = duckdb.sql("SELECT doc_id, text FROM '/root/testdata/sf0.001/documents.parquet'").fetchall()
+    assert len(got) == len(rows)
+    for i, text in rows:
+        base, r = plain_base(text or ""), got[i]
+        assert r.base_sha256 == h.sha256(",".join(f"{k}:{s}:{e}" for s, e, k in base).encode()).hexdigest()
+        n = Counter(k for *_, k in base)
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == (n["email"], n["ip"], n["card"], n["phone"])
+        spans = [x.split(":") for x in r.spans.split(",") if x]
+        assert len(spans) == r.n_spans == len(base) + r.n_added and {(int(s), int(e), k) for k, s, e in spans} >= set(base)
+        assert spans == sorted(spans, key=lambda x: (int(x[1]), pii.KINDS.index(x[0]), int(x[2])))
+
+
 # ---- language ID
 
 
