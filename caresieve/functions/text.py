@@ -37,6 +37,12 @@ def decimal_points(c: Column) -> Column:
     return F.regexp_replace(c, r"(\d+),(\d+)", "$1.$2")
 
 
+def padded(number: Column, width: int) -> Column:
+    """A number with zeros before it up to a width; longer ones stay whole."""
+    digits = number.cast("string")
+    return F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
+
+
 def text_number(c: Column) -> Column:
     """A stable number below 10^10 of a text: its SHA-256's first 16 hex digits, modulo."""
     head = F.conv(F.substring(F.sha2(c, 256), 1, 16), 16, 10).cast("decimal(20,0)")

@@ -12,6 +12,8 @@ from caresieve.functions.distributions import f_quantile
 
 #: Beyond this many columns, one aggregation of all pairs would be too wide to compile.
 MAX_COLUMNS = 50
+#: Matrices of one site that are merged in one task.
+FAN, LEVELS = 32, 2
 
 
 def pairs(columns: list[str]) -> list[tuple[int, int]]:
@@ -37,31 +39,41 @@ def vector_scatter(df: DataFrame, site: str, vector: str, width: int) -> DataFra
     """The same for rows that hold a vector: tasks sum products in numpy, sites merge by Chan's rule in pandas.
 
     A task returns one row of width² numbers a site, so the shuffle grows with tasks
-    and sites and not with rows.
+    and sites and not with rows. Rows of a site merge FAN at a time, LEVELS times, before
+    the rest (of 30,000 tasks some 30) merge at last. A task holds one matrix a site:
+    width² doubles must fit in a worker.
     """
     import pandas as pd
 
-    schema = "site string, n bigint, mean array<double>, scatter array<double>"
+    schema = "site string, part int, n bigint, mean array<double>, scatter array<double>"
 
     def local(frames):
+        from pyspark import TaskContext
+
         held: dict[str, list] = {}
         for f in frames:
             for name, part in f.groupby("site"):
                 x = np.stack(part["v"].to_numpy()).astype(float)
                 m = x.mean(axis=0)
                 held[name] = merge_moments(held.get(name), (len(x), m, (x - m).T @ (x - m)))
-        rows = [(k, n, m.tolist(), s.ravel().tolist()) for k, (n, m, s) in held.items()]
-        yield pd.DataFrame(rows, columns=["site", "n", "mean", "scatter"])
+        part = TaskContext.get().partitionId()
+        rows = [(k, part, n, m.tolist(), s[np.triu_indices(width)].tolist()) for k, (n, m, s) in held.items()]
+        yield pd.DataFrame(rows, columns=["site", "part", "n", "mean", "scatter"])
 
     def merged(key, f):
         out = None
         for n, m, s in zip(f["n"], f["mean"], f["scatter"]):
-            out = merge_moments(out, (n, np.array(m), np.array(s).reshape(width, width)))
-        n, m, s = out
-        return pd.DataFrame([(key[0], n, m.tolist(), s[np.triu_indices(width)].tolist())], columns=["site", "n", "mean", "scatter"])
+            own = np.zeros((width, width))
+            own[np.triu_indices(width)] = s
+            out = merge_moments(out, (n, np.array(m), own))
+        n, m, s = out  # below the diagonal are sums that aren't read
+        return pd.DataFrame([(key[0], int(f["part"].iloc[0]) // FAN, n, m.tolist(), s[np.triu_indices(width)].tolist())], columns=["site", "part", "n", "mean", "scatter"])
 
     rows = df.select(F.col(site).cast("string").alias("site"), F.col(vector).alias("v")).where("v is not null")
-    return rows.mapInPandas(local, schema).groupBy("site").applyInPandas(merged, schema)
+    out = rows.mapInPandas(local, schema)
+    for _ in range(LEVELS):
+        out = out.groupBy("site", F.floor(F.col("part") / FAN).cast("int").alias("group")).applyInPandas(merged, schema)
+    return out.groupBy("site").applyInPandas(merged, schema).drop("part")
 
 
 def merge_moments(a, b):
@@ -152,13 +164,17 @@ def t2_threshold(n: int, p: int, alpha: float = 0.05) -> float:
 def t2_outliers(df: DataFrame, site: str, scores: list[str], alpha: float = 0.05, centre: bool = True) -> DataFrame:
     """df with t2 and outlier, by the score variances of each row's site.
 
-    Statistics are one row a site; the F quantile is taken once for each site's n, on
-    the driver. centre=False squares the scores as they are.
+    Statistics are one row a site, the F quantile is taken once in each. Whether they
+    are broadcast is left to their measured size, as any column may be the site.
+    centre=False squares the scores as they are.
     """
+
+    @F.pandas_udf("double")
+    def limit(n):
+        return n.map(lambda k: t2_threshold(int(k), len(scores), alpha) if k > len(scores) else None).astype(float)
+
     stats = df.groupBy(site).agg(F.count(F.lit(1)).alias("__n"), *[f(c).alias(f"__{k}_{c}") for c in scores for k, f in (("v", F.var_samp), ("m", F.avg))])
-    counts = stats.select(site, "__n").collect()  # one row a site
-    limits = df.sparkSession.createDataFrame([(r[0], t2_threshold(r[1], len(scores), alpha) if r[1] > len(scores) else None) for r in counts], f"{site} {dict(df.dtypes)[site]}, __limit double")
-    stats = stats.join(F.broadcast(limits), site)
+    stats = stats.withColumn("__limit", limit("__n"))
     t2 = sum(((F.col(c) - (F.col(f"__m_{c}") if centre else 0.0)) ** 2 / F.col(f"__v_{c}") for c in scores), F.lit(0.0))
-    out = df.join(F.broadcast(stats), site).withColumn("t2", t2).withColumn("outlier", F.coalesce(F.col("t2") > F.col("__limit"), F.lit(False)))
+    out = df.join(stats, site).withColumn("t2", t2).withColumn("outlier", F.coalesce(F.col("t2") > F.nanvl("__limit", F.lit(None)), F.lit(False)))
     return out.drop(*[c for c in out.columns if c.startswith("__")])

@@ -144,6 +144,19 @@ def append_absent(existing: DataFrame, incoming: DataFrame, keys: list[str]) ->
     return existing.unionByName(fresh, allowMissingColumns=True)
 
 
+def procedures(visits_: DataFrame, person: str, visit: str, concept: Column | int, order: list[str], after: int = 0) -> DataFrame:
+    """One procedure per row: procedure_occurrence_id, person_id, procedure_concept_id, visit_occurrence_id.
+
+    visits_: a row for each examination of a visit; other columns (series, sample) return
+    too, so images and genomic results can be hung on the new ids.
+    """
+    numbered = new_ids(visits_, order, after, "procedure_occurrence_id")
+    concept = F.lit(concept) if isinstance(concept, int) else concept
+    own = ("procedure_occurrence_id", "person_id", "procedure_concept_id", "visit_occurrence_id")
+    rest = [c for c in visits_.columns if c not in (person, visit, *own)]
+    return numbered.select("procedure_occurrence_id", F.col(person).alias("person_id"), concept.cast("long").alias("procedure_concept_id"), F.col(visit).alias("visit_occurrence_id"), *rest)
+
+
 def procedure_concept(modalities: dict[str, str], modality: str) -> int:
     """The first concept whose entry names the modality; 0 if none does."""
     return next((int(k) for k, v in modalities.items() if modality in v), 0)
@@ -170,11 +183,11 @@ def synthetic_names(persons: DataFrame, female: DataFrame, male: DataFrame, last
     """persons with given_name and family_name drawn by the hash of the person's id.
 
     Lists have one column, name, and are numbered in its order; they are reference
-    lists and small, and are broadcast when their measured size allows.
+    lists and are broadcast when their measured size allows.
     """
 
     def numbered(names: DataFrame, out: str) -> DataFrame:
-        return names.select(F.col("name").alias(out), (F.row_number().over(Window.orderBy("name")) - 1).alias(f"__{out}"))
+        return new_ids(names.select(F.col("name").alias(out)), [out], -1, f"__{out}")
 
     def draw(names: DataFrame, salt: str):
         return F.pmod(F.xxhash64(F.lit(f"{seed}:{salt}"), F.col("person_id")), F.lit(max(1, names.count())))

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caresieve.functions import arrays as A
+from caresieve.operators.quantiles import exact_quantiles
+from caresieve.operators.skew import free_names
 
 
 def orientation(cosines: Column) -> Column:
@@ -18,12 +20,34 @@ def orientation(cosines: Column) -> Column:
     )
 
 
+def plane_faults(slices: DataFrame, keys: list[str], cosines: str = "cosines") -> DataFrame:
+    """E3301 of volumes: (code, keys, plane) of slices that aren't axial; without cosines the plane is Unknown."""
+    plane = F.coalesce(orientation(F.col(cosines)), F.lit("Unknown"))
+    return slices.select(F.lit("E3301").alias("code"), *keys, plane.alias("plane")).where("plane <> 'Axial'")
+
+
+def view_faults(images: DataFrame, keys: list[str], orientation_: str, view: str, patient_column: str = "patient_orientation", view_column: str = "view_position") -> DataFrame:
+    """(code, keys) of flat images: E3301 where orientation or view isn't the protocol's, W3301 where either isn't given."""
+    a, b = (F.nullif(F.trim(F.col(c)), F.lit("")) for c in (patient_column, view_column))
+    code = F.when(a.isNull() | b.isNull(), "W3301").when((a != orientation_) | (b != view), "E3301")
+    return images.select(code.alias("code"), *keys).where("code is not null")
+
+
 def slice_checks(slices: DataFrame, min_height: int, min_width: int, modality: str | None = None) -> DataFrame:
     """code, patient_id, series_id, slice_idx of failing slices: E3101 modality, E3201 size, E3401 uniform, E3501 small.
 
-    Absent columns and missing metadata fail nothing.
+    The size is frames * h * w * samples values, or, with a column n_bytes, that times
+    bits / 8 bytes; frames and samples are 1 where there is no such column, and slices
+    whose column `compressed` is true have no size to check. Other absent columns and
+    missing metadata fail nothing.
     """
-    tests = [("E3401", F.array_max("pixels") == F.array_min("pixels")), ("E3501", (F.col("h") < min_height) | (F.col("w") < min_width)), ("E3201", F.size("pixels") != F.col("h") * F.col("w"))]
+
+    def has(name, default):
+        return F.coalesce(F.col(name), F.lit(default)) if name in slices.columns else F.lit(default)
+
+    values = F.col("h") * F.col("w") * has("frames", 1) * has("samples", 1)
+    wrong_size = F.col("n_bytes") != F.floor(values * has("bits", 8) / 8) if "n_bytes" in slices.columns else F.size("pixels") != values
+    tests = [("E3401", F.array_max("pixels") == F.array_min("pixels")), ("E3501", (F.col("h") < min_height) | (F.col("w") < min_width)), ("E3201", wrong_size & ~has("compressed", False))]
     if modality and "modality" in slices.columns:
         tests.append(("E3101", F.col("modality") != {"MRI": "MR"}.get(modality, modality)))
     bad = F.array_compact(F.array(*[F.when(t, F.lit(c)) for c, t in tests]))
@@ -69,6 +93,19 @@ def adjacent_correlation(slices: DataFrame, series: list[str], order: str, pixel
     return slices.withColumn("__next", following).withColumn("ncc", A.correlation(A.doubles(F.col(pixels)), A.doubles(F.col("__next")))).drop("__next")
 
 
+#: Correlations of neighbouring slices under these are unexpected.
+ALIGNED = {"CT": 0.9, "MRI": 0.8}
+
+
+def alignment(slices: DataFrame, series: list[str], order: str, modality: str, pixels: str = "pixels") -> DataFrame:
+    """W3701: (series..., n_unexpected, mean_ncc, median_ncc, sd_ncc, flagged) of series; pairs with a constant slice have no correlation."""
+    pairs = adjacent_correlation(slices, series, order, pixels).where("ncc is not null")
+    stats = pairs.groupBy(*series).agg(
+        F.count_if(F.col("ncc") < ALIGNED[modality]).alias("n_unexpected"), F.avg("ncc").alias("mean_ncc"), F.median("ncc").alias("median_ncc"), F.stddev_pop("ncc").alias("sd_ncc")
+    )
+    return stats.withColumn("flagged", F.col("n_unexpected") > 0)
+
+
 def projection(slices: DataFrame, series: list[str], order: str, pixels: str = "pixels", reach: int = 5) -> DataFrame:
     """Maximum over the middle slice and `reach` to both sides: (series..., pixel, value), pixel from 0.
 
@@ -204,11 +241,52 @@ def adapted_rand(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     return one.select(p.alias("precision"), r.alias("recall")).select((1 - 2 * F.col("precision") * F.col("recall") / F.greatest(F.col("precision") + F.col("recall"), F.lit(1e-6))).alias("error"), "precision", "recall")
 
 
-def average_precision(pairs: DataFrame, iou: str, n_truth: int, n_predicted: int, thresholds: tuple[float, ...] = (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9)) -> DataFrame:
-    """Mean over thresholds of tp / (tp + fp + fn), tp being pairs of at least that overlap. pairs: best overlap of each truth."""
-    counts = pairs.agg(*[F.count_if(F.col(iou) >= t).alias(f"t{i}") for i, t in enumerate(thresholds)])
-    mean = sum((F.col(f"t{i}") / (n_truth + n_predicted - F.col(f"t{i}")) for i in range(len(thresholds))), F.lit(0.0)) / len(thresholds)
-    return counts.select(mean.alias("average_precision"))
+#: Overlaps that instances must exceed.
+OVERLAPS = (0.5, 0.6, 0.7, 0.8, 0.9)
+
+
+def average_precision(df: DataFrame, truth: str, predicted: str, ignore: int = -1, least: int | None = None, by: list[str] | None = None, overlaps: tuple[float, ...] = OVERLAPS) -> DataFrame:
+    """(by..., average_precision): the area under precision over recall of predicted instances, from pixel rows.
+
+    A predicted instance belongs to the true one with which it shares most pixels (the
+    smallest label of equals) and counts where their intersection over union is over
+    the limit; one that lies mostly on `ignore` is neither right nor wrong. Instances
+    of fewer than `least` pixels are ignored. Each overlap limit gives a point; precision
+    is made to fall with recall and integrated as steps. Without instances it is 0.
+
+    Pairs of labels are counted before the shuffle, so it grows with instances.
+    """
+    by = by or []
+    cells = df.groupBy(*by, F.col(truth).alias("__t"), F.col(predicted).alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
+    for side in ("__t", "__p"):
+        if least is not None:
+            size = F.sum("__n").over(Window.partitionBy(*by, side))
+            cells = cells.withColumn("__size", size).withColumn(side, F.when(F.col("__size") < least, ignore).otherwise(F.col(side)))
+    cells = cells.groupBy(*by, "__t", "__p").agg(F.sum("__n").alias("__n"))
+    cells = cells.withColumns({"__nt": F.sum("__n").over(Window.partitionBy(*by, "__t")), "__np": F.sum("__n").over(Window.partitionBy(*by, "__p"))})
+    best = F.row_number().over(Window.partitionBy(*by, "__p").orderBy(F.desc("__n"), "__t"))
+    iou = F.col("__n") / (F.col("__nt") + F.col("__np") - F.col("__n"))
+    owned = cells.where(F.col("__p") != ignore).withColumn("__r", best).where("__r = 1").select(*by, "__t", iou.alias("__iou"))
+    limits = F.array(*[F.struct(F.lit(i).alias("__k"), F.lit(float(x)).alias("__limit")) for i, x in enumerate(overlaps)])
+    hits = owned.select(*by, "__t", "__iou", F.inline(limits))
+    hit = F.col("__iou") > F.col("__limit")
+    on_ignored = F.col("__t") == ignore
+    points = hits.groupBy(*by, "__k").agg(
+        F.count(F.lit(1)).alias("__n_p"),
+        F.count_if(hit & ~on_ignored).alias("__tp"),
+        F.count_if(hit & on_ignored).alias("__skipped"),
+        F.count_distinct(F.when(hit & ~on_ignored, F.col("__t"))).alias("__found"),
+    )
+    true_ones = cells.where(F.col("__t") != ignore).groupBy(*by).agg(F.count_distinct("__t").alias("__n_t"))
+    points = points.join(true_ones, by, "left") if by else points.crossJoin(true_ones)  # one row
+    recall = F.coalesce(F.try_divide(F.col("__tp"), F.col("__tp") + F.coalesce("__n_t", F.lit(0)) - F.col("__found")), F.lit(0.0))
+    precision = F.coalesce(F.try_divide(F.col("__tp"), F.col("__n_p") - F.col("__skipped")), F.lit(0.0))
+    curve = points.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(recall.alias("r"), F.col("__k"), precision.alias("p")))).alias("__c"))  # a point a limit
+    r = F.concat(F.array(F.lit(0.0)), F.transform("__c", lambda x: x["r"]), F.array(F.lit(1.0)))
+    p = F.concat(F.transform("__c", lambda x: x["p"]), F.array(F.lit(0.0)))
+    steps = F.transform(p, lambda x, i: (F.element_at(r, i + 2) - F.element_at(r, i + 1)) * F.array_max(F.slice(p, i + 1, F.size(p))))
+    out = curve.select(*by, F.aggregate(steps, F.lit(0.0), lambda a, x: a + x).alias("average_precision"))
+    return out if by else out.agg(F.coalesce(F.max("average_precision"), F.lit(0.0)).alias("average_precision"))
 
 
 def psnr(df: DataFrame, truth: str, predicted: str) -> DataFrame:
@@ -223,6 +301,44 @@ def within_angle(df: DataFrame, truth: str, predicted: str, degrees: float) -> D
     return df.agg(F.avg((F.acos(cosine) < float(np.pi * degrees / 180)).cast("double")).alias("share"))
 
 
+def inverse_angular_error(df: DataFrame, truth: str, predicted: str) -> DataFrame:
+    """1 / sum of the angles (radians) between two directions of each row; both are scaled to just under a unit."""
+
+    def unit(c: str) -> Column:
+        x = F.col(c)
+        return A.let(F.greatest(F.sqrt(A.dot(x, x)), F.lit(1e-8)), lambda n: F.transform(x, lambda v: v / n * 0.999999))
+
+    return df.agg(F.try_divide(F.lit(1.0), F.sum(F.acos(A.dot(unit(truth), unit(predicted))))).alias("inverse_error"))
+
+
+def label_file_faults(series: DataFrame, files: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """E2201: (code, keys, n_files) of series that haven't exactly one CSV of labels."""
+    n = files.where(F.lower(F.col(name)).endswith(".csv")).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counted = series.select(*keys).distinct().join(n, keys, "left").select(F.lit("E2201").alias("code"), *keys, F.coalesce("n", F.lit(0)).cast("long").alias("n_files"))
+    return counted.where("n_files <> 1")
+
+
+def label_table_faults(lines: DataFrame, keys: list[str], line: str = "line", place: str = "place") -> DataFrame:
+    """E2202: (code, keys, n_columns) of label files that haven't two columns; an empty one has none.
+
+    lines: the lines of each file with their place. The delimiter is the one of , ; tab |
+    that splits the first line most often.
+    """
+    text = F.coalesce(F.col(line), F.lit(""))
+    full = F.trim(text) != ""
+    marks = [",", ";", "\t", "|"]
+
+    def cells(t: Column) -> list[Column]:
+        return [F.length(t) - F.length(F.replace(t, F.lit(m))) + 1 for m in marks]
+
+    head = F.min_by(F.when(full, text), F.when(full, F.col(place)))
+    n = lines.groupBy(*keys).agg(head.alias("head"), *[F.max(F.when(full, c)).alias(f"n{i}") for i, c in enumerate(cells(text))])
+    own = F.transform(F.array(*cells(F.col("head"))), lambda x, i: F.struct(x.alias("n"), (-i).alias("i")))
+    most = F.array_max(own)
+    columns = F.when(F.col("head").isNull(), 0).otherwise(F.element_at(F.array(*[f"n{i}" for i in range(len(marks))]), 1 - most["i"]))
+    return n.select(F.lit("E2202").alias("code"), *keys, columns.cast("long").alias("n_columns")).where("n_columns <> 2")
+
+
 def file_count_faults(files: DataFrame, keys: list[str], name: str, extension: str, least: int, most: int | None = None) -> DataFrame:
     """E2101, E2102: keys with wrong extensions or a count of right ones out of bounds."""
     right = F.lower(F.col(name)).endswith(extension)
@@ -310,12 +426,30 @@ def knee(values: list[float]) -> int:
     return int(np.argmax(x - (y - y[0]) / (y[-1] - y[0])))
 
 
-def knee_clip(slices: DataFrame, pixels: str = "pixels") -> DataFrame:
-    """pixels clipped above at the knee of the percentiles 95 to 100, taken over all slices (exact, one number to the driver)."""
-    steps = [0.95 + i / 10_000 for i in range(501)]
-    curve = slices.select(F.explode(pixels).alias("v")).agg(F.percentile("v", F.array(*[F.lit(s) for s in steps])).alias("p")).first().p
-    top = float(curve[knee(curve)])
-    return slices.withColumn(pixels, F.transform(pixels, lambda v: F.least(v.cast("double"), F.lit(top))))
+def knee_clip(slices: DataFrame, series: list[str], pixels: str = "pixels") -> DataFrame:
+    """pixels clipped above at the knee of their series' percentiles 95 to 99.99 (steps of 0.01).
+
+    Percentiles are exact and come by ranks; a row a series is joined to its slices.
+    """
+    steps = [0.95 + i / 10_000 for i in range(500)]
+    curves = exact_quantiles(slices.select(*series, F.explode(pixels).alias("v")), series, "v", steps)
+
+    @F.pandas_udf("double")
+    def top(curve):
+        return curve.map(lambda c: float(c[knee(c)]))
+
+    tops = curves.select(*series, top("quantiles").alias("top"))
+    own = free_names(slices.columns, "top")[0]
+    out = slices.join(tops.withColumnRenamed("top", own), series, "left")
+    return out.withColumn(pixels, A.let(F.col(own), lambda t: F.transform(pixels, lambda v: F.least(v.cast("double"), t)))).drop(own)
+
+
+def removal_union(*lists: DataFrame) -> DataFrame:
+    """Every id that any of the lists removes, once; a list is one column of ids."""
+    out = lists[0].toDF("id")
+    for other in lists[1:]:
+        out = out.unionByName(other.toDF("id"))
+    return out.where("id is not null").distinct()
 
 
 def to_lps(slices: DataFrame, flips: str = "flips") -> DataFrame:

@@ -7,23 +7,27 @@ from pyspark.sql import functions as F
 
 from caresieve.functions.dates import parsed
 from caresieve.functions.predicates import SpecError, days_between
-from caresieve.functions.text import seeded_order
+from caresieve.functions.text import padded, seeded_order
+from caresieve.operators.etl import new_ids
 from caresieve.operators.quality import is_sentinel
+from caresieve.operators.skew import free_names
 from caresieve.operators.spec import Protocol, Variable
 
 
 def pseudonym_map(ids: DataFrame, key: str, salt: str = "pseudonym", existing: str | None = None) -> DataFrame:
     """key, new_id: patient00001_ABCDE by the order of the ids; letters from a salted hash.
 
+    Numbers have five digits or as many as they need, so no two patients share one.
     The same ids and salt give the same names. An `existing` column that holds a name
-    keeps it. Names are numbered over all patients, of whom there is one row each.
+    keeps it. Names are numbered over all patients, of whom there is one row each; the
+    numbers come from one range sort, not from one task.
     """
     digest = F.sha2(F.concat(F.lit(f"{salt}:"), F.col(key).cast("string")), 256)
     letters = F.concat(*[F.chr(65 + F.conv(F.substring(digest, 1 + 2 * i, 2), 16, 10).cast("int") % 26) for i in range(5)])
-    number = F.row_number().over(Window.orderBy(key))
-    fresh = F.concat(F.lit("patient"), F.lpad(number.cast("string"), 5, "0"), F.lit("_"), letters)
+    number = free_names(ids.columns, "number")[0]
+    fresh = F.concat(F.lit("patient"), padded(F.col(number), 5), F.lit("_"), letters)
     own = F.coalesce(F.nullif(F.trim(F.col(existing)), F.lit("")), fresh) if existing else fresh
-    return ids.select(F.col(key), own.alias("new_id"))
+    return new_ids(ids, [key], 0, number).select(F.col(key), own.alias("new_id"))
 
 
 def pseudonymise(df: DataFrame, key: str, names: DataFrame, order: list[str]) -> DataFrame:

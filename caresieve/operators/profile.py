@@ -5,31 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from caresieve.operators.quantiles import exact_quantiles
+
 NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
 def profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """variable, type, valid, missing, mean, sd, min, q1, median, q3, max; quartiles are exact, null for texts."""
+    """variable, type, valid, missing, mean, sd, min, q1, median, q3, max; quartiles are exact, null for texts.
+
+    One aggregation for all but the quartiles, which come by ranks (exact_quantiles).
+    """
     kinds = dict(df.dtypes)
     columns = columns or df.columns
+    numbers = [c for c in columns if kinds[c] in NUMBERS or kinds[c].startswith("decimal")]
     aggs, rows = [], []
     for i, c in enumerate(columns):
         x = F.col(f"`{c}`")
-        number = kinds[c] in NUMBERS or kinds[c].startswith("decimal")
-        v = x.cast("double") if number else F.lit(None).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.count(F.lit(1)).alias(f"t{i}")]
-        if number:
-            aggs += [F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"), F.min(v).alias(f"l{i}"), F.max(v).alias(f"h{i}"), F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}")]
-        none = F.lit(None).cast("double")
-        at = lambda k, number=number, i=i: F.col(f"{k}{i}") if number else none
-        q = lambda j, number=number, i=i: F.col(f"q{i}")[j] if number else none
+        if c in numbers:
+            v = x.cast("double")
+            aggs += [F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"), F.min(v).alias(f"l{i}"), F.max(v).alias(f"h{i}")]
+        at = lambda k, c=c, i=i: F.col(f"{k}{i}") if c in numbers else F.lit(None).cast("double")
         rows.append(
             F.struct(
                 F.lit(c).alias("variable"), F.lit(kinds[c]).alias("type"), F.col(f"n{i}").alias("valid"), (F.col(f"t{i}") - F.col(f"n{i}")).alias("missing"),
-                at("m").alias("mean"), at("s").alias("sd"), at("l").alias("min"), q(0).alias("q1"), q(1).alias("median"), q(2).alias("q3"), at("h").alias("max"),
+                at("m").alias("mean"), at("s").alias("sd"), at("l").alias("min"), at("h").alias("max"),
             )
         )
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    out = df.agg(*aggs).select(F.inline(F.array(*rows)))
+    if not numbers:
+        return out.select("variable", "type", "valid", "missing", "mean", "sd", "min", *[F.lit(None).cast("double").alias(q) for q in ("q1", "median", "q3")], "max")
+    cells = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(f"`{c}`").cast("double").alias("x")) for c in numbers])
+    quartiles = exact_quantiles(df.select(F.inline(cells)), ["variable"], "x", [0.25, 0.5, 0.75]).select("variable", "quantiles")
+    out = out.join(quartiles, "variable", "left")  # a row a column
+    return out.select("variable", "type", "valid", "missing", "mean", "sd", "min", *[F.col("quantiles")[i].alias(q) for i, q in enumerate(("q1", "median", "q3"))], "max")
 
 
 def frequent_values(df: DataFrame, columns: list[str], k: int = 10) -> DataFrame:

@@ -221,36 +221,112 @@ def merge_results(old: DataFrame, new: DataFrame) -> DataFrame:
     return both.withColumn("__r", rank).where("__r = 1").drop("__r", "__new")
 
 
-def validate(df: DataFrame, protocol: Protocol, key: str | None = None, mode: str = "collect") -> DataFrame:
-    """All codes of a clinical table (RESULT schema): row checks in one pass, then levels, variability, replicates.
+def _rows(spark, code: str, found: list[tuple[str | None, int]]) -> DataFrame:
+    """RESULT rows of what the driver knows from the schema alone."""
+    severity = "error" if code[0] == "E" else "warning"
+    return spark.createDataFrame([(PHASES[code], code, severity, v, n, n > 0) for v, n in found], RESULT)
 
-    mode failfast runs phase by phase and stops after the first with an error.
-    """
+
+def _result(code: Column, variable: Column, n: Column) -> list[Column]:
+    table = F.create_map(*[F.lit(x) for kv in PHASES.items() for x in kv])
+    severity = F.when(F.substring(code, 1, 1) == "E", "error").otherwise("warning")
+    return [F.element_at(table, code).alias("phase"), code.alias("code"), severity.alias("severity"), variable.cast("string").alias("variable"), n.cast("long").alias("n"), (n > 0).alias("present")]
+
+
+def _level_results(df: DataFrame, variables: list[Variable], missing) -> DataFrame:
+    """E501, W501, W901 and W902 of all discontinuous variables from one count of their levels."""
     spark = df.sparkSession
-    parts = [run_checks(df, row_checks(protocol, df.columns))]
-    cols = column_faults([v.name for v in protocol.variables], [c for c in df.columns if c != key])
-    n = len(cols["missing"]) + len(cols["extra"])
-    parts.append(spark.createDataFrame([(PHASES["E301"], "E301", "error", None, n, n > 0)], RESULT))
-    for v in protocol.of_kind("discontinuous"):
-        if v.name in df.columns:
-            found = level_conformance(df, v, protocol.missing).groupBy("code").agg(F.count(F.lit(1)).alias("levels"))
-            parts.append(found.select(F.lit(PHASES["E501"]).alias("phase"), "code", F.when(F.col("code") == "E501", "error").otherwise("warning").alias("severity"), F.lit(v.name).alias("variable"), F.lit(1).cast("long").alias("n"), F.lit(True).alias("present")))
-    for v in protocol.of_kind("continuous"):
-        if v.variability and v.name in df.columns:
-            cv = variability(df, [v.name], protocol.missing if not isinstance(protocol.missing, str) else None)
-            bad = F.lit(False)
-            for p in v.variability:
-                bad = bad | ~predicate(p, F.col("cv"))
-            parts.append(cv.select(F.lit(PHASES["W401"]).alias("phase"), F.lit("W401").alias("code"), F.lit("warning").alias("severity"), "variable", bad.cast("long").alias("n"), bad.alias("present")))
+    total = df.agg(F.count(F.lit(1)).alias("n_all"))
+    counts = level_frequencies(df, [v.name for v in variables]).where(~is_sentinel(F.col("level"), missing))
+    allowed = [(v.name, x) for v in variables for x in {*v.levels, *(s for xs in v.synonyms.values() for s in xs)}]
+    allowed = spark.createDataFrame(allowed, "variable string, level string")
+    extra = counts.join(allowed, ["variable", "level"], "left_anti").groupBy("variable").agg(F.count(F.lit(1)).alias("n"))
+    canon = F.col("level")
+    for v in variables:
+        canon = F.when(F.col("variable") == v.name, canonical(F.col("level"), v)).otherwise(canon)
+    named = counts.select("variable", canon.alias("level"), "n").groupBy("variable", "level").agg(F.sum("n").alias("n"))
+    expected = spark.createDataFrame([(v.name, x) for v in variables for x in v.levels], "variable string, level string")
+    absent = expected.join(named, ["variable", "level"], "left_anti").groupBy("variable").agg(F.count(F.lit(1)).alias("n"))
+    truths = [v.name for v in variables if v.ground_truth]
+    is_truth = F.col("variable").isin(*truths) if truths else F.lit(False)
+    limits = [(v.name, v.cardinality or len(v.levels), float(v.unbalance[0].replace("<", "").replace("%", "").strip())) for v in variables if v.unbalance]
+    one = F.least(F.col("n"), F.lit(1))
+    out = extra.select(*_result(F.lit("E501"), F.col("variable"), one))
+    out = out.unionByName(absent.select(*_result(F.when(is_truth, "W501").otherwise("E501"), F.col("variable"), one)))
+    if limits:
+        limits = spark.createDataFrame(limits, "variable string, cardinality int, top double")
+        gap = (1 - F.col("n") / F.col("n_all") * F.col("cardinality")) * 100
+        uneven = named.join(F.broadcast(limits), "variable").crossJoin(F.broadcast(total)).groupBy("variable").agg(F.count_if(gap >= F.col("top")).alias("n"))
+        out = out.unionByName(uneven.select(*_result(F.when(is_truth, "W902").otherwise("W901"), F.col("variable"), F.col("n"))))
+    return out.groupBy("phase", "code", "severity", "variable").agg(F.max("n").alias("n"), F.bool_or("present").alias("present"))
+
+
+def _variability_results(df: DataFrame, variables: list[Variable], missing) -> DataFrame:
+    """W401 of continuous variables, and W903 of a continuous ground truth, from one aggregation."""
+    missing = None if isinstance(missing, str) else missing
+    stats = variability(df, [v.name for v in variables], missing)
+    bad = F.lit(False)
+    for v in variables:
+        fails = F.lit(False)
+        for p in v.variability:
+            fails = fails | ~predicate(p, F.col("cv"))
+        bad = F.when(F.col("variable") == v.name, fails).otherwise(bad)
+    truths = [v.name for v in variables if v.ground_truth]
+    code = F.when(F.col("variable").isin(*truths), "W903").otherwise("W401") if truths else F.lit("W401")
+    return stats.select(*_result(code, F.col("variable"), F.coalesce(bad, F.lit(False)).cast("long")))
+
+
+def validate(df: DataFrame, protocol: Protocol, key: str | None = None, mode: str = "collect", units: dict[str, str] | None = None, known: DataFrame | None = None, known_key: str | None = None) -> DataFrame:
+    """The codes of a clinical table (RESULT schema): columns, types, ranges, levels, dates, replicates, ids, balance.
+
+    E301 to E303 come from the schema (E302 from `units`, the header's units). Row checks
+    are one aggregation, variability another, levels one count for all variables;
+    replicates and unknown ids (E801, against `known`) each need a shuffle of their own.
+
+    mode collect returns all of these, unread. mode failfast reads phase by phase and
+    doesn't start those after the first with an error; its rows, a few for each
+    variable, are held by the driver.
+    """
+    spark, have = df.sparkSession, [c for c in df.columns if c != key]
+    want = [v.name for v in protocol.variables]
+    checks = row_checks(protocol, df.columns)
+    there = [v for v in protocol.variables if v.name in df.columns]
+    levels = [v for v in there if v.kind == "discontinuous"]
+    spread = [v for v in there if v.kind == "continuous" and v.variability]
+    cols = column_faults(want, have)
+    phases: list[tuple[int, object]] = [
+        (3, lambda: _rows(spark, "E301", [(None, len(cols["missing"]) + len(cols["extra"]))])),
+        (3, lambda: _rows(spark, "E303", [(None, len(order_faults([v.name for v in protocol.ordered()], have)))])),
+    ]
+    if units is not None:
+        phases.append((3, lambda: _rows(spark, "E302", [(v, 1) for v in unit_faults(protocol, units)])))
+    if mode == "failfast":
+        for n in sorted({PHASES[c.code] for c in checks}):
+            phases.append((n, lambda n=n: run_checks(df, [c for c in checks if PHASES[c.code] == n])))
+    else:
+        phases.append((2, lambda: run_checks(df, checks)))
+    if spread:
+        phases.append((4, lambda: _variability_results(df, spread, protocol.missing)))
+    if levels:
+        phases.append((5, lambda: _level_results(df, levels, protocol.missing)))
     if key:
-        copies = number_replicates(df, key, [key]).agg(F.count_if(F.col("copy") > 1).alias("n"))
-        parts.append(copies.select(F.lit(PHASES["W701"]).alias("phase"), F.lit("W701").alias("code"), F.lit("warning").alias("severity"), F.lit(None).cast("string").alias("variable"), "n", (F.col("n") > 0).alias("present")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        copies = lambda: number_replicates(df, key, [key]).agg(F.count_if(F.col("copy") > 1).alias("n"))
+        phases.append((7, lambda: copies().select(*_result(F.lit("W701"), F.lit(None), F.col("n")))))
+    if key and known is not None:
+        strangers = lambda: unmapped(df, known, key, known_key or key).agg(F.count(F.lit(1)).alias("n"))
+        phases.append((8, lambda: strangers().select(*_result(F.lit("E801"), F.lit(None), F.col("n")))))
+    phases.sort(key=lambda x: x[0])
     if mode == "failfast":
-        first = out.where("severity = 'error' and present").agg(F.min("phase")).first()[0]
-        out = out if first is None else out.where(F.col("phase") <= first)
+        rows: list = []
+        for n in sorted({x for x, _ in phases}):
+            found = [r for x, part in phases if x == n for r in part().collect()]  # a few rows for each variable
+            rows += found
+            if any(r.present and r.severity == "error" for r in found):
+                break
+        return spark.createDataFrame(rows, RESULT)
+    out = phases[0][1]()
+    for _, part in phases[1:]:
+        out = out.unionByName(part())
     return out
 
 
@@ -271,6 +347,44 @@ def with_patient_id(df: DataFrame, order: list[str] | None = None, images: bool
     return new_ids(keyed, order or ["__h"], 0, PATIENT_ID).drop("__h"), True
 
 
+def input_faults(listing: DataFrame, expected: dict[str, str], path: str = "path") -> DataFrame:
+    """(code, part) of what a site's folder lacks: E001 a part's folder, E002 the clinical file, E006 the mapping or any sample.
+
+    listing: the relative paths of all files and folders, as texts. expected: the files
+    of the parts that the protocol asks for: clinical (a file name), images (any text),
+    genomics (the mapping's name). A part without its folder has no further fault.
+    """
+    p = F.col(path)
+    tests = {}
+    for part, name in expected.items():
+        inside = p.startswith(f"{part}/") | (p == part)
+        tests[part] = [F.coalesce(F.bool_or(inside), F.lit(False)), F.coalesce(F.bool_or(p == f"{part}/{name}"), F.lit(False)), F.coalesce(F.bool_or(p.rlike(rf"^{part}/sample[^/]*\.json$")), F.lit(False))]
+    found = listing.agg(*[c.alias(f"{part}_{i}") for part, cs in tests.items() for i, c in enumerate(cs)])
+    rows = []
+    for part in expected:
+        has, file, samples = (F.col(f"{part}_{i}") for i in range(3))
+        rows.append(F.when(~has, F.struct(F.lit("E001").alias("code"), F.lit(part).alias("part"))))
+        if part == "clinical":
+            rows.append(F.when(has & ~file, F.struct(F.lit("E002").alias("code"), F.lit(part).alias("part"))))
+        if part == "genomics":
+            rows.append(F.when(has & (~file | ~samples), F.struct(F.lit("E006").alias("code"), F.lit(part).alias("part"))))
+    return found.select(F.inline(F.array_compact(F.array(*rows))))
+
+
+def header_faults(lines: list[str]) -> list[str]:
+    """E003 if a clinical table's first two lines aren't a header and a row of units, E004 if no column is the patient's id."""
+    import csv
+
+    from caresieve.operators.spec import id_column
+    from caresieve.sources.files import looks_numeric, sniff
+
+    if len(lines) < 2:
+        return ["E003"]
+    sep = sniff(lines)
+    names, units = (next(csv.reader([x], delimiter=sep)) for x in lines[:2])
+    return ["E003"] * (len(units) != len(names) or looks_numeric(units)) + ["E004"] * (id_column(names) is None)
+
+
 def patient_total(patients: DataFrame, expected: int) -> DataFrame:
     """E007: n, expected, present: whether the list's size isn't the configured one."""
     n = patients.agg(F.count(F.lit(1)).alias("n"))

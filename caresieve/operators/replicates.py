@@ -9,14 +9,27 @@ from pyspark.sql import functions as F
 
 from caresieve.functions.arrays import doubles, squared_distance
 from caresieve.operators.graph import components
+from caresieve.operators.skew import cut
 
-#: Coordinates that make the grid; vectors within the distance lie in neighbouring cells of each.
+#: Projections that make the grid: vectors within the distance lie in neighbouring cells of each.
 GRID_AXES = 3
 DISTANCE = 1e-3
+SEED = 11
 
 
-def _cell(vector: Column, axis: int, width: float) -> Column:
-    return F.floor(F.element_at(vector, axis + 1) / width)
+def _projection(vector: Column, axis: int) -> Column:
+    """The vector along a seeded unit direction of its own length, so no two vectors are farther apart there than in full.
+
+    Every coordinate takes part, so vectors that agree in some of them (black corners
+    of images) still fall in different cells.
+    """
+
+    def weight(i: Column) -> Column:
+        return F.pmod(F.xxhash64(F.lit(SEED + axis), i), F.lit(1 << 20)) / F.lit(float(1 << 19)) - 1.0
+
+    along = F.aggregate(F.transform(vector, lambda v, i: v * weight(i)), F.lit(0.0), lambda s, v: s + v)
+    norm = F.aggregate(F.transform(vector, lambda v, i: weight(i) * weight(i)), F.lit(0.0), lambda s, v: s + v)
+    return F.coalesce(F.try_divide(along, F.sqrt(norm)), F.lit(0.0))
 
 
 def distinct_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -28,18 +41,22 @@ def close_pairs(df: DataFrame, key: str, vector: str, distance: float = DISTANCE
     """(a, b, distance), a < b, of the representatives of different vectors nearer than `distance`.
 
     Equal vectors are one representative, so a group of copies makes no pairs. Cells
-    are as wide as the distance, so the 3 ** axes neighbours hold every partner; the
-    join is on cells and not on all pairs. Vectors shorter than the grid use fewer axes.
+    are as wide as the distance (and a hair more, for rounding), so the 3 ** axes
+    neighbours hold every partner. Only keys are copied to neighbours; a vector moves
+    to the pairs of which it is part.
     """
     points = distinct_vectors(df.select(F.col(key).alias("k"), doubles(F.col(vector)).alias("x")), "k", "x").select(F.col("rep").alias("k"), F.col("v").alias("x"))
-    cells = [_cell(F.col("x"), i, distance).alias(f"c{i}") for i in range(axes)]
-    own = points.select(F.col("k").alias("a"), F.col("x").alias("xa"), *cells)
+    width = distance * (1 + 1e-6)
+    cells = [F.floor(_projection(F.col("x"), i) / width).alias(f"c{i}") for i in range(axes)]
+    points = cut(points.select("k", "x", *cells))
+    own = points.select(F.col("k").alias("a"), *[f"c{i}" for i in range(axes)])
     shifts = F.array(*[F.struct(*[F.lit(s).alias(f"s{i}") for i, s in enumerate(shift)]) for shift in product((-1, 0, 1), repeat=axes)])
-    near = points.select(F.col("k").alias("b"), F.col("x").alias("xb"), *cells, F.explode(shifts).alias("s"))
-    near = near.select("b", "xb", *[(F.col(f"c{i}") + F.col(f"s.s{i}")).alias(f"c{i}") for i in range(axes)])
+    near = points.select(F.col("k").alias("b"), *[f"c{i}" for i in range(axes)], F.explode(shifts).alias("s"))
+    near = near.select("b", *[(F.col(f"c{i}") + F.col(f"s.s{i}")).alias(f"c{i}") for i in range(axes)])
+    found = own.join(near, [f"c{i}" for i in range(axes)]).where("a < b").select("a", "b")
+    found = found.join(points.select(F.col("k").alias("a"), F.col("x").alias("xa")), "a").join(points.select(F.col("k").alias("b"), F.col("x").alias("xb")), "b")
     d2 = squared_distance(F.col("xa"), F.col("xb"))
-    found = own.join(near, [f"c{i}" for i in range(axes)]).where("a < b").withColumn("d2", d2)
-    return found.where(F.col("d2") < distance * distance).select("a", "b", F.sqrt("d2").alias("distance"))
+    return found.withColumn("d2", d2).where(F.col("d2") < distance * distance).select("a", "b", F.sqrt("d2").alias("distance"))
 
 
 def replicate_groups(df: DataFrame, key: str, vector: str, distance: float = DISTANCE) -> DataFrame:

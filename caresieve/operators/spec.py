@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass, field
 
 from caresieve.functions.predicates import SpecError
@@ -121,9 +120,11 @@ def protocol_from(document: dict) -> Protocol:
     )
 
 
-def load_protocol(path: str) -> Protocol:
-    with open(path, encoding="utf-8") as f:
-        return protocol_from(json.load(f))
+def load_protocol(path: str, spark=None) -> Protocol:
+    """From a JSON document; with a session from any store that Spark reads."""
+    from caresieve.sources.files import read_json
+
+    return protocol_from(read_json(path, spark))
 
 
 def faults(protocol: Protocol) -> list[str]:

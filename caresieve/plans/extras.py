@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from caresieve.functions import text
 from caresieve.operators import etl, images, prepare, profile, quality
 from caresieve.plans.register import registrar
-from caresieve.sources import sinks
+from caresieve.sources import files, sinks
 from caresieve.sources.tables import table
 from caresieve.streaming import incremental
 
@@ -42,9 +42,10 @@ def profile_replicates(spark, sf):
     return profile.replicate_statistics(table(spark, sf, "orders"), "o_custkey")
 
 
-@query("SELECT p_partkey AS concept_id, p_name AS concept_name, p_type AS concept_class_id FROM part")
+@query("SELECT p_partkey AS concept_id, p_name || ' \"' || p_brand AS concept_name, p_type AS concept_class_id, DATE '2024-02-29' AS valid_start_date FROM part")
 def catalog_vocabulary_scan(spark, sf):
-    return table(spark, sf, "part").select(F.col("p_partkey").alias("concept_id"), F.col("p_name").alias("concept_name"), F.col("p_type").alias("concept_class_id"))
+    lines = table(spark, sf, "part").select(F.concat_ws("\t", "p_partkey", F.concat("p_name", F.lit(' "'), "p_brand"), "p_type", F.lit("20240229")).alias("value"))
+    return files.vocabulary_rows(lines, "concept_id bigint, concept_name string, concept_class_id string, valid_start_date date")
 
 
 @query("SELECT s_name, CAST(nullif(regexp_extract(s_name, '(\\d+)', 1), '') AS BIGINT) AS number FROM supplier")
@@ -52,9 +53,9 @@ def str_natural_sort_key(spark, sf):
     return table(spark, sf, "supplier").select("s_name", text.numeric_order(F.col("s_name")).alias("number"))
 
 
-@query("SELECT page_id, regexp_extract(url, '[^/]*$') AS base FROM pages")
+@query(r"SELECT page_id, regexp_extract(regexp_replace(url, '[/\\]+$', ''), '[^/\\]*$') AS base FROM pages")
 def str_base_name(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.substring_index("url", "/", -1).alias("base"))
+    return table(spark, sf, "pages").select("page_id", text.base_name(F.col("url")).alias("base"))
 
 
 @query("SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN CAST(s_suppkey AS VARCHAR) ELSE 'x' || s_suppkey END AS key FROM supplier")
@@ -158,11 +159,11 @@ def structure_slice_labels(spark, sf):
     return images.slice_label_faults(rows.where("name <= 5"), rows.where("name <> 3").drop("label"), ["k"], "name", "label", ["A", "N"])
 
 
-@query("SELECT o_custkey AS person, 500 + row_number() OVER (ORDER BY o_custkey, o_orderkey, 'f' || o_orderkey) AS genomic_result_id, 'f' || o_orderkey AS filename FROM orders WHERE o_orderkey % 7 = 0")
+@query("SELECT o_custkey AS person, 500 + row_number() OVER (ORDER BY o_custkey, o_orderkey, 'f' || o_orderkey) AS genomic_result_id, 'f' || o_orderkey AS filename FROM orders")
 def etl_genomic_rows(spark, sf):
-    o = table(spark, sf, "orders").where("o_orderkey % 7 = 0").select(F.col("o_orderkey").alias("sample"), F.col("o_custkey").alias("person"))
-    files = o.select("sample", F.concat(F.lit("f"), F.col("sample")).alias("path"))
-    return etl.genomic_rows(files, o, "person", "sample", 500).select("person", "genomic_result_id", "filename")
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("sample"), F.col("o_custkey").alias("person"))
+    samples = o.select("sample", F.concat(F.lit("f"), F.col("sample")).alias("path"))
+    return etl.genomic_rows(samples, o, "person", "sample", 500).select("person", "genomic_result_id", "filename")
 
 
 @query(
@@ -171,10 +172,10 @@ SELECT row_number() OVER (ORDER BY procedure_occurrence_id) AS image_occurrence_
 )
 def etl_image_rows(spark, sf):
     rows = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("s"), "l_linenumber")
-    files = rows.select("s", F.concat(F.lit("f"), F.col("l_linenumber")).alias("path"))
+    paths = rows.select("s", F.concat(F.lit("f"), F.col("l_linenumber")).alias("path"))
     masks = rows.where("l_linenumber > 3").select("s", F.concat(F.lit("m"), F.col("l_linenumber")).alias("path"))
     procedures = rows.select("s").distinct().withColumn("procedure_occurrence_id", F.col("s"))
-    out = etl.image_rows(files, masks, procedures, ["s"])
+    out = etl.image_rows(paths, masks, procedures, ["s"])
     return out.select("image_occurrence_id", "procedure_occurrence_id", F.array_join("filename", ",").alias("files"), F.array_join("mask_filename", ",").alias("masks"))
 
 
@@ -193,14 +194,82 @@ def tensor_reorient(spark, sf):
     return out.select("vec_id", F.round(F.element_at("pixels", 1), 5).alias("first"), F.round(F.element_at("pixels", 64), 5).alias("last"))
 
 
-@query()
+@query(
+    f"""WITH v AS (SELECT label, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings), c AS (SELECT label, quantile_cont(v, [{', '.join(str(round(0.95 + i / 10_000, 4)) for i in range(500))}]) AS y FROM v GROUP BY label),
+u AS (SELECT label, y[i] AS yi, i, (i - 1) / 499 - (y[i] - y[1]) / (y[500] - y[1]) AS d FROM c, (SELECT unnest(range(1, 501)) AS i)), k AS (SELECT label, arg_max(yi, round(d, 12) - i * 1e-13) AS top FROM u GROUP BY label)
+SELECT vec_id, round(least(list_max(embedding), top), 5) AS top FROM embeddings JOIN k USING (label)"""
+)
 def tensor_knee_clip(spark, sf):
-    e = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("pixels"))
-    return images.knee_clip(e).select("vec_id", F.round(F.array_max("pixels"), 6).alias("top"))
+    e = table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").alias("pixels"))
+    return images.knee_clip(e, ["label"]).select("vec_id", F.round(F.array_max("pixels"), 5).alias("top"))
 
 
-@query()
+@query(
+    """WITH b AS (SELECT vec_id % 4 AS segment, vec_id // 4 AS slice, list_transform(embedding, lambda v: v > CAST(0.1 AS DOUBLE)) AS p FROM embeddings), e AS (SELECT * FROM b UNION ALL SELECT 9, slice, p FROM b WHERE segment = 1),
+l AS (SELECT segment, p, row_number() OVER (PARTITION BY segment ORDER BY slice) - 1 AS i, count(*) OVER (PARTITION BY segment) AS m FROM e WHERE list_bool_or(p)),
+w AS (SELECT segment, list(p ORDER BY i) AS w FROM l WHERE abs(i - m // 2) <= 5 GROUP BY segment) SELECT count(*) AS n, string_agg(segment, ',' ORDER BY segment) AS masks FROM w GROUP BY w HAVING count(*) > 1"""
+)
 def mask_replicate_windows(spark, sf):
     e = table(spark, sf, "embeddings").select(F.lit("s").alias("series"), (F.col("vec_id") % 4).alias("segment"), F.floor(F.col("vec_id") / 4).alias("slice"), F.transform("embedding", lambda v: (v > 0.1).cast("int")).alias("pixels"))
     copy = e.where("segment = 1").withColumn("segment", F.lit(9))
     return images.mask_replicates(e.unionByName(copy), ["series"], "segment", "slice").select("n", F.array_join(F.transform("masks", lambda x: x.cast("string")), ",").alias("masks"))
+
+
+_INSTANCES = "SELECT l_suppkey AS k, (l_partkey + l_linenumber) % 40 // 8 AS t, CASE WHEN l_linenumber = 7 THEN 5 WHEN l_orderkey % 23 = 0 THEN -1 ELSE (l_partkey + l_linenumber) % 40 // 8 END AS p FROM lineitem"
+_CELLS = f"""WITH x AS ({_INSTANCES}), s AS (SELECT k, t, p, count(*) OVER (PARTITION BY k, t) AS st, count(*) OVER (PARTITION BY k, p) AS sp FROM x),
+f AS (SELECT k, CASE WHEN st < 3 THEN -1 ELSE t END AS t, CASE WHEN sp < 3 THEN -1 ELSE p END AS p FROM s), c AS (SELECT k, t, p, count(*) AS n FROM f GROUP BY ALL),
+d AS (SELECT *, sum(n) OVER (PARTITION BY k, t) AS nt, sum(n) OVER (PARTITION BY k, p) AS np, row_number() OVER (PARTITION BY k, p ORDER BY n DESC, t) AS r FROM c),
+o AS (SELECT k, t, n / (nt + np - n) AS iou FROM d WHERE r = 1 AND p <> -1), h AS (SELECT k, t, lim, iou > lim AS hit FROM o, (SELECT unnest([0.5, 0.6, 0.7, 0.8, 0.9]) AS lim)),
+q AS (SELECT k, lim, count(*) FILTER (WHERE hit AND t <> -1) AS tp, count(*) - count(*) FILTER (WHERE hit AND t = -1) AS np, count(DISTINCT CASE WHEN hit AND t <> -1 THEN t END) AS fd FROM h GROUP BY k, lim),
+g AS (SELECT k, count(DISTINCT t) AS n_t FROM f WHERE t <> -1 GROUP BY k), z AS (SELECT q.k, lim, coalesce(tp / nullif(tp + coalesce(n_t, 0) - fd, 0), 0) AS r, coalesce(tp / nullif(np, 0), 0) AS p FROM q LEFT JOIN g ON q.k = g.k),
+e AS (SELECT k, lim, r, p FROM z UNION ALL SELECT DISTINCT k, 2.0, 1.0, 0.0 FROM z), m AS (SELECT k, r - coalesce(lag(r) OVER w, 0) AS step, max(p) OVER (PARTITION BY k ORDER BY r, lim ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS p FROM e WINDOW w AS (PARTITION BY k ORDER BY r, lim))"""
+
+
+@query(f"{_CELLS} SELECT k, round(sum(step * p), 6) AS average_precision FROM m GROUP BY k")
+def mask_average_precision(spark, sf):
+    """A supplier's lines as an image: lines are pixels, and instances come from their parts."""
+    label = F.floor((F.col("l_partkey") + F.col("l_linenumber")) % 40 / 8)
+    wrong = F.when(F.col("l_linenumber") == 7, 5).when(F.col("l_orderkey") % 23 == 0, -1).otherwise(label)
+    rows = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("k"), label.alias("t"), wrong.alias("p"))
+    return images.average_precision(rows, "t", "p", -1, 3, ["k"]).withColumn("average_precision", F.round("average_precision", 6))
+
+
+@query(
+    """WITH f AS (SELECT DISTINCT o_custkey AS k FROM orders), c AS (SELECT l_suppkey AS k, count(*) FILTER (WHERE l_returnflag = 'R' AND l_linenumber = 6) AS n FROM lineitem GROUP BY 1)
+SELECT 'E2201' AS code, f.k, coalesce(n, 0) AS n_files FROM f LEFT JOIN c ON f.k = c.k WHERE coalesce(n, 0) <> 1"""
+)
+def structure_label_files(spark, sf):
+    names = F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 6), "labels.CSV").otherwise("slice.dcm")
+    found = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("k"), names.alias("name"))
+    return images.label_file_faults(table(spark, sf, "orders").select(F.col("o_custkey").alias("k")), found, ["k"], "name")
+
+
+@query("SELECT 'E2202' AS code, l_orderkey AS k, max(CASE WHEN l_linestatus = 'O' THEN 3 ELSE 2 END) AS n_columns FROM lineitem GROUP BY 2 HAVING n_columns <> 2")
+def structure_label_tables(spark, sf):
+    row = F.concat_ws(";", F.concat(F.lit("slice"), F.col("l_linenumber")), F.lit("x"), F.when(F.col("l_linestatus") == "O", "more"))
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("place"), row.alias("line"))
+    return images.label_table_faults(lines, ["k"])
+
+
+@query("SELECT 'E001' AS code, 'images' AS part UNION ALL SELECT 'E002', 'clinical' WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_name = 'table.csv') UNION ALL SELECT 'E006', 'genomics' WHERE (SELECT count(*) FROM orders) = 0")
+def structure_input_faults(spark, sf):
+    """Customers lie in the clinical folder, orders are genomic samples, and there are no images."""
+    clinical = table(spark, sf, "customer").select(F.concat(F.lit("clinical/"), F.col("c_name")).alias("path"))
+    samples = table(spark, sf, "orders").select(F.concat(F.lit("genomics/sample_"), F.col("o_orderkey"), F.lit(".json")).alias("path"))
+    mapping = spark.createDataFrame([("genomics/mapping.csv",)], "path string")
+    return quality.input_faults(clinical.unionByName(samples).unionByName(mapping), {"clinical": "table.csv", "images": "", "genomics": "mapping.csv"})
+
+
+@query(
+    "SELECT CASE WHEN c_mktsegment = 'MACHINERY' OR c_custkey % 7 = 0 THEN 'W3301' ELSE 'E3301' END AS code, c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY' OR c_custkey % 7 = 0 OR c_mktsegment <> 'BUILDING' OR c_nationkey > 20"
+)
+def structure_view_faults(spark, sf):
+    c = table(spark, sf, "customer")
+    flat = c.select("c_custkey", F.when(F.col("c_mktsegment") == "BUILDING", "L").when(F.col("c_mktsegment") == "MACHINERY", " ").otherwise("R").alias("patient_orientation"), F.when(F.col("c_custkey") % 7 != 0, F.when(F.col("c_nationkey") > 20, "PA").otherwise("AP")).alias("view_position"))
+    return images.view_faults(flat, ["c_custkey"], "L", "AP")
+
+
+@query("SELECT o_custkey AS id FROM orders WHERE o_orderpriority = '1-URGENT' UNION SELECT user_id FROM events WHERE event_type = 'purchase' UNION SELECT c_custkey FROM customer WHERE c_acctbal < 0")
+def cohort_removal_union(spark, sf):
+    t = lambda n: table(spark, sf, n)
+    return images.removal_union(t("orders").where("o_orderpriority = '1-URGENT'").select("o_custkey"), t("events").where("event_type = 'purchase'").select("user_id"), t("customer").where("c_acctbal < 0").select("c_custkey"))

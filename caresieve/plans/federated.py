@@ -8,6 +8,7 @@ from caresieve.functions.arrays import doubles
 from caresieve.operators import covariance as cov
 from caresieve.operators import learning, similarity
 from caresieve.operators.moments import local_moments, pooled_moments
+from caresieve.operators.skew import cut
 from caresieve.plans.register import registrar
 from caresieve.sources.tables import measurements_by_site, table
 
@@ -61,7 +62,14 @@ def fed_correlation(spark, sf):
     return _long_matrix(spark, stats.correlation, "correlation")
 
 
-@query()
+#: Eigenvalues of the 3 x 3 correlation matrix in closed form, largest first.
+_EIGEN = f"""s AS ({SITE_SQL}), r AS (SELECT corr({VARS[0]}, {VARS[1]}) AS a, corr({VARS[0]}, {VARS[2]}) AS b, corr({VARS[1]}, {VARS[2]}) AS c FROM s),
+p AS (SELECT a, b, c, sqrt((a * a + b * b + c * c) / 3) AS p FROM r), f AS (SELECT a, b, c, p, acos(least(1, greatest(-1, a * b * c / (p * p * p)))) / 3 AS f FROM p),
+l AS (SELECT a, b, c, i + 1 AS component, 1 + 2 * p * cos(f + (CASE i WHEN 0 THEN 0 WHEN 1 THEN 4 ELSE 2 END) * pi() / 3) AS l FROM f, (SELECT unnest(range(3)) AS i)),
+e AS (SELECT *, l / 3 AS explained, coalesce(sum(l / 3) OVER (ORDER BY component ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 0.7 - 1e-12 AS kept FROM l)"""
+
+
+@query(f"WITH {_EIGEN} SELECT CAST(component AS INTEGER) AS component, round(explained, 6) AS explained, kept FROM e")
 def fed_pca_explained(spark, sf):
     stats = cov.pooled(cov.local_scatter(measurements_by_site(spark, sf), "site", VARS))
     found = cov.principal_components(stats.correlation)
@@ -78,9 +86,25 @@ def fed_t2_distances(spark, sf):
     return rows.groupBy("site").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("t2") > 4).alias("n_far"), F.round(F.max("t2"), 6).alias("max_t2"))
 
 
-@query()
+_Z = [f"({c} - (SELECT avg({c}) FROM s)) / (SELECT stddev_samp({c}) FROM s)" for c in VARS]
+
+
+#: The F quantile at 0.95 for k and n - k degrees: its density over u = sqrt(x) is summed by Simpson's rule in 4,000 cells up to u = 2.
+_F_DENSITY = "2 * {u} * exp(lgamma(n / 2) - lgamma(k / 2) - lgamma((n - k) / 2) + k / 2 * ln(k / (n - k)) + (k - 2) * ln({u}) - n / 2 * ln(1 + k * {u} * {u} / (n - k)))"
+_F_CELLS = ", ".join(_F_DENSITY.format(u=f"greatest((i + {x}) * 0.0005, 1e-9)") + f" AS f{j}" for j, x in enumerate((0, 0.5, 1)))
+
+
+@query(
+    f"""WITH {_EIGEN}, v AS (SELECT component, a * c - b * (1 - l) AS x, a * b - (1 - l) * c AS y, (1 - l) * (1 - l) - a * a AS z FROM e WHERE kept),
+d AS (SELECT row_number() OVER () AS rid, site, l_orderkey, l_linenumber, {', '.join(f'{z} AS z{i}' for i, z in enumerate(_Z))} FROM s), q AS (SELECT rid, site, l_orderkey, l_linenumber, component, x * z0 + y * z1 + z * z2 AS q FROM d, v),
+m AS (SELECT site, component, avg(q) AS m, var_samp(q) AS w, count(*) AS n FROM q GROUP BY site, component), k AS (SELECT site, CAST(any_value(n) AS DOUBLE) AS n, CAST(count(*) AS DOUBLE) AS k FROM m GROUP BY site),
+g AS (SELECT site, n, k, i, {_F_CELLS} FROM k, (SELECT unnest(range(4000)) AS i)), c AS (SELECT site, n, k, i, sum((f0 + 4 * f1 + f2) * 0.0005 / 6) OVER (PARTITION BY site ORDER BY i) AS p, (f0 + 4 * f1 + f2) * 0.0005 / 6 AS own FROM g),
+h AS (SELECT site, k * (n - 1) / (n - k) * pow(0.0005 * (i + (0.95 - p + own) / own), 2) AS top FROM c WHERE p >= 0.95 AND p - own < 0.95),
+t AS (SELECT rid, q.site, l_orderkey, l_linenumber, sum((q - m) * (q - m) / w) AS t2 FROM q JOIN m ON q.site = m.site AND q.component = m.component GROUP BY ALL)
+SELECT t.site, l_orderkey, l_linenumber, round(t2, 6) AS t2 FROM t JOIN h ON t.site = h.site WHERE t2 > top"""
+)
 def fed_t2_outliers(spark, sf):
-    m = measurements_by_site(spark, sf)
+    m = cut(measurements_by_site(spark, sf).select("site", "l_orderkey", "l_linenumber", *VARS))  # three passes over one join
     stats = cov.pooled(cov.local_scatter(m, "site", VARS))
     found = cov.principal_components(stats.correlation)
     scored = m.select("site", "l_orderkey", "l_linenumber", *cov.score_columns(VARS, stats, found.loadings))
@@ -141,7 +165,38 @@ def _returned(spark, sf):
     return rows.select("site", ((F.col("l_quantity") - 25) / 15).alias("q"), ((F.col("l_extendedprice") - 50_000) / 30_000).alias("p"), (F.col("l_extendedprice") > 50_000).cast("int").alias("y"))
 
 
-@query()
+def _rounds_sql(loss: str, rounds: int, rate: float, l1: float, l2: float) -> str:
+    """Gradient steps, one after the other; sites weigh by their rows, so the means are those of all rows."""
+    z = "(bias + wq * q + wp * p)"
+    gap = f"(1 / (1 + exp(-{z})) - y)" if loss == "logistic" else f"(2 * ({z} - y))"
+    steps = [f"s AS MATERIALIZED (SELECT (l_quantity - 25) / 15 AS q, (l_extendedprice - 50000) / 30000 AS p, CAST(l_extendedprice > 50000 AS INTEGER) AS y FROM ({SITE_SQL}))", "r0 AS (SELECT 0.0::DOUBLE AS bias, 0.0::DOUBLE AS wq, 0.0::DOUBLE AS wp)"]
+    for i in range(rounds):
+        step = [f"any_value(bias) - {rate} * avg({gap}) AS bias"] + [f"any_value({w}) - {rate} * (avg({gap} * {x}) + {l1} * sign(any_value({w})) + {2 * l2} * any_value({w})) AS {w}" for w, x in (("wq", "q"), ("wp", "p"))]
+        steps.append(f"r{i + 1} AS MATERIALIZED (SELECT {', '.join(step)} FROM s, r{i})")
+    terms = " UNION ALL ".join(f"SELECT '{n}' AS term, round({w}, 6) AS weight FROM r{rounds}" for n, w in (("bias", "bias"), ("q", "wq"), ("p", "wp")))
+    return f"WITH {', '.join(steps)} {terms}"
+
+
+@query(_rounds_sql("squared", 5, 0.2, 0.01, 0.05))
+def fed_linear_rounds(spark, sf):
+    rows = _returned(spark, sf).persist()
+    model = learning.train_linear(rows, "site", ["q", "p"], "y", rounds=5, rate=0.2, l1=0.01, l2=0.05)
+    out = [(n, round(v, 6)) for n, v in zip(("bias", "q", "p"), (model.bias, *model.weights))]
+    rows.unpersist()
+    return spark.createDataFrame(out, "term string, weight double")
+
+
+@query(
+    f"""WITH v AS (SELECT site, l_extendedprice > 50000 AS y, 0.5 + 0.25 * (l_extendedprice - 50000) / 30000 - 0.1 * (l_quantity - 25) / 15 AS z FROM ({SITE_SQL})), c AS (SELECT site, avg(pow(z - CAST(y AS INTEGER), 2)) AS mse, count(*) FILTER (WHERE y AND z > 0) AS tp,
+count(*) FILTER (WHERE NOT y AND z > 0) AS fp, count(*) FILTER (WHERE y AND z <= 0) AS fn, count(*) AS n FROM v GROUP BY site)
+SELECT site, round(mse, 6) AS mse, round((n - fp - fn) / n, 6) AS accuracy, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS "precision", round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1 FROM c"""
+)
+def eval_regression_scores(spark, sf):
+    out = learning.regression_scores(_returned(spark, sf), ["q", "p"], "y", learning.Linear((-0.1, 0.25), 0.5), ["site"])
+    return out.select("site", *[F.round(c, 6).alias(c) for c in ("mse", "accuracy", "precision", "recall", "f1")])
+
+
+@query(_rounds_sql("logistic", 8, 2.0, 0.0, 0.0005))
 def fed_logistic_rounds(spark, sf):
     rows = _returned(spark, sf).persist()
     model = learning.train_logistic(rows, "site", ["q", "p"], "y", rounds=8, rate=2.0)

@@ -16,7 +16,7 @@ query = registrar(QUERIES, ORACLE)
 
 
 @query(
-    """WITH e AS (SELECT c_name, c_custkey FROM customer WHERE c_custkey % 3 = 0), i AS (SELECT DISTINCT c_name FROM customer WHERE c_custkey % 2 = 0),
+    """WITH e AS (SELECT c_name, c_custkey FROM customer WHERE c_custkey % 3 = 0), i AS (SELECT DISTINCT c_name FROM customer),
 f AS (SELECT c_name FROM i WHERE c_name NOT IN (SELECT c_name FROM e))
 SELECT i.c_name, e.c_custkey AS person_id, false AS is_new FROM i JOIN e ON i.c_name = e.c_name
 UNION ALL SELECT c_name, (SELECT max(c_custkey) FROM e) + row_number() OVER (ORDER BY c_name), true FROM f"""
@@ -24,7 +24,7 @@ UNION ALL SELECT c_name, (SELECT max(c_custkey) FROM e) + row_number() OVER (ORD
 def etl_person_upsert(spark, sf):
     c = table(spark, sf, "customer")
     existing = c.where("c_custkey % 3 = 0").select("c_name", F.col("c_custkey").alias("person_id"))
-    return etl.upsert(existing, c.where("c_custkey % 2 = 0"), "c_name", "person_id")
+    return etl.upsert(existing, c, "c_name", "person_id")
 
 
 @query("SELECT 1000 + row_number() OVER (ORDER BY o_orderkey) AS visit_occurrence_id, o_custkey AS person_id, 32026 AS visit_concept_id, 32817 AS visit_type_concept_id FROM orders")
@@ -84,15 +84,28 @@ def etl_observation_view(spark, sf):
     return cohort.union_views(m, o)
 
 
+@query(
+    """SELECT 700 + row_number() OVER (ORDER BY o_custkey, l_orderkey, l_linenumber, l_returnflag) AS procedure_occurrence_id, o_custkey AS person_id,
+CAST(CASE l_returnflag WHEN 'A' THEN 11 WHEN 'R' THEN 12 ELSE 0 END AS BIGINT) AS procedure_concept_id, l_orderkey AS visit_occurrence_id, l_linenumber FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+)
+def etl_procedure_rows(spark, sf):
+    rows = table(spark, sf, "lineitem").join(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    modalities = {"11": ["A"], "12": ["R"]}
+    concepts = {m: etl.procedure_concept(modalities, m) for m in ("A", "R", "N")}
+    concept = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in concepts.items() for x in kv]), F.col("l_returnflag")), F.lit(0))
+    rows = rows.select("o_custkey", "l_orderkey", "l_linenumber", "l_returnflag")
+    return etl.procedures(rows, "o_custkey", "l_orderkey", concept, ["o_custkey", "l_orderkey", "l_linenumber", "l_returnflag"], 700).drop("l_returnflag")
+
+
 @query("SELECT c_custkey, CAST(CAST('0x' || substr(sha256(c_name), 1, 16) AS UBIGINT) % 10000000000 AS BIGINT) AS number FROM customer")
 def etl_text_number(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", text_number(F.col("c_name")).alias("number"))
 
 
-@query("SELECT c_name, c_custkey AS id FROM customer WHERE c_custkey % 3 = 0 UNION ALL SELECT c_name, c_custkey FROM customer WHERE c_custkey % 3 <> 0 AND c_custkey % 2 = 0")
+@query("SELECT c_name, c_custkey AS id FROM customer")
 def etl_append_absent(spark, sf):
     c = table(spark, sf, "customer").select("c_name", F.col("c_custkey").alias("id"))
-    return etl.append_absent(c.where("id % 3 = 0"), c.where("id % 2 = 0"), ["c_name"])
+    return etl.append_absent(c.where("id % 3 = 0"), c, ["c_name"])
 
 
 @query(

@@ -14,11 +14,12 @@ ORACLE: dict = {}
 query = registrar(QUERIES, ORACLE)
 
 _LETTERS = " || ".join(f"chr(CAST(65 + CAST('0x' || substr(sha256('pseudonym:' || c_custkey), {1 + 2 * i}, 2) AS INTEGER) % 26 AS INTEGER))" for i in range(5))
-_NAMES = f"SELECT c_custkey, 'patient' || lpad(CAST(row_number() OVER (ORDER BY c_custkey) AS VARCHAR), 5, '0') || '_' || {_LETTERS} AS new_id FROM customer WHERE c_custkey % 5 <> 0"
+_NUMBER = "CAST(row_number() OVER (ORDER BY c_custkey) AS VARCHAR)"
+_NAMES = f"SELECT c_custkey, 'patient' || lpad({_NUMBER}, CAST(greatest(5, length({_NUMBER})) AS INTEGER), '0') || '_' || {_LETTERS} AS new_id FROM customer"
 
 
 def _names(spark, sf):
-    return p.pseudonym_map(table(spark, sf, "customer").where("c_custkey % 5 <> 0"), "c_custkey")
+    return p.pseudonym_map(table(spark, sf, "customer").select("c_custkey"), "c_custkey")
 
 
 @query(_NAMES)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from caresieve.operators import quality as q
 from caresieve.operators import schema
-from caresieve.operators.spec import Protocol, Variable
+from caresieve.operators.spec import Protocol, Variable, faults
 from caresieve.plans.register import registrar
 from caresieve.sources.tables import table
 
@@ -153,11 +153,16 @@ def dq_level_imbalance(spark, sf):
     return q.imbalance(o, "level", 3, "<30%").withColumn("gap", F.round("gap", 6))
 
 
-@query("SELECT p AS position FROM (SELECT unnest(range(1, (SELECT max(n_nationkey) FROM nation) + 1)) AS p) WHERE p NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey % 6 <> 0)")
+@query(
+    """WITH n AS (SELECT n_name, CASE WHEN n_nationkey % 6 <> 0 THEN n_nationkey END AS p FROM nation), t AS (SELECT max(p) AS top FROM n)
+SELECT 'no variable has position ' || p AS fault FROM (SELECT unnest(range(1, (SELECT top FROM t) + 1)) AS p) WHERE p NOT IN (SELECT p FROM n WHERE p IS NOT NULL)
+UNION ALL SELECT (SELECT count(*) FROM nation WHERE n_regionkey = 0) || ' variables are the ground truth; one must be'"""
+)
 def dq_protocol_positions(spark, sf):
-    n = table(spark, sf, "nation")
-    places = n.agg(F.max("n_nationkey").alias("top")).select(F.explode(F.sequence(F.lit(1).cast("long"), F.col("top").cast("long"))).alias("position"))
-    return places.join(n.where("n_nationkey % 6 <> 0").select(F.col("n_nationkey").cast("long").alias("position")), "position", "left_anti")
+    """The nations as a protocol's variables, every sixth without a position, Africa's as ground truths."""
+    rows = table(spark, sf, "nation").select("n_name", "n_nationkey", "n_regionkey").collect()  # a protocol is a document
+    protocol = Protocol(tuple(Variable(r.n_name, "str", r.n_nationkey if r.n_nationkey % 6 else None, ground_truth=r.n_regionkey == 0) for r in rows))
+    return spark.createDataFrame([(x,) for x in faults(protocol)], "fault string")
 
 
 def _summary_sql() -> str:
@@ -191,7 +196,26 @@ def dq_level_frequencies(spark, sf):
     return q.level_frequencies(dirty(spark, sf), ["l_returnflag", "l_discount"])
 
 
-@query()
+def _validate_sql() -> str:
+    row = "SELECT {p} AS phase, '{c}' AS code, '{s}' AS severity, {v} AS variable, CAST({n} AS BIGINT) AS n FROM d"
+    parts = [row.format(p=2, c="E201", s="error", v=f"'{c}'", n=f"count(*) FILTER (WHERE {_MISSING.format(c=c)})") for c in _COLUMNS]
+    parts += [row.format(p=3, c="E304", s="error", v=f"'{c}'", n=f"least(count(*) FILTER (WHERE {t}), 1)") for c, t in _BAD_TYPE.items()]
+    parts += [row.format(p=4, c="E401", s="error", v=f"'{c}'", n=f"count(*) FILTER (WHERE {t.format(v=_NUMBER.format(c=c))})") for c, t in _OUT.items()]
+    parts.append(row.format(p=6, c="E601", s="error", v="'ship'", n=f"least(count(*) FILTER (WHERE {_BAD_DATE}), 1)"))
+    parts.append(row.format(p=5, c="E501", s="error", v="'l_returnflag'", n="least(count(*) FILTER (WHERE l_returnflag NOT IN ('A', 'N', 'R')), 1)") + " HAVING count(*) FILTER (WHERE l_returnflag NOT IN ('A', 'N', 'R')) > 0")
+    parts.append(row.format(p=7, c="W701", s="warning", v="NULL", n=f"count(*) - count(DISTINCT ({', '.join(_COLUMNS)}))"))
+    parts += [f"SELECT 3, '{c}', 'error', NULL, 0" for c in ("E301", "E303")]
+    return f"WITH d AS ({DIRTY_SQL}) SELECT *, n > 0 AS present FROM ({' UNION ALL '.join(parts)})"
+
+
+@query(_validate_sql())
 def dq_validate_table(spark, sf):
     d = dirty(spark, sf).withColumn("l_orderkey", F.concat_ws("-", "l_orderkey", "l_linenumber")).drop("l_linenumber")
     return q.validate(d, PROTOCOL, "l_orderkey")
+
+
+@query(f"SELECT * FROM ({_validate_sql()}) WHERE phase <= 2")
+def dq_validate_failfast(spark, sf):
+    """Missing values are errors of phase 2, so later phases aren't read."""
+    d = dirty(spark, sf).withColumn("l_orderkey", F.concat_ws("-", "l_orderkey", "l_linenumber")).drop("l_linenumber")
+    return q.validate(d, PROTOCOL, "l_orderkey", "failfast")

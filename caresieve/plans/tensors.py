@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from caresieve.functions import arrays as A
@@ -89,7 +90,10 @@ def tensor_replicate_pairs(spark, sf):
     return replicates.close_pairs(_copied(spark, sf), "vec_id", "embedding").select("a", "b")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE c AS ({_COPIED}), d AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM c), l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM d a JOIN d b ON a.vec_id <> b.vec_id WHERE list_distance(a.x, b.x) < 0.001),
+w AS (SELECT a AS k, a AS r FROM l UNION SELECT w.k, l.b FROM w JOIN l ON w.r = l.a) SELECT k AS vec_id, min(r) AS group_id, k = min(r) AS kept FROM w GROUP BY k"""
+)
 def tensor_replicate_groups(spark, sf):
     return replicates.replicate_groups(_copied(spark, sf), "vec_id", "embedding")
 
@@ -174,12 +178,25 @@ def _slices(spark, sf):
     return table(spark, sf, "embeddings").select(F.col("label").alias("series"), F.col("vec_id").alias("slice_idx"), F.lit(8).alias("h"), F.lit(8).alias("w"), A.doubles(F.col("embedding")).alias("pixels"))
 
 
-@query()
+@query(
+    """WITH y AS (SELECT i, least(greatest((i + 0.5) * 8 / 4 - 0.5, 0), 7) AS y FROM (SELECT unnest(range(4)) AS i)), z AS (SELECT j, least(greatest((j + 0.5) * 8 / 6 - 0.5, 0), 7) AS z FROM (SELECT unnest(range(6)) AS j)),
+g AS (SELECT i, j, CAST(floor(y) AS INTEGER) AS y0, CAST(least(floor(y) + 1, 7) AS INTEGER) AS y1, y - floor(y) AS fy, CAST(floor(z) AS INTEGER) AS z0, CAST(least(floor(z) + 1, 7) AS INTEGER) AS z1, z - floor(z) AS fz FROM y, z),
+p AS (SELECT vec_id, i, j, (e[y0 * 8 + z0 + 1] * (1 - fz) + e[y0 * 8 + z1 + 1] * fz) * (1 - fy) + (e[y1 * 8 + z0 + 1] * (1 - fz) + e[y1 * 8 + z1 + 1] * fz) * fy AS v FROM (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS e FROM embeddings), g)
+SELECT vec_id AS slice_idx, CAST(count(*) AS INTEGER) AS n, round(avg(v), 6) AS mean, round(max(v) FILTER (WHERE i = 3 AND j = 4), 6) AS late FROM p GROUP BY vec_id"""
+)
 def tensor_resize(spark, sf):
-    return images.resize(_slices(spark, sf), 4, 6).select("slice_idx", F.size("pixels").alias("n"), F.round(A.mean(F.col("pixels")), 6).alias("mean"))
+    out = images.resize(_slices(spark, sf), 4, 6)
+    return out.select("slice_idx", F.size("pixels").alias("n"), F.round(A.mean(F.col("pixels")), 6).alias("mean"), F.round(F.element_at("pixels", 23), 6).alias("late"))
 
 
-@query()
+@query(
+    f"""WITH s AS (SELECT label AS series, {_X} AS x, lead({_X}) OVER (PARTITION BY label ORDER BY vec_id) AS y, vec_id FROM embeddings), t AS (SELECT *, greatest(list_max(x) - list_min(x), list_max(y) - list_min(y)) AS span FROM s WHERE y IS NOT NULL),
+o AS (SELECT a.i AS oy, b.i AS ox FROM (SELECT unnest(range(2)) AS i) a, (SELECT unnest(range(2)) AS i) b), d AS (SELECT a.i AS dy, b.i AS dx FROM (SELECT unnest(range(7)) AS i) a, (SELECT unnest(range(7)) AS i) b),
+u AS (SELECT series, vec_id, span, oy, ox, x[(oy + dy) * 8 + ox + dx + 1] AS a, y[(oy + dy) * 8 + ox + dx + 1] AS b FROM t, o, d WHERE span > 0),
+w AS (SELECT series, vec_id, span, avg(a) AS ma, avg(b) AS mb, var_samp(a) AS va, var_samp(b) AS vb, covar_samp(a, b) AS vab FROM u GROUP BY series, vec_id, span, oy, ox),
+q AS (SELECT series, vec_id, avg((2 * ma * mb + pow(0.01 * span, 2)) * (2 * vab + pow(0.03 * span, 2)) / ((ma * ma + mb * mb + pow(0.01 * span, 2)) * (va + vb + pow(0.03 * span, 2)))) AS s FROM w GROUP BY series, vec_id)
+SELECT series, round(stddev_pop(s), 6) AS sd_ssim, stddev_pop(s) < 0.005 AS flagged FROM q GROUP BY series HAVING count(*) >= 2"""
+)
 def tensor_series_similarity(spark, sf):
     return images.series_similarity(_slices(spark, sf), ["series"], "slice_idx").withColumn("sd_ssim", F.round("sd_ssim", 6))
 
@@ -192,6 +209,35 @@ def loss_values(spark, sf):
     return out.crossJoin(parts[2].select(F.round("loss", 6).alias("mse")))  # single rows
 
 
-@query()
+@query(
+    f"""WITH e AS (SELECT vec_id, label, {_X} AS x FROM embeddings), u AS (SELECT vec_id, label, generate_subscripts(x, 1) AS i, unnest(x) AS v FROM e), m AS (SELECT label, i, avg(v) AS m FROM u GROUP BY label, i),
+d AS (SELECT vec_id, u.label, sqrt(sum((v - m) * (v - m))) AS d FROM u JOIN m ON u.label = m.label AND u.i = m.i GROUP BY vec_id, u.label), v AS (SELECT avg(x) AS variance FROM (SELECT avg(pow(greatest(d - 0.5, 0), 2)) AS x FROM d GROUP BY label)),
+p AS (SELECT coalesce(avg(pow(greatest(3 - d, 0), 2)), 0) AS distance FROM (SELECT sqrt(sum((a.m - b.m) * (a.m - b.m))) AS d FROM m a JOIN m b ON a.i = b.i AND a.label < b.label GROUP BY a.label, b.label)),
+z AS (SELECT avg(x) AS size FROM (SELECT sqrt(sum(m * m)) AS x FROM m GROUP BY label)) SELECT round(variance, 6) AS variance, round(distance, 6) AS distance, round(size, 6) AS size, round(variance + distance + 0.001 * size, 6) AS loss FROM v, p, z"""
+)
 def loss_contrastive(spark, sf):
     return losses.contrastive(_rows(spark, sf), "label", "x").select(*[F.round(c, 6).alias(c) for c in ("variance", "distance", "size", "loss")])
+
+
+@query(
+    f"""WITH s AS (SELECT vec_id, label, {_X} AS x, lead({_X}) OVER (PARTITION BY label ORDER BY vec_id) AS y FROM embeddings), u AS (SELECT vec_id, label, unnest(x) AS a, unnest(y) AS b FROM s WHERE y IS NOT NULL),
+c AS (SELECT label, vec_id, corr(a, b) AS ncc FROM u GROUP BY label, vec_id) SELECT label, count(*) FILTER (WHERE ncc < 0.8) AS n_unexpected, round(avg(ncc), 6) AS mean_ncc, round(median(ncc), 6) AS median_ncc, round(stddev_pop(ncc), 6) AS sd_ncc, count(*) FILTER (WHERE ncc < 0.8) > 0 AS flagged FROM c GROUP BY label"""
+)
+def tensor_series_alignment(spark, sf):
+    out = images.alignment(_rows(spark, sf), ["label"], "vec_id", "MRI", "x")
+    return out.select("label", "n_unexpected", *[F.round(c, 6).alias(c) for c in ("mean_ncc", "median_ncc", "sd_ncc")], "flagged")
+
+
+@query("WITH c AS (SELECT vec_id, x[1] * x[5] - x[2] * x[4] AS a, x[2] * x[6] - x[3] * x[5] AS b, x[3] * x[4] - x[1] * x[6] AS c FROM (SELECT vec_id, " + _X + " AS x FROM embeddings)) SELECT 'E3301' AS code, vec_id, CASE WHEN vec_id % 10 = 0 THEN 'Unknown' WHEN abs(b) > abs(c) AND abs(b) > abs(a) THEN 'Sagittal' WHEN abs(c) > abs(b) AND abs(c) > abs(a) THEN 'Coronal' ELSE 'Unknown' END AS plane FROM c WHERE vec_id % 10 = 0 OR NOT (abs(a) > abs(b) AND abs(a) > abs(c))")
+def tensor_plane_faults(spark, sf):
+    rows = _rows(spark, sf).select("vec_id", F.when(F.col("vec_id") % 10 != 0, F.slice("x", 1, 6)).alias("cosines"))
+    return images.plane_faults(rows, ["vec_id"])
+
+
+@query(
+    f"""WITH s AS (SELECT vec_id, {_X} AS x, lead({_X}) OVER (PARTITION BY label ORDER BY vec_id) AS y FROM embeddings), c AS (SELECT list_inner_product(x, y) / sqrt(list_inner_product(x, x) * list_inner_product(y, y)) * 0.999999 * 0.999999 AS c FROM s WHERE y IS NOT NULL) SELECT round(1 / sum(acos(c)), 9) AS inverse_error FROM c"""
+)
+def loss_inverse_angle(spark, sf):
+    following = F.lead("x").over(Window.partitionBy("label").orderBy("vec_id"))
+    pairs = _rows(spark, sf).withColumn("y", following).where("y is not null")
+    return images.inverse_angular_error(pairs, "x", "y").select(F.round("inverse_error", 9).alias("inverse_error"))

@@ -66,12 +66,13 @@ def looks_numeric(units: list[str]) -> bool:
     return all(cells) and len(set(cells)) == len(cells) and any(map(number, cells))
 
 
-def read_two_headers(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, str]]:
-    """(rows, unit of each column) of a table whose second row holds units.
+def read_two_headers(spark: SparkSession, path: str, multiline: bool = False) -> tuple[DataFrame, dict[str, str]]:
+    """(rows, unit of each column) of a table, one file, whose second row holds units.
 
     All columns are text, trimmed; decimal commas become points unless the comma
-    separates. Units also are column metadata. Lines are split by Spark in parallel;
-    the two header lines are left out by their content.
+    separates. Units also are column metadata. Lines are split by Spark in parallel.
+    The unit row is left out by its place, so data rows that equal it stay. With
+    `multiline` quoted cells may hold line breaks; one task then reads the file.
     """
     lines = first_lines(spark, path, 2)
     sep = sniff(lines)
@@ -82,12 +83,15 @@ def read_two_headers(spark: SparkSession, path: str) -> tuple[DataFrame, dict[st
     units += [""] * (len(names) - len(units))
     if looks_numeric(units[: len(names)]):
         raise SourceError("the second row holds data and no units")
-    body = spark.read.text(path).where(~F.col("value").isin(lines[0], lines[1]) & (F.trim("value") != ""))
-    line = F.col("value") if sep == "," else decimal_points(F.col("value"))
     schema = ", ".join(f"c{i} string" for i in range(len(names)))
-    parsed = body.select(F.from_csv(line, schema, {"sep": sep}).alias("r"))
-    columns = [F.nullif(F.trim(F.col(f"r.c{i}")), F.lit("")).alias(n, metadata={"unit": u}) for i, (n, u) in enumerate(zip(names, units))]
-    return parsed.select(*columns), dict(zip(names, units))
+    rows = spark.read.csv(path, sep=sep, header=True, schema=schema, enforceSchema=True, multiLine=multiline, escape='"')
+    rows = rows.select("*", F.monotonically_increasing_id().alias("place"), F.col("_metadata.file_block_start").alias("block"))
+    first = rows.where("block = 0").select("place").first()  # the unit row, as the header row is gone
+    if first is not None:
+        rows = rows.where(~((F.col("block") == 0) & (F.col("place") == first.place)))
+    cell = (lambda c: c) if sep == "," else decimal_points
+    columns = [F.nullif(F.trim(cell(F.col(f"c{i}"))), F.lit("")).alias(n, metadata={"unit": u}) for i, (n, u) in enumerate(zip(names, units))]
+    return rows.select(*columns), dict(zip(names, units))
 
 
 def units_of(df: DataFrame) -> dict[str, str]:
@@ -95,13 +99,24 @@ def units_of(df: DataFrame) -> dict[str, str]:
     return {f.name: f.metadata.get("unit", "") for f in df.schema.fields}
 
 
+#: How vocabularies are written; quotes are ordinary characters.
+VOCABULARY = {"sep": "\t", "quote": "\b", "dateFormat": "yyyyMMdd"}
+
+
 def read_vocabulary(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A tab-separated vocabulary with a header, in which quotes are ordinary characters."""
-    return spark.read.csv(path, sep="\t", header=True, quote="\b", schema=schema, dateFormat="yyyyMMdd")
+    """A tab-separated vocabulary with a header."""
+    return spark.read.options(**VOCABULARY).csv(path, header=True, schema=schema)
+
+
+def vocabulary_rows(lines: DataFrame, schema: str, line: str = "value") -> DataFrame:
+    """The same from lines without a header, as they come from a table or stream."""
+    return lines.select(F.from_csv(F.col(line), schema, VOCABULARY).alias("r")).select("r.*")
 
 
-def read_json(path: str) -> dict:
-    """A configuration on the driver."""
+def read_json(path: str, spark: SparkSession | None = None) -> dict:
+    """A configuration on the driver; with a session from any store that Spark reads."""
+    if spark is not None:
+        return json.loads(spark.read.text(path, wholetext=True).first()[0])
     with open(path, encoding="utf-8") as f:
         return json.load(f)
 

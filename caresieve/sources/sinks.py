@@ -2,25 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import csv
+import io
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caresieve.sources.files import units_of
 
 
 def two_header_lines(df: DataFrame, units: dict[str, str] | None = None, sep: str = ";") -> DataFrame:
-    """One column of lines: names, units, then the rows; `Unnamed` columns have no unit."""
+    """Lines with their part: names, units, then the rows; `Unnamed` columns have no unit. Names are quoted where they must be."""
     units = units_of(df) if units is None else units
     spark = df.sparkSession
-    head = [sep.join(df.columns), sep.join("" if c.startswith("Unnamed") else units.get(c, "") for c in df.columns)]
+    head = [_csv_line(df.columns, sep), _csv_line(["" if c.startswith("Unnamed") else units.get(c, "") for c in df.columns], sep)]
     header = spark.createDataFrame([(i, x) for i, x in enumerate(head)], "part int, value string")
-    body = df.select(F.lit(len(head)).alias("part"), F.to_csv(F.struct(*[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(df.columns)]), {"sep": sep}).alias("value"))
-    return header.unionByName(body)
+    return header.unionByName(df.select(F.lit(len(head)).alias("part"), _csv_row(df, sep)))
+
+
+def _csv_row(df: DataFrame, sep: str) -> Column:
+    return F.to_csv(F.struct(*[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(df.columns)]), {"sep": sep}).alias("value")
+
+
+def _csv_line(cells: list[str], sep: str) -> str:
+    out = io.StringIO()
+    csv.writer(out, delimiter=sep, lineterminator="").writerow(cells)
+    return out.getvalue()
+
 
+def write_two_headers(df: DataFrame, path: str, units: dict[str, str] | None = None, sep: str = ";", order: list[str] | None = None, parts: int = 1) -> None:
+    """CSV parts of which the first begins with the two header rows; rows in `order`, else as their texts sort.
 
-def write_two_headers(df: DataFrame, path: str, units: dict[str, str] | None = None, sep: str = ";") -> None:
-    """A single CSV part with two header rows; for results that a person reads, as one task writes it."""
-    two_header_lines(df, units, sep).repartition(1).sortWithinPartitions("part").select("value").write.mode("error").text(path)
+    One part is for results that a person reads, as one task writes it; with more
+    parts, which follow each other in their names' order, tasks write side by side.
+    """
+    lines = two_header_lines(df.select("*"), units, sep)
+    keys = [f"k{i}" for i in range(len(order or []))]
+    if order:
+        body = df.select(F.lit(2).alias("part"), _csv_row(df, sep), *[F.col(f"`{c}`").alias(k) for c, k in zip(order, keys)])
+        lines = lines.where("part < 2").unionByName(body, allowMissingColumns=True)
+    lines = lines.repartition(1) if parts == 1 else lines.repartitionByRange(parts, "part", *keys, "value")
+    lines.sortWithinPartitions("part", *keys, "value").select("value").write.mode("error").text(path)
 
 
 def append_results(results: DataFrame, path: str, site: str, family: str) -> None:
@@ -50,9 +72,9 @@ def rename_manifest(files: DataFrame, mapping: DataFrame, patient: str = "patien
     """(source_path, target_path): files of mapped patients under sample001_NAME folders, extension in lower case."""
     from pyspark.sql import Window
 
-    from caresieve.functions.text import lower_extension
+    from caresieve.functions.text import lower_extension, padded
 
     number = F.row_number().over(Window.partitionBy(new, "series").orderBy("path"))
     rows = files.join(mapping.select(patient, new), patient)
-    target = F.concat_ws("/", F.col(new), F.concat(F.lit("sample"), F.lpad(number.cast("string"), 3, "0"), F.lit("_"), F.col("series")), lower_extension(F.col("name")))
+    target = F.concat_ws("/", F.col(new), F.concat(F.lit("sample"), padded(number, 3), F.lit("_"), F.col("series")), lower_extension(F.col("name")))
     return rows.select(F.col("path").alias("source_path"), target.alias("target_path"))
