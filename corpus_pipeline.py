@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,22 +10,37 @@ from caresieve.llm import bpe, language_id, line_dedup, mixing, simhash
 from caresieve.llm.common import cut, documents
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: A document goes when the share of its main language times how sure it is falls under this:
+#: a letter or two, or a mixture without a main language.
+LEAST_SCORE = 0.3
+
+# All stages read these columns and no other, so further columns, of any name, are
+# left out and can't clash; texts may be of any length; an empty table gives an empty
+# one. Each docstring says what becomes of null and empty texts, ties and repeated rows.
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents whose language can be told: those without a letter are rejected.
+    """The documents whose language can be told; `lang` becomes the predicted one.
 
-    Where no label is there to learn from, all others pass, though no language is known.
+    Learns from the labelled rows that aren't held out. Documents without a letter
+    (null and empty text too) or with a score under LEAST_SCORE are rejected; of equal
+    shares the language that sorts first is taken; repeated rows are judged alike.
+    Where no label is there to learn from, all lettered documents pass as they are.
     """
     model = language_id.train(docs.where(~language_id.held_out(F.col("doc_id"))))
     if not model.languages:
         return language_id.lettered(docs.select(*COLUMNS))
     marked = language_id.annotate(docs.select(*COLUMNS), model)
-    return marked.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*COLUMNS)
+    told = marked.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    return told.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document without the lines that an earlier one holds; n_chars follows the text."""
+    """Every document without the lines that an earlier one holds; n_chars follows the text.
+
+    Null text becomes empty. Rows of one id are one document, so repeated rows keep
+    the same lines; rows without an id lose nothing.
+    """
     out = line_dedup.line_dedup(docs.select(*COLUMNS))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
@@ -36,7 +50,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Rows are told apart by a number of their own, so groups without any id and
     repeated rows of an id are cut to one row too. Of several rows of the smallest
-    id the text of the least hash stays.
+    id the text of the least hash stays. Null, empty and wordless texts are one group.
     """
     rows = cut(docs.select(*COLUMNS).withColumn("__row", F.monotonically_increasing_id()))  # the numbers are used twice
     found = simhash.near_dedup(rows, id_col="__row").select(F.col("doc_id").alias("__row"), "component_id")
@@ -46,13 +60,20 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as their source's rate draws them, in a global random order."""
-    return mixing.mix(docs).select(*COLUMNS)
+    """The documents as often as their source's rate draws them, in a global random order.
+
+    A null source is one of its own; rows of one id, a null id included, are drawn
+    alike; texts, null or empty, are carried as they are.
+    """
+    return mixing.mix(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, token ids and the digests of ids and of the bytes decoded from them."""
-    return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    """doc_id, n_tokens, token ids and the digests of ids and of the bytes decoded from them.
+
+    Null and empty text have no ids; repeated rows give repeated rows.
+    """
+    return bpe.encode(docs.select(*COLUMNS), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 STAGES = [
