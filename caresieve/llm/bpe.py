@@ -65,7 +65,9 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id"
     Returns doc_id, n_tokens, ids_sha256 (of the ids as little-endian unsigned
     32-bit integers); with `ids` token_ids array<int>; with `decoded` the text's
     bytes rebuilt from the ids alone as decoded binary, else their decoded_sha256.
-    Null text counts as empty: no ids. Repeated rows give repeated rows. The rank
+    Null and empty text have no ids; texts of any length are cut at safe places.
+    Repeated rows give repeated rows, an empty table none. Only the two columns are
+    read, so others can't clash. The merges are unique, so there are no ties. The rank
     file is read once on the driver (at most MAX_RANK_BYTES) and broadcast, so
     executors need no file of their own.
     """
@@ -109,7 +111,11 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id"
 
 
 def decode(tokens: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:
-    """doc_id and the raw bytes of each row's ids, which need not be whole UTF-8; null ids give null bytes."""
+    """doc_id and the raw bytes of each row's ids, which need not be whole UTF-8.
+
+    Null ids give null bytes, no ids none; lists may be of any length; repeated rows
+    give repeated rows, an empty table none. Other columns aren't read.
+    """
     id_type = dict(tokens.dtypes)[id_col]
     ranks = tokens.sparkSession.sparkContext.broadcast(_rank_bytes(rank_path))
 

@@ -45,7 +45,8 @@ def arrow_map(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iter
     """mapInArrow whose Python workers can import this package, also if it isn't installed.
 
     Batches are kept small (BATCH_BYTES), so that a worker holds a few long texts and
-    not thousands; a smaller setting of the session stays.
+    not thousands. This sets spark.sql.execution.arrow.maxBytesPerBatch of the session,
+    for all that it runs later too; a smaller setting stays.
     """
     conf = df.sparkSession.conf
     if not 0 < _bytes(conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= BATCH_BYTES:

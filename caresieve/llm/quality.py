@@ -90,8 +90,9 @@ def _repeat_words(words: Column) -> Column:
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document with every count that the rules are made of.
 
-    Null and empty text have no words and no lines. Only the id and text columns
-    are read, so extra columns can't clash; equal rows give equal rows.
+    Null and empty text have no words and no lines; texts of any length are read
+    whole, as one row's arrays. Only the id and text columns are read, so extra columns
+    can't clash; equal rows give equal rows, an empty table none.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     step = pick(docs, doc_id=id_col, text=text_col).select(
@@ -156,5 +157,5 @@ def judge(measured: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Counts and verdict of every document, in one pass without a shuffle."""
+    """Counts and verdict of every document, in one pass without a shuffle; edge cases as in measure."""
     return judge(measure(docs, id_col, text_col), rules)

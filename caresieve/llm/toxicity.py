@@ -166,8 +166,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Texts are taken in hash order of their ids; one that no longer fits is skipped.
     A document with several labels has their largest, one with several rows the
-    shortest text (of these, that of the least hash); null labels, texts and ids
-    teach nothing.
+    shortest text (of these, that of the least hash), so repeated rows teach once;
+    null labels, texts and ids teach nothing. Empty texts teach that they have no
+    features. Tables without rows, or labels of one kind, give a model that flags
+    nothing. Only the named columns are read, so others can't clash.
     """
     known = pick(labels, doc_id=id_col, toxic=label_col).where("doc_id is not null and toxic is not null")
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
@@ -196,8 +198,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, expected_severity, grade (the likeliest), p_toxic, toxic.
 
-    expected_severity is the sum of P(grade >= k) over k. The whole text is read;
-    null and empty text have no features and the severity that the cuts give.
+    expected_severity is the sum of P(grade >= k) over k. The whole text is read,
+    whatever its length; null and empty text have no features and the severity that
+    the cuts give. Of equally likely grades the lowest is taken. Repeated rows give
+    repeated rows, an empty table none. Only the two columns are read.
     """
     id_type = dict(docs.dtypes)[id_col]
     shared = docs.sparkSession.sparkContext.broadcast(model)
