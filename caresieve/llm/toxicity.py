@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -70,51 +71,58 @@ class Ordinal:
         return [1 / (1 + float(np.exp(min(700.0, c - z)))) for c in self.cuts]
 
 
-def _presence(texts: list[str], toxic: np.ndarray) -> list[tuple[str, int, int]]:
-    """(feature, toxic texts, other texts that hold it) of what MIN_DOCUMENTS texts of the smaller class hold.
+class Cells:
+    """The features of some texts as arrays: a text's row, a feature's column, its value; each text is read once."""
 
-    Only one text's features are held at a time besides the counts, and only the
-    smaller class is counted without a filter.
-    """
-    few = bool(toxic.sum() * 2 <= len(toxic))
-    small: Counter = Counter()
-    for t, y in zip(texts, toxic):
-        if bool(y) == few:
-            small.update(features(words(t)).keys())
-    small = Counter({x: n for x, n in small.items() if n >= MIN_DOCUMENTS})
-    large: Counter = Counter()
-    for t, y in zip(texts, toxic):
-        if bool(y) != few:
-            large.update(features(words(t), small).keys())
-    return [(x, n, large[x]) if few else (x, large[x], n) for x, n in small.items()]
-
-
-def _screened(texts: list[str], toxic: np.ndarray) -> list[str]:
-    """Features whose presence tells toxic texts best."""
+    def __init__(self, texts: list[str]):
+        index: dict[str, int] = {}
+        rows, cols, vals = array("i"), array("i"), array("d")
+        for r, text in enumerate(texts):
+            found = features(words(text))
+            rows.extend([r] * len(found))
+            cols.extend([index.setdefault(x, len(index)) for x in found])
+            vals.extend(found.values())
+        self.n, self.names = len(texts), list(index)
+        self.rows, self.cols, self.vals = np.array(rows, np.int32), np.array(cols, np.int32), np.array(vals)
+
+    def presence(self, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many toxic and how many other texts hold each feature."""
+        inside = np.bincount(self.cols, toxic[self.rows], minlength=len(self.names))
+        return inside, np.bincount(self.cols, minlength=len(self.names)) - inside
+
+
+def _held_often(toxic: np.ndarray, inside: np.ndarray, outside: np.ndarray) -> np.ndarray:
+    """Features that MIN_DOCUMENTS texts of the smaller class hold."""
+    return (inside if toxic.sum() * 2 <= len(toxic) else outside) >= MIN_DOCUMENTS
+
+
+def _screened(cells: Cells, toxic: np.ndarray) -> list[int]:
+    """Columns of the features whose presence tells toxic texts best."""
     n1, n = int(toxic.sum()), len(toxic)
-    found = []
-    for x, inside, outside in _presence(texts, toxic):
-        gap, all_ = inside / n1 - outside / (n - n1), (inside + outside) / n
-        chi2 = gap**2 / (max(all_ * (1 - all_), 1e-12) * (1 / n1 + 1 / (n - n1)))
-        if chi2 >= MIN_CHI2:
-            found.append((-chi2, x))
-    return [x for _, x in sorted(found)[:MAX_FEATURES]]
+    inside, outside = cells.presence(toxic)
+    gap, every = inside / n1 - outside / (n - n1), (inside + outside) / n
+    chi2 = gap**2 / (np.maximum(every * (1 - every), 1e-12) * (1 / n1 + 1 / (n - n1)))
+    good = np.flatnonzero(_held_often(toxic, inside, outside) & (chi2 >= MIN_CHI2)).tolist()
+    return sorted(good, key=lambda i: (-chi2[i], cells.names[i]))[:MAX_FEATURES]
 
 
-def fit_ordinal(texts: list[str], grades: np.ndarray) -> Ordinal:
+def fit_ordinal(texts: list[str] | Cells, grades: np.ndarray) -> Ordinal:
     """Fits weights and cuts by Adam steps with soft thresholding of the weights.
 
     Deterministic. Cuts stay in order as the logs of their gaps are learned. Without
     texts, or with one grade only, nothing is ever flagged.
     """
     levels = int(grades.max(initial=0))
-    if not len(texts) or levels == 0 or not (grades == 0).any():
+    if not len(grades) or levels == 0 or not (grades == 0).any():
         return Ordinal({}, (50.0,) * max(1, levels))
-    vocab = _screened(texts, grades > 0)
-    place = {x: i for i, x in enumerate(vocab)}
-    cells = [(r, place[x], v) for r, t in enumerate(texts) for x, v in features(words(t), place).items()]
-    rows, cols, vals = (np.array(x) for x in zip(*cells)) if cells else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
-    n, at = len(texts), np.arange(len(texts))
+    cells = texts if isinstance(texts, Cells) else Cells(texts)
+    chosen = _screened(cells, grades > 0)
+    vocab = [cells.names[i] for i in chosen]
+    place = np.full(len(cells.names), -1)
+    place[chosen] = range(len(chosen))
+    known = place[cells.cols] >= 0
+    rows, cols, vals = cells.rows[known], place[cells.cols[known]], cells.vals[known]
+    n, at = cells.n, np.arange(cells.n)
     w = np.zeros(len(vocab) + levels)  # weights, first cut, logs of gaps
     w[len(vocab)] = np.log((grades == 0).sum() / (grades > 0).sum())
     m, v = np.zeros_like(w), np.zeros_like(w)
@@ -144,7 +152,7 @@ def fit_ordinal(texts: list[str], grades: np.ndarray) -> Ordinal:
     return Ordinal({vocab[i]: float(w[i]) for i in np.flatnonzero(w[: len(vocab)])}, tuple(float(c) for c in cuts))
 
 
-def severity_grades(texts: list[str], toxic: np.ndarray) -> np.ndarray:
+def severity_grades(texts: list[str] | Cells, toxic: np.ndarray) -> np.ndarray:
     """Grades for binary labels: 0 not toxic, else 1 or 2 by the density of cues.
 
     Cues are the features that come almost only in toxic texts. Toxic texts in which
@@ -154,9 +162,11 @@ def severity_grades(texts: list[str], toxic: np.ndarray) -> np.ndarray:
     grades = toxic.astype(np.int64)
     if not toxic.any() or toxic.all():
         return grades
+    cells = texts if isinstance(texts, Cells) else Cells(texts)
     prior = toxic.sum() / (~toxic).sum()
-    cues = {x for x, a, b in _presence(texts, toxic) if a >= MIN_DOCUMENTS and (a + 0.5) / (b + 0.5) / prior >= CUE_ODDS}
-    density = np.array([sum(features(words(t), cues).values()) for t in texts])
+    inside, outside = cells.presence(toxic)
+    cue = _held_often(toxic, inside, outside) & (inside >= MIN_DOCUMENTS) & ((inside + 0.5) / (outside + 0.5) / prior >= CUE_ODDS)
+    density = np.bincount(cells.rows, cells.vals * cue[cells.cols], minlength=cells.n)
     grades[toxic & (density > np.median(density[toxic]))] = 2
     return grades
 
@@ -191,8 +201,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     picked = F.broadcast(spark.createDataFrame(taken, "place bigint, n int, hash bigint"))
     rows = held.join(picked, ["place", "n", "hash"], "left_semi").groupBy("place").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
     rows = rows.toPandas().sort_values("place")
-    texts = rows["text"].tolist()
-    return fit_ordinal(texts, severity_grades(texts, rows["toxic"].to_numpy() > 0))
+    cells = Cells(rows["text"].tolist())
+    return fit_ordinal(cells, severity_grades(cells, rows["toxic"].to_numpy() > 0))
 
 
 def score(docs: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
