@@ -21,7 +21,7 @@ def two_header_lines(df: DataFrame, units: dict[str, str] | None = None, sep: st
 
 
 def _csv_row(df: DataFrame, sep: str) -> Column:
-    return F.to_csv(F.struct(*[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(df.columns)]), {"sep": sep}).alias("value")
+    return F.to_csv(F.struct(*[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(df.columns)]), {"sep": sep, "escape": '"'}).alias("value")
 
 
 def _csv_line(cells: list[str], sep: str) -> str:
