@@ -91,6 +91,15 @@ def dot(x: Column, y: Column) -> Column:
     return F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
 
 
+def angle(x: Column, y: Column) -> Column:
+    """Radians between two directions, each scaled to just under a unit so that the cosine stays in bounds."""
+
+    def unit(v: Column) -> Column:
+        return let(F.greatest(F.sqrt(dot(v, v)), F.lit(1e-8)), lambda n: F.transform(v, lambda z: z / n * 0.999999))
+
+    return F.acos(dot(unit(x), unit(y)))
+
+
 def squared_distance(x: Column, y: Column) -> Column:
     return F.aggregate(F.zip_with(x, y, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
 

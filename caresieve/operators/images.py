@@ -212,11 +212,19 @@ def merge_labels(voxels: DataFrame, keys: list[str], place: list[str], label: st
     return voxels.where(F.col(label) > 0).groupBy(*keys, *place).agg(F.max_by(label, order).alias(label))
 
 
-def mask_scores(df: DataFrame, truth: str, predicted: str) -> DataFrame:
+def mean_iou(df: DataFrame, truth: str, predicted: str, classes: int, ignore: int | None = None, skip: tuple[int, ...] = ()) -> DataFrame:
+    """The mean over the classes 0 .. classes - 1, but for those to skip, of their intersection over union; 0 for one that is nowhere."""
+    wanted = [c for c in range(classes) if c not in skip]
+    scores = mask_scores(df, truth, predicted, ignore).where(F.col("label").isin(*wanted))
+    return scores.agg((F.coalesce(F.sum("iou"), F.lit(0.0)) / len(wanted)).alias("mean_iou"))
+
+
+def mask_scores(df: DataFrame, truth: str, predicted: str, ignore: int | None = None) -> DataFrame:
     """(label, dice, iou, n_truth, n_predicted) of every label over pixel rows, from one pass.
 
-    Pairs of labels are counted before the shuffle, so it grows with labels and not pixels.
+    Pixels whose truth is `ignore` don't count. Pairs of labels are counted before the shuffle, so it grows with labels and not pixels.
     """
+    df = df if ignore is None else df.where(F.col(truth) != ignore)
     cells = df.groupBy(F.col(truth).alias("t"), F.col(predicted).alias("p")).agg(F.count(F.lit(1)).alias("n"))
     sides = F.array(F.struct(F.col("t").alias("label"), F.col("n").alias("a"), F.lit(0).cast("long").alias("b")), F.struct(F.col("p").alias("label"), F.lit(0).cast("long").alias("a"), F.col("n").alias("b")))
     both = F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(F.lit(0))
@@ -304,11 +312,7 @@ def within_angle(df: DataFrame, truth: str, predicted: str, degrees: float) -> D
 def inverse_angular_error(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     """1 / sum of the angles (radians) between two directions of each row; both are scaled to just under a unit."""
 
-    def unit(c: str) -> Column:
-        x = F.col(c)
-        return A.let(F.greatest(F.sqrt(A.dot(x, x)), F.lit(1e-8)), lambda n: F.transform(x, lambda v: v / n * 0.999999))
-
-    return df.agg(F.try_divide(F.lit(1.0), F.sum(F.acos(A.dot(unit(truth), unit(predicted))))).alias("inverse_error"))
+    return df.agg(F.try_divide(F.lit(1.0), F.sum(A.angle(F.col(truth), F.col(predicted)))).alias("inverse_error"))
 
 
 def label_file_faults(series: DataFrame, files: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -452,8 +456,21 @@ def removal_union(*lists: DataFrame) -> DataFrame:
     return out.where("id is not null").distinct()
 
 
-def to_lps(slices: DataFrame, flips: str = "flips") -> DataFrame:
-    """pixels of slices whose axes run the other way, turned: flips holds r (columns), a (rows) as needed."""
+def lps_flips(cosines: Column) -> Column:
+    """Which axes run against left, posterior and superior: r (columns), a (rows), i (slices), from row and column cosines of axial slices."""
+    c = [F.element_at(cosines, i + 1) for i in range(6)]
+    return F.concat(F.when(c[0] < 0, "r").otherwise(""), F.when(c[4] < 0, "a").otherwise(""), F.when(c[0] * c[4] - c[1] * c[3] < 0, "i").otherwise(""))
+
+
+def to_lps(slices: DataFrame, flips: str = "flips", series: list[str] | None = None, index: str = "slice_idx") -> DataFrame:
+    """pixels of slices whose axes run the other way, turned: flips holds r (columns), a (rows), i (slices) as needed.
+
+    With `series`, slices of a series that runs downward are numbered from its other end.
+    """
+    if series:
+        last = F.max(index).over(Window.partitionBy(*series))
+        first = F.min(index).over(Window.partitionBy(*series))
+        slices = slices.withColumn(index, F.when(F.col(flips).contains("i"), first + last - F.col(index)).otherwise(F.col(index)))
     x, h, w = F.col("pixels"), F.col("h"), F.col("w")
     place = F.sequence(F.lit(0), h * w - 1)
 

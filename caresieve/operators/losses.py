@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caresieve.functions.arrays import squared_distance
+from caresieve.functions.arrays import angle, squared_distance
 
 
 def _safe_log(p: Column) -> Column:
@@ -42,6 +42,30 @@ def squared_error(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     return df.agg(F.avg((F.col(truth) - F.col(predicted)) ** 2).alias("loss"))
 
 
+def smooth_l1(df: DataFrame, truth: str, predicted: str, beta: float = 1.0) -> DataFrame:
+    """Mean of d² / (2 beta) below beta and |d| - beta / 2 from there on."""
+    d = F.abs(F.col(truth) - F.col(predicted))
+    return df.agg(F.avg(F.when(d < beta, d * d / (2 * beta)).otherwise(d - beta / 2)).alias("loss"))
+
+
+def pixel_cross_entropy(df: DataFrame, truth: str, scores: str, weight: str, class_weights: list[float], ignore: int | None = None) -> DataFrame:
+    """Mean over pixels and classes of -weight * class weight * log softmax of the true class; ignored pixels add 0."""
+    x = F.col(scores)
+    top = F.array_max(x)
+    total = F.aggregate(x, F.lit(0.0), lambda s, v: s + F.exp(v - top))
+    counts = F.lit(True) if ignore is None else F.col(truth) != ignore
+    place = F.when(counts, F.col(truth) + 1).otherwise(1)
+    own = F.element_at(x, place) - top - F.log(total)
+    w = F.element_at(F.array(*[F.lit(float(c)) for c in class_weights]), place)
+    return df.agg((F.sum(F.when(counts, -F.col(weight) * w * own).otherwise(0.0)) / (F.count(F.lit(1)) * len(class_weights))).alias("loss"))
+
+
+def square_angular(df: DataFrame, truth: str, predicted: str, weight: str | None = None) -> DataFrame:
+    """Sum of the squared angles between two directions of each row, weighted if asked."""
+    a = angle(F.col(truth), F.col(predicted))
+    return df.agg(F.sum(a * a if weight is None else a * a * F.col(weight)).alias("loss"))
+
+
 def contrastive(df: DataFrame, instance: str, vector: str, near: float = 0.5, far: float = 1.5, terms: tuple[float, float, float] = (1.0, 1.0, 0.001)) -> DataFrame:
     """Variance, distance and size terms of embeddings by instance, with hinges at near and 2 * far.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from caresieve.functions import text
-from caresieve.operators import etl, images, prepare, profile, quality
+from caresieve.operators import etl, images, joins, prepare, profile, quality
 from caresieve.plans.register import registrar
 from caresieve.sources import files, sinks
 from caresieve.sources.tables import table
@@ -273,3 +273,20 @@ def structure_view_faults(spark, sf):
 def cohort_removal_union(spark, sf):
     t = lambda n: table(spark, sf, n)
     return images.removal_union(t("orders").where("o_orderpriority = '1-URGENT'").select("o_custkey"), t("events").where("event_type = 'purchase'").select("user_id"), t("customer").where("c_acctbal < 0").select("c_custkey"))
+
+
+@query(
+    """WITH f AS (SELECT o_custkey AS user_id, CAST(o_orderdate AS TIMESTAMP) AS ts, max(o_orderkey) AS o FROM orders GROUP BY 1, 2)
+SELECT event_id, e.user_id, f.o AS o_orderkey FROM events e ASOF LEFT JOIN f ON e.user_id = f.user_id AND e.ts >= f.ts"""
+)
+def ext_asof_join(spark, sf):
+    rows = table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    facts = table(spark, sf, "orders").select(F.col("o_custkey").alias("user_id"), F.col("o_orderdate").cast("timestamp").alias("ts"), "o_orderkey")
+    return joins.asof_join(rows, facts, ["user_id"], "ts", ["o_orderkey"]).drop("ts")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity, n_nationkey FROM lineitem JOIN nation ON l_quantity >= n_nationkey * 2 AND l_quantity < n_nationkey * 2 + n_regionkey + 1.5")
+def ext_interval_join(spark, sf):
+    spans = table(spark, sf, "nation").select("n_nationkey", (F.col("n_nationkey") * 2.0).alias("low"), (F.col("n_nationkey") * 2 + F.col("n_regionkey") + 1.5).alias("high"))
+    points = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return joins.interval_join(points, spans, "l_quantity", "low", "high", 3.0).drop("low", "high")

@@ -8,6 +8,7 @@ import io
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caresieve.operators.quality import summarise
 from caresieve.sources.files import units_of
 
 
@@ -50,6 +51,22 @@ def append_results(results: DataFrame, path: str, site: str, family: str) -> Non
     results.withColumns({"site": F.lit(site), "family": F.lit(family), "checked_at": F.current_timestamp()}).write.mode("append").partitionBy("family").parquet(path)
 
 
+def write_check_file(results: DataFrame, path: str, descriptions: dict[str, str] | None = None) -> None:
+    """The check file as JSON lines: each found code with its phase, severity, description and count."""
+    summarise(results, descriptions).orderBy("phase", "code").write.mode("error").json(path)
+
+
+def write_slices(slices: DataFrame, path: str, series: list[str], order: str = "slice_idx") -> None:
+    """Pixel rows by series folder, in the order of their slices; any number of tasks writes, a series in one place."""
+    slices.repartition(*series).sortWithinPartitions(*series, order).write.mode("error").partitionBy(*series).parquet(path)
+
+
+def write_labels(labels: DataFrame, path: str, series: list[str], slice_: str, label: str) -> None:
+    """Label files by series folder: CSV of slice and label with a header."""
+    rows = labels.select(*series, F.col(slice_).alias("slice"), F.col(label).alias("label"))
+    rows.repartition(*series).sortWithinPartitions(*series, "slice").write.mode("error").partitionBy(*series).csv(path, header=True)
+
+
 def new_version(df: DataFrame, path: str, version: str) -> str:
     """A cleaned table beside its source: path/version=...; an existing version is an error."""
     target = f"{path}/version={version}"

@@ -317,6 +317,48 @@ def test_losses_against_numpy(spark):
     assert images.inverse_angular_error(turned, "a", "b").first()[0] == pytest.approx(1 / (math.pi / 2 + math.acos(0.999999**2)))
 
 
+def test_further_losses_and_mean_iou(spark):
+    rng = np.random.default_rng(9)
+    x, t, w = rng.normal(size=(40, 3)), rng.integers(-1, 3, 40), rng.random(40)
+    df = spark.createDataFrame([(int(a), [float(v) for v in b], float(c)) for a, b, c in zip(t, x, w)], "t int, x array<double>, w double")
+    log_p = x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+    cw = [1.0, 2.0, 0.5]
+    want = sum(-w[i] * cw[t[i]] * log_p[i, t[i]] for i in range(40) if t[i] >= 0) / 120
+    assert losses.pixel_cross_entropy(df, "t", "x", "w", cw, -1).first()[0] == pytest.approx(want)
+    d = np.abs(x[:, 0] - x[:, 1])
+    flat = spark.createDataFrame([(float(a), float(b)) for a, b in x[:, :2]], "a double, b double")
+    assert losses.smooth_l1(flat, "a", "b", 0.7).first()[0] == pytest.approx(np.where(d < 0.7, d * d / 1.4, d - 0.35).mean())
+    u, v = x / np.linalg.norm(x, axis=1, keepdims=True), np.roll(x, 1, axis=0)
+    v = v / np.linalg.norm(v, axis=1, keepdims=True)
+    angles = np.arccos((u * v).sum(axis=1) * 0.999999**2)
+    pairs = spark.createDataFrame([(a.tolist(), b.tolist(), float(c)) for a, b, c in zip(x, np.roll(x, 1, axis=0), w)], "a array<double>, b array<double>, w double")
+    assert losses.square_angular(pairs, "a", "b", "w").first()[0] == pytest.approx((angles**2 * w).sum())
+    p = rng.integers(0, 3, 40)
+    keep = t >= 0
+    iou = [((t == c) & (p == c) & keep).sum() / max(1, (((t == c) | (p == c)) & keep).sum()) for c in range(3)]
+    pixels = spark.createDataFrame([(int(a), int(b)) for a, b in zip(t, p)], "t int, p int")
+    assert images.mean_iou(pixels, "t", "p", 3, -1).first()[0] == pytest.approx(np.mean(iou))
+    assert images.mean_iou(pixels, "t", "p", 3, -1, (0,)).first()[0] == pytest.approx(np.mean(iou[1:]))
+
+
+def test_volumes_turn_on_three_axes(spark):
+    c = spark.createDataFrame([(1, [1.0, 0.0, 0.0, 0.0, 1.0, 0.0]), (2, [-1.0, 0.0, 0.0, 0.0, 1.0, 0.0]), (3, [1.0, 0.0, 0.0, 0.0, -1.0, 0.0]), (4, [-1.0, 0.0, 0.0, 0.0, -1.0, 0.0])], "k int, c array<double>")
+    assert rows(c.select("k", images.lps_flips(F.col("c"))), "k") == [(1, ""), (2, "ri"), (3, "ai"), (4, "ra")]
+    s = spark.createDataFrame([("a", i, 1, 2, [float(i), 9.0], "ri") for i in range(3)], "series string, slice_idx int, h int, w int, pixels array<double>, flips string")
+    assert rows(images.to_lps(s, series=["series"]).select("slice_idx", "pixels"), "slice_idx") == [(0, [9.0, 2.0]), (1, [9.0, 1.0]), (2, [9.0, 0.0])]
+
+
+def test_slices_labels_and_check_files_are_written(spark, tmp_path):
+    s = spark.createDataFrame([("p", 1, [2.0]), ("p", 0, [1.0]), ("q", 0, [3.0])], "series string, slice_idx int, pixels array<double>")
+    sinks.write_slices(s, str(tmp_path / "s"), ["series"])
+    assert rows(spark.read.parquet(str(tmp_path / "s/series=p")).select("slice_idx")) == [(0,), (1,)]
+    sinks.write_labels(s.withColumn("y", F.lit("ill")), str(tmp_path / "l"), ["series"], "slice_idx", "y")
+    assert next((tmp_path / "l/series=q").glob("*.csv")).read_text() == "slice,label\n0,ill\n"
+    found = spark.createDataFrame([(2, "E201", "error", "a", 3, True), (2, "E201", "error", "b", 1, True), (3, "E301", "error", None, 0, False)], quality.RESULT)
+    sinks.write_check_file(found, str(tmp_path / "c"), {"E201": "a value is missing"})
+    assert [(r.code, r.n, r.description) for r in spark.read.json(str(tmp_path / "c")).collect()] == [("E201", 4, "a value is missing")]
+
+
 # ---- sessions and the entry
 
 
