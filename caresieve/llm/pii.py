@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame
 from caresieve.llm.common import arrow_map, pick
 from caresieve.llm.pii_model import KINDS, Tagger, codes, trained
 
-#: Windows of so many code points start every STRIDE, so neighbours overlap by a quarter.
-WINDOW, STRIDE = 256, 192
+#: Windows of so many code points start every STRIDE, so neighbours overlap by 64.
+WINDOW, STRIDE = 512, 448
 #: A window's span counts if it reaches into the window but for so many places at each end
 #: that isn't the text's own; these inner parts cover the text once.
 EDGE = (WINDOW - STRIDE) // 2
 #: Windows that are tagged at once.
-WINDOWS_AT_ONCE = 256
+WINDOWS_AT_ONCE = 512
 #: The kinds that the patterns know.
 BASE_KINDS = ("email", "ip", "card", "phone")
 

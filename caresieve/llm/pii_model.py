@@ -54,16 +54,11 @@ def allowed() -> np.ndarray:
     return t
 
 
-def _slope(y: np.ndarray) -> np.ndarray:
-    """The slope of softsign, x / (1 + |x|), where its value is y."""
-    return (1 - np.abs(y)) ** 2
-
-
 class Tagger:
     """Parameters; axis 0 of those of the LSTM is the direction.
 
-    Gates and states are squashed by softsign, x / (1 + |x|), which costs a sixth of
-    tanh in numpy.
+    Gates are clipped to 0 .. 1, what they let in and out to -1 .. 1 (a hard sigmoid and
+    a hard tanh): one pass each in numpy, where tanh costs ten.
     """
 
     SHAPES = {"wx": (2, CODES, 4 * HIDDEN), "wh": (2, HIDDEN, 4 * HIDDEN), "b": (2, 4 * HIDDEN), "wo": (2 * HIDDEN, TAGS), "bo": (TAGS,), "trans": (TAGS, TAGS), "first": (TAGS,)}
@@ -71,7 +66,8 @@ class Tagger:
     def __init__(self, seed: int = SEED, dtype=np.float32):
         rng = np.random.default_rng(seed)
         self.p = {k: (rng.normal(0, 0.15, s) if k in ("wx", "wh", "wo") else np.zeros(s)).astype(dtype) for k, s in self.SHAPES.items()}
-        self.p["b"][:, HIDDEN : 2 * HIDDEN] = 1  # forget gates open
+        self.p["b"][:, : 3 * HIDDEN] = 0.5  # gates half open
+        self.p["b"][:, HIDDEN : 2 * HIDDEN] = 0.85  # and those that forget nearly closed
         self.block = allowed().astype(dtype)
 
     def pack(self) -> bytes:
@@ -86,39 +82,44 @@ class Tagger:
             out.p = {k: f[k] for k in cls.SHAPES}
         return out
 
+    def _buffer(self, name: str, shape: tuple[int, ...], dtype) -> np.ndarray:
+        """Memory that is used again by the next call: fresh pages cost more than the sums."""
+        held = self.__dict__.setdefault("held", {})
+        if name not in held or held[name].shape != shape or held[name].dtype != dtype:
+            held[name] = np.empty(shape, dtype)
+        return held[name]
+
     def states(self, ids: np.ndarray, keep: list | None = None) -> np.ndarray:
-        """(T, N, 2 HIDDEN) outputs of both directions; keep: gets what the gradients need, step by step."""
+        """(T, N, 2 HIDDEN) outputs of both directions, valid until the next call; keep: gets what the gradients need."""
         p, (n, length), h_ = self.p, ids.shape, HIDDEN
         both = np.stack([ids.T, ids.T[::-1]])  # (2, T, N)
-        table, dtype = p["wx"] + p["b"][:, None], p["wx"].dtype
+        dtype = p["wx"].dtype
+        # gates apart, so that each is one stretch of memory
+        table = np.ascontiguousarray((p["wx"] + p["b"][:, None]).reshape(2, CODES, 4, h_).transpose(2, 0, 1, 3)).reshape(-1, h_)
+        wh = np.ascontiguousarray(p["wh"].reshape(2, h_, 4, h_).transpose(2, 0, 1, 3))
+        start = CODES * np.arange(8).reshape(4, 2, 1)
         h, c = np.zeros((2, n, h_), dtype), np.zeros((2, n, h_), dtype)
-        hs = np.zeros((2, length, n, h_), dtype)
-        # everything in buffers made once: fresh arrays cost more than the sums
-        y, step, ig, tc = np.empty((2, n, 4 * h_), dtype), np.empty((2, n, 4 * h_), dtype), np.empty((2, n, h_), dtype), np.empty((2, n, h_), dtype)
+        out = self._buffer("out", (length, n, 2 * h_), dtype)
+        y, step = self._buffer("y", (4, 2, n, h_), dtype), self._buffer("step", (4, 2, n, h_), dtype)
+        ig, tc = np.empty((2, n, h_), dtype), np.empty((2, n, h_), dtype)
+        zero, one = dtype.type(0), dtype.type(1)
         for t in range(length):
-            for d in (0, 1):
-                np.take(table[d], both[d, t], axis=0, out=y[d], mode="clip")
-            np.matmul(h, p["wh"], out=step)
+            np.take(table, start + both[:, t], axis=0, out=y, mode="clip")
+            np.matmul(h, wh, out=step)
             y += step
-            np.abs(y, out=step)
-            step += 1
-            y /= step  # softsign
-            g, gates = y[..., 3 * h_ :], step[..., : 3 * h_]
-            np.multiply(y[..., : 3 * h_], 0.5, out=gates)
-            gates += 0.5
+            np.clip(y[:3], zero, one, out=y[:3])
+            np.clip(y[3], -one, one, out=y[3])
             if keep is not None:
-                keep.append((h.copy(), c.copy(), y.copy(), gates.copy()))
-            np.multiply(gates[..., :h_], g, out=ig)
-            c *= gates[..., h_ : 2 * h_]
+                keep.append((h.copy(), c.copy(), y.transpose(1, 2, 0, 3).reshape(2, n, 4 * h_)))
+            np.multiply(y[0], y[3], out=ig)
+            c *= y[1]
             c += ig
-            np.abs(c, out=tc)
-            tc += 1
-            np.divide(c, tc, out=tc)
+            np.clip(c, -one, one, out=tc)
             if keep is not None:
                 keep[-1] += (tc.copy(),)
-            np.multiply(gates[..., 2 * h_ :], tc, out=h)
-            hs[:, t] = h
-        out = np.concatenate([hs[0], hs[1, ::-1]], axis=-1)  # (T, N, 2H)
+            np.multiply(y[2], tc, out=h)
+            out[t, :, :h_] = h[0]
+            out[length - 1 - t, :, h_:] = h[1]
         if keep is not None:
             keep.append((both, out))
         return out
@@ -167,11 +168,12 @@ class Tagger:
         back = p["wh"].transpose(0, 2, 1)
         da_all = np.zeros((2, length, n, 4 * h_), out.dtype)
         for t in range(length - 1, -1, -1):
-            _, c0, y, gates, tc = keep[t]
-            i, f, o, gg = gates[..., :h_], gates[..., h_ : 2 * h_], gates[..., 2 * h_ :], y[..., 3 * h_ :]
+            _, c0, y, tc = keep[t]
+            i, f, o, gg = y[..., :h_], y[..., h_ : 2 * h_], y[..., 2 * h_ : 3 * h_], y[..., 3 * h_ :]
+            free = np.concatenate([(y[..., : 3 * h_] > 0) & (y[..., : 3 * h_] < 1), np.abs(gg) < 1], axis=-1)
             dh = dh + dhs[:, t]
-            dc = dc + dh * o * _slope(tc)
-            da = np.concatenate([0.5 * dc * gg, 0.5 * dc * c0, 0.5 * dh * tc, dc * i], axis=-1) * _slope(y)
+            dc = dc + dh * o * (np.abs(tc) < 1)
+            da = np.concatenate([dc * gg, dc * c0, dh * tc, dc * i], axis=-1) * free
             da_all[:, t] = da
             dh = da @ back
             dc = dc * f
@@ -186,31 +188,55 @@ class Tagger:
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The best tags of each window (Viterbi).
 
-        A span goes on only from its own kind, so only the tags that may follow any
-        other are looked at from all; the way back is walked where it isn't all outside.
+        First a bound: what the best span of each kind that ends at a place can gain
+        over staying outside, with the best way into it and out of it. Where no span
+        gains anything the path outside is the best one, and needs no search.
         """
-        p, (n, length) = self.p, ids.shape
-        e = p["wo"].T @ self.states(ids).transpose(0, 2, 1) + p["bo"][:, None]  # (T, TAGS, N)
+        p = self.p
+        e = self._buffer("e", (ids.shape[1], TAGS, len(ids)), p["wo"].dtype)
+        np.matmul(p["wo"].T, self.states(ids).transpose(0, 2, 1), out=e)
+        e += p["bo"][:, None]
         trans = p["trans"] + self.block
+        rest, on = trans[0, 0], np.arange(2, TAGS, 2)
+        into = np.maximum(trans[:, on - 1].max(axis=0), p["first"][on - 1] - p["first"][0] + rest) - rest
+        onward = np.maximum(trans[on - 1, on], trans[on, on]) - rest
+        out_of = max(0.0, float(trans[1:, 0].max() - rest))
+        into, onward = into[:, None], onward[:, None]
+        reach = np.full((len(on), len(ids)), NEVER, e.dtype)
+        best = reach.copy()
+        for t, now in enumerate(e):
+            reach += now[2::2]
+            reach += onward
+            begin = now[1::2] + into
+            np.maximum(reach, begin, out=reach)
+            if t == 0:  # a window may begin inside a span
+                np.maximum(reach, now[2::2] + (p["first"][on] - p["first"][0])[:, None], out=reach)
+            reach -= now[0]
+            np.maximum(best, reach, out=best)
+        tags = np.zeros(ids.shape, np.int8)
+        some = np.flatnonzero(best.max(axis=0) + out_of > -1e-3)
+        if len(some):
+            tags[some] = self._best_path(e[:, :, some], trans)
+        return tags
+
+    def _best_path(self, e: np.ndarray, trans: np.ndarray) -> np.ndarray:
+        """A span goes on only from its own kind, so only the tags that may follow any other are looked at from all."""
+        length, _, n = e.shape
         begins, on = [0, *range(1, TAGS, 2)], np.arange(2, TAGS, 2)
         to_begin, first_on, next_on = trans[:, begins][:, :, None], trans[on - 1, on][:, None], trans[on, on][:, None]
         score = np.empty((length, TAGS, n), e.dtype)
-        score[0] = e[0] + p["first"][:, None]
+        score[0] = e[0] + self.p["first"][:, None]
         for t in range(1, length):
             last = score[t - 1]
             score[t, begins] = (last[:, None] + to_begin).max(axis=0)
             np.maximum(last[1::2] + first_on, last[2::2] + next_on, out=score[t, 2::2])
             score[t] += e[t]
-        outside = score[0, 0].copy()  # of the path that never leaves 0, added up in the same order
-        for t in range(1, length):
-            outside = (outside + trans[0, 0]) + e[t, 0]
         tags = np.zeros((n, length), np.int8)
-        some = np.flatnonzero(score[-1].max(axis=0) > outside)
-        at = score[-1][:, some].argmax(axis=0)
+        at = score[-1].argmax(axis=0)
         for t in range(length - 1, -1, -1):
-            tags[some, t] = at
+            tags[:, t] = at
             if t:
-                at = (score[t - 1][:, some] + trans[:, at]).argmax(axis=0)
+                at = (score[t - 1] + trans[:, at]).argmax(axis=0)
         return tags
 
     def spans(self, ids: np.ndarray) -> list[list[tuple[int, int, str]]]:
