@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caresieve.operators.skew import cut, salted_join
+from caresieve.operators.skew import Steps, cut, salted_join
 
 MAX_ROUNDS = 60
 
 
-def _stars(edges: DataFrame, small: bool) -> DataFrame:
+def _stars(edges: DataFrame, small: bool, steps: Steps) -> DataFrame:
     """One star operation: each node's neighbours are linked to its smallest one instead.
 
     edges: rows (a, b), a > b. small: only neighbours below the node move, else
@@ -18,7 +18,7 @@ def _stars(edges: DataFrame, small: bool) -> DataFrame:
     with very many neighbours is dealt over tasks when its minimum goes to them.
     """
     sides = edges if small else edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = cut(sides.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("n")))
+    least = steps.keep(sides.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("n")))
     moved = salted_join(sides, least, ["a"], "n", "b")
     if small:
         out = moved.select(F.col("b").alias("x"), "m").unionByName(least.select(F.col("a").alias("x"), "m"))
@@ -32,20 +32,27 @@ def components(edges: DataFrame) -> DataFrame:
 
     edges: columns a and b of one orderable type; direction and repeats don't
     matter, loops are ignored. Large-star and small-star alternate until nothing
-    changes: O(log^2 n) rounds, each a few shuffles of at most the edges, cut by a
-    checkpoint so that lost executors cost one round at most.
+    changes: O(log^2 n) rounds, each a few shuffles of at most the edges. Each is
+    written to the shared folder, so lost executors cost one round at most; what a
+    round no longer needs is removed.
     """
-    now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now = cut(now)
-    mark = _mark(now)
-    for _ in range(MAX_ROUNDS):
-        now = cut(_stars(cut(_stars(now, small=False)), small=True))
-        before, mark = mark, _mark(now)
-        if mark == before:
-            break
-    else:
-        raise RuntimeError(f"components didn't settle in {MAX_ROUNDS} rounds")
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    steps = Steps(edges.sparkSession)
+    try:
+        now = steps.keep(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        mark = _mark(now)
+        for _ in range(MAX_ROUNDS):
+            now = steps.keep(_stars(now, False, steps))
+            now = steps.keep(_stars(now, True, steps))
+            steps.forget(before=steps.held)
+            before, mark = mark, _mark(now)
+            if mark == before:
+                break
+        else:
+            raise RuntimeError(f"components didn't settle in {MAX_ROUNDS} rounds")
+        both = now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+        return cut(both)
+    finally:
+        steps.forget()
 
 
 def _mark(edges: DataFrame) -> tuple:

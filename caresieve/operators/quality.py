@@ -171,6 +171,12 @@ def number_replicates(df: DataFrame, key: str, order: list[str], scope: str = "v
     return df.withColumn("copy", F.row_number().over(Window.partitionBy(*[F.col(f"`{c}`") for c in by]).orderBy(*order)))
 
 
+def count_replicates(df: DataFrame, key: str, scope: str = "values") -> DataFrame:
+    """n: the rows beyond the first of equal ones; counted before the shuffle, so a group of any size is one row a task."""
+    by = [F.col(f"`{c}`") for c in df.columns if scope == "row" or c != key]
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("m")).agg(F.coalesce(F.sum(F.col("m") - 1), F.lit(0)).alias("n"))
+
+
 def unmapped(df: DataFrame, known: DataFrame, key: str, known_key: str) -> DataFrame:
     """E801: rows whose id isn't among the known."""
     return df.join(known.select(F.col(known_key).alias("__k")), F.col(key) == F.col("__k"), "left_anti")
@@ -310,8 +316,7 @@ def validate(df: DataFrame, protocol: Protocol, key: str | None = None, mode: st
     if levels:
         phases.append((5, lambda: _level_results(df, levels, protocol.missing)))
     if key:
-        copies = lambda: number_replicates(df, key, [key]).agg(F.count_if(F.col("copy") > 1).alias("n"))
-        phases.append((7, lambda: copies().select(*_result(F.lit("W701"), F.lit(None), F.col("n")))))
+        phases.append((7, lambda: count_replicates(df, key).select(*_result(F.lit("W701"), F.lit(None), F.col("n")))))
     if key and known is not None:
         strangers = lambda: unmapped(df, known, key, known_key or key).agg(F.count(F.lit(1)).alias("n"))
         phases.append((8, lambda: strangers().select(*_result(F.lit("E801"), F.lit(None), F.col("n")))))

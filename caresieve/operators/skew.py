@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Keys with over max(HOT_ROWS, all / HOT_KEYS) rows are salted, so there are at most HOT_KEYS of them.
@@ -14,24 +15,58 @@ HOT_ROWS = 4096
 HOT_KEYS = 100_000
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df written to the cluster's shared checkpoint folder, without its lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder: the session's spark.checkpoint.dir.
 
-    The folder is the session's spark.checkpoint.dir. Only a session in one process
-    (tests) may have none and gets one of its own; on a cluster, whose executors
-    don't share local folders, that is an error. The files are removed when the
-    plan that reads them is no longer held by anything and has been collected.
+    Only a session in one process (tests) may have none and gets one of its own; on a
+    cluster, whose executors don't share local folders, that is an error.
     """
-    sc = df.sparkSession.sparkContext
-    sc._conf.set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")  # asked for at each checkpoint, so in force from now on
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
         if not shared and not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="caresieve-ckpt-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df written to the shared folder, without its lineage.
+
+    The files are removed when the plan that reads them is no longer held by anything
+    and has been collected.
+    """
+    spark = df.sparkSession
+    spark.sparkContext._conf.set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")  # asked for at each checkpoint, so in force from now on
+    shared_folder(spark)
     return df.checkpoint(eager=True)
 
 
+class Steps:
+    """Tables of a loop, written to the shared folder and read again.
+
+    A checkpoint keeps the optimizer's guess of its size, which joins multiply: in a
+    loop it gets digits without end. A table that is read has its own size.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.root, self.held = spark, f"{shared_folder(spark)}/steps-{uuid.uuid4().hex}", 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.held += 1
+        path = f"{self.root}/{self.held}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def forget(self, before: int | None = None) -> None:
+        """Removes the tables before this one (counting from 1), or all."""
+        sc = self.spark.sparkContext
+        paths = [self.root] if before is None else [f"{self.root}/{i}" for i in range(1, before)]
+        for path in paths:
+            where = sc._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def salted_join(rows: DataFrame, facts: DataFrame, keys: list[str], count: str, salt_by: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Inner join of rows to facts, which holds one row a key and, in `count`, how many rows have it.
 
