@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from caresieve.operators.skew import cut, free_names, salted_join
 from caresieve.session import ship
 
-__all__ = ["SPACES", "arrow_map", "cut", "documents", "free_names", "null_safe_key", "others", "pick", "quoted", "salted_join", "sha256_hex", "slots"]
+__all__ = ["SPACES", "arrow_map", "cut", "documents", "embeddings", "free_names", "null_safe_key", "others", "pick", "quoted", "salted_join", "sha256_hex", "slots"]
 
 #: The white space of all contracts, as one string.
 SPACES = " \t\n\x0b\x0c\r"
@@ -25,6 +25,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The embeddings table of a data folder."""
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def pick(df: DataFrame, **names: str) -> DataFrame:
     """Only the named columns, under the given new names; other columns can't clash with them."""
     return df.select(*[df[old].alias(new) for new, old in names.items()])

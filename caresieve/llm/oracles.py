@@ -81,10 +81,60 @@ SELECT doc_id, source, copy_no, n_copies,
   round(CAST('0x' || substr(md5('{mixing.SEED}:order:=' || doc_id || ':' || copy_no), 1, 13) AS BIGINT) / 4503599627370496.0, 9) AS mix_key, text FROM e
 """
 
+def _codes_round(k: int) -> str:
+    """Nearest entries a{k} under the codebooks c{k}, and the codebooks c{k + 1} after them."""
+    gap = " + ".join(f"(p.x[{i}] - c.x[{i}]) * (p.x[{i}] - c.x[{i}])" for i in range(1, 5))
+    mean = ", ".join(f"CAST(floor(sum(p.x[{i}]) / count(*)) AS BIGINT)" for i in range(1, 5))
+    return f"""
+a{k} AS (SELECT rid, vec_id, part, min(struct_pack(d := {gap}, e := c.e)) AS best FROM p JOIN c{k} c USING (part) GROUP BY rid, vec_id, part),
+m{k} AS (SELECT p.part, a.best.e AS e, [{mean}] AS x FROM p JOIN a{k} a ON p.rid = a.rid AND p.part = a.part GROUP BY p.part, a.best.e),
+c{k + 1} AS (SELECT c.part, c.e, coalesce(m.x, c.x) AS x FROM c{k} c LEFT JOIN m{k} m ON c.part = m.part AND c.e = m.e),"""
+
+
+# vectors of 64 components, so parts of 4
+_OP12 = f"""
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT rid, vec_id, s AS part, q[4 * s + 1 : 4 * s + 4] AS x FROM v, (SELECT unnest(range(16)) AS s)),
+f AS (SELECT rid, row_number() OVER (ORDER BY vec_id, q) - 1 AS e FROM v),
+c0 AS (SELECT p.part, f.e, p.x FROM p JOIN f USING (rid) WHERE f.e < 64),
+{_codes_round(0)}{_codes_round(1)}{_codes_round(2).rsplit("m2 AS", 1)[0]}
+r AS (SELECT rid, vec_id, string_agg(lpad(lower(to_hex(best.e)), 2, '0'), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a2 GROUP BY rid, vec_id),
+l AS (SELECT r.*, v.label FROM r JOIN v USING (rid)),
+b AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, e)) AS h FROM c2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM l, b
+"""
+
+# near words meet by what is left without one code point, or with one masked
+_OP13 = r"""
+WITH bits AS (SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda a, i: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END, CAST(b AS BIGINT))) AS t),
+r AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS w FROM documents) GROUP BY ALL),
+k AS (SELECT w, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w)) AS h FROM r WHERE length(w) >= 5),
+y AS (SELECT w, n, list_transform(range(1, len(h) + 1, 2), lambda i: CAST('0x' || h[i:i+1] AS BIGINT)) AS bs FROM k),
+c AS (SELECT w, n, xor(list_reduce(bs, lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS h FROM y, bits),
+d AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) AS BIGINT) + 2) ELSE w END AS word, n FROM c),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM d WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+g AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+e AS (SELECT DISTINCT a.word AS a, b.word AS b FROM g a JOIN g b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+  UNION SELECT g.less, g.word FROM g JOIN v ON g.less = v.word UNION SELECT g.word, g.less FROM g JOIN v ON g.less = v.word),
+s AS (SELECT e.a AS word, count(*) AS n_near, min(struct_pack(less := -v.n, w := encode(v.word), word := v.word)) AS best FROM e JOIN v ON e.b = v.word GROUP BY e.a),
+f AS (SELECT v.word, v.n, coalesce(s.n_near, 0) AS n_near, CASE WHEN -s.best.less >= 2 * v.n THEN s.best.word END AS form, CASE WHEN -s.best.less >= 2 * v.n THEN -s.best.less END AS form_n FROM v LEFT JOIN s ON v.word = s.word)
+"""
+_OP13 = (
+    "WITH RECURSIVE"
+    + _OP13.strip().removeprefix("WITH")
+    + """,
+z AS (SELECT word, word AS root, form AS next FROM f UNION ALL SELECT z.word, f.word, f.form FROM z JOIN f ON z.next = f.word)
+SELECT f.word, f.form, z.root, f.n, f.n_near, CAST(f.form_n AS BIGINT) AS form_n FROM f JOIN z ON f.word = z.word WHERE z.next IS NULL
+"""
+)
+
 ORACLE = {
     "op1_quality_rules": _OP1.replace("{rules}", ", ".join(_rule(r) for r in quality.RULES)),
     "op3_line_dedup": _OP3,
     "op4_exact_dedup": _OP4,
     "op5_sharding": _OP5,
     "op7_source_mixing": _OP7,
+    "op12_vector_codes": _OP12,
+    "op13_spelling_variants": _OP13,
 }
