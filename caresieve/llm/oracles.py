@@ -81,6 +81,18 @@ SELECT doc_id, source, copy_no, n_copies,
   round(CAST('0x' || substr(md5('{mixing.SEED}:order:=' || doc_id || ':' || copy_no), 1, 13) AS BIGINT) / 4503599627370496.0, 9) AS mix_key, text FROM e
 """
 
+# every pair of a table, so for small tables only
+_OP11 = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT vec_id AS node, vec_id AS root FROM embeddings UNION SELECT l.b, r.root FROM r JOIN l ON r.node = l.a),
+c AS (SELECT node, min(root) AS component_id FROM r GROUP BY node),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept FROM embeddings e JOIN c ON e.vec_id = c.node LEFT JOIN n ON e.vec_id = n.a
+"""
+
+
 def _codes_round(k: int) -> str:
     """Nearest entries a{k} under the codebooks c{k}, and the codebooks c{k + 1} after them."""
     gap = " + ".join(f"(p.x[{i}] - c.x[{i}]) * (p.x[{i}] - c.x[{i}])" for i in range(1, 5))
@@ -135,6 +147,7 @@ ORACLE = {
     "op4_exact_dedup": _OP4,
     "op5_sharding": _OP5,
     "op7_source_mixing": _OP7,
+    "op11_vector_dedup": _OP11,
     "op12_vector_codes": _OP12,
     "op13_spelling_variants": _OP13,
 }

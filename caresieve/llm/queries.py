@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from caresieve.llm import bpe, exact_dedup, language_id, line_dedup, mixing, pii, quality, sharding, simhash, spelling, toxicity, vector_codes
+from caresieve.llm import bpe, exact_dedup, language_id, line_dedup, mixing, pii, quality, sharding, simhash, spelling, toxicity, vector_codes, vector_dedup
 from caresieve.llm.common import documents, embeddings, sha256_hex
 from caresieve.llm.oracles import ORACLE  # noqa: F401
 
@@ -80,6 +80,11 @@ def op10_language_id(spark, sf):
     return out.select("doc_id", "held_out", "lang_pred", "score", F.size("languages").alias("n_languages"))
 
 
+def op11_vector_dedup(spark, sf):
+    """Every vector with its links, its component and whether it stays."""
+    return vector_dedup.near_dedup(embeddings(spark, sf))
+
+
 def op12_vector_codes(spark, sf):
     """Every vector's code and error, with the codebooks' digest."""
     return vector_codes.compress(embeddings(spark, sf))
@@ -92,5 +97,5 @@ def op13_spelling_variants(spark, sf):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_byte_bpe, op3_line_dedup, op4_exact_dedup, op5_sharding, op6_pii, op7_source_mixing, op8_simhash, op9_toxicity, op10_language_id, op12_vector_codes, op13_spelling_variants)
+    for f in (op1_quality_rules, op2_byte_bpe, op3_line_dedup, op4_exact_dedup, op5_sharding, op6_pii, op7_source_mixing, op8_simhash, op9_toxicity, op10_language_id, op11_vector_dedup, op12_vector_codes, op13_spelling_variants)
 }
