@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from caresieve.operators.skew import Steps, cut, salted_join
 
-MAX_ROUNDS = 60
-
 
 def _stars(edges: DataFrame, small: bool, steps: Steps) -> DataFrame:
     """One star operation: each node's neighbours are linked to its smallest one instead.
@@ -40,15 +38,13 @@ def components(edges: DataFrame) -> DataFrame:
     try:
         now = steps.keep(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
         mark = _mark(now)
-        for _ in range(MAX_ROUNDS):
+        while True:
             now = steps.keep(_stars(now, False, steps))
             now = steps.keep(_stars(now, True, steps))
             steps.forget(before=steps.held)
             before, mark = mark, _mark(now)
             if mark == before:
                 break
-        else:
-            raise RuntimeError(f"components didn't settle in {MAX_ROUNDS} rounds")
         both = now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         return cut(both)
     finally:
