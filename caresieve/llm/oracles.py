@@ -60,9 +60,10 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 # CRC-32 from its own 256-entry table, a byte at a time
 _OP5 = rf"""
 WITH bits AS (SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda a, i: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END, CAST(b AS BIGINT))) AS t),
-d AS (SELECT doc_id, coalesce('=' || source, '-') AS stratum, hex(encode(coalesce(text, ''))) AS h, md5('{sharding.SEED}:=' || doc_id) AS key FROM documents),
-c AS (SELECT doc_id, stratum, key, len(h) // 2 + 1 AS size, list_transform(range(1, len(h) + 1, 2), lambda i: CAST('0x' || h[i:i+1] AS BIGINT)) AS bs, t FROM d, bits),
-e AS (SELECT doc_id, stratum, key, size, xor(list_reduce(bs, lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS crc FROM c),
+d AS (SELECT doc_id, coalesce('=' || source, '-') AS stratum, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (SELECT doc_id, stratum, len(h) // 2 + 1 AS size, list_transform(range(1, len(h) + 1, 2), lambda i: CAST('0x' || h[i:i+1] AS BIGINT)) AS bs, t FROM d, bits),
+x AS (SELECT doc_id, stratum, size, xor(list_reduce(bs, lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS crc FROM c),
+e AS (SELECT *, md5('{sharding.SEED}:' || coalesce('=' || doc_id, '-') || ':' || size || ':' || crc) AS key FROM x),
 r AS (SELECT *, (row_number() OVER (PARTITION BY stratum ORDER BY key, doc_id, size, crc) - 1 + CAST('0x' || substr(md5('{sharding.SEED}:' || stratum), 1, 13) AS BIGINT) / 4503599627370496.0) / count(*) OVER (PARTITION BY stratum) AS share FROM e),
 g AS (SELECT *, row_number() OVER (ORDER BY share, key, doc_id, size, crc) - 1 AS pos, count(*) OVER () AS n FROM r),
 s AS (SELECT *, CAST(pos * {sharding.SHARDS} // n AS INTEGER) AS shard FROM g)

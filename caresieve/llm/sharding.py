@@ -12,8 +12,8 @@ SEED = "shard-1"
 #: Rows are ranked in buckets of about this many, at most MAX_BUCKETS of them.
 BUCKET_ROWS = 512
 MAX_BUCKETS = 1 << 16
-#: A bucket of over so many times its share (rows of one id, which have one hash) is dealt into parts of that size.
-CROWD = 8
+#: Equal rows that one task makes from their count.
+COPIES = 4096
 
 
 def _unit(key: Column) -> Column:
@@ -21,53 +21,52 @@ def _unit(key: Column) -> Column:
     return F.conv(F.substring(key, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+def _each(groups: DataFrame) -> DataFrame:
+    """A row per copy of each group of equal rows, numbered from 0 in `copy`; very many are dealt over tasks."""
+    few = groups.where(F.col("m") <= COPIES).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)))
+    runs = groups.where(F.col("m") > COPIES).withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1, F.lit(COPIES).cast("long"))))
+    last = F.least(F.col("first") + COPIES, F.col("m")) - 1
+    many = runs.repartition("key", "first").withColumn("copy", F.explode(F.sequence(F.col("first"), last))).drop("first")
+    return few.unionByName(many)
+
+
 def interleave(docs: DataFrame, shards: int = SHARDS, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per document: doc_id, source, size, text_crc32, rank, share, law, shard, slot, grown_shard.
 
-    Within each source rows are ordered by a seeded hash of the id; the row of rank
-    r of n gets the fractional rank (r - 1 + u) / n, u in [0, 1) seeded by source.
-    All rows in the order of this share are cut into `shards` runs whose counts are
+    Within each source rows are ordered by a seeded hash of id, size and checksum; the
+    row of rank r of n gets the fractional rank (r - 1 + u) / n, u in [0, 1) seeded by
+    source. All rows in the order of this share are cut into `shards` runs whose counts are
     at most one apart (law `rows`); so each run holds each source in proportion.
     slot counts from 0 in each shard. size is the UTF-8 bytes of the text plus 1,
     text_crc32 the CRC-32 of the text; null text counts as empty, null source is a
-    source of its own, null ids come first. Rows equal in id are ordered by size
-    and checksum, or, where they are very many, by a number of their own; equal rows
-    may change places. Whole texts of any length are read, once; other columns
-    aren't. An empty table gives no rows.
+    source of its own, null ids are equal. Rows of one id are spread by their content;
+    rows that are equal in all that the order looks at are counted as one and follow each
+    other, so it doesn't matter which is which, and the result depends on the rows alone
+    and not on files or partitions. Whole texts of any length are read, once; other
+    columns aren't. An empty table gives no rows.
 
     No rank needs all rows of a source, or all rows, in one task: hash buckets are
     ranked apart, and small tables of their counts give the offsets.
     """
     base = pick(docs, doc_id=id_col, text=text_col, source=source_col)
-    key = F.md5(F.concat_ws(":", F.lit(seed), null_safe_key(F.col("doc_id"))))
     text = F.coalesce("text", F.lit(""))
-    base = base.select(
-        "doc_id",
-        "source",
-        (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(text).alias("text_crc32"),
-        null_safe_key(F.col("source")).alias("stratum"),
-        key.alias("key"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    base = cut(base)  # rows of fixed size, read several times
-    n = base.count()
+    base = base.select("doc_id", "source", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    base = base.groupBy("doc_id", "source", "size", "text_crc32").agg(F.count(F.lit(1)).alias("m"))
+    key = F.md5(F.concat_ws(":", F.lit(seed), null_safe_key(F.col("doc_id")), F.col("size"), F.col("text_crc32")))
+    base = cut(base.withColumn("stratum", null_safe_key(F.col("source"))).withColumn("key", key))  # rows of fixed size, read several times
+    n = base.agg(F.sum("m")).first()[0] or 0
     buckets = max(1, min(MAX_BUCKETS, -(-n // BUCKET_ROWS)))
     base = base.withColumn("bucket", F.floor(_unit(F.col("key")) * buckets).cast("int"))
 
     ties = ["key", "doc_id", "size", "text_crc32"]
-    limit = CROWD * max(BUCKET_ROWS, -(-n // buckets))
-    counts = base.groupBy("stratum", "bucket").agg(F.count(F.lit(1)).alias("m"))
-    crowds = counts.where(F.col("m") > limit).select("stratum", "bucket", F.ceil(F.col("m") / limit).cast("int").alias("parts"))  # at most MAX_BUCKETS / CROWD
-    base = base.join(F.broadcast(crowds), ["stratum", "bucket"], "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"), F.lit(0)))
-    counts = base.groupBy("stratum", "bucket", "part").agg(F.count(F.lit(1)).alias("m"))
+    counts = base.groupBy("stratum", "bucket").agg(F.sum("m").alias("m"))
     by_stratum = Window.partitionBy("stratum")
-    earlier = by_stratum.orderBy("bucket", "part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("stratum", "bucket", "part", F.sum("m").over(by_stratum).alias("n"), F.coalesce(F.sum("m").over(earlier), F.lit(0)).alias("before"))
-    place = F.row_number().over(Window.partitionBy("stratum", "bucket", "part").orderBy(*ties))
-    ranked = base.withColumn("place", place).join(counts, ["stratum", "bucket", "part"])
+    earlier = by_stratum.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("stratum", "bucket", F.sum("m").over(by_stratum).alias("n"), F.coalesce(F.sum("m").over(earlier), F.lit(0)).alias("before"))
+    place = F.coalesce(F.sum("m").over(Window.partitionBy("stratum", "bucket").orderBy(*ties).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = _each(base.withColumn("place", place)).join(counts, ["stratum", "bucket"])
     start = _unit(F.md5(F.concat_ws(":", F.lit(seed), F.col("stratum"))))
-    ranked = ranked.withColumn("rank", F.col("before") + F.col("place"))
+    ranked = ranked.withColumn("rank", F.col("before") + F.col("place") + F.col("copy") + 1)
     ranked = ranked.withColumn("share", (F.col("rank") - 1 + start) / F.col("n"))
     ranked = cut(ranked.select("doc_id", "source", "size", "text_crc32", "key", "rank", "share"))
 
