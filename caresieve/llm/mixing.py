@@ -56,18 +56,27 @@ def rates(docs: DataFrame, source_col: str = "source", weights: dict[str, float]
     """One row per source: stratum, n_source, rate: the mean number of copies of its documents.
 
     The mixture holds epochs * N documents in expectation. weights: target share
-    by source, scaled to sum 1, sources that aren't named get none; without it a
-    source's share is its document count to the power `temperature`, scaled.
+    by source, scaled to sum 1, sources that aren't named get none, and if no source
+    with a weight is there, none gets any; a weight that is negative or no finite
+    number raises an error. Without weights a source's share is its document count to
+    the power `temperature`, scaled. A null source is one of its own. An empty table
+    gives no rows; repeated rows count as often as they come; other columns, texts
+    included, aren't read.
     """
+    for name, w in (weights or {}).items():
+        if not 0 <= w < math.inf:
+            raise ValueError(f"the weight of source {name} is {w}")
     counts = docs.groupBy(null_safe_key(F.col(source_col)).alias("stratum")).agg(F.count(F.lit(1)).alias("n_source"))
     if weights is None:
         share = F.pow(F.col("n_source").cast("double"), F.lit(float(temperature)))
+    elif not weights:
+        share = F.lit(0.0)
     else:
         named = F.create_map(*[F.lit(x) for k, v in weights.items() for x in ("-" if k is None else f"={k}", float(v))])
         share = F.coalesce(F.try_element_at(named, F.col("stratum")), F.lit(0.0))
     counts = cut(counts.withColumn("share", share))  # a row a source, read again below
     total = counts.agg(F.sum("n_source").alias("n_all"), F.sum("share").alias("share_all")).first()
-    return counts.select("stratum", "n_source", (F.lit(float(epochs)) * F.lit(total.n_all) * F.col("share") / F.lit(total.share_all) / F.col("n_source")).alias("rate"))
+    return counts.select("stratum", "n_source", (F.lit(float(epochs)) * F.lit(total.n_all) * F.col("share") / F.lit(total.share_all or 1.0) / F.col("n_source")).alias("rate"))
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, epochs: float = 1.0, seed: str = SEED, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
@@ -79,7 +88,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: f
     alone, so a rerun or a lost task repeats them, and rows of equal id (a null id is
     one) get equal draws. Null source is a source of its own; texts, null, empty or
     very long, are carried and not read. A rate under 1 leaves some documents out:
-    that is the sampling itself. An empty table gives no rows.
+    that is the sampling itself; weights of which no source is there leave out all. An
+    empty table gives no rows.
 
     The order is uniform in [0, 1), so rows go straight to the partition of their
     part of it; no sample is taken to find bounds.
