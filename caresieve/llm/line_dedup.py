@@ -76,6 +76,11 @@ def suspected(twice: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (twice[at] & mask) == mask
 
 
+def _version(text: str) -> bytes:
+    """What tells the texts of one id apart."""
+    return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
+
+
 def _distinct(text: str) -> list[bytes]:
     keys = set(line_keys(text))
     keys.discard(None)
@@ -165,22 +170,25 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def probe(batches):
         bits = np.frombuffer(twice.value, np.uint64)
         for batch in batches:
-            found = [_distinct(t) if t and i is not None else [] for i, t in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist())]
+            texts = batch.column("text").to_pylist()
+            found = [_distinct(t) if t and i is not None else [] for i, t in zip(batch.column("id").to_pylist(), texts)]
             keys = [k for ks in found for k in ks]
             row = np.repeat(np.arange(len(found)), [len(ks) for ks in found])
             hit = np.flatnonzero(suspected(bits, _hashes(keys)))
             for s in range(0, len(hit), 50_000):
                 part = hit[s : s + 50_000]
                 some = [keys[i] for i in part]
+                whole = [_version(texts[i]) if texts[i] else b"" for i in row[part]]
                 digests = pa.array([xxhash.xxh3_128_digest(k) for k in some], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row[part])), digests, pa.array(some, pa.binary())], ["id", "hash", "key"])
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row[part])), pa.array(whole, pa.binary()), digests, pa.array(some, pa.binary())], ["id", "version", "hash", "key"])
 
-    suspects = cut(arrow_map(core, probe, f"id {id_type}, hash binary, key binary"))
+    suspects = cut(arrow_map(core, probe, f"id {id_type}, version binary, hash binary, key binary"))
     repeats = suspects.groupBy("hash", "key").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n_rows"))
     repeats = cut(repeats.where("first < last").drop("last").withColumnRenamed("key", "same"))
     lost = salted_join(suspects, repeats, ["hash"], "n_rows", "id").where("id > first and key = same")
-    lost_id, lost_keys = free_names(docs.columns, "lost_id", "lost_keys")
-    lost = lost.groupBy("id").agg(F.collect_set("key").alias(lost_keys)).withColumnRenamed("id", lost_id)
+    lost_id, lost_version, lost_keys, version = free_names(docs.columns, "lost_id", "lost_version", "lost_keys", "version")
+    # of each text of an id its own lines, so no row gets more than it has itself
+    lost = lost.groupBy(F.col("id").alias(lost_id), F.col("version").alias(lost_version)).agg(F.collect_set("key").alias(lost_keys))
 
     kept_fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
     schema = ", ".join([*kept_fields, "n_lines bigint", "n_dropped bigint"])
@@ -210,7 +218,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 columns += [pa.array([t.count("\n") + 1 for t in kept], pa.int64()), pa.array([0] * len(kept), pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, [*names, "n_lines", "n_dropped"])
             else:
-                yield pa.RecordBatch.from_arrays(out.columns, names)
+                versions = [_version(texts[i]) for i in chosen.to_pylist()]
+                yield pa.RecordBatch.from_arrays([*out.columns, pa.array(versions, pa.binary())], [*names, version])
 
     def drop(batches):
         for batch in batches:
@@ -232,7 +241,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays(columns, [*names, "n_lines", "n_dropped"])
 
     sure = arrow_map(docs, clean, schema)
-    rest = arrow_map(docs, doubtful, ", ".join(kept_fields))
+    rest = arrow_map(docs, doubtful, ", ".join([*kept_fields, f"{version} binary"]))
     # both sides are sorted and may spill; rows of an id that is very often repeated are split by the adaptive join
-    rest = rest.join(lost.hint("merge"), rest[id_col] == lost[lost_id], "left").select(*quoted(names), lost_keys)
+    rest = rest.join(lost.hint("merge"), (rest[id_col] == lost[lost_id]) & (rest[version] == lost[lost_version]), "left").select(*quoted(names), lost_keys)
     return sure.unionByName(arrow_map(rest, drop, schema))
