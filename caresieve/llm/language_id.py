@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -13,8 +14,8 @@ from caresieve.llm.common import arrow_map, others, pick, quoted
 
 #: Letter trigrams are hashed to 2 ** FEATURE_BITS features.
 FEATURE_BITS = 15
-#: More labels than this are refused: the model, labels x features, goes to every executor.
-MAX_LANGUAGES = 256
+#: Languages whose features a task counts at once, and whose probabilities are looked at side by side.
+BLOCK = 256
 SMOOTHING = 0.5
 #: Neighbouring trigrams share letters, so a text has about a third as many independent ones.
 OVERLAP = 3.0
@@ -56,12 +57,56 @@ def trigram_counts(text: str) -> tuple[np.ndarray, np.ndarray, bool]:
 
 
 class Model:
-    """Smoothed log-probabilities of the features of each language."""
+    """Smoothed log-probabilities of the features of each language, held as the counts that aren't 0.
+
+    Up to BLOCK languages lie in one dense block; more are laid out block by block,
+    for the features of a text alone, so a model takes 8 bytes for each feature
+    that a language has, however many languages there are.
+    """
 
     def __init__(self, languages: list[str], counts: np.ndarray):
-        smooth = counts + SMOOTHING
-        self.languages = languages
-        self.log_p = np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32)
+        at = np.nonzero(counts)
+        self._hold(languages, at[0], at[1], counts[at])
+
+    @classmethod
+    def of_counts(cls, languages: list[str], language: np.ndarray, feature: np.ndarray, n: np.ndarray) -> Model:
+        """The model of single counts, sorted by language."""
+        model = cls.__new__(cls)
+        model._hold(languages, language, feature, n)
+        return model
+
+    def _hold(self, languages, language, feature, n) -> None:
+        self.languages, self.feature, self.n = languages, feature.astype(np.int32), n.astype(np.float64)
+        self.ends = np.searchsorted(language, np.arange(len(languages) + 1))
+        totals = np.add.reduceat(np.append(self.n, 0), self.ends[:-1]) * (np.diff(self.ends) > 0) if languages else np.zeros(0)
+        self.totals = totals + SMOOTHING * (1 << FEATURE_BITS)
+        self._dense = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"_dense": None}
+
+    def block(self, first: int, at: np.ndarray) -> np.ndarray:
+        """(languages from `first` on, at most BLOCK; features `at`): log-probabilities."""
+        last = min(first + BLOCK, len(self.languages))
+        if len(self.languages) <= BLOCK:
+            if self._dense is None:
+                self._dense = self._laid_out(0, last, np.arange(1 << FEATURE_BITS))
+            return self._dense[:, at].astype(np.float64)
+        return self._laid_out(first, last, at).astype(np.float64)
+
+    def _laid_out(self, first: int, last: int, at: np.ndarray) -> np.ndarray:
+        place = np.full(1 << FEATURE_BITS, -1)
+        place[at] = np.arange(len(at))
+        held = slice(self.ends[first], self.ends[last])
+        row = np.repeat(np.arange(last - first), np.diff(self.ends[first : last + 1]))
+        column = place[self.feature[held]]
+        smooth = np.full((last - first, len(at)), SMOOTHING)
+        smooth[row[column >= 0], column[column >= 0]] += self.n[held][column >= 0]
+        return np.log(smooth / self.totals[first:last, None]).astype(np.float32)
+
+    def blocks(self, at: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        for first in range(0, len(self.languages), BLOCK):
+            yield first, self.block(first, at)
 
     def _fit(self, p: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, float]:
         """EM for the proportions of the rows of p; (proportions, log-likelihood)."""
@@ -83,23 +128,26 @@ class Model:
         bounds what any share of it can add: languages whose slope is under the
         penalty need no EM, and the result is the same.
         """
-        log_p = self.log_p[:, at].astype(np.float64)
-        best = int(np.argmax(log_p @ n))
-        p = np.exp(log_p - log_p[best])  # likelihood ratios to the best language
-        chosen, share, value = [best], np.ones(1), 0.0
+        best = int(np.argmax(np.concatenate([log_p @ n for _, log_p in self.blocks(at)])))
+        base = self.block(best // BLOCK * BLOCK, at)[best % BLOCK]  # all likelihoods are ratios to the best language's
+        chosen, held, share, value = [best], {best: np.ones(len(at))}, np.ones(1), 0.0
         price = OVERLAP * 0.5 * np.log(max(2.0, n.sum() / OVERLAP))
-        while len(chosen) < len(p):
-            slope = (p / (share @ p[chosen])) @ n - n.sum()
-            tries = [i for i in np.argsort(-slope).tolist() if slope[i] > price and i not in chosen]
-            found = [(self._fit(p[[*chosen, i]], n), i) for i in tries]
-            found = [(v, s, i) for (s, v), i in found if v - value > price]
+        while len(chosen) < len(self.languages):
+            now = np.stack([held[x] for x in chosen])
+            steep = []
+            for first, log_p in self.blocks(at):
+                p = np.exp(log_p - base)
+                slope = (p / (share @ now)) @ n - n.sum()
+                steep += [(-slope[i], first + i, p[i]) for i in np.flatnonzero(slope > price).tolist() if first + i not in chosen]
+            found = [(self._fit(np.vstack([now, row]), n), i, row) for _, i, row in sorted(steep, key=lambda x: x[:2])]
+            found = [(v, s, i, row) for (s, v), i, row in found if v - value > price]
             if not found:
                 break
-            value, share, i = max(found, key=lambda x: x[0])
+            value, share, i, held[i] = max(found, key=lambda x: x[0])
             chosen.append(i)
             while len(chosen) > 2:  # a member that the new one replaces no longer pays
                 rest = [x for x in chosen if x != chosen[int(np.argmin(share))]]
-                s, v = self._fit(p[rest], n)
+                s, v = self._fit(np.stack([held[x] for x in rest]), n)
                 if value - v > price:
                     break
                 chosen, share, value = rest, s, v
@@ -115,7 +163,7 @@ class Model:
         if not letters or not self.languages:
             return UNDETERMINED, 0.0, []
         found = sorted(((v, self.languages[i]) for i, v in self.proportions(at, n.astype(np.float64)).items()), key=lambda x: (-x[0], x[1]))
-        alone = self.log_p[:, at].astype(np.float64) @ n / OVERLAP
+        alone = np.concatenate([log_p @ n for _, log_p in self.blocks(at)]) / OVERLAP
         sure = 1 / np.exp(alone - alone.max()).sum()
         return found[0][1], float(min(1.0, found[0][0] * max(sure, 1 / len(alone)) ** (len(found) == 1))), [(lang, v) for v, lang in found]
 
@@ -129,31 +177,33 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     """The model of all labelled rows of docs: those with a text and a language.
 
     Repeated rows count as often as they come, whole texts whatever their length; other
-    columns aren't read. Without labelled rows the model knows no language. Tasks count their features by language; only these counts are shuffled, and the
-    sums, at most MAX_LANGUAGES x 2 ** FEATURE_BITS, come to the driver.
+    columns aren't read; null labels and texts teach nothing. Without labelled rows
+    the model knows no language. Tasks count their features by language, BLOCK languages at a time; only
+    these counts are shuffled. Their sums come to the driver: at most 2 ** FEATURE_BITS
+    numbers a language (0.4 MB), however many documents and languages there are.
     """
 
+    def passed(sums):
+        for lang, total in sums.items():
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["lang", "feature", "n"])
+
     def count(batches):
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                if lang not in sums and len(sums) >= MAX_LANGUAGES:
-                    raise ValueError(f"more than {MAX_LANGUAGES} languages")
+                if lang not in sums and len(sums) >= BLOCK:
+                    yield from passed(sums)
+                    sums = {}
                 at, n, _ = trigram_counts(text)
                 sums.setdefault(lang, np.zeros(1 << FEATURE_BITS, np.int64))[at] += n
-        for lang, total in sums.items():
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["lang", "feature", "n"])
+        yield from passed(sums)
 
     labelled = pick(docs, lang=lang_col, text=text_col).where("lang is not null and text is not null")
     table = arrow_map(labelled, count, "lang string, feature int, n bigint").groupBy("lang", "feature").agg(F.sum("n").alias("n")).toArrow()
-    langs = sorted(set(table.column("lang").to_pylist()))
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    counts = np.zeros((len(langs), 1 << FEATURE_BITS))
-    place = {x: i for i, x in enumerate(langs)}
-    counts[[place[x] for x in table.column("lang").to_pylist()], table.column("feature").to_numpy()] = table.column("n").to_numpy()
-    return Model(langs, counts)
+    langs, language = np.unique(np.array(table.column("lang").to_pylist(), object), return_inverse=True)
+    order = np.lexsort((table.column("feature").to_numpy(), language))
+    return Model.of_counts(langs.tolist(), language[order], table.column("feature").to_numpy()[order], table.column("n").to_numpy()[order])
 
 
 def annotate(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -168,11 +218,10 @@ def annotate(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     docs = docs.select(*quoted(others(docs, added)))
     at = docs.columns.index(text_col)
     names = [*docs.columns, *added]
-    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.log_p))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        own = Model.__new__(Model)
-        own.languages, own.log_p = shared.value
+        own = shared.value
         for batch in batches:
             found = [own.predict(t) for t in batch.column(at).to_pylist()]
             columns = [
@@ -187,7 +236,12 @@ def annotate(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
 
 def lettered(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of docs whose text has a letter, by annotate's own rule, whatever was learned; null text has none."""
+    """The rows of docs whose text has a letter, by annotate's own rule, whatever was learned.
+
+    Null and empty text has none; texts of any length are read up to their first
+    letter; repeated rows stay or go alike; an empty table gives no rows; all columns
+    return as they are, whatever their names.
+    """
     at = docs.columns.index(text_col)
 
     def run(batches):
