@@ -47,7 +47,12 @@ def fingerprint(text: str, width: int = SHINGLE_WORDS, seed: int = HASH_SEED) ->
 
 
 def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed 64-bit integer; null and wordless text give 0."""
+    """doc_id and fp, the fingerprint as a signed 64-bit integer.
+
+    Null, empty and wordless text gives 0. Texts of any length are read whole, their
+    shingles a bounded number at a time; repeated rows and null ids give a row each; an
+    empty table gives none; only the two columns are read, so others can't clash.
+    """
     id_type = dict(docs.dtypes)[id_col]
 
     def run(batches):

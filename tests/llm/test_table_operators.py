@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from caresieve.llm import common, exact_dedup, language_id, line_dedup, mixing, sharding, simhash
+from caresieve.llm import common, exact_dedup, language_id, line_dedup, mixing, oracles, sharding, simhash
 
 KEY = lambda r: str(r)
 WS = " \t\n\x0b\x0c\r"
@@ -73,6 +73,18 @@ def test_an_id_that_a_third_of_all_rows_share(spark):
     assert got == sorted((*k, n) for k, n in want.items())
 
 
+def test_rows_of_one_id_with_many_lost_lines(spark):
+    """Each row gets its own lost lines and no other's: 3,000 rows of one id lose a line each."""
+    first = [(1, "\n".join(f"line number {i} of many" for i in range(3000)))]
+    hot = [(2, f"line number {i} of many\nown line {i} of the hot id") for i in range(3000)]
+    df = spark.createDataFrame(first + hot + hot[:5], "doc_id bigint, text string").repartition(8)
+    out = line_dedup.line_dedup(df)
+    joined = plan(out)
+    assert "version" in joined
+    got = sorted((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in out.collect())
+    assert got == sorted([(1, 3000, 0, first[0][1])] + [(2, 2, 1, t.split("\n")[1]) for _, t in hot + hot[:5]])
+
+
 def test_lines_of_one_hash_are_told_apart_by_their_bytes(edge, rows, monkeypatch):
     monkeypatch.setattr(line_dedup.xxhash, "xxh3_128_digest", lambda key: b"same")
     assert digest(line_dedup.line_dedup(edge)) == sorted(plain_line_dedup(rows), key=KEY)
@@ -228,7 +240,7 @@ def test_sharding(edge, rows, monkeypatch, bucket_rows):
     # ranks are those of one sort by the seeded hash within each source
     for source in {r.source for r in out}:
         own = [r for r in out if r.source == source]
-        order = sorted(own, key=lambda r: (hashlib.md5(f"{sharding.SEED}:={r.doc_id}".encode()).hexdigest(), r.doc_id, r.size, r.text_crc32))
+        order = sorted(own, key=lambda r: (hashlib.md5(f"{sharding.SEED}:={r.doc_id}:{r.size}:{r.text_crc32}".encode()).hexdigest(), r.doc_id, r.size, r.text_crc32))
         assert sorted(r.rank for r in own) == list(range(1, len(own) + 1))
         assert [(r.doc_id, r.size) for r in sorted(own, key=lambda r: r.rank)] == [(r.doc_id, r.size) for r in order]
     assert [r.share for r in sorted(out, key=lambda r: (r.shard, r.slot))] == sorted(r.share for r in out)
@@ -261,6 +273,34 @@ def test_rows_of_one_id_are_dealt_over_parts(spark, monkeypatch):
     assert out.select("shard", "slot").distinct().count() == 6000 == out.select("rank").distinct().count()
 
 
+@pytest.mark.parametrize("hot", [0, 100, 7000])
+def test_shards_depend_on_the_rows_alone(spark, monkeypatch, hot):
+    """With a hot id, and rows repeated very often, the same places for any partitions and sizes of buckets."""
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 64)
+    monkeypatch.setattr(sharding, "COPIES", 50)
+    same = F.when(F.col("id") % 2 == 0, "equal").otherwise(F.concat(F.lit("t"), F.col("id").cast("string")))
+    df = spark.range(9000).select(F.when(F.col("id") < hot, 5).otherwise(F.col("id")).alias("doc_id"), F.when(F.col("id") < hot, same).otherwise("t").alias("text"), F.concat(F.lit("s"), F.col("id") % 3).alias("source"))
+    seen = []
+    for parts, rows in ((3, 64), (7, 64), (4, 5000)):
+        monkeypatch.setattr(sharding, "BUCKET_ROWS", rows)
+        out = sharding.interleave(df.repartition(parts)).select("doc_id", "size", "text_crc32", "shard", "slot").collect()
+        seen.append(sorted(map(tuple, out)))
+    assert seen[0] == seen[1] == seen[2]
+    assert len({(x[3], x[4]) for x in seen[0]}) == 9000
+
+
+def test_hot_ids_agree_with_the_oracle(spark, tmp_path):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 40).alias("text"), F.when(F.col("id") % 7 > 0, F.concat(F.lit("s"), F.col("id") % 5)).alias("source"))
+    df.repartition(6).write.parquet(f"{tmp_path}/documents.parquet")
+    got = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    import duckdb
+
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = c.sql(oracles.ORACLE["op5_sharding"]).df()[["doc_id", "size", "text_crc32", "shard", "slot"]]
+    assert sorted(map(tuple, sharding.interleave(got).select("doc_id", "size", "text_crc32", "shard", "slot").collect())) == sorted(map(tuple, want.itertuples(index=False)))
+
+
 # ---- mixing
 
 
@@ -303,6 +343,15 @@ def test_mixture_reaches_its_weights_in_random_order(spark):
     assert {r.source for r in mixing.mix(df, weights={"small": 1}).collect()} == {"small"}
 
 
+def test_weights_without_a_source(spark, edge):
+    for weights in ({"nosuch": 1.0}, {}, {"a": 0.0}):
+        assert mixing.mix(edge, weights=weights).count() == 0
+    for bad in (-1.0, math.inf, math.nan):
+        with pytest.raises(ValueError, match="weight of source a"):
+            mixing.mix(edge, weights={"a": bad})
+    assert {r.source for r in mixing.mix(edge, weights={None: 1.0, "nosuch": 5.0}).collect()} == {None}
+
+
 def test_mixing_returns_every_column_as_it_was(spark, edge):
     marked = edge.select("*", F.col("doc_id").alias("own")).toDF(*edge.columns, "own")
     for clash in ("stratum", "rate", "__stratum", "__rate", "ident", "part"):

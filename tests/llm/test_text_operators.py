@@ -4,6 +4,7 @@ import hashlib
 import math
 import os
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -281,6 +282,15 @@ def test_a_span_that_windows_cut_is_joined():
     assert pii.reconcile([(10, 64, "card", 0), (30, 40, "ip", 3)]) == [(30, 40, "ip")]
 
 
+def test_long_runs_of_digits_take_linear_time():
+    for text in ("1" * 1_000_000, "1." + "2" * 1_000_000, "1.2.3." * 200_000, "+" + "1" * 1_000_000, "a@" * 300_000, "4 " * 500_000):
+        began = time.perf_counter()
+        pii.base_spans(text)
+        assert time.perf_counter() - began < 3
+    text = "1" * 50 + ".2.3.4 " + "0" * 60 + "10.2.3.4 256.1.1.1.1 1.2.3.4.5.6.7.8"
+    assert pii.base_spans(text) == plain_base(text)
+
+
 def test_pii_over_tables(edge, rows, empty, tagger):
     got = pii.find(edge, tagger).collect()
     assert sorted((r.doc_id, [(x.start, x.end, x.kind) for x in r.spans if x.base]) for r in got) == sorted((r[0], plain_base(r[1] or "")) for r in rows)
@@ -386,7 +396,7 @@ def test_the_set_is_the_best_of_all_subsets(spark):
     for shares in ((40, 0, 0), (30, 10, 0), (20, 0, 20), (14, 14, 14), (36, 3, 0), (6, 0, 0), (3, 3, 0), (30, 2, 8)):
         text = " ".join(" ".join(rng.choice(parts[lang], k)) for lang, k in zip(("en", "de", "fr"), shares) if k)
         at, n, _ = language_id.trigram_counts(text)
-        p = np.exp(model.log_p[:, at].astype(float)).tolist()
+        p = np.exp(model.block(0, at).astype(float)).tolist()
         price = language_id.OVERLAP * 0.5 * math.log(max(2.0, n.sum() / language_id.OVERLAP))
         best = None
         for size in (1, 2, 3):
@@ -443,6 +453,19 @@ def test_chunks_of_any_size_give_the_same_counts(text, chunk):
     assert whole[1].sum() == sum(map(str.isalpha, text))
 
 
+def test_very_many_languages(spark, monkeypatch):
+    """More labels than a block: the same answers as from one block."""
+    rows = [(i, " ".join(chr(97 + (i * 7 + k) % 26) * 3 + chr(97 + (i + k * k) % 26) for k in range(30)), f"l{i % 60:02}") for i in range(240)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    want = {r.doc_id: (r.lang_pred, round(r.score, 9), {k: round(v, 9) for k, v in r.languages.items()}) for r in language_id.language_id(df).collect()}
+    monkeypatch.setattr(language_id, "BLOCK", 16)
+    got = {r.doc_id: (r.lang_pred, round(r.score, 9), {k: round(v, 9) for k, v in r.languages.items()}) for r in language_id.language_id(df).collect()}
+    assert got == want
+    many = spark.range(700).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("word"), F.md5(F.col("id").cast("string"))).alias("text"), F.col("id").cast("string").alias("lang"))
+    model = language_id.train(many)
+    assert len(model.languages) == 700 and model.predict(many.first().text)[0] == "0"
+
+
 # ---- toxicity
 
 
