@@ -161,7 +161,7 @@ def _tree(classes: DataFrame, crowd_angle: float) -> tuple[list[DataFrame], Data
     it, after its crowds are taken out. Ends when none is left, or when a cut parts
     nothing (more than SHARD_MOST vectors that centres can't tell apart).
     """
-    rows, levels, last = _state(classes.withColumn("radius", F.lit(0.0))), [], None
+    rows, levels, last = cut(_state(classes.withColumn("radius", F.lit(0.0)))), [], None  # written, so that the root isn't a constant to the optimizer
     while True:
         here = rows.where(F.size("cells") > 0).withColumn("cell", F.col("cells")[0])
         full = cut(here.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SHARD_MOST))
