@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caresieve.operators.skew import Steps, cut, salted_join
 
 
+def joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In one task: the smallest place that each place reaches, when links (a, b) are added to those that gave root."""
+    while len(a):
+        x, y = root[a], root[b]
+        low, high = np.minimum(x, y), np.maximum(x, y)
+        if (low == high).all():
+            break
+        new = root.copy()
+        np.minimum.at(new, high, low)
+        while (new != new[new]).any():
+            new = new[new]
+        root = new
+    return root
+
+
 def _stars(edges: DataFrame, small: bool, steps: Steps) -> DataFrame:
     """One star operation: each node's neighbours are linked to its smallest one instead.
 

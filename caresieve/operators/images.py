@@ -54,16 +54,6 @@ def slice_checks(slices: DataFrame, min_height: int, min_width: int, modality: s
     return slices.select(F.explode(bad).alias("code"), "patient_id", "series_id", "slice_idx")
 
 
-def anonymisation_faults(tags: DataFrame, key: str, column: str, listed: list[str]) -> DataFrame:
-    """E3001: (key, tag) of listed tags that aren't blank, and PatientIdentityRemoved if it isn't YES.
-
-    column: map of flattened tag names to texts.
-    """
-    entries = F.map_filter(F.col(column), lambda k, v: k.isin(*listed) & (F.trim(v) != ""))
-    open_ = F.map_filter(F.col(column), lambda k, v: (k == "PatientIdentityRemoved") & (F.upper(v) != "YES"))
-    return tags.select(key, F.explode(F.concat(F.map_keys(entries), F.map_keys(open_))).alias("tag"))
-
-
 def order_slices(slices: DataFrame, series: list[str], z: str = "z") -> DataFrame:
     """slices with place (from 1, by z) and reordered: whether the series' own order wasn't that of z."""
     by = Window.partitionBy(*series)
@@ -72,10 +62,11 @@ def order_slices(slices: DataFrame, series: list[str], z: str = "z") -> DataFram
     return out.withColumn("__back", back).withColumn("reordered", F.coalesce(F.bool_or("__back").over(by), F.lit(False))).drop("__back")
 
 
-def normalise(slices: DataFrame, modality: str, how: str = "minmax", low: float = 0.0, high: float = 1.0, hu: tuple[float, float] = (-1000.0, 1000.0)) -> DataFrame:
+def normalise(slices: DataFrame, modality: str, how: str = "minmax", low: float = 0.0, high: float = 1.0, hu: tuple[float, float] = (-1000.0, 1000.0), contrast: bool = False) -> DataFrame:
     """pixels clipped as the modality asks, then scaled or standardised; constant slices have discarded true.
 
-    CT: Hounsfield units clipped to `hu`; MRI: percentiles 0.1 and 99.9; others: 1 and 99.
+    CT: Hounsfield units clipped to `hu`; MRI: percentiles 0.1 and 99.9; others: 1 and
+    99, and with `contrast` equalised by tiles after it.
     """
     x = A.doubles(F.col("pixels"))
     if modality == "CT":
@@ -83,6 +74,9 @@ def normalise(slices: DataFrame, modality: str, how: str = "minmax", low: float
     else:
         cut = 0.001 if modality == "MRI" else 0.01
         x = A.clip_percentiles(x, cut, 1 - cut)
+    if contrast and modality not in ("CT", "MRI"):
+        slices = clahe(slices.withColumn("pixels", x))
+        x = F.col("pixels")
     done = A.let(x, lambda v: A.min_max(v, low, high) if how == "minmax" else A.standardised(v))
     return slices.withColumn("pixels", done).withColumn("discarded", F.col("pixels").isNull())
 
@@ -117,31 +111,115 @@ def projection(slices: DataFrame, series: list[str], order: str, pixels: str = "
     return middle.select(*series, F.posexplode(pixels).alias("pixel", "value")).groupBy(*series, "pixel").agg(F.max("value").alias("value"))
 
 
-def resize(slices: DataFrame, height: int, width: int, nearest: bool = False) -> DataFrame:
-    """pixels of each slice as height x width: bilinear at pixel centres, or the nearest pixel."""
+def resize_weights(n: int, m: int, smooth: bool = True) -> np.ndarray:
+    """(m, n) weights that scale an axis of n pixels to m: a Gaussian against aliasing, then the line between pixel centres.
+
+    The Gaussian's deviation is half of what the axis shrinks by over 1, cut at 4
+    deviations; past its ends an axis is mirrored about its last pixels' centres.
+    """
+
+    def mirrored(i):
+        i = np.abs(i) % max(1, 2 * (n - 1))
+        return np.minimum(i, 2 * (n - 1) - i) if n > 1 else np.zeros_like(i)
+
+    at = mirrored((np.arange(m) + 0.5) * n / m - 0.5)
+    low = np.floor(at).astype(int)
+    line = np.zeros((m, n))
+    np.add.at(line, (np.arange(m), low), 1 - (at - low))
+    np.add.at(line, (np.arange(m), mirrored(low + 1)), at - low)
+    deviation = max(0.0, (n / m - 1) / 2)
+    if not smooth or not deviation:
+        return line
+    reach = np.arange(-int(4 * deviation + 0.5), int(4 * deviation + 0.5) + 1)
+    weight = np.exp(-0.5 * (reach / deviation) ** 2)
+    blur = np.zeros((n, n))
+    np.add.at(blur, (np.repeat(np.arange(n), len(reach)), mirrored(np.arange(n)[:, None] + reach).ravel()), np.tile(weight / weight.sum(), n))
+    return line @ blur
+
+
+def resize(slices: DataFrame, height: int, width: int, nearest: bool = False, smooth: bool = True) -> DataFrame:
+    """pixels of each slice as height x width: bilinear, smoothed first along axes that shrink, or the nearest pixel for masks."""
 
     @F.pandas_udf("array<double>")
     def scaled(pixels, h, w):
         import pandas as pd
 
+        known: dict[tuple[int, int], np.ndarray] = {}
+
+        def weights(n, m):
+            if (n, m) not in known:
+                known[n, m] = resize_weights(n, m, smooth)
+            return known[n, m]
+
         def one(p, a, b):
             x = np.asarray(p, float).reshape(a, b)
-            y = np.clip((np.arange(height) + 0.5) * a / height - 0.5, 0, a - 1)
-            z = np.clip((np.arange(width) + 0.5) * b / width - 0.5, 0, b - 1)
             if nearest:
+                y = np.clip((np.arange(height) + 0.5) * a / height - 0.5, 0, a - 1)
+                z = np.clip((np.arange(width) + 0.5) * b / width - 0.5, 0, b - 1)
                 return x[np.floor(y + 0.5).astype(int)[:, None], np.floor(z + 0.5).astype(int)[None]].ravel()
-            y0, z0 = np.floor(y).astype(int), np.floor(z).astype(int)
-            y1, z1 = np.minimum(y0 + 1, a - 1), np.minimum(z0 + 1, b - 1)
-            fy, fz = (y - y0)[:, None], (z - z0)[None]
-            top = x[y0[:, None], z0] * (1 - fz) + x[y0[:, None], z1] * fz
-            low = x[y1[:, None], z0] * (1 - fz) + x[y1[:, None], z1] * fz
-            return (top * (1 - fy) + low * fy).ravel()
+            return (weights(a, height) @ x @ weights(b, width).T).ravel()
 
-        return pd.Series([one(p, a, b) for p, a, b in zip(pixels, h, w)])
+        return pd.Series([None if p is None else one(p, a, b) for p, a, b in zip(pixels, h, w)])
 
     return slices.withColumn("pixels", scaled("pixels", "h", "w")).withColumns({"h": F.lit(height), "w": F.lit(width)})
 
 
+#: Tiles a side, and by how much a tile's histogram may exceed an even one.
+CLAHE_TILES, CLAHE_CLIP = 8, 2.0
+
+
+def equalised(image: np.ndarray, tiles: int = CLAHE_TILES, clip: float = CLAHE_CLIP) -> np.ndarray:
+    """An 8-bit image with its histogram equalised tile by tile, clipped, and blended between the tiles' centres.
+
+    Where a side isn't divisible by the tiles, both sides are lengthened by mirroring for the
+    histograms. What is clipped off is dealt evenly over the 256 levels.
+    """
+    h, w = image.shape
+    more = (0, 0) if h % tiles == 0 and w % tiles == 0 else (tiles - h % tiles, tiles - w % tiles)
+    x = np.pad(image, ((0, more[0]), (0, more[1])), "reflect" if min(h, w) > 1 else "edge")
+    th, tw = x.shape[0] // tiles, x.shape[1] // tiles
+    area = th * tw
+    tile = (np.arange(x.shape[0]) // th * tiles)[:, None] + np.arange(x.shape[1]) // tw
+    counts = np.bincount((tile * 256 + x).ravel(), minlength=tiles * tiles * 256).reshape(-1, 256)
+    limit = max(int(clip * area / 256), 1)
+    over = np.maximum(counts - limit, 0).sum(axis=1)
+    counts = np.minimum(counts, limit) + (over // 256)[:, None]
+    for i in np.flatnonzero(over % 256):
+        rest = int(over[i] % 256)
+        counts[i, : 256 : max(256 // rest, 1)][:rest] += 1
+    table = np.clip(np.rint(np.cumsum(counts, axis=1).astype(np.float32) * np.float32(255 / area)), 0, 255).astype(np.float32).reshape(tiles, tiles, 256)
+
+    def between(n, size):
+        at = (np.arange(n, dtype=np.float32) / np.float32(size)) - np.float32(0.5)
+        low = np.floor(at).astype(int)
+        return np.maximum(low, 0), np.minimum(low + 1, tiles - 1), at - low
+
+    y0, y1, fy = between(h, th)
+    x0, x1, fx = between(w, tw)
+    y0, y1, fy = y0[:, None], y1[:, None], fy[:, None]
+    top = table[y0, x0, image] * (1 - fx) + table[y0, x1, image] * fx
+    low = table[y1, x0, image] * (1 - fx) + table[y1, x1, image] * fx
+    return np.clip(np.rint(top * (1 - fy) + low * fy), 0, 255).astype(np.uint8)
+
+
+def clahe(slices: DataFrame, pixels: str = "pixels", tiles: int = CLAHE_TILES, clip: float = CLAHE_CLIP) -> DataFrame:
+    """pixels scaled to 0 .. 255 and equalised by tiles; null where all are equal."""
+
+    @F.pandas_udf("array<double>")
+    def run(values, h, w):
+        import pandas as pd
+
+        def one(p, a, b):
+            x = None if p is None else np.asarray(p, float).reshape(a, b)
+            if x is None or not x.size or x.min() == x.max():
+                return None
+            return equalised(((x - x.min()) / (x.max() - x.min()) * 255).astype(np.uint8), tiles, clip).ravel().astype(float)
+
+        return pd.Series([one(*v) for v in zip(values, h, w)])
+
+    return slices.withColumn(pixels, run(pixels, "h", "w"))
+
+
 def ssim(a: np.ndarray, b: np.ndarray, span: float, side: int = 7) -> float:
     """Mean structural similarity with a uniform window and sample covariance."""
     from numpy.lib.stride_tricks import sliding_window_view

@@ -178,10 +178,22 @@ def _slices(spark, sf):
     return table(spark, sf, "embeddings").select(F.col("label").alias("series"), F.col("vec_id").alias("slice_idx"), F.lit(8).alias("h"), F.lit(8).alias("w"), A.doubles(F.col("embedding")).alias("pixels"))
 
 
+def _axis(m: int, n: int = 8) -> str:
+    """SQL: (o, i, f): by how much pixel i of n counts in pixel o of m, smoothed where the axis shrinks, mirrored past its ends."""
+    deviation = max(0.0, (n / m - 1) / 2)
+    reach = int(4 * deviation + 0.5)
+    mirror = lambda x: f"CASE WHEN {x} < 0 THEN -({x}) WHEN {x} > {n - 1} THEN {2 * (n - 1)} - ({x}) ELSE {x} END"
+    weight = f"exp(-0.5 * (k / {deviation!r}) * (k / {deviation!r}))" if deviation else "1.0"
+    return f"""(WITH b AS (SELECT j, {mirror('j + k')} AS i, {weight} AS g FROM (SELECT unnest(range({n})) AS j), (SELECT unnest(range({-reach}, {reach + 1})) AS k)),
+b2 AS (SELECT j, i, g / sum(g) OVER (PARTITION BY j) AS g FROM b),
+c AS (SELECT o, {mirror(f'((o + 0.5) * {n} / {m} - 0.5)')} AS c FROM (SELECT unnest(range({m})) AS o)),
+l AS (SELECT o, CAST(floor(c) AS INTEGER) AS j, 1 - (c - floor(c)) AS t FROM c UNION ALL SELECT o, {mirror('CAST(floor(c) AS INTEGER) + 1')}, c - floor(c) FROM c)
+SELECT o, i, sum(t * g) AS f FROM l JOIN b2 USING (j) GROUP BY o, i)"""
+
+
 @query(
-    """WITH y AS (SELECT i, least(greatest((i + 0.5) * 8 / 4 - 0.5, 0), 7) AS y FROM (SELECT unnest(range(4)) AS i)), z AS (SELECT j, least(greatest((j + 0.5) * 8 / 6 - 0.5, 0), 7) AS z FROM (SELECT unnest(range(6)) AS j)),
-g AS (SELECT i, j, CAST(floor(y) AS INTEGER) AS y0, CAST(least(floor(y) + 1, 7) AS INTEGER) AS y1, y - floor(y) AS fy, CAST(floor(z) AS INTEGER) AS z0, CAST(least(floor(z) + 1, 7) AS INTEGER) AS z1, z - floor(z) AS fz FROM y, z),
-p AS (SELECT vec_id, i, j, (e[y0 * 8 + z0 + 1] * (1 - fz) + e[y0 * 8 + z1 + 1] * fz) * (1 - fy) + (e[y1 * 8 + z0 + 1] * (1 - fz) + e[y1 * 8 + z1 + 1] * fz) * fy AS v FROM (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS e FROM embeddings), g)
+    f"""WITH y AS {_axis(4)}, z AS {_axis(6)},
+p AS (SELECT vec_id, y.o AS i, z.o AS j, sum(e[y.i * 8 + z.i + 1] * y.f * z.f) AS v FROM (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS e FROM embeddings), y, z GROUP BY vec_id, y.o, z.o)
 SELECT vec_id AS slice_idx, CAST(count(*) AS INTEGER) AS n, round(avg(v), 6) AS mean, round(max(v) FILTER (WHERE i = 3 AND j = 4), 6) AS late FROM p GROUP BY vec_id"""
 )
 def tensor_resize(spark, sf):

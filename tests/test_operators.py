@@ -223,8 +223,6 @@ def test_images(spark):
     assert rows(images.projection(s, ["series_id"], "z"), "pixel")[3] == ("s", 3, 9.0)
     small = images.resize(s, 1, 1).orderBy("slice_idx").first().pixels
     assert small == [2.5]
-    tags = spark.createDataFrame([("a", {"PatientName": "x", "Age": " ", "PatientIdentityRemoved": "NO"})], "k string, t map<string,string>")
-    assert rows(images.anonymisation_faults(tags, "k", "t", ["PatientName", "Age"]), "tag") == [("a", "PatientIdentityRemoved"), ("a", "PatientName")]
 
 
 def test_mask_scores_against_numpy(spark):
