@@ -161,7 +161,7 @@ def resize(slices: DataFrame, height: int, width: int, nearest: bool = False, sm
 
         return pd.Series([None if p is None else one(p, a, b) for p, a, b in zip(pixels, h, w)])
 
-    return slices.withColumn("pixels", scaled("pixels", "h", "w")).withColumns({"h": F.lit(height), "w": F.lit(width)})
+    return slices.withColumn("pixels", scaled.asNondeterministic()("pixels", "h", "w")).withColumns({"h": F.lit(height), "w": F.lit(width)})
 
 
 #: Tiles a side, and by how much a tile's histogram may exceed an even one.
@@ -217,7 +217,8 @@ def clahe(slices: DataFrame, pixels: str = "pixels", tiles: int = CLAHE_TILES, c
 
         return pd.Series([one(*v) for v in zip(values, h, w)])
 
-    return slices.withColumn(pixels, run(pixels, "h", "w"))
+    # called once and by itself: within a lambda of a later step Spark couldn't evaluate it
+    return slices.withColumn(pixels, run.asNondeterministic()(pixels, "h", "w"))
 
 
 def ssim(a: np.ndarray, b: np.ndarray, span: float, side: int = 7) -> float:

@@ -124,7 +124,7 @@ def paint(slices: DataFrame, runs: DataFrame, keys: list[str], index: str = "sli
 
         return pd.Series([one(*v) for v in zip(h, w, found)])
 
-    return slices.join(own, [*keys, index], "left").withColumn("label", painted("h", "w", "__runs")).drop("__runs")
+    return slices.join(own, [*keys, index], "left").withColumn("label", painted.asNondeterministic()("h", "w", "__runs")).drop("__runs")
 
 
 def labelled(slices: DataFrame, keys: list[str], mask: Column, name: str, index: str = "slice_idx") -> DataFrame:
