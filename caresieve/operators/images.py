@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caresieve.functions import arrays as A
 from caresieve.operators.quantiles import exact_quantiles
 from caresieve.operators.skew import free_names
+from caresieve.session import ship
 
 
 def orientation(cosines: Column) -> Column:
@@ -161,7 +165,7 @@ def resize(slices: DataFrame, height: int, width: int, nearest: bool = False, sm
 
         return pd.Series([None if p is None else one(p, a, b) for p, a, b in zip(pixels, h, w)])
 
-    return slices.withColumn("pixels", scaled.asNondeterministic()("pixels", "h", "w")).withColumns({"h": F.lit(height), "w": F.lit(width)})
+    return slices.withColumn("pixels", scaled("pixels", "h", "w")).withColumns({"h": F.lit(height), "w": F.lit(width)})
 
 
 #: Tiles a side, and by how much a tile's histogram may exceed an even one.
@@ -205,20 +209,30 @@ def equalised(image: np.ndarray, tiles: int = CLAHE_TILES, clip: float = CLAHE_C
 def clahe(slices: DataFrame, pixels: str = "pixels", tiles: int = CLAHE_TILES, clip: float = CLAHE_CLIP) -> DataFrame:
     """pixels scaled to 0 .. 255 and equalised by tiles; null where all are equal."""
 
-    @F.pandas_udf("array<double>")
-    def run(values, h, w):
-        import pandas as pd
+    def one(p, h, w):
+        x = np.asarray(p, float).reshape(h, w)
+        if not x.size or x.min() == x.max():
+            return None
+        return equalised(((x - x.min()) / (x.max() - x.min()) * 255).astype(np.uint8), tiles, clip).ravel().astype(float)
 
-        def one(p, a, b):
-            x = None if p is None else np.asarray(p, float).reshape(a, b)
-            if x is None or not x.size or x.min() == x.max():
-                return None
-            return equalised(((x - x.min()) / (x.max() - x.min()) * 255).astype(np.uint8), tiles, clip).ravel().astype(float)
+    return map_pixels(slices, one, pixels)
+
+
+def map_pixels(slices: DataFrame, function: Callable, pixels: str = "pixels") -> DataFrame:
+    """slices whose pixels went through function(pixels, h, w), a plain array or None; null pixels stay null."""
+    names, at = slices.columns, slices.columns.index(pixels)
+    schema = ", ".join(f"`{f.name}` {'array<double>' if f.name == pixels else f.dataType.simpleString()}" for f in slices.schema.fields)
 
-        return pd.Series([one(*v) for v in zip(values, h, w)])
+    def run(batches):
+        for batch in batches:
+            rows = zip(batch.column(at), batch.column("h").to_pylist(), batch.column("w").to_pylist())
+            done = [function(p.values.to_numpy(zero_copy_only=False), h, w) if p.is_valid else None for p, h, w in rows]
+            columns = batch.columns
+            columns[at] = pa.array(done, pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    # called once and by itself: within a lambda of a later step Spark couldn't evaluate it
-    return slices.withColumn(pixels, run.asNondeterministic()(pixels, "h", "w"))
+    ship(slices.sparkSession)
+    return slices.mapInArrow(run, schema)
 
 
 def ssim(a: np.ndarray, b: np.ndarray, span: float, side: int = 7) -> float:
