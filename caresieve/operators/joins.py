@@ -2,24 +2,41 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caresieve.operators.skew import free_names
+from caresieve.operators.skew import cut, free_names
 
 
 def asof_join(rows: DataFrame, facts: DataFrame, by: list[str], at: str, columns: list[str]) -> DataFrame:
     """rows with `columns` of the fact of the same key that is the latest at or before `at`; null where there is none.
 
-    Both sides have `by` and `at`. They meet in one sort by key and time, without pairs of
-    rows and facts. Of facts of one moment the one whose columns sort last is taken.
+    Both sides have `by` and `at`; by may be empty. Of facts of one moment the one whose columns sort
+    last is taken. Rows with a null key or moment get no fact, facts with one count for nothing.
+
+    Rows and facts are sorted together by key and moment into ranges, so a key of any
+    number of rows is dealt over tasks; what a range ends with is carried over its
+    border, through a table of a row for each key and range that it lies in.
     """
-    side, fact = free_names([*rows.columns, *facts.columns], "side", "fact")
-    found = facts.select(*by, at, F.lit(0).alias(side), F.struct(*columns).alias(fact))
-    both = rows.withColumn(side, F.lit(1)).unionByName(found, allowMissingColumns=True)
-    order = Window.partitionBy(*by).orderBy(F.col(at), F.col(side), F.col(fact)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    both = both.withColumn(fact, F.last(fact, ignorenulls=True).over(order)).where(F.col(side) == 1)
-    return both.select(*rows.columns, *[F.col(f"{fact}.{c}").alias(c) for c in columns])
+    side, fact, part, own = free_names([*rows.columns, *facts.columns], "side", "fact", "part", "own")
+    whole = [*by, at]
+    known = facts.dropna(subset=whole).select(*whole, F.lit(0).alias(side), F.struct(*columns).alias(fact))
+    null = reduce(lambda x, y: x | y, [F.col(c).isNull() for c in whole])
+    both = rows.where(~null).withColumn(side, F.lit(1)).unionByName(known, allowMissingColumns=True)
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = cut(both.repartitionByRange(ranges, *whole, side, F.xxhash64(*rows.columns)).withColumn(part, F.spark_partition_id()))  # bounds are sampled: the numbers must stay
+    so_far = Window.partitionBy(part, *by).orderBy(F.col(at), F.col(side), F.col(fact)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = both.withColumn(own, F.last(fact, ignorenulls=True).over(so_far)).where(F.col(side) == 1)
+    ends = both.groupBy(part, *by).agg(F.max(F.when(F.col(side) == 0, F.struct(at, fact))).alias(own)).select(part, *by, F.col(f"{own}.{fact}").alias(fact))
+    before = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1) if by else Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.withColumn(fact, F.last(fact, ignorenulls=True).over(before)).where(F.col(fact).isNotNull())
+    out = found.drop(fact).join(carried, [part, *by], "left")
+    taken = F.coalesce(own, fact)
+    out = out.select(*rows.columns, *[taken[c].alias(c) for c in columns])
+    kinds = dict(facts.dtypes)
+    return out.unionByName(rows.where(null).select(*rows.columns, *[F.lit(None).cast(kinds[c]).alias(c) for c in columns]))
 
 
 def interval_join(points: DataFrame, intervals: DataFrame, at: str, low: str, high: str, width: float) -> DataFrame:

@@ -130,12 +130,17 @@ def merge_many_to_one(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(checked.where("__n = 1").drop("__n"), key, "left")
 
 
-def split(df: DataFrame, key: str, seed: int, test: float, stratify: str | None = None, buckets: int = 64) -> DataFrame:
+#: Rows that are ranked together in a split.
+BUCKET_ROWS = 1 << 16
+
+
+def split(df: DataFrame, key: str, seed: int, test: float, stratify: str | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """df with split: `test` for floor(n * test) rows of each stratum in seeded order, else `train`.
 
-    Rows are ranked in hash buckets, and the counts of these give the offsets, so no
-    task needs all rows of a stratum.
+    Rows are ranked in hash buckets of about bucket_rows rows, whatever the table's size, and the counts of
+    these give the offsets, so no task needs all rows of a stratum. Costs a count of df.
     """
+    buckets = max(1, min(1 << 20, -(-df.count() // bucket_rows)))
     order = seeded_order(seed, F.col(key))
     stratum = F.coalesce(F.col(stratify).cast("string"), F.lit("")) if stratify else F.lit("")
     marked = df.withColumns({"__o": order, "__s": stratum})

@@ -166,11 +166,23 @@ def level_conformance(df: DataFrame, variable: Variable, missing=None) -> DataFr
 
 
 def number_replicates(df: DataFrame, key: str, order: list[str], scope: str = "values") -> DataFrame:
-    """df with copy: 1 for the first of equal rows. scope: values ignores the key, row includes it."""
+    """df with copy: 1 for the first of equal rows. scope: values ignores the key, row includes it.
+
+    Equal rows are numbered in one task: for groups of any size count_replicates and keep_first do without numbers.
+    """
     by = [c for c in df.columns if scope == "row" or c != key]
     return df.withColumn("copy", F.row_number().over(Window.partitionBy(*[F.col(f"`{c}`") for c in by]).orderBy(*order)))
 
 
+def keep_first(df: DataFrame, key: str, scope: str = "values") -> DataFrame:
+    """One row of each group of equal ones, that of the smallest key; as many equal rows as there may be are a row a task."""
+    by = [c for c in df.columns if c != key]
+    if scope == "row":
+        return df.distinct()
+    first = df.groupBy(*[F.col(f"`{c}`") for c in by]).agg(F.min(f"`{key}`").alias(key))
+    return first.select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def count_replicates(df: DataFrame, key: str, scope: str = "values") -> DataFrame:
     """n: the rows beyond the first of equal ones; counted before the shuffle, so a group of any size is one row a task."""
     by = [F.col(f"`{c}`") for c in df.columns if scope == "row" or c != key]

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from caresieve.functions.arrays import doubles
 from caresieve.operators import covariance as cov
-from caresieve.operators import learning, similarity
+from caresieve.operators import learning, similarity, wide
 from caresieve.operators.moments import local_moments, pooled_moments
 from caresieve.operators.skew import cut
 from caresieve.plans.register import registrar
 from caresieve.sources.tables import measurements_by_site, table
+from caresieve.streaming import gather
 
 VARS = ["l_quantity", "l_extendedprice", "l_discount"]
 QUERIES: dict = {}
@@ -215,3 +216,34 @@ def fed_cross_site_evaluation(spark, sf):
     models = {"price": learning.Linear((0.0, 1.0), 0.0), "quantity": learning.Linear((1.0, 0.0), -0.5)}
     out = learning.evaluate_across(_returned(spark, sf), "site", ["q", "p"], "y", models)
     return out.select("model", "site", "tp", "tn", F.round("accuracy", 6).alias("accuracy"))
+
+
+@query(
+    """WITH e AS (SELECT list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings),
+p AS (SELECT CAST(i AS INTEGER) AS i, x[i + 1] AS a, x[(i + 1) % 64 + 1] AS b FROM e, (SELECT unnest(range(64)) AS i))
+SELECT i AS "column", round(corr(a, b), 6) AS next_correlation, 64 AS n_components FROM p GROUP BY i"""
+)
+def fed_wide_components(spark, sf):
+    """All components of the 64 values of the vectors; what they say of neighbouring columns is these columns' correlation."""
+    found, loadings = wide.components(table(spark, sf, "embeddings"), "embedding", 1.0)
+    sizes = F.array(*[F.lit(float(x) * 64) for x in found.explained])
+    rows = cut(loadings)
+    after = rows.select(((F.col("column") + 63) % 64).alias("column"), F.col("loading").alias("after"))
+    terms = F.zip_with(F.zip_with("loading", "after", lambda a, b: a * b), sizes, lambda a, s: a * s)
+    both = rows.join(after, "column").select("column", F.round(F.aggregate(terms, F.lit(0.0), lambda t, x: t + x), 6).alias("next_correlation"))
+    return both.withColumn("n_components", F.lit(found.kept))
+
+
+@query(
+    """WITH g AS (SELECT CAST(event_id % 7 AS VARCHAR) AS round, CAST(user_id AS VARCHAR) AS site, ts, value FROM events WHERE event_type <> 'error'),
+f AS (SELECT round, site, min(struct_pack(ts := ts, v := value)) AS r FROM g GROUP BY round, site),
+p AS (SELECT round, site, r.ts AS came, r.v AS v, row_number() OVER (PARTITION BY round ORDER BY r.ts, site) AS place FROM f),
+e AS (SELECT round, max(came) FILTER (WHERE place = 5) + INTERVAL 600 SECOND AS closed FROM p GROUP BY round)
+SELECT p.round, site, CAST(place AS INTEGER) AS place, v AS payload, date_diff('microsecond', came, closed) AS left_us FROM p JOIN e ON p.round = e.round AND came <= closed"""
+)
+def fed_gather(spark, sf):
+    """The first good reply of each user to each round, five at least, until ten minutes after the fifth."""
+    e = table(spark, sf, "events")
+    replies = e.select((F.col("event_id") % 7).alias("round"), F.col("user_id").alias("site"), F.when(F.col("event_type") != "error", "OK").otherwise("ERROR").alias("status"), F.col("ts").cast("timestamp").alias("at"), "value")
+    out = gather.gather(replies, 5, 600, payload="value")
+    return out.select("round", "site", "place", F.col("payload").cast("double").alias("payload"), (F.unix_micros("closed_at") - F.unix_micros("at")).alias("left_us"))

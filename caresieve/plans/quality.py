@@ -126,7 +126,7 @@ def dq_replicates(spark, sf):
 
 @query(f"SELECT min(id) AS id, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM ({_REPEATED}) GROUP BY ALL")
 def dq_replicates_keep_first(spark, sf):
-    return q.number_replicates(_repeated(spark, sf), "id", ["id"]).where("copy = 1").drop("copy")
+    return q.keep_first(_repeated(spark, sf), "id")
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 5 <> 0)")

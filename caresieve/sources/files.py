@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from caresieve.functions.text import base_name, decimal_points, normal_path
@@ -126,9 +126,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("line")).where("line <> ''")
 
 
-def read_samples(spark: SparkSession, path: str) -> DataFrame:
-    """(sample, feature, value) of one JSON object per file; files that can't be read give (sample, null, null)."""
+def read_samples(spark: SparkSession, path: str, metrics: Observation | None = None) -> DataFrame:
+    """(sample, feature, value) of one JSON object per file; files that can't be read give (sample, null, null).
+
+    metrics: gets n_files, n_unreadable and n_empty in the pass that reads the files, so
+    nothing is read twice for counts; they are there when an action has run.
+    """
     whole = spark.read.text(path, wholetext=True).select(F.regexp_replace(base_name(F.col("_metadata.file_path")), r"\.json$", "").alias("sample"), F.from_json("value", "map<string,double>").alias("m"))
+    if metrics is not None:
+        whole = whole.observe(metrics, F.count(F.lit(1)).alias("n_files"), F.count_if(F.col("m").isNull()).alias("n_unreadable"), F.count_if(F.size("m") == 0).alias("n_empty"))
     return whole.select("sample", F.explode_outer("m").alias("feature", "value"))
 
 
