@@ -168,6 +168,21 @@ def code_map(protocol: Protocol, df_session) -> DataFrame:
     return df_session.createDataFrame(rows, "variable string, variable_code string, level string, level_code string")
 
 
+def observed_code_map(df: DataFrame, columns: list[str], discontinuous: list[str]) -> DataFrame:
+    """variable, variable_code, level, level_code of df's columns, by their order here, and of the levels that discontinuous ones hold, sorted.
+
+    Null is no level; other columns have a row without one. Levels are made distinct before they are numbered, so a task
+    numbers one variable's levels.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("variable"), F.lit(columns.index(c) + 1).alias("i"), F.col(f"`{c}`").cast("string").alias("level")) for c in discontinuous])
+    levels = df.select(F.inline(cells)).where("level is not null").distinct()
+    number = F.row_number().over(Window.partitionBy("variable").orderBy("level"))
+    code = F.format_string("V%03d", "i")
+    coded = levels.select("variable", code.alias("variable_code"), "level", F.format_string("V%03d.%02d", "i", number).alias("level_code"))
+    plain = [(c, f"V{i:03d}", None, None) for i, c in enumerate(columns, 1) if c not in discontinuous]
+    return coded.unionByName(df.sparkSession.createDataFrame(plain, "variable string, variable_code string, level string, level_code string"))
+
+
 def nested_split(df: DataFrame, key: str, seed: int, train: float, validation: float, stratify: str | None = None) -> DataFrame:
     """df with split train, validation or test: `train` of all rows, then `validation` of the rest."""
     outer = split(df, key, seed, 1 - train, stratify).withColumnRenamed("split", "__outer")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from caresieve.functions.predicates import SpecError
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: The reserved entries of a protocol and the keys of its variables.
 PATIENT_ID, MISSING, TRANSFORMATIONS = "Patient ID", "Missing Values", "Transformations"
@@ -159,8 +160,11 @@ def local_config_faults(config: dict) -> list[str]:
     return out
 
 
-def require(protocol: Protocol) -> Protocol:
-    """The protocol, or a SpecError that names all faults."""
-    if found := faults(protocol):
-        raise SpecError("; ".join(found))
-    return protocol
+def position_faults(variables: DataFrame, name: str = "name", position: str = "position", truth: str = "ground_truth") -> DataFrame:
+    """fault: the same faults of positions and ground truth, of variables that are a table; a row a fault."""
+    n = variables.agg(F.count_if(truth).alias("n")).where("n <> 1").select(F.concat("n", F.lit(" variables are the ground truth; one must be")).alias("fault"))
+    placed = variables.where(F.col(position).isNotNull())
+    every = placed.agg(F.max(position).alias("top")).where("top > 0").select(F.explode(F.sequence(F.lit(1), F.col("top").cast("int"))).alias("place"))
+    gaps = every.join(placed.select(F.col(position).cast("int").alias("place")), "place", "left_anti").select(F.concat(F.lit("no variable has position "), "place").alias("fault"))
+    shared = placed.groupBy(position).agg(F.count(name).alias("n")).where("n > 1").limit(1).select(F.lit("two variables share a position").alias("fault"))
+    return n.unionByName(gaps).unionByName(shared)

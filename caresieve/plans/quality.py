@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from caresieve.operators import quality as q
 from caresieve.operators import schema
-from caresieve.operators.spec import Protocol, Variable, faults
+from caresieve.operators.spec import Protocol, Variable, position_faults
 from caresieve.plans.register import registrar
 from caresieve.sources.tables import table
 
@@ -160,9 +160,8 @@ UNION ALL SELECT (SELECT count(*) FROM nation WHERE n_regionkey = 0) || ' variab
 )
 def dq_protocol_positions(spark, sf):
     """The nations as a protocol's variables, every sixth without a position, Africa's as ground truths."""
-    rows = table(spark, sf, "nation").select("n_name", "n_nationkey", "n_regionkey").collect()  # a protocol is a document
-    protocol = Protocol(tuple(Variable(r.n_name, "str", r.n_nationkey if r.n_nationkey % 6 else None, ground_truth=r.n_regionkey == 0) for r in rows))
-    return spark.createDataFrame([(x,) for x in faults(protocol)], "fault string")
+    nation = table(spark, sf, "nation")
+    return position_faults(nation.select(F.col("n_name").alias("name"), F.when(F.col("n_nationkey") % 6 != 0, F.col("n_nationkey")).alias("position"), (F.col("n_regionkey") == 0).alias("ground_truth")))
 
 
 def _summary_sql() -> str:
