@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caresieve.operators.graph import components
+from caresieve.operators.images import adapted_rand
 from caresieve.operators.skew import Steps, cut
 from caresieve.session import ship
 
@@ -361,3 +362,15 @@ def mean_shift(df: DataFrame, keys: list[str], id_col: str, vector: str, bandwid
             yield pa.RecordBatch.from_arrays([batch.column("p"), pa.array(label, pa.int32())], ["p", "label"])
 
     return base.join(points.mapInArrow(nearest, "p bigint, label int"), "p").select(*keys, F.col("id").alias(id_col), "label")
+
+
+def clustered_rand_error(df: DataFrame, keys: list[str], id_col: str, vector: str, truth: str, least: int = 100, samples: int | None = None, bandwidth: float | None = None) -> DataFrame:
+    """error, precision and recall of the adapted Rand index: clusters of embeddings against true labels; by mean shift if a bandwidth is given.
+
+    Noise is one more cluster of its group, as is what has no whole vector.
+    """
+    found = mean_shift(df, keys, id_col, vector, bandwidth) if bandwidth else density_clusters(df, keys, id_col, vector, least, samples)
+    own = df.select(*keys, id_col, F.col(truth).alias("t")).join(found, [*keys, id_col], "left")
+    # labels of different groups are different segments, as the true ones are
+    side = lambda c: F.when(c > 0, F.xxhash64(*keys, c).bitwiseAND(F.lit((1 << 62) - 1)) + 1).otherwise(0)
+    return adapted_rand(own.select(side(F.col("t")).alias("t"), side(F.coalesce("label", F.lit(NOISE)) + 2).alias("p")), "t", "p")

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caresieve.functions.arrays import angle, squared_distance
+from caresieve.operators.replicates import close_pairs
+from caresieve.operators.skew import cut
 
 
 def _safe_log(p: Column) -> Column:
@@ -69,17 +71,24 @@ def square_angular(df: DataFrame, truth: str, predicted: str, weight: str | None
 def contrastive(df: DataFrame, instance: str, vector: str, near: float = 0.5, far: float = 1.5, terms: tuple[float, float, float] = (1.0, 1.0, 0.001)) -> DataFrame:
     """Variance, distance and size terms of embeddings by instance, with hinges at near and 2 * far.
 
-    Only the instances' means meet in pairs, of which there is one an instance.
+    Only means meet in pairs, and of these only pairs nearer than 2 * far, as the hinge of
+    others is 0; they come from cells, and equal means are one with a count.
     """
     width = df.select(F.size(vector)).first()[0]
     centre = F.array(*[F.avg(F.element_at(F.col(vector), i + 1)) for i in range(width)])
-    means = df.groupBy(F.col(instance).alias("i")).agg(centre.alias("m"), F.count(F.lit(1)).alias("n"))
-    rows = df.join(means, F.col(instance) == F.col("i"))
-    pull = F.greatest(F.sqrt(squared_distance(F.col(vector), F.col("m"))) - near, F.lit(0.0)) ** 2
-    variance = rows.groupBy("i").agg(F.avg(pull).alias("x")).agg(F.avg("x").alias("variance"))
-    a, b = means.select(F.col("i").alias("ia"), F.col("m").alias("ma")), means.select(F.col("i").alias("ib"), F.col("m").alias("mb"))
-    push = F.greatest(2 * far - F.sqrt(squared_distance(F.col("ma"), F.col("mb"))), F.lit(0.0)) ** 2
-    distance = a.join(b, F.col("ia") < F.col("ib")).agg(F.coalesce(F.avg(push), F.lit(0.0)).alias("distance"))
-    size = means.agg(F.avg(F.sqrt(F.aggregate("m", F.lit(0.0), lambda s, v: s + v * v))).alias("size"))
+    means = df.groupBy(F.col(instance).alias("__i")).agg(centre.alias("__m"), F.count(F.lit(1)).alias("__n"))
+    rows = df.join(means, F.col(instance) == F.col("__i"))
+    pull = F.greatest(F.sqrt(squared_distance(F.col(vector), F.col("__m"))) - near, F.lit(0.0)) ** 2
+    variance = rows.groupBy("__i").agg(F.avg(pull).alias("x")).agg(F.avg("x").alias("variance"))
+    named = cut(means.select(F.col("__m").alias("m"), F.monotonically_increasing_id().alias("k")))
+    classes = named.groupBy("m").agg(F.min("k").alias("k"), F.count(F.lit(1)).cast("double").alias("copies"))
+    near_ = close_pairs(classes, "k", "m", 2 * far)
+    copies = classes.select("k", "copies")
+    between = near_.join(copies.withColumnsRenamed({"k": "a", "copies": "na"}), "a").join(copies.withColumnsRenamed({"k": "b", "copies": "nb"}), "b")
+    pushed = between.agg(F.coalesce(F.sum(F.col("na") * F.col("nb") * (2 * far - F.col("distance")) ** 2), F.lit(0.0)).alias("x"))
+    n = F.sum("copies")
+    alike = classes.agg((F.sum(F.col("copies") * (F.col("copies") - 1) / 2) * (2 * far) ** 2).alias("y"), (n * (n - 1) / 2).alias("pairs"))
+    distance = pushed.crossJoin(alike).select(F.coalesce(F.try_divide(F.col("x") + F.col("y"), F.col("pairs")), F.lit(0.0)).alias("distance"))  # two single rows
+    size = means.agg(F.avg(F.sqrt(F.aggregate("__m", F.lit(0.0), lambda s, v: s + v * v))).alias("size"))
     one = variance.crossJoin(distance).crossJoin(size)  # three single rows
     return one.withColumn("loss", terms[0] * F.col("variance") + terms[1] * F.col("distance") + terms[2] * F.col("size"))

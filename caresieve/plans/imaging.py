@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from caresieve.functions import arrays as A
 from caresieve.functions.text import base_name
-from caresieve.operators import images, raster, stacks, tags
+from caresieve.operators import clusters, images, raster, stacks, tags
 from caresieve.operators.skew import shared_folder
 from caresieve.plans.register import registrar
 from caresieve.sources import volumes
@@ -178,3 +178,19 @@ def tensor_clahe(spark, sf):
     rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("slice_idx"), F.lit(8).alias("h"), F.lit(8).alias("w"), A.doubles(F.col("embedding")).alias("pixels"))
     out = images.clahe(rows)
     return out.select("slice_idx", A.total(F.col("pixels")).alias("total"), F.aggregate(F.transform("pixels", lambda p, i: p * i), F.lit(0.0), lambda a, p: a + p).alias("weighted"))
+
+
+def _points(spark, sf):
+    return table(spark, sf, "embeddings").select((F.col("label") % 2).alias("half"), "vec_id", F.slice(A.doubles(F.col("embedding")), 1, 4).alias("x"))
+
+
+@query()
+def tensor_density_clusters(spark, sf):
+    """Density clusters of the first four values of the vectors, in two groups; brute force is in the tests."""
+    return clusters.density_clusters(_points(spark, sf), ["half"], "vec_id", "x", 8, 4)
+
+
+@query()
+def tensor_mean_shift(spark, sf):
+    """Modes of the first four values of the vectors, in two groups; brute force is in the tests."""
+    return clusters.mean_shift(_points(spark, sf), ["half"], "vec_id", "x", 0.25)

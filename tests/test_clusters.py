@@ -149,3 +149,10 @@ def test_mean_shift_equals_a_plain_loop(spark):
     assert set(got[None]) == {0} and got["one"].tolist() == [0]
     assert clusters.mean_shift(table(spark).where("i < 0"), ["g"], "i", "v", 1.0).count() == 0
     assert clusters.density_clusters(table(spark).where("i < 0"), ["g"], "i", "v", 3).count() == 0
+
+
+def test_rand_error_of_clusters(spark):
+    x = groups()["b"]
+    df = spark.createDataFrame([("b", i, v.tolist(), 1 + (i >= 40)) for i, v in enumerate(x)] + [("c", i, v.tolist(), 1 + (i >= 40)) for i, v in enumerate(x)], "g string, i int, v array<double>, t int")
+    assert clusters.clustered_rand_error(df, ["g"], "i", "v", "t", 10, 5).first().error == pytest.approx(0, abs=1e-9)
+    assert clusters.clustered_rand_error(df, ["g"], "i", "v", "t", bandwidth=50.0).first().precision < 0.6

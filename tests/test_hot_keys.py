@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from caresieve.operators import joins, prepare, quality, replicates
+from caresieve.operators import joins, losses, prepare, quality, replicates
 from caresieve.sources import files
 
 
@@ -93,3 +93,13 @@ def test_counts_come_with_the_pass_that_reads(spark, tmp_path):
     got = sorted(((r.sample, r.feature, r.value) for r in rows.collect()), key=str)
     assert ("a", "y", 2.5) in got and ("c", None, None) in got
     assert metrics.get == {"n_files": 4, "n_unreadable": 1, "n_empty": 1}
+
+
+def test_contrastive_hinge_against_all_pairs_of_means(spark):
+    rng = np.random.default_rng(2)
+    means = np.concatenate([rng.normal(size=(30, 4)) * 3, np.zeros((4, 4)), rng.normal(size=(20, 4)) * 0.1])
+    rows = [(i, (m + s * d).tolist()) for i, m in enumerate(means) for d in (rng.normal(size=4) * 0.2,) for s in (-1, 1)]
+    got = losses.contrastive(spark.createDataFrame(rows, "i int, v array<double>"), "i", "v", 0.1, 0.6).first()
+    m = np.array([(np.array(rows[2 * i][1]) + np.array(rows[2 * i + 1][1])) / 2 for i in range(len(means))])
+    gap = np.sqrt(((m[:, None] - m[None]) ** 2).sum(axis=2))[np.triu_indices(len(m), 1)]
+    assert got.distance == pytest.approx((np.maximum(0, 1.2 - gap) ** 2).mean(), rel=1e-9)
