@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from caresieve.functions.text import normal_path
 from caresieve.session import ship
 from caresieve.sources.files import SourceError
 
@@ -34,7 +35,7 @@ _KINDS = {"string": pa.string(), "int": pa.int32(), "double": pa.float64(), "arr
 ARROW = pa.schema([(name, _KINDS[kind]) for name, kind in (x.strip().split(" ") for x in SCHEMA.split(", "))])
 #: Small files share a partition up to this size; a row batch holds about so many bytes of pixels.
 PARTITION_BYTES, BATCH_BYTES = 64 << 20, 4 << 20
-EXTENSIONS = (".nrrd", ".nii", ".nii.gz", ".dcm", ".png")
+EXTENSIONS = (".nrrd", ".nii", ".nii.gz", ".dcm", ".png", ".npy")
 
 
 class Fault(ValueError):
@@ -315,6 +316,21 @@ def _unfiltered(kind: int, line: np.ndarray, above: np.ndarray, step: int) -> np
     return np.array(out[step:], np.uint8)
 
 
+# ---- arrays
+
+
+def _npy(stream: BinaryIO) -> Head:
+    """An array file of two or three dimensions, (slices,) rows and columns: what preparation hands on."""
+    try:
+        version = np.lib.format.read_magic(stream)
+        shape, by_columns, dtype = (np.lib.format.read_array_header_1_0 if version == (1, 0) else np.lib.format.read_array_header_2_0)(stream)
+    except ValueError as e:
+        raise Fault(f"the header can't be read: {e}") from None
+    if len(shape) not in (2, 3) or by_columns or dtype.kind not in "iuf" or not all(shape):
+        raise Fault("only plain numbers of two or three dimensions, row by row, can be read")
+    return Head("npy", (*shape[::-1], 1)[:3], dtype, stream)
+
+
 # ---- rows
 
 
@@ -324,6 +340,8 @@ def head_of(stream: BinaryIO) -> Head:
     stream.seek(0)
     if first[:2] == b"\x1f\x8b":
         return _nifti(gzip.GzipFile(fileobj=stream))
+    if first[:6] == b"\x93NUMPY":
+        return _npy(stream)
     if first[:4] == b"NRRD":
         return _nrrd(stream)
     if first[:8] == b"\x89PNG\r\n\x1a\n":
@@ -525,8 +543,15 @@ def encode_png(plane: np.ndarray) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + block(b"IHDR", struct.pack(">IIBBBBB", plane.shape[1], plane.shape[0], 8 * step, 0, 0, 0, 0)) + block(b"IDAT", zlib.compress(body)) + block(b"IEND", b"")
 
 
+def encode_npy(voxels: np.ndarray, *_) -> bytes:
+    """voxels as an array file; places and directions aren't part of it."""
+    out = io.BytesIO()
+    np.save(out, voxels)
+    return out.getvalue()
+
+
 #: Formats that `volume_files` writes, and their extensions.
-WRITERS = {"nrrd": (encode_nrrd, ".nrrd", {}), "nrrd.gz": (encode_nrrd, ".nrrd", {"packed": True}), "nifti": (encode_nifti, ".nii", {}), "nifti.gz": (encode_nifti, ".nii.gz", {"packed": True})}
+WRITERS = {"nrrd": (encode_nrrd, ".nrrd", {}), "nrrd.gz": (encode_nrrd, ".nrrd", {"packed": True}), "nifti": (encode_nifti, ".nii", {}), "nifti.gz": (encode_nifti, ".nii.gz", {"packed": True}), "npy": (encode_npy, ".npy", {})}
 
 
 def volume_files(slices: DataFrame, volume: str, dtype: str = "f4", form: str | None = None) -> DataFrame:
@@ -575,3 +600,32 @@ def write_files(files: DataFrame, folder: str, name: str = "name", content: str
             yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(sizes, pa.int64())], ["path", "length"])
 
     return files.select(name, content).mapInArrow(run, "path string, length bigint")
+
+
+def image_files(slices: DataFrame, name: str, pixels: str = "pixels") -> DataFrame:
+    """(name, content): each slice, or projection of slices, as a grey PNG of 8 bits, scaled from its least to its greatest value; constant ones are black."""
+    ship(slices.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            names, contents = [], []
+            for n, p, h, w in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                if p.is_valid and h and w:
+                    x = p.values.to_numpy(zero_copy_only=False).reshape(h, w)
+                    top = x.max() - x.min()
+                    names.append(f"{n}.png")
+                    contents.append(encode_png(np.rint((x - x.min()) / (top if top else 1) * 255).astype(np.uint8)))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(contents, pa.binary())], ["name", "content"])
+
+    return slices.select(name, F.transform(pixels, lambda v: v.cast("double")).alias("p"), "h", "w").mapInArrow(run, "name string, content binary")
+
+
+def copy_files(manifest: DataFrame, root: str, folder: str) -> DataFrame:
+    """(path, length) of the files of a manifest (source_path, target_path) below root, copied to a mounted folder.
+
+    Sources are read by Spark from any store, each whole (2 GB at most), by the task that writes it.
+    """
+    files = manifest.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    own = lambda c: normal_path(F.regexp_replace(c, "^file:/+", "/"))
+    source = manifest.select(own(F.col("source_path")).alias("source"), "target_path")
+    return write_files(files.join(source, own(F.col("path")) == F.col("source")).select("target_path", "content"), folder, "target_path", "content")

@@ -42,8 +42,13 @@ def check_stream(stream: DataFrame, checks: list[Check], sink: str, checkpoint:
 
 
 def quorum(replies: DataFrame, site: str, ok: str, least: int) -> DataFrame:
-    """The first good reply of each site; fails when read if there are fewer than `least` sites."""
-    good = replies.where(F.col(ok) == "OK").dropDuplicates([site])
+    """One good reply of each site; fails when read if there are fewer than `least` sites.
+
+    Of several replies the one whose columns hash lowest is taken, on every run the same;
+    for replies with a time use streaming.gather.
+    """
+    columns = F.struct(*[F.col(f"`{c}`") for c in replies.columns])
+    good = replies.where(F.col(ok) == "OK").groupBy(F.col(site).alias("__site")).agg(F.min_by(columns, F.xxhash64(columns)).alias("r")).select("r.*")
     n = good.agg(F.count(F.lit(1)).alias("__n"))
     enough = F.when(F.col("__n") < least, F.raise_error(F.lit(f"fewer than {least} sites replied")).cast("long")).otherwise(F.col("__n"))
     return good.crossJoin(F.broadcast(n)).where(enough >= least).drop("__n")

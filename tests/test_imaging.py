@@ -123,6 +123,22 @@ def test_a_folder_of_volumes_with_broken_files(spark, tmp_path):
         v.local_path("s3a://bucket/x")
 
 
+def test_arrays_images_and_copies_are_written(spark, tmp_path):
+    x = np.arange(24, dtype="f4").reshape(2, 3, 4)
+    assert (voxels_of(read(v.encode_npy(x)), x.shape) == x).all() and "row by row" in read(v.encode_npy(np.asfortranarray(x)))[0]["fault"]
+    assert read(v.encode_npy(x)[:-1])[-1]["fault"] and read(v.encode_npy(x.astype("c8")))[0]["fault"]
+    df = as_slices(spark, {"s": x}, "double")
+    v.write_files(v.volume_files(df, "v", form="npy"), str(tmp_path / "a")).count()
+    assert np.array_equal(np.load(tmp_path / "a" / "s.npy"), x)
+    middle = images.projection(df, ["v"], "slice_idx").groupBy("v").agg(F.transform(F.array_sort(F.collect_list(F.struct("pixel", "value"))), lambda p: p["value"]).alias("pixels"))
+    v.write_files(v.image_files(middle.withColumns({"h": F.lit(3), "w": F.lit(4)}), "v"), str(tmp_path / "b")).count()
+    back = v.read_volumes(spark, str(tmp_path / "b")).first()
+    assert back.pixels == np.rint(np.arange(12) / 11 * 255).tolist()
+    manifest = spark.createDataFrame([(f"{tmp_path}/a/s.npy", "N1/sample001_x/s.npy"), (f"{tmp_path}/a/none.npy", "N2/x.npy")], "source_path string, target_path string")
+    assert [r.length for r in v.copy_files(manifest, str(tmp_path / "a"), str(tmp_path / "c")).collect()] == [os.path.getsize(tmp_path / "a" / "s.npy")]
+    assert (tmp_path / "c/N1/sample001_x/s.npy").read_bytes() == (tmp_path / "a/s.npy").read_bytes()
+
+
 def test_stack_and_shapes(spark):
     rows = [("a", 0, 3.0, 2, 2), ("a", 1, 1.0, 2, 2), ("a", 2, 2.0, 2, 2), ("b", 0, None, 2, 3), ("b", 1, 0.0, 3, 2), ("c", 0, 1.0, 2, 2), ("c", 1, 1.0, 2, 2), ("c", 2, 5.0, 2, 2)]
     df = spark.createDataFrame(rows, "v string, slice_idx int, z double, h int, w int")
