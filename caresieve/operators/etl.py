@@ -118,6 +118,60 @@ def facts_of(variables: list[Variable]) -> list[Fact]:
     return out
 
 
+#: The keys of a protocol's ETL entry.
+TARGET_TABLE, TARGET_FIELD, SOURCE_FIELD = "Tabella_target", "Voce_tabella_target", "Voce_tabella_sorgente"
+TARGET_VALUE, SOURCE_VALUE, TARGET_UNIT, SOURCE_UNIT = "Voce_valore_target", "Voce_valore_sorgente", "Voce_unità_target", "Voce_unità_sorgente"
+
+
+def _typed(field: str, value: Column) -> Column:
+    """A value in the type that a field's name asks for."""
+    kind = "double" if field == "value_as_number" else "bigint" if field.endswith("_concept_id") or field == "value_as_concept_id" else "int" if field == "year_of_birth" else "string"
+    return value.try_cast(kind)
+
+
+def target_fields(variable: Variable, today: Column | None = None) -> dict[str, Column]:
+    """Field of the target table to value, as a variable's ETL entry maps it; empty without a target table.
+
+    A person's field holds the variable's value, its concept where it has concepts, or the
+    year of birth from a whole age. An observation's or measurement's target field holds the concept of the
+    variable, its value field the value or its concept; source fields hold the variable's name, the raw
+    value and the unit's text, the unit field the unit's concept. Fields that aren't named are left out.
+    """
+    entry, raw = variable.target, F.col(f"`{variable.name}`")
+    value = concept_column(variable) if variable.concept_ids else raw
+    person = entry.get(TARGET_TABLE) == "PERSON"
+    if person and entry.get(TARGET_FIELD) == "year_of_birth" and variable.type == "int":
+        value = year_of_birth(raw.try_cast("int"), today)
+    given = {
+        entry.get(TARGET_FIELD): value if person else F.lit(entry.get("Concept_ID")),
+        entry.get(SOURCE_FIELD): raw if person else F.lit(variable.name),
+        entry.get(TARGET_VALUE): None if person else value,
+        entry.get(SOURCE_VALUE): None if person else raw,
+        entry.get(TARGET_UNIT): None if person else F.lit(variable.unit_concept_id),
+        entry.get(SOURCE_UNIT): None if person else F.lit(variable.unit),
+    }
+    return {k: _typed(k, v) for k, v in given.items() if k and v is not None and entry.get(TARGET_TABLE)}
+
+
+def target_rows(wide: DataFrame, variables: list[Variable], table: str, keys: list[str], today: Column | None = None) -> DataFrame:
+    """Rows of a target table from wide rows, by the variables' ETL entries: keys and every field that any of them names.
+
+    PERSON gets a row a wide row; of two variables for one field the first that isn't null. Other tables get a row for each wide row and
+    variable, without those whose value is null; a field that a variable doesn't name is null.
+    One scan, no shuffle. Without a variable for the table there are no rows.
+    """
+    maps = [f for v in variables if v.target.get(TARGET_TABLE) == table and (f := target_fields(v, today))]
+    names = list(dict.fromkeys(n for f in maps for n in f))
+    if not maps:
+        return wide.select(*keys).where("false")
+    if table == "PERSON":
+        return wide.select(*keys, *[F.coalesce(*[f[n] for f in maps if n in f]).alias(n) for n in names])
+    empty = {n: _typed(n, F.lit(None)) for n in names}
+    values = [n for n in names if n.startswith("value_")]
+    out = wide.select(*keys, F.inline(F.array(*[F.struct(*[f.get(n, empty[n]).alias(n) for n in names]) for f in maps])))
+    return out.where(F.coalesce(*[F.col(n).cast("string") for n in values]).isNotNull()) if values else out
+
+
 def visits(rows: DataFrame, person: str, order: list[str], after: int, concept: int = VISIT_CLINICAL) -> DataFrame:
     """One visit per row: visit_occurrence_id, person_id, visit_concept_id, visit_type_concept_id."""
     numbered = new_ids(rows, order, after, "visit_occurrence_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from caresieve.functions import arrays as A
-from caresieve.operators import images, learning, losses, prepare, quality
+from caresieve.operators import etl, images, learning, losses, prepare, quality
 from caresieve.operators.spec import Variable
 from caresieve.plans.register import registrar
 from caresieve.sources.tables import measurements_by_site, table
@@ -142,3 +142,27 @@ SELECT variable, printf('V%03d', i) AS variable_code, level, printf('V%03d.%02d'
 def prep_observed_code_map(spark, sf):
     """Codes of variables and of the levels that their column holds."""
     return prepare.observed_code_map(table(spark, sf, "orders"), ["o_orderstatus", "o_orderpriority", "o_totalprice"], ["o_orderstatus", "o_orderpriority"])
+
+
+_BALANCE = {"Tabella_target": "MEASUREMENT", "Voce_tabella_target": "measurement_concept_id", "Concept_ID": 77, "Voce_valore_target": "value_as_number", "Voce_tabella_sorgente": "measurement_source_value", "Voce_valore_sorgente": "value_source_value", "Voce_unità_target": "unit_concept_id", "Voce_unità_sorgente": "unit_source_value"}
+_SEGMENT = {"Tabella_target": "MEASUREMENT", "Voce_tabella_target": "measurement_concept_id", "Concept_ID": 78, "Voce_valore_target": "value_as_concept_id", "Voce_tabella_sorgente": "measurement_source_value"}
+
+
+@query(
+    """WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 9 <> 0 THEN c_acctbal END AS b, c_mktsegment AS s FROM customer)
+SELECT c_custkey, CAST(77 AS BIGINT) AS measurement_concept_id, 'balance' AS measurement_source_value, b AS value_as_number, CAST(9000 AS BIGINT) AS unit_concept_id, 'euro' AS unit_source_value, CAST(NULL AS BIGINT) AS value_as_concept_id FROM c WHERE b IS NOT NULL
+UNION ALL SELECT c_custkey, 78, 'segment', NULL, NULL, NULL, CASE s WHEN 'BUILDING' THEN 501 WHEN 'MACHINERY' THEN 502 END FROM c WHERE s IN ('BUILDING', 'MACHINERY')"""
+)
+def etl_target_rows(spark, sf):
+    """Measurements as the variables' ETL entries map them: fields, concepts and units."""
+    c = table(spark, sf, "customer").select("c_custkey", F.when(F.col("c_custkey") % 9 != 0, F.col("c_acctbal")).alias("balance"), F.col("c_mktsegment").alias("segment"))
+    variables = [Variable("balance", "float", 1, unit="euro", unit_concept_id=9000, target=_BALANCE), Variable("segment", "str", 2, cardinality=2, levels=("BUILDING", "MACHINERY"), concept_ids=(501, 502), target=_SEGMENT)]
+    return etl.target_rows(c, variables, "MEASUREMENT", ["c_custkey"]).drop("value_source_value")
+
+
+@query("SELECT c_custkey, CAST(2024 - (20 + c_custkey % 60) AS INTEGER) AS year_of_birth, CAST(CASE c_mktsegment WHEN 'BUILDING' THEN 501 WHEN 'MACHINERY' THEN 502 END AS BIGINT) AS gender_concept_id, c_mktsegment AS gender_source_value FROM customer")
+def etl_target_persons(spark, sf):
+    """Persons as the variables' ETL entries map them: a year from an age, a concept from a level, and its source."""
+    c = table(spark, sf, "customer").select("c_custkey", (20 + F.col("c_custkey") % 60).alias("age"), F.col("c_mktsegment").alias("segment"))
+    variables = [Variable("age", "int", 1, target={"Tabella_target": "PERSON", "Voce_tabella_target": "year_of_birth"}), Variable("segment", "str", 2, cardinality=2, levels=("BUILDING", "MACHINERY"), concept_ids=(501, 502), target={"Tabella_target": "PERSON", "Voce_tabella_target": "gender_concept_id", "Voce_tabella_sorgente": "gender_source_value"})]
+    return etl.target_rows(c, variables, "PERSON", ["c_custkey"], F.lit("2024-06-01").cast("date"))
