@@ -14,10 +14,6 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: a letter or two, or a mixture without a main language.
 LEAST_SCORE = 0.3
 
-# All stages read these columns and no other, so further columns, of any name, are
-# left out and can't clash; texts may be of any length; an empty table gives an empty
-# one. Each docstring says what becomes of null and empty texts, ties and repeated rows.
-
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose language can be told; `lang` becomes the predicted one.
@@ -26,6 +22,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     (null and empty text too) or with a score under LEAST_SCORE are rejected; of equal
     shares the language that sorts first is taken; repeated rows are judged alike.
     Where no label is there to learn from, all lettered documents pass as they are.
+    Whole texts of any length are read; an empty table gives no rows; further columns
+    are left out.
     """
     model = language_id.train(docs.where(~language_id.held_out(F.col("doc_id"))))
     if not model.languages:
@@ -39,7 +37,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the lines that an earlier one holds; n_chars follows the text.
 
     Null text becomes empty. Rows of one id are one document, so repeated rows keep
-    the same lines; rows without an id lose nothing.
+    the same lines; rows without an id lose nothing. Texts and lines may be of any
+    length; an empty table gives no rows; further columns are left out.
     """
     out = line_dedup.line_dedup(docs.select(*COLUMNS))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
@@ -51,6 +50,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows are told apart by a number of their own, so groups without any id and
     repeated rows of an id are cut to one row too. Of several rows of the smallest
     id the text of the least hash stays. Null, empty and wordless texts are one group.
+    Whole texts of any length count; an empty table gives no rows; further columns are
+    left out.
     """
     rows = cut(docs.select(*COLUMNS).withColumn("__row", F.monotonically_increasing_id()))  # the numbers are used twice
     found = simhash.near_dedup(rows, id_col="__row").select(F.col("doc_id").alias("__row"), "component_id")
@@ -63,7 +64,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as their source's rate draws them, in a global random order.
 
     A null source is one of its own; rows of one id, a null id included, are drawn
-    alike; texts, null or empty, are carried as they are.
+    alike; texts, null, empty or very long, are carried as they are. An empty table
+    gives no rows; further columns are left out.
     """
     return mixing.mix(docs.select(*COLUMNS)).select(*COLUMNS)
 
@@ -71,7 +73,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, token ids and the digests of ids and of the bytes decoded from them.
 
-    Null and empty text have no ids; repeated rows give repeated rows.
+    Null and empty text have no ids; very long ones are cut where no token spans;
+    repeated rows give repeated rows; an empty table gives none.
     """
     return bpe.encode(docs.select(*COLUMNS), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
