@@ -131,6 +131,18 @@ def unit_faults(protocol: Protocol, units: dict[str, str]) -> list[str]:
     return [v.name for v in protocol.variables if v.unit is not None and v.name in units and units[v.name].strip() != v.unit]
 
 
+def header_unit_faults(headers: DataFrame, protocol: Protocol, keys: list[str], variable: str = "variable", unit: str = "unit") -> DataFrame:
+    """E302 of many files at once: (code, keys, variable, unit, expected) where a header's unit isn't the protocol's.
+
+    headers: a row for each file and variable. Variables without a unit in the protocol, or unknown to it, have none to check; an
+    absent unit is a wrong one.
+    """
+    rows = [(v.name, v.unit) for v in protocol.variables if v.unit is not None]
+    expected = headers.sparkSession.createDataFrame(rows, f"`{variable}` string, expected string")
+    given = F.trim(F.coalesce(F.col(unit), F.lit("")))
+    return headers.join(F.broadcast(expected), variable).where(given != F.col("expected")).select(F.lit("E302").alias("code"), *keys, variable, unit, "expected")
+
+
 def variability(df: DataFrame, columns: list[str], missing=None, include_sentinel: bool = False, sample: bool = False) -> DataFrame:
     """variable, cv: 100 * deviation / mean, 0 where the mean is 0.
 

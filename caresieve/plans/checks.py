@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from caresieve.functions import arrays as A
 from caresieve.operators import etl, images, learning, losses, prepare, quality
-from caresieve.operators.spec import Variable
+from caresieve.operators.spec import Protocol, Variable
 from caresieve.plans.register import registrar
 from caresieve.sources.tables import measurements_by_site, table
 
@@ -166,3 +166,16 @@ def etl_target_persons(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", (20 + F.col("c_custkey") % 60).alias("age"), F.col("c_mktsegment").alias("segment"))
     variables = [Variable("age", "int", 1, target={"Tabella_target": "PERSON", "Voce_tabella_target": "year_of_birth"}), Variable("segment", "str", 2, cardinality=2, levels=("BUILDING", "MACHINERY"), concept_ids=(501, 502), target={"Tabella_target": "PERSON", "Voce_tabella_target": "gender_concept_id", "Voce_tabella_sorgente": "gender_source_value"})]
     return etl.target_rows(c, variables, "PERSON", ["c_custkey"], F.lit("2024-06-01").cast("date"))
+
+
+@query(
+    """WITH h AS (SELECT c_custkey AS file, CASE c_custkey % 3 WHEN 0 THEN 'age' WHEN 1 THEN 'weight' ELSE 'note' END AS variable, CASE c_custkey % 5 WHEN 0 THEN ' years ' WHEN 1 THEN 'kg' WHEN 2 THEN NULL ELSE 'g' END AS unit FROM customer),
+e AS (SELECT * FROM (VALUES ('age', 'years'), ('weight', 'kg')) e(variable, expected))
+SELECT 'E302' AS code, file, h.variable, unit, expected FROM h JOIN e USING (variable) WHERE trim(coalesce(unit, '')) <> expected"""
+)
+def dq_header_units(spark, sf):
+    """E302: units in the headers of very many files that aren't the protocol's."""
+    key = F.col("c_custkey")
+    unit = F.when(key % 5 == 0, " years ").when(key % 5 == 1, "kg").when(key % 5 == 2, None).otherwise("g")
+    headers = table(spark, sf, "customer").select(key.alias("file"), F.when(key % 3 == 0, "age").when(key % 3 == 1, "weight").otherwise("note").alias("variable"), unit.alias("unit"))
+    return quality.header_unit_faults(headers, Protocol((Variable("age", "int", 1, unit="years"), Variable("weight", "float", 2, unit="kg"), Variable("note", "str", 3))), ["file"])
