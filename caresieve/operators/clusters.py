@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caresieve.operators.graph import components
+from caresieve.operators.graph import components, joined
 from caresieve.operators.images import adapted_rand
 from caresieve.operators.skew import Steps, cut
 from caresieve.session import ship
@@ -15,6 +15,8 @@ from caresieve.session import ship
 #: Points of a cell: each group has a pivot for so many, and a point belongs to its nearest one.
 CELL_POINTS = 1024
 NOISE = -1
+#: Components of a round that are united on the driver, 16 bytes each.
+DRIVER_LINKS = 100_000
 
 
 def _matrix(column) -> np.ndarray:
@@ -129,7 +131,7 @@ def spanning_edges(cells: _Cells, cores: DataFrame) -> DataFrame:
     schema = "g string, p bigint, v array<double>, cell int, core double, c bigint"
 
     def best(x, core_x, p_x, c_x, y, core_y, p_y, c_y):
-        """Each x's smallest edge to a y of another component: (w, a, b), infinite without one."""
+        """Each x's smallest edge to a y of another component, d: (w, a, b, d), infinite without one."""
         out = []
         for s in range(0, len(x), 512):
             part = slice(s, s + 512)
@@ -138,13 +140,13 @@ def spanning_edges(cells: _Cells, cores: DataFrame) -> DataFrame:
             least = gap.min(axis=1)
             for i, m in enumerate(least.tolist()):
                 if not np.isfinite(m):
-                    out.append((np.inf, -1, -1))
+                    out.append((np.inf, -1, -1, -1))
                     continue
                 near = np.flatnonzero(gap[i] <= m * (1 + 1e-9) + 1e-12)  # the fast distances are rounded
                 w = np.maximum(np.maximum(_exact(y[near], x[s + i][None]), core_x[s + i]), core_y[near])
                 a, b = np.minimum(p_x[s + i], p_y[near]), np.maximum(p_x[s + i], p_y[near])
                 k = np.lexsort((b, a, w))[0]
-                out.append((float(w[k]), int(a[k]), int(b[k])))
+                out.append((float(w[k]), int(a[k]), int(b[k]), int(c_y[near[k]])))
         return out
 
     def columns(t: pa.Table):
@@ -152,31 +154,42 @@ def spanning_edges(cells: _Cells, cores: DataFrame) -> DataFrame:
 
     def own(table: pa.Table) -> pa.Table:
         edges = best(*columns(table), *columns(table))
-        return pa.table({**{c: table.column(c) for c in ("g", "p", "v", "cell", "core", "c")}, "w": pa.array([e[0] for e in edges], pa.float64()), "a": pa.array([e[1] for e in edges], pa.int64()), "b": pa.array([e[2] for e in edges], pa.int64())})
+        return pa.table({**{c: table.column(c) for c in ("g", "p", "v", "cell", "core", "c")}, "w": pa.array([e[0] for e in edges], pa.float64()), "a": pa.array([e[1] for e in edges], pa.int64()), "b": pa.array([e[2] for e in edges], pa.int64()), "d": pa.array([e[3] for e in edges], pa.int64())})
 
     def other(queries: pa.Table, points: pa.Table) -> pa.Table:
         edges = best(*columns(queries), *columns(points)) if len(queries) and len(points) else []
-        return pa.table({"g": pa.array(queries.column("g").to_pylist()[: len(edges)], pa.string()), "c": pa.array(queries.column("c").to_pylist()[: len(edges)], pa.int64()), "w": pa.array([e[0] for e in edges], pa.float64()), "a": pa.array([e[1] for e in edges], pa.int64()), "b": pa.array([e[2] for e in edges], pa.int64())})
+        return pa.table({"g": pa.array(queries.column("g").to_pylist()[: len(edges)], pa.string()), "c": pa.array(queries.column("c").to_pylist()[: len(edges)], pa.int64()), "w": pa.array([e[0] for e in edges], pa.float64()), "a": pa.array([e[1] for e in edges], pa.int64()), "b": pa.array([e[2] for e in edges], pa.int64()), "d": pa.array([e[3] for e in edges], pa.int64())})
 
     try:
         while True:
-            inside = steps.keep(now.groupBy("g", "cell").applyInArrow(own, f"{schema}, w double, a bigint, b bigint"))
+            inside = steps.keep(now.groupBy("g", "cell").applyInArrow(own, f"{schema}, w double, a bigint, b bigint, d bigint"))
             known = inside.groupBy("c").agg(F.min("w").alias("bound"))
             # an edge from a point weighs its core distance at least
-            asked = cells.others(inside.drop("w", "a", "b").join(known, "c").where("core <= bound").select(*[c.split()[0] for c in schema.split(", ")], "bound"), "bound", f"{schema}, bound double")
-            far = asked.select("g", "there", "p", "v", "core", "c").groupBy("g", "there").cogroup(now.withColumnRenamed("cell", "there").groupBy("g", "there")).applyInArrow(other, "g string, c bigint, w double, a bigint, b bigint")
-            edges = inside.select("g", "c", "w", "a", "b").unionByName(far).where(F.col("w") < float("inf"))
-            least = steps.keep(edges.groupBy("g", "c").agg(F.min(F.struct("w", "a", "b")).alias("e")).select("g", "e.*").distinct())
-            if least.isEmpty():
+            asked = cells.others(inside.drop("w", "a", "b", "d").join(known, "c").where("core <= bound").select(*[c.split()[0] for c in schema.split(", ")], "bound"), "bound", f"{schema}, bound double")
+            far = asked.select("g", "there", "p", "v", "core", "c").groupBy("g", "there").cogroup(now.withColumnRenamed("cell", "there").groupBy("g", "there")).applyInArrow(other, "g string, c bigint, w double, a bigint, b bigint, d bigint")
+            edges = inside.select("g", "c", "w", "a", "b", "d").unionByName(far).where(F.col("w") < float("inf"))
+            least = steps.keep(edges.groupBy("g", "c").agg(F.min(F.struct("w", "a", "b", "d")).alias("e")).select("g", "c", "e.*"))
+            n = least.count()
+            if not n:
                 break
-            found = cut(least if found is None else found.unionByName(least))
-            roots = components(found.select("a", "b"))
-            now = steps.keep(cores.join(roots.withColumnRenamed("node", "p"), "p", "left").select("g", "p", "v", "cell", "core", F.coalesce("root", "p").alias("c")))
+            found = cut((least if found is None else found.unionByName(least.drop("c", "d"))).select("g", "w", "a", "b").distinct())
+            now = steps.keep(now.join(_united(least, n), "c", "left").select("g", "p", "v", "cell", "core", F.coalesce("root", "c").alias("c")))
     finally:
         steps.forget()
     return found if found is not None else spark.createDataFrame([], "g string, w double, a bigint, b bigint")
 
 
+def _united(links: DataFrame, n: int) -> DataFrame:
+    """(c, root) of components that links (c, d) join: on the driver up to DRIVER_LINKS of them, else as a graph."""
+    if n > DRIVER_LINKS:
+        return components(links.select(F.col("c").alias("a"), F.col("d").alias("b"))).withColumnRenamed("node", "c")
+    pairs = np.array([(r.c, r.d) for r in links.select("c", "d").collect()], np.int64)
+    names, place = np.unique(pairs, return_inverse=True)
+    place = place.reshape(pairs.shape)
+    root = names[joined(np.arange(len(names)), place[:, 0], place[:, 1])]
+    return F.broadcast(links.sparkSession.createDataFrame(pa.table({"c": names, "root": root})))
+
+
 def condensed(n: int, a: np.ndarray, b: np.ndarray, w: np.ndarray, least: int) -> np.ndarray:
     """The label of each of n points from a spanning tree's edges: clusters of `least` points or more by excess of mass, NOISE for the others."""
     inner, height, size, top = [], [], [1] * n, list(range(2 * n))
