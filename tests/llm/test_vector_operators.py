@@ -97,6 +97,19 @@ def test_search_in_one_shard_has_its_recall():
     assert (hit & near).sum() >= 0.97 * near.sum()
 
 
+def test_a_low_recall_is_answered_with_more_overlap_and_told(spark, monkeypatch):
+    tried = []
+    whole = vector_dedup._class_links
+    monkeypatch.setattr(vector_dedup, "_class_links", lambda c, shards, beam, least: tried.append((shards, beam)) or whole(c, shards, beam, least))
+    monkeypatch.setattr(vector_dedup, "LEAST_RECALL", 1.5)
+    rng = np.random.default_rng(6)
+    vectors = list(rng.normal(size=(30, 16)))
+    vectors += [v + rng.normal(size=16) * 0.1 for v in vectors[:10]]
+    with pytest.warns(UserWarning, match="found 1.000 of the audited links"):
+        assert found(vector_dedup.near_dedup(table(spark, vectors))) == wanted(vectors)
+    assert tried == [(vector_dedup.SHARDS << i, vector_dedup.BEAM << i) for i in range(3)]
+
+
 def test_lengths_that_differ_and_no_rows(spark):
     with pytest.raises(ValueError, match="can't be compared"):
         vector_dedup.near_dedup(table(spark, [[1, 2], [1, 2, 3]]))
