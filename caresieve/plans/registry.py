@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules that hold a QUERIES dict and an ORACLE dict.
-MODULES = ("federated", "quality", "preparation", "model", "tensors", "extras", "imaging", "checks")
+MODULES = ("federated", "quality", "preparation", "model", "tensors", "extras", "imaging", "checks", "roundtrips")
 
 
 def all_queries() -> dict:
