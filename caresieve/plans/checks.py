@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from caresieve.functions import arrays as A
-from caresieve.operators import etl, images, learning, losses, prepare, quality
+from caresieve.operators import covariance, etl, images, learning, losses, prepare, quality
 from caresieve.operators.spec import Protocol, Variable
 from caresieve.plans.register import registrar
 from caresieve.sources.tables import measurements_by_site, table
@@ -179,3 +179,74 @@ def dq_header_units(spark, sf):
     unit = F.when(key % 5 == 0, " years ").when(key % 5 == 1, "kg").when(key % 5 == 2, None).otherwise("g")
     headers = table(spark, sf, "customer").select(key.alias("file"), F.when(key % 3 == 0, "age").when(key % 3 == 1, "weight").otherwise("note").alias("variable"), unit.alias("unit"))
     return quality.header_unit_faults(headers, Protocol((Variable("age", "int", 1, unit="years"), Variable("weight", "float", 2, unit="kg"), Variable("note", "str", 3))), ["file"])
+
+
+def _results(spark, sf):
+    """Check results of orders: a code and variable for each status and priority."""
+    o = table(spark, sf, "orders").groupBy("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    warning = F.col("o_orderstatus") == "O"
+    return o.select(F.when(warning, 4).otherwise(5).alias("phase"), F.when(warning, "W401").otherwise("E501").alias("code"), F.when(warning, "warning").otherwise("error").alias("severity"), F.concat_ws("/", "o_orderstatus", "o_orderpriority").alias("variable"), F.when(F.col("o_orderpriority") != "5-LOW", F.col("n")).alias("n"), F.lit(True).alias("present"))
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS n_warnings FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority <> '5-LOW'")
+def dq_total_warnings(spark, sf):
+    """The sum of all warnings; absent counts are 0."""
+    return quality.total_warnings(_results(spark, sf)).select(F.col("n_warnings").cast("long").alias("n_warnings"))
+
+
+@query(
+    """WITH r AS (SELECT CASE o_orderstatus WHEN 'O' THEN 'W401' ELSE 'E501' END AS code, o_orderstatus || '/' || o_orderpriority AS variable, CASE WHEN o_orderpriority <> '5-LOW' THEN count(*) END AS n FROM orders GROUP BY o_orderstatus, o_orderpriority)
+SELECT code, variable, CASE WHEN code = 'W401' THEN -1 ELSE n END AS n FROM r UNION ALL SELECT 'W401', 'new', 7"""
+)
+def dq_merged_results(spark, sf):
+    """Earlier results and new ones: of equal code and variable the new one stays."""
+    old = _results(spark, sf)
+    fresh = old.where("code = 'W401'").withColumn("n", F.lit(-1).cast("long"))
+    more = fresh.limit(1).withColumn("variable", F.lit("new")).withColumn("n", F.lit(7).cast("long"))  # one row of its own
+    return quality.merge_results(old, fresh.unionByName(more)).select("code", "variable", "n")
+
+
+@query(
+    """WITH s AS (SELECT vec_id, vec_id // 5 AS series, row_number() OVER (PARTITION BY vec_id // 5 ORDER BY (vec_id * 3) % 5, vec_id) AS place FROM embeddings WHERE vec_id % 4 <> 1)
+SELECT CAST(series AS VARCHAR) AS series_id, CAST(place AS INTEGER) AS place, 'L' || vec_id AS label FROM s"""
+)
+def structure_labels_follow(spark, sf):
+    """Labels by the slices' new places, discarded slices being gone."""
+    rows = _slices(spark, sf)
+    ordered = images.order_slices(rows.where("slice_idx % 4 <> 1").withColumn("z", F.col("slice_idx") * 3 % 5), ["series_id"])
+    labels = rows.select("series_id", "slice_idx", F.concat(F.lit("L"), "slice_idx").alias("label"))
+    return images.follow_slices(labels, ordered, ["series_id"]).select("series_id", "place", "label")
+
+
+@query(
+    """WITH s AS (SELECT vec_id, list_transform(embedding, lambda v: CASE WHEN v > 0.1 THEN 200 WHEN v > -0.1 THEN 0 ELSE 90 END) AS x FROM embeddings), d AS (SELECT vec_id, x, list_sort(list_distinct(x)) AS v FROM s)
+SELECT vec_id, CAST(list_sum(list_transform(x, lambda p: ([0, 3, 8])[list_position(v, p)])) AS BIGINT) AS total, len(v) AS n_values FROM d"""
+)
+def tensor_value_codes(spark, sf):
+    """Values of a mask as the protocol's codes, in their order."""
+    x = F.transform("embedding", lambda v: F.when(v > F.lit(0.1), 200).when(v > F.lit(-0.1), 0).otherwise(90))
+    rows = table(spark, sf, "embeddings").select("vec_id", x.alias("x"))
+    coded = A.mapped(F.col("x"), [8, 0, 3])
+    return rows.select("vec_id", F.aggregate(coded, F.lit(0).cast("long"), lambda a, v: a + v).alias("total"), F.size(F.array_distinct("x")).cast("long").alias("n_values"))
+
+
+@query("SELECT c_custkey % 3 = 0 AS female, count(*) AS n, count(*) AS n_from_list, count(*) AS n_family FROM customer GROUP BY 1")
+def etl_synthetic_names(spark, sf):
+    """A given name from the list of the person's gender and a family name for every person."""
+    persons = table(spark, sf, "customer").select(F.col("c_custkey").alias("person_id"), F.when(F.col("c_custkey") % 3 == 0, 8532).otherwise(8507).alias("gender_concept_id"))
+    p, n = table(spark, sf, "part"), table(spark, sf, "nation")
+    female, male = (p.where(F.col("p_size") % 2 == k).select(F.concat(F.lit(tag), "p_name", F.lit(" "), "p_partkey").alias("name")) for k, tag in ((0, "f "), (1, "m ")))
+    named = etl.synthetic_names(persons, female, male, n.select(F.col("n_name").alias("name")))
+    is_female = F.col("gender_concept_id") == 8532
+    return named.groupBy(is_female.alias("female")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("given_name").startswith("f ") == is_female).alias("n_from_list"), F.count("family_name").alias("n_family"))
+
+
+@query(
+    """WITH e AS (SELECT list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings), p AS (SELECT CAST(i AS INTEGER) AS i, x[i + 1] AS a, x[(i + 1) % 64 + 1] AS b FROM e, (SELECT unnest(range(64)) AS i))
+SELECT i AS "column", round(var_samp(a), 8) AS variance, round(covar_samp(a, b), 8) AS next_covariance FROM p GROUP BY i"""
+)
+def fed_vector_covariance(spark, sf):
+    """The covariance of the vectors' 64 values from a scatter matrix a site, labels being sites: merged by Chan's rule."""
+    stats = covariance.pooled(covariance.vector_scatter(table(spark, sf, "embeddings"), "label", "embedding", 64))
+    rows = [(i, round(float(stats.covariance[i, i]), 8), round(float(stats.covariance[i, (i + 1) % 64]), 8)) for i in range(64)]
+    return spark.createDataFrame(rows, "column int, variance double, next_covariance double")
