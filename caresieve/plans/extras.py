@@ -290,3 +290,19 @@ def ext_interval_join(spark, sf):
     spans = table(spark, sf, "nation").select("n_nationkey", (F.col("n_nationkey") * 2.0).alias("low"), (F.col("n_nationkey") * 2 + F.col("n_regionkey") + 1.5).alias("high"))
     points = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     return joins.interval_join(points, spans, "l_quantity", "low", "high", 3.0).drop("low", "high")
+
+
+@query("SELECT c_custkey, o_orderkey, o_totalprice FROM (SELECT * FROM orders WHERE o_orderstatus = 'P') o RIGHT JOIN customer ON o_custkey = c_custkey")
+def ext_right_join(spark, sf):
+    """Every customer with their open orders, if there are any: the right side is kept whole."""
+    orders = table(spark, sf, "orders").where("o_orderstatus = 'P'").select("o_custkey", "o_orderkey", "o_totalprice")
+    customers = table(spark, sf, "customer").select("c_custkey")
+    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "right").select("c_custkey", "o_orderkey", "o_totalprice")
+
+
+@query("SELECT e.event_id, t.k, CAST(t.v AS INTEGER) AS v FROM events e, LATERAL (SELECT unnest(json_keys(e.props)) AS k, json_extract_string(e.props, '$.' || unnest(json_keys(e.props))) AS v) t")
+def ext_lateral_join(spark, sf):
+    """Every event with the fields of its JSON, by a lateral join."""
+    e = table(spark, sf, "events").select("event_id", F.from_json("props", "map<string,int>").alias("m"))
+    fields = spark.tvf.explode(F.col("m").outer()).toDF("k", "v")
+    return e.lateralJoin(fields).select("event_id", "k", "v")
