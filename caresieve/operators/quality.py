@@ -88,13 +88,18 @@ def row_checks(protocol: Protocol, columns: list[str]) -> list[Check]:
     return out
 
 
-def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """One row per check with its count, from a single aggregation over df (RESULT schema)."""
-    if not checks:
+def run_checks(df: DataFrame, checks: list[Check], spread: list[Variable] | None = None, missing=None) -> DataFrame:
+    """One row per check with its count, from a single aggregation over df (RESULT schema).
+
+    spread: variables of which W401, or W903 of a ground truth, comes from the same pass.
+    """
+    spread = spread or []
+    if not checks and not spread:
         return df.sparkSession.createDataFrame([], RESULT)
     aggs = [F.count_if(c.failing).alias(f"c{i}") for i, c in enumerate(checks)]
-    one = df.agg(*aggs)
+    one = df.agg(*aggs, *_variability_aggs([v.name for v in spread], None if isinstance(missing, str) else missing))
     rows = F.array(
+        *_variability_rows(spread),
         *[
             F.struct(
                 F.lit(PHASES[c.code]).alias("phase"),
@@ -105,7 +110,7 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
                 (F.col(f"c{i}") > 0).alias("present"),
             )
             for i, c in enumerate(checks)
-        ]
+        ],
     )
     return one.select(F.inline(rows))
 
@@ -148,15 +153,35 @@ def variability(df: DataFrame, columns: list[str], missing=None, include_sentine
 
     The sentinel is left out unless `include_sentinel`; `sample` divides by n - 1.
     """
+    stats = df.agg(*_variability_aggs(columns, missing, include_sentinel, sample))
+    rows = F.array(*[F.struct(F.lit(c).alias("variable"), _cv(i).alias("cv")) for i, c in enumerate(columns)])
+    return stats.select(F.inline(rows))
+
+
+def _variability_aggs(columns: list[str], missing=None, include_sentinel: bool = False, sample: bool = False) -> list[Column]:
+    """Mean m0, m1, ... and deviation s0, s1, ... of the columns."""
     dev = F.stddev_samp if sample else F.stddev_pop
 
     def value(c: str) -> Column:
         x = F.col(c).cast("double")
         return x if missing is None or include_sentinel else F.when(x != float(missing), x)
 
-    stats = df.agg(*[f(value(c)).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("m", F.avg), ("s", dev))])
-    rows = F.array(*[F.struct(F.lit(c).alias("variable"), F.when(F.col(f"m{i}") == 0, 0.0).otherwise(100 * F.col(f"s{i}") / F.col(f"m{i}")).alias("cv")) for i, c in enumerate(columns)])
-    return stats.select(F.inline(rows))
+    return [f(value(c)).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("m", F.avg), ("s", dev))]
+
+
+def _cv(i: int) -> Column:
+    return F.when(F.col(f"m{i}") == 0, 0.0).otherwise(100 * F.col(f"s{i}") / F.col(f"m{i}"))
+
+
+def _variability_rows(variables: list[Variable]) -> list[Column]:
+    """W401 of continuous variables, and W903 of a continuous ground truth, from _variability_aggs."""
+    out = []
+    for i, v in enumerate(variables):
+        fails = F.lit(False)
+        for p in v.variability:
+            fails = fails | ~predicate(p, _cv(i))
+        out.append(F.struct(*_result(F.lit("W903" if v.ground_truth else "W401"), F.lit(v.name), F.coalesce(fails, F.lit(False)).cast("long"))))
+    return out
 
 
 def level_conformance(df: DataFrame, variable: Variable, missing=None) -> DataFrame:
@@ -224,10 +249,11 @@ def imbalance(df: DataFrame, column: str, cardinality: int, threshold: str) -> D
     return counts.crossJoin(F.broadcast(n_all)).where("level is not null").select("level", "n", gap.alias("gap"), (gap >= limit).alias("flagged"))
 
 
-def level_frequencies(df: DataFrame, columns: list[str]) -> DataFrame:
-    """variable, level, n of several columns in one pass."""
+def level_frequencies(df: DataFrame, columns: list[str], nulls: bool = False) -> DataFrame:
+    """variable, level, n of several columns in one pass; with nulls these are a level too."""
     cells = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("level")) for c in columns])
-    return df.select(F.inline(cells)).where("level is not null").groupBy("variable", "level").agg(F.count(F.lit(1)).alias("n"))
+    rows = df.select(F.inline(cells))
+    return (rows if nulls else rows.where("level is not null")).groupBy("variable", "level").agg(F.count(F.lit(1)).alias("n"))
 
 
 def summarise(results: DataFrame, descriptions: dict[str, str] | None = None) -> DataFrame:
@@ -266,8 +292,9 @@ def _result(code: Column, variable: Column, n: Column) -> list[Column]:
 def _level_results(df: DataFrame, variables: list[Variable], missing) -> DataFrame:
     """E501, W501, W901 and W902 of all discontinuous variables from one count of their levels."""
     spark = df.sparkSession
-    total = df.agg(F.count(F.lit(1)).alias("n_all"))
-    counts = level_frequencies(df, [v.name for v in variables]).where(~is_sentinel(F.col("level"), missing))
+    every = level_frequencies(df, [v.name for v in variables], nulls=True)
+    total = every.groupBy("variable").agg(F.sum("n").alias("n_all"))  # all rows, from the same count
+    counts = every.where(F.col("level").isNotNull() & ~is_sentinel(F.col("level"), missing))
     allowed = [(v.name, x) for v in variables for x in {*v.levels, *(s for xs in v.synonyms.values() for s in xs)}]
     allowed = spark.createDataFrame(allowed, "variable string, level string")
     extra = counts.join(allowed, ["variable", "level"], "left_anti").groupBy("variable").agg(F.count(F.lit(1)).alias("n"))
@@ -286,31 +313,21 @@ def _level_results(df: DataFrame, variables: list[Variable], missing) -> DataFra
     if limits:
         limits = spark.createDataFrame(limits, "variable string, cardinality int, top double")
         gap = (1 - F.col("n") / F.col("n_all") * F.col("cardinality")) * 100
-        uneven = named.join(F.broadcast(limits), "variable").crossJoin(F.broadcast(total)).groupBy("variable").agg(F.count_if(gap >= F.col("top")).alias("n"))
+        uneven = named.join(F.broadcast(limits), "variable").join(total, "variable").groupBy("variable").agg(F.count_if(gap >= F.col("top")).alias("n"))
         out = out.unionByName(uneven.select(*_result(F.when(is_truth, "W902").otherwise("W901"), F.col("variable"), F.col("n"))))
     return out.groupBy("phase", "code", "severity", "variable").agg(F.max("n").alias("n"), F.bool_or("present").alias("present"))
 
 
 def _variability_results(df: DataFrame, variables: list[Variable], missing) -> DataFrame:
-    """W401 of continuous variables, and W903 of a continuous ground truth, from one aggregation."""
-    missing = None if isinstance(missing, str) else missing
-    stats = variability(df, [v.name for v in variables], missing)
-    bad = F.lit(False)
-    for v in variables:
-        fails = F.lit(False)
-        for p in v.variability:
-            fails = fails | ~predicate(p, F.col("cv"))
-        bad = F.when(F.col("variable") == v.name, fails).otherwise(bad)
-    truths = [v.name for v in variables if v.ground_truth]
-    code = F.when(F.col("variable").isin(*truths), "W903").otherwise("W401") if truths else F.lit("W401")
-    return stats.select(*_result(code, F.col("variable"), F.coalesce(bad, F.lit(False)).cast("long")))
+    """W401 and W903 by themselves, from one aggregation."""
+    return run_checks(df, [], variables, missing)
 
 
 def validate(df: DataFrame, protocol: Protocol, key: str | None = None, mode: str = "collect", units: dict[str, str] | None = None, known: DataFrame | None = None, known_key: str | None = None) -> DataFrame:
     """The codes of a clinical table (RESULT schema): columns, types, ranges, levels, dates, replicates, ids, balance.
 
     E301 to E303 come from the schema (E302 from `units`, the header's units). Row checks
-    are one aggregation, variability another, levels one count for all variables;
+    and variability are one aggregation, levels one count for all variables;
     replicates and unknown ids (E801, against `known`) each need a shuffle of their own.
 
     mode collect returns all of these, unread. mode failfast reads phase by phase and
@@ -334,8 +351,8 @@ def validate(df: DataFrame, protocol: Protocol, key: str | None = None, mode: st
         for n in sorted({PHASES[c.code] for c in checks}):
             phases.append((n, lambda n=n: run_checks(df, [c for c in checks if PHASES[c.code] == n])))
     else:
-        phases.append((2, lambda: run_checks(df, checks)))
-    if spread:
+        phases.append((2, lambda: run_checks(df, checks, spread, protocol.missing)))
+    if spread and mode == "failfast":
         phases.append((4, lambda: _variability_results(df, spread, protocol.missing)))
     if levels:
         phases.append((5, lambda: _level_results(df, levels, protocol.missing)))
