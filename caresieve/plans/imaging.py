@@ -28,9 +28,13 @@ def _slices(spark, sf):
     return rows.withColumns({"h": F.lit(8), "w": F.lit(8)})
 
 
+#: Formats that hold places, by volume.
+_FORMS = ("nrrd", "nrrd.gz", "nifti", "nifti.gz")
+
+
 def _written(spark, slices, dtype="f4"):
-    """The slices as files of all formats, by volume, and read again: rows as they come from files."""
-    form = F.element_at(F.array(*[F.lit(x) for x in volumes.WRITERS]), (F.pmod("volume", F.lit(len(volumes.WRITERS))) + 1).cast("int"))
+    """The slices as files of several formats, by volume, and read again: rows as they come from files."""
+    form = F.element_at(F.array(*[F.lit(x) for x in _FORMS]), (F.pmod("volume", F.lit(len(_FORMS))) + 1).cast("int"))
     folder = f"{shared_folder(spark)}/volumes-{uuid.uuid4().hex}"
     volumes.write_files(volumes.volume_files(slices.withColumn("form", form), "volume", dtype), folder).count()
     read = volumes.read_volumes(spark, folder)
