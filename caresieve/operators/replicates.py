@@ -58,7 +58,7 @@ def close_pairs(df: DataFrame, key: str, vector: str, distance: float = DISTANCE
     shifts = F.array(*[F.struct(*[F.lit(s).alias(f"s{i}") for i, s in enumerate(shift)]) for shift in product((-1, 0, 1), repeat=axes)])
     near = points.select(F.col("k").alias("b"), *[f"c{i}" for i in range(axes)], F.explode(shifts).alias("s"))
     near = near.select("b", *[(F.col(f"c{i}") + F.col(f"s.s{i}")).alias(f"c{i}") for i in range(axes)])
-    found = own.join(near, [f"c{i}" for i in range(axes)]).where("a < b").select("a", "b")
+    found = own.join(near, [f"c{i}" for i in range(axes)]).where("a < b").select("a", "b").distinct()  # a key of several vectors meets another once
     found = found.join(points.select(F.col("k").alias("a"), F.col("x").alias("xa")), "a").join(points.select(F.col("k").alias("b"), F.col("x").alias("xb")), "b")
     d2 = squared_distance(F.col("xa"), F.col("xb"))
     return found.withColumn("d2", d2).where(F.col("d2") < distance * distance).select("a", "b", F.sqrt("d2").alias("distance"))
@@ -137,17 +137,23 @@ def close_links(points: DataFrame, distance: float = DISTANCE, axes: int = GRID_
 
 
 def replicate_groups(df: DataFrame, key: str, vector: str, distance: float = DISTANCE) -> DataFrame:
-    """(key, group_id, kept) of rows in a group of two or more; the smallest key of a group is kept.
+    """(key, group_id, kept) of keys in a group of two or more; the smallest key of a group is kept.
 
-    Groups are the connected ones: rows linked by a chain of close pairs are together; no
-    pairs are listed. Rows meet their group by a 128-bit hash of their vector, very
-    frequent ones dealt over tasks, and not by the vector itself.
+    Groups are the connected ones: keys linked by a chain of close pairs are together; no
+    pairs are listed. A key that several rows have is one, and joins what any of its vectors is near. Rows meet
+    their group by a 128-bit hash of their vector, very frequent ones dealt over tasks, and not by the vector itself.
     """
     x = doubles(F.col(vector))
     rows = cut(df.select(F.col(key).alias("k"), x.alias("x")).select("k", "x", F.xxhash64("x").alias("h1"), F.xxhash64(F.lit(7), "x").alias("h2")))
-    classes = cut(rows.groupBy("h1", "h2").agg(F.min("k").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("x").alias("x")))
-    roots = components(close_links(classes.select(F.col("rep").alias("k"), "x"), distance))
-    named = classes.join(roots, classes["rep"] == roots["node"], "left").where((F.col("n") > 1) | F.col("root").isNotNull())
+    classes = cut(rows.groupBy("h1", "h2").agg(F.min("k").alias("rep"), F.max("k").alias("last"), F.count(F.lit(1)).alias("n"), F.first("x").alias("x")))
+    links = close_links(classes.select(F.col("rep").alias("k"), "x"), distance)
+    h = F.struct("h1", "h2")
+    repeated = cut(rows.groupBy("k").agg(F.count(F.lit(1)).alias("m"), F.min(h).alias("low"), F.max(h).alias("high")).where("low <> high").select("k", "m"))
+    if not repeated.isEmpty():
+        twice = salted_join(rows.select("k", "h1", "h2"), repeated, ["k"], "m", "h1").select("k", "h1", "h2")
+        links = links.unionByName(salted_join(twice, classes.select("h1", "h2", "n", "rep"), ["h1", "h2"], "n", "k").select(F.col("k").alias("a"), F.col("rep").alias("b")))
+    roots = components(links)
+    named = classes.join(roots, classes["rep"] == roots["node"], "left").where((F.col("rep") < F.col("last")) | F.col("root").isNotNull())
     named = cut(named.select("h1", "h2", "n", F.coalesce("root", "rep").alias("group_id")))
-    members = salted_join(rows.select("k", "h1", "h2"), named, ["h1", "h2"], "n", "k")
+    members = salted_join(rows.select("k", "h1", "h2"), named, ["h1", "h2"], "n", "k").select("k", "group_id").distinct()
     return members.select(F.col("k").alias(key), "group_id", (F.col("k") == F.col("group_id")).alias("kept"))

@@ -207,6 +207,15 @@ def test_replicate_groups_follow_chains(spark):
     assert out == [(0, 0, True), (1, 0, False), (2, 0, False), (3, 0, False), (10, 10, True), (11, 10, False)]
 
 
+def test_replicates_of_keys_that_several_rows_have(spark):
+    at = lambda v: [v, 1.0, 2.0]
+    v = [(3, at(0.0)), (5, at(0.0)), (5, at(4.0)), (9, at(4.0005)), (9, at(7.0)), (6, at(7.0)), (7, at(7.0)), (8, at(9.0)), (8, at(9.0)), (8, at(9.0005)), (2, at(11.0)), (2, at(11.0)), (4, at(11.0)), (5, at(20.0))]
+    df = spark.createDataFrame(v, "k int, x array<double>").repartition(3)
+    assert rows(replicates.replicate_groups(df, "k", "x"), "k") == [(2, 2, True), (3, 3, True), (4, 2, False), (5, 3, False), (6, 3, False), (7, 3, False), (9, 3, False)]
+    near = spark.createDataFrame([(1, at(0.0)), (1, at(0.0004)), (2, at(0.0002)), (2, at(8.0))], "k int, x array<double>")
+    assert rows(replicates.close_pairs(near, "k", "x").select("a", "b", F.round("distance", 6))) == [(1, 2, 0.0002)] * 2
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     got = dict(rows(components(spark.createDataFrame(edges, "a bigint, b bigint"))))

@@ -67,3 +67,9 @@ def _beside(folder, name, rows):
 def test_genomic_folders_of_over_999_files(spark, tmp_path):
     rows = spark.range(1015).selectExpr("id * 2 AS s_suppkey", "concat('name ', id) AS s_name", "1 AS s_nationkey", "0D AS s_acctbal")
     agree(spark, QUERIES["sink_genomic_folders"], ORACLES["sink_genomic_folders"], _beside(tmp_path, "supplier", rows))
+
+
+@pytest.mark.parametrize("name", ["tensor_replicate_groups", "tensor_replicate_pairs"])
+def test_replicates_of_ids_that_copies_have_too(spark, tmp_path, name):
+    rows = spark.sql("SELECT id AS vec_id, transform(sequence(1, 64), j -> CAST(sin(id * 7 + j) AS FLOAT)) AS embedding, 0 AS label FROM VALUES (0L), (1L), (50L), (100000L), (100001L), (100050L) t(id)")
+    agree(spark, QUERIES[name], ORACLES[name], _beside(tmp_path, "embeddings", rows))
