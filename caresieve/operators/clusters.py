@@ -30,6 +30,11 @@ def _gaps(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0, (x * x).sum(axis=1)[:, None] - 2 * x @ y.T + (y * y).sum(axis=1)[None]))
 
 
+def _may_reach(gap: np.ndarray, limit: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether fast distances, which are rounded, may be within limits."""
+    return gap * gap <= limit * limit * (1 + 1e-8) + 1e-12 * (1 + (x * x).sum(axis=1) + (y * y).sum(axis=1).max())
+
+
 def _exact(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Distances of points side by side."""
     return np.sqrt(((x - y) ** 2).sum(axis=1))
@@ -60,23 +65,45 @@ class _Cells:
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("g", "p", "v")), pa.array(cells, pa.int32()), pa.array(away, pa.float64())], ["g", "p", "v", "cell", "away"])
 
         self.points = cut(rows.select("g", "p", "v").mapInArrow(nearest, "g string, p bigint, v array<double>, cell int, away double"))
-        self.reach = spark.sparkContext.broadcast({(r.g, r.cell): r.away for r in self.points.groupBy("g", "cell").agg(F.max("away").alias("away")).toLocalIterator()})  # a number a pivot
+        far = {g: np.full(len(v), -np.inf) for g, v in found.items()}
+        for r in self.points.groupBy("g", "cell").agg(F.max("away").alias("away")).toLocalIterator():  # a number a pivot
+            far[r.g][r.cell] = r.away
+        self.reach = spark.sparkContext.broadcast(far)
 
     def others(self, rows: DataFrame, bound: str, schema: str) -> DataFrame:
-        """rows (g, v, cell, bound, ...) once for each other cell whose points may lie within the bound, as `there`."""
+        """rows (g, v, cell, bound, ...) once for each other cell whose points may lie within the bound, as `there`.
+
+        A cell is left out if it ends before the bound, or if the plane midway between both pivots, beyond which it lies, is farther.
+        """
         pivots, reach, names = self.pivots, self.reach, rows.columns
 
+        def near(x, limit, p, far, cell):
+            """(row, cell) of the other cells that may lie within each row's limit."""
+            between, out = _exact(p, p[cell][None]), []
+            step = max(1, (1 << 22) // p.size)
+            for s in range(0, len(x), step):
+                square = ((x[s : s + step, None] - p[None]) ** 2).sum(axis=2)
+                own = square[:, cell, None]
+                room = square - own - 1e-12 * (square + own + far * far + between * between)  # of rounding
+                plane = np.where(between > 0, room / np.where(between > 0, 2 * between, 1.0), -np.inf)
+                least = np.maximum(np.sqrt(square) - far, plane)
+                found = (least <= limit[s : s + step, None] * (1 + 1e-9) + 1e-12) & np.isfinite(far)
+                found[:, cell] = False
+                at, there = np.nonzero(found)
+                out.append((at + s, there))
+            return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
+
         def run(batches):
             for batch in batches:
-                at, there = [], []
-                for i, (g, v, cell, limit) in enumerate(zip(batch.column("g").to_pylist(), batch.column("v"), batch.column("cell").to_pylist(), batch.column(bound).to_pylist())):
-                    gap = np.linalg.norm(pivots.value[g] - v.values.to_numpy(zero_copy_only=False), axis=1)
-                    least = gap - np.array([reach.value.get((g, c), -np.inf) for c in range(len(gap))])
-                    near = [c for c in np.flatnonzero(least <= limit * (1 + 1e-9) + 1e-12).tolist() if c != cell and (g, c) in reach.value]
-                    at += [i] * len(near)
-                    there += near
-                out = batch.take(pa.array(at, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*out.columns, pa.array(there, pa.int32())], [*names, "there"])
+                held: dict[tuple, list] = {}
+                for i, key in enumerate(zip(batch.column("g").to_pylist(), batch.column("cell").to_pylist())):
+                    held.setdefault(key, []).append(i)
+                limit = batch.column(bound).to_numpy(zero_copy_only=False)
+                for (g, cell), own in held.items():
+                    own = np.array(own)
+                    at, there = near(_matrix(batch.column("v").take(pa.array(own))), limit[own], pivots.value[g], reach.value[g], cell)
+                    out = batch.take(pa.array(own[at]))
+                    yield pa.RecordBatch.from_arrays([*out.columns, pa.array(there, pa.int32())], [*names, "there"])
 
         return rows.mapInArrow(run, f"{schema}, there int")
 
@@ -99,18 +126,20 @@ def core_distances(cells: _Cells, k: int) -> DataFrame:
 
     schema = "g string, p bigint, v array<double>, cell int, near array<double>, bound double"
     first = cut(cells.points.select("g", "p", "v", "cell").groupBy("g", "cell").applyInArrow(own, schema))
-    asked = cells.others(first, "bound", schema).select("g", "there", "p", "v")
+    asked = cells.others(first, "bound", schema).select("g", "there", "p", "v", "bound")
 
     def other(queries: pa.Table, points: pa.Table) -> pa.Table:
         if not len(queries) or not len(points):
             return pa.table({"p": pa.array([], pa.int64()), "near": pa.array([], pa.list_(pa.float64()))})
-        x, y, out = _matrix(queries.column("v")), _matrix(points.column("v")), []
+        x, y, limit, at, out = _matrix(queries.column("v")), _matrix(points.column("v")), queries.column("bound").to_numpy(), [], []
         for s in range(0, len(x), 512):
             gap = _gaps(x[s : s + 512], y)
+            hit = np.flatnonzero(_may_reach(gap.min(axis=1), limit[s : s + 512], x[s : s + 512], y))
             m = min(k, len(y))
-            part = np.argpartition(gap, m - 1, axis=1)[:, :m]
-            out += np.sqrt(((y[part] - x[s : s + 512, None]) ** 2).sum(axis=2)).tolist()
-        return pa.table({"p": queries.column("p"), "near": pa.array(out, pa.list_(pa.float64()))})
+            part = np.argpartition(gap[hit], m - 1, axis=1)[:, :m]
+            at += (hit + s).tolist()
+            out += np.sqrt(((y[part] - x[hit + s][:, None]) ** 2).sum(axis=2)).tolist()
+        return pa.table({"p": queries.column("p").take(pa.array(at, pa.int64())), "near": pa.array(out, pa.list_(pa.float64()))})
 
     more = asked.groupBy("g", "there").cogroup(cells.points.withColumnRenamed("cell", "there").groupBy("g", "there")).applyInArrow(other, "p bigint, near array<double>")
     more = more.groupBy("p").agg(F.flatten(F.collect_list("near")).alias("more"))  # k numbers a cell that was asked
@@ -123,21 +152,24 @@ def spanning_edges(cells: _Cells, cores: DataFrame) -> DataFrame:
 
     Borůvka's rounds: each component takes its smallest edge to another one; of
     equal ones the smallest pair of points. A point looks into its own cell first, then into those other cells that may hold
-    a smaller edge than its component has. Each round at least halves the components.
+    a smaller edge than its component has. The largest component of a group only waits to be met, as most points are soon
+    in it. Each round at least halves the others.
     """
     spark, steps = cores.sparkSession, Steps(cores.sparkSession)
     found = None
     now = cores.withColumn("c", F.col("p"))
     schema = "g string, p bigint, v array<double>, cell int, core double, c bigint"
 
-    def best(x, core_x, p_x, c_x, y, core_y, p_y, c_y):
-        """Each x's smallest edge to a y of another component, d: (w, a, b, d), infinite without one."""
+    def best(x, core_x, p_x, c_x, y, core_y, p_y, c_y, limit=None):
+        """Each x's smallest edge to a y of another component, d: (w, a, b, d), infinite without one or if it is over the limit for sure."""
         out = []
         for s in range(0, len(x), 512):
             part = slice(s, s + 512)
             gap = np.maximum(np.maximum(_gaps(x[part], y), core_x[part, None]), core_y[None])
             gap[c_x[part, None] == c_y[None]] = np.inf
             least = gap.min(axis=1)
+            if limit is not None:
+                least[~_may_reach(least, limit[part], x[part], y)] = np.inf
             for i, m in enumerate(least.tolist()):
                 if not np.isfinite(m):
                     out.append((np.inf, -1, -1, -1))
@@ -152,21 +184,28 @@ def spanning_edges(cells: _Cells, cores: DataFrame) -> DataFrame:
     def columns(t: pa.Table):
         return _matrix(t.column("v")), t.column("core").to_numpy(), t.column("p").to_numpy(), t.column("c").to_numpy()
 
+    def named(edges: list) -> dict:
+        return {n: pa.array([e[i] for e in edges], t) for i, (n, t) in enumerate((("w", pa.float64()), ("a", pa.int64()), ("b", pa.int64()), ("d", pa.int64())))}
+
     def own(table: pa.Table) -> pa.Table:
-        edges = best(*columns(table), *columns(table))
-        return pa.table({**{c: table.column(c) for c in ("g", "p", "v", "cell", "core", "c")}, "w": pa.array([e[0] for e in edges], pa.float64()), "a": pa.array([e[1] for e in edges], pa.int64()), "b": pa.array([e[2] for e in edges], pa.int64()), "d": pa.array([e[3] for e in edges], pa.int64())})
+        asking = table.filter(table.column("asks"))
+        edges = best(*columns(asking), *columns(table)) if len(asking) else []
+        return pa.table({**{c: asking.column(c) for c in ("g", "p", "v", "cell", "core", "c")}, **named(edges)})
 
     def other(queries: pa.Table, points: pa.Table) -> pa.Table:
-        edges = best(*columns(queries), *columns(points)) if len(queries) and len(points) else []
-        return pa.table({"g": pa.array(queries.column("g").to_pylist()[: len(edges)], pa.string()), "c": pa.array(queries.column("c").to_pylist()[: len(edges)], pa.int64()), "w": pa.array([e[0] for e in edges], pa.float64()), "a": pa.array([e[1] for e in edges], pa.int64()), "b": pa.array([e[2] for e in edges], pa.int64()), "d": pa.array([e[3] for e in edges], pa.int64())})
+        edges = best(*columns(queries), *columns(points), queries.column("bound").to_numpy()) if len(queries) and len(points) else []
+        at = [i for i, e in enumerate(edges) if e[0] < np.inf]
+        return pa.table({"g": queries.column("g").take(pa.array(at, pa.int64())), "c": queries.column("c").take(pa.array(at, pa.int64())), **named([edges[i] for i in at])})
 
     try:
         while True:
-            inside = steps.keep(now.groupBy("g", "cell").applyInArrow(own, f"{schema}, w double, a bigint, b bigint, d bigint"))
+            largest = now.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("g").agg(F.max(F.struct("n", "c")).alias("l")).select("g", F.col("l.c").alias("waits"))
+            asking = now.join(F.broadcast(largest), "g").withColumn("asks", F.col("c") != F.col("waits")).drop("waits")  # a row a group, as the pivots
+            inside = steps.keep(asking.groupBy("g", "cell").applyInArrow(own, f"{schema}, w double, a bigint, b bigint, d bigint"))
             known = inside.groupBy("c").agg(F.min("w").alias("bound"))
             # an edge from a point weighs its core distance at least
             asked = cells.others(inside.drop("w", "a", "b", "d").join(known, "c").where("core <= bound").select(*[c.split()[0] for c in schema.split(", ")], "bound"), "bound", f"{schema}, bound double")
-            far = asked.select("g", "there", "p", "v", "core", "c").groupBy("g", "there").cogroup(now.withColumnRenamed("cell", "there").groupBy("g", "there")).applyInArrow(other, "g string, c bigint, w double, a bigint, b bigint, d bigint")
+            far = asked.select("g", "there", "p", "v", "core", "c", "bound").groupBy("g", "there").cogroup(now.withColumnRenamed("cell", "there").groupBy("g", "there")).applyInArrow(other, "g string, c bigint, w double, a bigint, b bigint, d bigint")
             edges = inside.select("g", "c", "w", "a", "b", "d").unionByName(far).where(F.col("w") < float("inf"))
             least = steps.keep(edges.groupBy("g", "c").agg(F.min(F.struct("w", "a", "b", "d")).alias("e")).select("g", "c", "e.*"))
             n = least.count()

@@ -156,3 +156,19 @@ def test_rand_error_of_clusters(spark):
     df = spark.createDataFrame([("b", i, v.tolist(), 1 + (i >= 40)) for i, v in enumerate(x)] + [("c", i, v.tolist(), 1 + (i >= 40)) for i, v in enumerate(x)], "g string, i int, v array<double>, t int")
     assert clusters.clustered_rand_error(df, ["g"], "i", "v", "t", 10, 5).first().error == pytest.approx(0, abs=1e-9)
     assert clusters.clustered_rand_error(df, ["g"], "i", "v", "t", bandwidth=50.0).first().precision < 0.6
+
+
+def test_cells_beyond_the_middle_plane_are_not_asked(spark, monkeypatch):
+    monkeypatch.setattr(clusters, "CELL_POINTS", 64)
+    x, bound = np.random.default_rng(3).uniform(size=(2000, 4)), 0.1
+    rows = spark.createDataFrame([("g", i, v.tolist()) for i, v in enumerate(x)], "g string, p bigint, v array<double>")
+    cells = clusters._Cells(rows)
+    cell = np.array([r.cell for r in cells.points.orderBy("p").collect()])
+    asked = cells.others(cells.points.selectExpr("g", "p", "v", "cell", f"{bound}D AS bound"), "bound", "g string, p bigint, v array<double>, cell int, bound double")
+    got = {(r.p, r.there) for r in asked.collect()}
+    near = np.argwhere(((x[:, None] - x[None]) ** 2).sum(axis=2) <= bound**2)
+    needed = {(i, int(cell[j])) for i, j in near.tolist() if cell[i] != cell[j]}
+    gap = np.linalg.norm(x[:, None] - cells.pivots.value["g"][None], axis=2)
+    reach = np.array([gap[cell == c, c].max() if (cell == c).any() else -np.inf for c in range(gap.shape[1])])
+    balls = int((gap - reach <= bound).sum()) - len(x)
+    assert needed <= got and len(got) < 0.6 * balls
