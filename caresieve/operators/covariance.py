@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caresieve.functions.distributions import f_quantile
+from caresieve.operators.skew import HOT_KEYS, cut, salted_join
 
 #: Beyond this many columns, one aggregation of all pairs would be too wide to compile.
 MAX_COLUMNS = 50
@@ -164,8 +165,8 @@ def t2_threshold(n: int, p: int, alpha: float = 0.05) -> float:
 def t2_outliers(df: DataFrame, site: str, scores: list[str], alpha: float = 0.05, centre: bool = True) -> DataFrame:
     """df with t2 and outlier, by the score variances of each row's site.
 
-    Statistics are one row a site, the F quantile is taken once in each. Whether they
-    are broadcast is left to their measured size, as any column may be the site.
+    Statistics are one row a site, the F quantile is taken once in each. They go to the rows where
+    these lie; of over HOT_KEYS sites (any column may be the site) rows are dealt by site, large sites over many tasks.
     centre=False squares the scores as they are.
     """
 
@@ -174,7 +175,8 @@ def t2_outliers(df: DataFrame, site: str, scores: list[str], alpha: float = 0.05
         return n.map(lambda k: t2_threshold(int(k), len(scores), alpha) if k > len(scores) else None).astype(float)
 
     stats = df.groupBy(site).agg(F.count(F.lit(1)).alias("__n"), *[f(c).alias(f"__{k}_{c}") for c in scores for k, f in (("v", F.var_samp), ("m", F.avg))])
-    stats = stats.withColumn("__limit", limit("__n"))
+    stats = cut(stats.withColumn("__limit", limit("__n")))
     t2 = sum(((F.col(c) - (F.col(f"__m_{c}") if centre else 0.0)) ** 2 / F.col(f"__v_{c}") for c in scores), F.lit(0.0))
-    out = df.join(stats, site).withColumn("t2", t2).withColumn("outlier", F.coalesce(F.col("t2") > F.nanvl("__limit", F.lit(None)), F.lit(False)))
+    joined = df.join(F.broadcast(stats), site) if stats.count() <= HOT_KEYS else salted_join(df, stats, [site], "__n", scores[0])
+    out = joined.withColumn("t2", t2).withColumn("outlier", F.coalesce(F.col("t2") > F.nanvl("__limit", F.lit(None)), F.lit(False)))
     return out.drop(*[c for c in out.columns if c.startswith("__")])

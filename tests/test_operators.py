@@ -179,6 +179,24 @@ def test_t2_centres_unless_asked(spark):
     assert covariance.t2_outliers(df, "s", ["p"], centre=False).where("outlier").count() == 31
 
 
+def test_t2_rows_of_a_site_do_not_meet_in_one_task(spark, monkeypatch):
+    df = spark.range(20_000).selectExpr("CASE WHEN id % 10 < 8 THEN 'large' WHEN id % 10 = 8 THEN 's' || id % 50 END AS s", "id", "sin(id) AS p").repartition(4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        few = covariance.t2_outliers(df, "s", ["p"])
+        want = rows(few, "id")
+        assert "hashpartitioning(s#" not in few._jdf.queryExecution().executedPlan().toString()
+        monkeypatch.setattr(covariance, "HOT_KEYS", 1)
+        many = covariance.t2_outliers(df, "s", ["p"])
+        assert rows(many, "id") == want and len(want) == 18_000 and many.columns == few.columns
+        sizes = many.select(F.spark_partition_id().alias("at")).groupBy("at").count().toPandas()["count"]
+        assert sizes.max() < 12_000  # and not the 16,000 of the large site
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_similarities(spark):
     boxes = similarity.bounding_boxes(spark.createDataFrame([("a", 0.0, 0.0), ("a", 2.0, 2.0), ("b", 1.0, 1.0), ("b", 3.0, 3.0), ("c", 9.0, 9.0), ("c", 10.0, 10.0)], "s string, x double, y double"), "s", ["x", "y"])
     got = {(r[0], r[1]): r[2] for r in similarity.overlap_similarity(boxes, "s").collect()}
